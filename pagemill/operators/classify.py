@@ -43,6 +43,22 @@ def _one_line(col: str) -> Column:
     return F.translate(T.flatten(col), "\t\r\f", "   ")
 
 
+# What would break a path out of its field, and how it is written instead.
+_ESCAPES = (("%", "%25"), ("\t", "%09"), ("\n", "%0A"), ("\r", "%0D"))
+
+
+def _as_field(path: Column) -> Column:
+    for plain, escaped in _ESCAPES:
+        path = F.replace(path, F.lit(plain), F.lit(escaped))
+    return path
+
+
+def _from_field(field: Column) -> Column:
+    for plain, escaped in reversed(_ESCAPES):
+        field = F.replace(field, F.lit(escaped), F.lit(plain))
+    return field
+
+
 def _command_line(command: Sequence[str], sep: str) -> str:
     return f"{SEPARATOR_VARIABLE}={shlex.quote(sep)} {shlex.join(command)}"
 
@@ -53,16 +69,19 @@ def pipe_classify(
     """``(path, classification)`` from an external program, run once per task.
 
     The program reads ``path<tab>text`` lines and writes ``path<tab>category`` lines. The path travels with the text,
-    so a line the program drops or adds never moves a category to another document. Spark feeds the process straight
-    from the JVM.
+    so a line the program drops or adds never moves a category to another document. ``%``, tabs and line ends in paths
+    are percent-encoded on the way. Spark feeds the process straight from the JVM.
     """
-    lines = df.select("path", _one_line(col).alias("line"))
+    lines = df.select(_as_field(F.col("path")).alias("path"), _one_line(col).alias("line"))
     script = _command_line(command, sep).replace("\\", "\\\\").replace("'", "\\'")
     script = script.replace("{", "{{").replace("}", "}}")  # braces mark the DataFrame below
-    return df.sparkSession.sql(
-        f"SELECT TRANSFORM(path, line) USING '{script}' AS (path STRING, classification STRING) FROM {{lines}}",
+    fields = "ROW FORMAT DELIMITED FIELDS TERMINATED BY '\\t'"
+    answers = df.sparkSession.sql(
+        f"SELECT TRANSFORM(path, line) {fields} USING '{script}' "
+        f"AS (path STRING, classification STRING) {fields} FROM {{lines}}",
         lines=lines,
     )
+    return answers.select(_from_field(F.col("path")).alias("path"), "classification")
 
 
 def pipe_classify_lines(

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.fixed import LANGUAGE
+from pagemill.functions.storage import resolver
 
 PAGE_SCHEMA = "path string, page_no int, page_text string, ok boolean, error string"
 _COUNT_SCHEMA = "path string, n_pages int, ok boolean, error string"
@@ -27,21 +28,15 @@ _COUNT_SCHEMA = "path string, n_pages int, ok boolean, error string"
 
 def _opener() -> Callable[[str, Any], Any]:
     """How a task gets at a document: the bytes it was handed, or the file on shared storage."""
+    resolve = resolver()
 
     def open_document(path: str, content: Any) -> Any:
         import io
-        import re
-
-        from pyarrow import fs
 
         if content is not None:
             return io.BytesIO(bytes(content))
-        scheme, rest = re.match(r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)$", path, re.S).groups()
-        if scheme in (None, "file"):
-            return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
-        authority, _, inner = rest.removeprefix("//").partition("/")
-        system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-        return system.open_input_file(f"{base.rstrip('/')}/{inner}")
+        system, place = resolve(path)
+        return system.open_input_file(place)
 
     return open_document
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.storage import resolver
 from pagemill.operators.filters import indexed_only
 
 _REPORT = "path string, deleted boolean, error string"
@@ -25,24 +26,13 @@ def remove_sources(
     if report_dir is None:
         raise ValueError("a real run needs report_dir")
 
-    def remove(frames):
-        import re
+    resolve = resolver()
 
+    def remove(frames):
         from pyarrow import fs
 
-        systems = {}
-
         def delete(path):
-            scheme, rest = re.match(r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)$", path, re.S).groups()
-            if scheme in (None, "file"):
-                system, place = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-            else:
-                authority, _, inner = rest.removeprefix("//").partition("/")
-                at = f"{scheme}://{authority}/"
-                if at not in systems:
-                    systems[at] = fs.FileSystem.from_uri(at)
-                system, base = systems[at]
-                place = f"{base.rstrip('/')}/{inner}"
+            system, place = resolve(path)
             kind = system.get_file_info(place).type
             if kind == fs.FileType.Directory:
                 system.delete_dir(place)
