@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagemill.functions import text as T
 from pagemill.operators.layout import extract_words
 from pagemill.operators.pages import extract_text_pages
+from pagemill.sources.documents import spread
 
 LINES_PER_PAGE = 3
 MAX_PAGES = 5
@@ -25,7 +26,7 @@ NEEDLE = "ation"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:

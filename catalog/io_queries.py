@@ -60,15 +60,29 @@ def text_engine():
             for page in range(first_page - 1, last_page):
                 yield lines[page * per_page : (page + 1) * per_page]
 
-        def recognize(self, image, lang):
+        def recognize(self, image, lang, rect):
             return "\n".join(image)
 
+        def words(self, image, lang, rect, level):
+            for y, line in enumerate(image):
+                x = 0
+                for word in line.split(" "):
+                    if word:
+                        yield word, 100.0, x, y, len(word), 1
+                    x += len(word) + 1
+
+        def regions(self, image, level):
+            return [(0, y, len(line), 1) for y, line in enumerate(image) if line]
+
     return TextEngine
 
 
 def by_rules(documents: DataFrame) -> DataFrame:
-    flat = documents.withColumn("content", T.flatten("content"))
-    return pm.classify_rules(flat, fx.RULES).select("path", "classification")
+    return pm.classify_rules(documents, fx.RULES, col=T.flatten("content"))
+
+
+def by_rules_and_path(documents: DataFrame) -> DataFrame:
+    return by_rules(documents).select("path", "classification")
 
 
 def scan_documents(spark, sf):
@@ -79,16 +93,30 @@ def scan_documents(spark, sf):
     return relative(texts, folder)
 
 
-def extract_pages(spark, sf):
-    folder = new_folder(spark, "extract")
+def _page_ranges(spark, sf, name):
+    folder = new_folder(spark, name)
     put_files(fx.sources(spark, sf), folder)
     files = pm.scan_documents(spark, folder, extension="pdf").select("path")
-    counts = pm.document_page_counts(files, text_engine())
-    batches = pm.plan_page_batches(counts.select("path", "n_pages"), fx.MAX_PAGES)
-    pages = pm.extract_pages(batches, text_engine(), num_partitions=8)
+    counts = pm.document_page_counts(files, text_engine(), num_partitions=8)
+    return folder, pm.plan_page_batches(counts.select("path", "n_pages"), fx.MAX_PAGES)
+
+
+def extract_pages(spark, sf):
+    folder, ranges = _page_ranges(spark, sf, "pages")
+    pages = pm.extract_pages(ranges, text_engine(), num_partitions=8)
     return relative(pages, folder).select("path", "page_no", "page_text", "ok")
 
 
+def recognize_words(spark, sf):
+    folder, ranges = _page_ranges(spark, sf, "words")
+    return relative(fx.flat_boxes(pm.recognize_words(ranges, text_engine(), num_partitions=8)), folder)
+
+
+def segment_regions(spark, sf):
+    folder, ranges = _page_ranges(spark, sf, "regions")
+    return relative(fx.flat_boxes(pm.segment_regions(ranges, text_engine(), num_partitions=8)), folder)
+
+
 def write_texts(spark, sf):
     return pm.write_texts(pm.assemble_document(fx.pages(spark, sf)), new_folder(spark, "texts"), "1")
 
@@ -173,7 +201,7 @@ def ingest_stream(spark, sf):
         f"{folder}/checkpoint",
         lambda batch: fx.FIRST_RUN,
         extractor,
-        by_rules,
+        by_rules_and_path,
         max_files=-(-n_files // 2),
         remove=True,
     )
@@ -185,6 +213,8 @@ def ingest_stream(spark, sf):
 QUERIES = {
     "scan_documents": scan_documents,
     "extract_pages": extract_pages,
+    "recognize_words": recognize_words,
+    "segment_regions": segment_regions,
     "write_texts": write_texts,
     "write_text_files": write_text_files,
     "upsert_index": upsert_index,
@@ -202,6 +232,12 @@ ORACLE = {
     "scan_documents": f"""WITH {fx.SRC}
 SELECT path, octet_length(encode(text))::BIGINT AS length, text FROM src WHERE {_PDF}""",
     "extract_pages": f"WITH {fx.PAGES} SELECT path, page_no, page_text, true AS ok FROM pages_in WHERE {_PDF}",
+    "recognize_words": f"""WITH {fx.WORDS}
+SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY line_no, word_no) - 1)::INTEGER AS word_no,
+       text, confidence, x, y, w, h FROM words_in WHERE {_PDF}""",
+    "segment_regions": f"""WITH {fx.WORDS}
+SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY line_no) - 1)::INTEGER AS region_no,
+       0 AS x, line_no AS y, length(line)::INTEGER AS w, 1 AS h FROM page_lines WHERE line <> '' AND {_PDF}""",
     "write_texts": tq.ORACLE["assemble_document"],
     "write_text_files": f"""WITH {fx.SRC}
 SELECT path, split_part(path, '/', -2) || '/' || replace(lower(split_part(path, '/', -1)), '.pdf', '.txt') AS output,

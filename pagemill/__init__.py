@@ -7,7 +7,13 @@ from pagemill.operators.classify import (
     pipe_classify,
     pipe_classify_lines,
 )
-from pagemill.operators.extract import document_page_counts, extract_pages, failed_pages
+from pagemill.operators.extract import (
+    document_page_counts,
+    extract_pages,
+    failed_pages,
+    recognize_words,
+    segment_regions,
+)
 from pagemill.operators.filters import (
     contains_text,
     document_count,
@@ -64,6 +70,7 @@ from pagemill.sources import (
     read_index,
     scan_document_stream,
     scan_documents,
+    spread,
     union_sources,
 )
 from pagemill.streaming.ingest import ingest_stream, remove_ingested

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.fixed import (
@@ -71,6 +71,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once per row, also when it is both filtered on and selected.
+
+    Spark moves a condition on a computed column below the computation by computing the column again. It does not
+    move it below a generator, so the value is handed through one that gives exactly one row.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def pages_by_lines(text: Column | str, lines_per_page: int) -> Column:
     """``array<struct<page_no, page_text>>`` with a fixed number of lines on each page."""
     per_page = F.lit(lines_per_page)

@@ -15,18 +15,24 @@ from pagemill.functions.fixed import SEPARATOR, SEPARATOR_VARIABLE
 
 def rule_category(text: Column | str, rules: Sequence[tuple[str, str]], default: str = "") -> Column:
     """Category of the first rule whose pattern is found."""
-    column = F.col(text) if isinstance(text, str) else text
-    category = F.lit(default)
-    for name, pattern in reversed(rules):
-        category = F.when(column.rlike(pattern), F.lit(name)).otherwise(category)
-    return category
+
+    def category(t: Column) -> Column:
+        found = F.lit(default)
+        for name, pattern in reversed(rules):
+            found = F.when(t.rlike(pattern), F.lit(name)).otherwise(found)
+        return found
+
+    return T.bind(F.col(text) if isinstance(text, str) else text, category)
 
 
 def classify_rules(
-    df: DataFrame, rules: Sequence[tuple[str, str]], col: str = "content", default: str = ""
+    df: DataFrame, rules: Sequence[tuple[str, str]], col: Column | str = "content", default: str = ""
 ) -> DataFrame:
-    """Adds ``classification`` from ordered ``(category, pattern)`` rules. No shuffle, no process, no Python."""
-    return df.withColumn("classification", rule_category(col, rules, default))
+    """Adds ``classification`` from ordered ``(category, pattern)`` rules. No shuffle, no process, no Python.
+
+    Each text is matched once, also when blank categories are dropped afterwards.
+    """
+    return T.once(df, "classification", rule_category(col, rules, default))
 
 
 def classify_udf(df: DataFrame, fn: Callable[[pd.Series], pd.Series], col: str = "content") -> DataFrame:

@@ -4,7 +4,9 @@ An engine is any object with
 
 * ``page_count(file) -> int``
 * ``render(file, first_page, last_page) -> iterable of images`` for an inclusive, 1-based range
-* ``recognize(image, lang) -> str``
+* ``recognize(image, lang, rect) -> str``; ``rect`` is None or ``(x, y, w, h)``, the part of the image to read
+* for words: ``words(image, lang, rect, level) -> iterable of (text, confidence, x, y, w, h)``
+* for regions: ``regions(image, level) -> iterable of (x, y, w, h)``
 * optionally ``close()``
 
 ``file`` is a seekable binary file. A factory for the engine is passed, and called once per task, so that a costly
@@ -18,11 +20,18 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from pagemill.functions.fixed import LANGUAGE
 from pagemill.functions.storage import resolver
 
 PAGE_SCHEMA = "path string, page_no int, page_text string, ok boolean, error string"
+_WORD_SCHEMA = (
+    "path string, page_no int, word_no int, text string, confidence float, box struct<x:int,y:int,w:int,h:int>"
+)
+_REGION_SCHEMA = "path string, page_no int, region_no int, box struct<x:int,y:int,w:int,h:int>"
+_RECT = ("rx", "ry", "rw", "rh")
 _COUNT_SCHEMA = "path string, n_pages int, ok boolean, error string"
 
 
@@ -41,30 +50,118 @@ def _opener() -> Callable[[str, Any], Any]:
     return open_document
 
 
-def document_page_counts(df: DataFrame, engine: Callable[[], Any]) -> DataFrame:
-    """``(path, n_pages, ok, error)``. A file that cannot be loaded has 0 pages and its error; it stops nothing."""
-    open_document = _opener()
+def _batched() -> Callable[..., Any]:
+    """Rows to record batches of bounded size."""
 
-    def count(frames):
-        import pandas as pd
+    def batched(rows, schema):
+        import pyarrow as pa
 
-        reader = engine()
-        try:
-            for frame in frames:
-                contents = frame["content"] if "content" in frame else [None] * len(frame)
-                rows = []
-                for path, content in zip(frame["path"], contents):
+        held, n_chars = [], 0
+        for row in rows:
+            held.append(dict(zip(schema.names, row)))
+            n_chars += sum(len(value) for value in row if isinstance(value, str))
+            if len(held) >= 2000 or n_chars >= 16_000_000:
+                yield pa.RecordBatch.from_pylist(held, schema)
+                held, n_chars = [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema)
+
+    return batched
+
+
+def document_page_counts(
+    df: DataFrame, engine: Callable[[], Any], num_partitions: int | None = None
+) -> DataFrame:
+    """``(path, n_pages, ok, error)``. A file that cannot be loaded has 0 pages and its error; it stops nothing.
+
+    ``num_partitions`` deals out the rows first, which is cheap as long as they carry paths and no bytes.
+    """
+    open_document, batched = _opener(), _batched()
+
+    arrow_schema = to_arrow_schema(StructType.fromDDL(_COUNT_SCHEMA))
+
+    def count(batches):
+        def counts(reader):
+            for batch in batches:
+                for row in batch.to_pylist():
                     try:
-                        with open_document(path, content) as file:
-                            rows.append((path, int(reader.page_count(file)), True, None))
+                        with open_document(row["path"], row.get("content")) as file:
+                            yield row["path"], int(reader.page_count(file)), True, None
                     except Exception as e:  # a bad document is a row of the report
-                        rows.append((path, 0, False, f"{type(e).__name__}: {e}"))
-                yield pd.DataFrame(rows, columns=["path", "n_pages", "ok", "error"]).astype({"n_pages": "int32"})
+                        yield row["path"], 0, False, f"{type(e).__name__}: {e}"
+
+        reader = engine()
+        try:
+            yield from batched(counts(reader), arrow_schema)
         finally:
             getattr(reader, "close", lambda: None)()
 
     columns = [c for c in ("path", "content") if c in df.columns]
-    return df.select(*columns).mapInPandas(count, _COUNT_SCHEMA)
+    dealt = df.select(*columns)
+    if num_partitions is not None:
+        dealt = dealt.repartition(num_partitions)
+    return dealt.mapInArrow(count, _COUNT_SCHEMA)
+
+
+def _map_images(
+    batches: DataFrame,
+    engine: Callable[[], Any],
+    num_partitions: int | None,
+    schema: str,
+    recognized: Callable[..., Any],
+    lost: Callable[..., Any],
+) -> DataFrame:
+    """Renders each page range and maps its images to rows.
+
+    ``recognized(reader, path, page_no, image, rect)`` gives the rows of an image, ``lost(path, page_no, error)`` the
+    row of a page without an image.
+    """
+    open_document, batched = _opener(), _batched()
+    rect_columns = _RECT
+    arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
+
+    def extract(batches):
+        def images(reader, row):
+            page_no, last, error = row["first_page"], row["last_page"], "no image"
+            try:
+                with open_document(row["path"], row.get("content")) as file:
+                    for image in reader.render(file, page_no, last):
+                        yield page_no, image, None
+                        page_no += 1
+            except Exception as e:
+                error = f"{type(e).__name__}: {e}"
+            for missing in range(page_no, last + 1):
+                yield missing, None, error
+
+        def rows(reader):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    rect = tuple(row.get(c) for c in rect_columns)
+                    rect = None if None in rect else rect
+                    for page_no, image, error in images(reader, row):
+                        if error is None:
+                            yield from recognized(reader, row["path"], page_no, image, rect)
+                        else:
+                            yield lost(row["path"], page_no, error)
+
+        reader = engine()
+        try:
+            yield from batched(rows(reader), arrow_schema)
+        finally:
+            getattr(reader, "close", lambda: None)()
+
+    known = ("path", "content", "first_page", "last_page", *_RECT)
+    dealt = batches.select(*[c for c in known if c in batches.columns])
+    if num_partitions is not None:
+        dealt = dealt.repartition(num_partitions, "path", "first_page")
+    return dealt.mapInArrow(extract, schema)
+
+
+def _raiser() -> Callable[..., Any]:
+    def no_image(path, page_no, error):
+        raise RuntimeError(f"{path}, page {page_no}: {error}")
+
+    return no_image
 
 
 def extract_pages(
@@ -73,50 +170,57 @@ def extract_pages(
     lang: str = LANGUAGE,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``(path, first_page, last_page[, content])`` to ``(path, page_no, page_text, ok, error)``.
+    """``(path, first_page, last_page[, content][, rx, ry, rw, rh])`` to ``(path, page_no, page_text, ok, error)``.
 
     Without a ``content`` column each batch opens its file by path. Then only page ranges are shuffled, one large
     document is worked on by many tasks, and its bytes never travel. An error while a page is recognised gives ``''``
     for that page; an error while a batch is rendered gives NULL for the pages of that batch that are missing.
     """
-    open_document = _opener()
 
-    def extract(frames):
-        import pandas as pd
+    def recognized(reader, path, page_no, image, rect):
+        try:
+            yield path, page_no, reader.recognize(image, lang, rect), True, None
+        except Exception as e:
+            yield path, page_no, "", False, f"{type(e).__name__}: {e}"
+
+    def lost(path, page_no, error):
+        return path, page_no, None, False, error
 
-        names = ["path", "page_no", "page_text", "ok", "error"]
+    return _map_images(batches, engine, num_partitions, PAGE_SCHEMA, recognized, lost)
 
-        def batch_rows(reader, path, content, first, last):
-            page_no = first
-            try:
-                with open_document(path, content) as file:
-                    for image in reader.render(file, first, last):
-                        try:
-                            yield path, page_no, reader.recognize(image, lang), True, None
-                        except Exception as e:
-                            yield path, page_no, "", False, f"{type(e).__name__}: {e}"
-                        page_no += 1
-            except Exception as e:
-                for lost in range(page_no, last + 1):
-                    yield path, lost, None, False, f"{type(e).__name__}: {e}"
 
-        reader = engine()
+def recognize_words(
+    batches: DataFrame,
+    engine: Callable[[], Any],
+    level: str = "word",
+    lang: str = LANGUAGE,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """``(path, page_no, word_no, text, confidence, box)`` as the engine sees them.
+
+    An error while a page is recognised keeps the words found so far; a page that cannot be rendered fails the job.
+    """
+
+    def recognized(reader, path, page_no, image, rect):
         try:
-            for frame in frames:
-                contents = frame["content"] if "content" in frame else [None] * len(frame)
-                for path, content, first, last in zip(
-                    frame["path"], contents, frame["first_page"], frame["last_page"]
-                ):
-                    rows = list(batch_rows(reader, path, content, int(first), int(last)))
-                    yield pd.DataFrame(rows, columns=names).astype({"page_no": "int32"})
-        finally:
-            getattr(reader, "close", lambda: None)()
+            for n, (text, confidence, x, y, w, h) in enumerate(reader.words(image, lang, rect, level)):
+                yield path, page_no, n, text, confidence, {"x": x, "y": y, "w": w, "h": h}
+        except Exception:
+            return
 
-    columns = [c for c in ("path", "content", "first_page", "last_page") if c in batches.columns]
-    spread = batches.select(*columns)
-    if num_partitions is not None:
-        spread = spread.repartition(num_partitions, "path", "first_page")
-    return spread.mapInPandas(extract, PAGE_SCHEMA)
+    return _map_images(batches, engine, num_partitions, _WORD_SCHEMA, recognized, _raiser())
+
+
+def segment_regions(
+    batches: DataFrame, engine: Callable[[], Any], level: str = "line", num_partitions: int | None = None
+) -> DataFrame:
+    """``(path, page_no, region_no, box)`` as the engine sees them. Any error fails the job."""
+
+    def recognized(reader, path, page_no, image, rect):
+        for n, (x, y, w, h) in enumerate(reader.regions(image, level)):
+            yield path, page_no, n, {"x": x, "y": y, "w": w, "h": h}
+
+    return _map_images(batches, engine, num_partitions, _REGION_SCHEMA, recognized, _raiser())
 
 
 def failed_pages(pages: DataFrame) -> DataFrame:

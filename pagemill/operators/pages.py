@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pagemill.functions import text as T
 from pagemill.functions.fixed import HOCR_FOOTER, HOCR_HEADER, MAX_PAGES
 
-# Pages that are numbered together in one task. Only the number of tasks depends on it, no result does.
+# Pages that one task numbers together. Results do not depend on it.
 _SPAN = 1000
 
 
@@ -78,16 +78,15 @@ def sort_pages(pages: DataFrame) -> DataFrame:
     return kept.groupBy("path").agg(F.array_sort(F.collect_list(page)).alias("pages"))
 
 
-def page_footer(pages: DataFrame) -> DataFrame:
-    """Appends the numbered footer to each page; the number counts the pages a document really has.
+def _numbered(pages: DataFrame, span_size: int) -> DataFrame:
+    """Rendered pages with ``span`` and ``footer_no``, their rank in the document.
 
-    Numbering is done inside spans of page numbers, and each span starts after the pages of the spans before it. So no
-    task holds more than one span, whatever share of all pages one document has. The table of span sizes has one row
-    for a thousand pages and joins on the keys the pages are already partitioned by.
+    Ranks are taken inside spans of page numbers, and each span starts after the pages of the spans before it. So no
+    task holds more than one span, whatever share of all pages one document has. Texts are shuffled once, by
+    ``(path, span)``; the table of span sizes has one row per span and joins on the same keys.
     """
-    kept = pages.where(F.col("page_text").isNotNull()).withColumn(
-        "span", F.floor(F.col("page_no") / F.lit(_SPAN)).cast("int")
-    )
+    span = F.floor((F.col("page_no") - 1) / F.lit(span_size)).cast("int")
+    kept = pages.where(F.col("page_text").isNotNull()).withColumn("span", span)
     before = Window.partitionBy("path").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         kept.groupBy("path", "span")
@@ -99,11 +98,16 @@ def page_footer(pages: DataFrame) -> DataFrame:
         kept.withColumn("inside", inside)
         .join(starts, ["path", "span"])
         .withColumn("footer_no", (F.col("start") + F.col("inside")).cast("int"))
-        .withColumn("page_text", F.concat("page_text", T.footer("footer_no")))
-        .drop("span", "inside", "start")
+        .drop("inside", "start")
     )
 
 
+def page_footer(pages: DataFrame) -> DataFrame:
+    """Appends the numbered footer to each page; the number counts the pages a document really has."""
+    footed = F.concat("page_text", T.footer("footer_no"))
+    return _numbered(pages, _SPAN).withColumn("page_text", footed).drop("span")
+
+
 def assemble_document(pages: DataFrame) -> DataFrame:
     """``(path, content, n_pages)``: pages in order, each with its footer, as one text.
 
@@ -118,8 +122,11 @@ def assemble_document(pages: DataFrame) -> DataFrame:
 def assemble_paged(df: DataFrame, pages: Column) -> DataFrame:
     """:func:`assemble_document` for documents whose pages are still in one row. No shuffle."""
     rest = [c for c in df.columns if c not in ("path", "text", "content", "n_pages")]
-    return df.withColumn("_pages", pages).select(
-        "path", T.footed_text("_pages").alias("content"), F.size("_pages").alias("n_pages"), *rest
+    document = T.bind(
+        pages, lambda p: F.struct(T.footed_text(p).alias("content"), F.size(p).alias("n_pages"))
+    )
+    return T.once(df.select("path", "text", *rest), "_document", document).select(
+        "path", "_document.content", "_document.n_pages", *rest
     )
 
 
@@ -127,19 +134,15 @@ def assemble_parts(pages: DataFrame, pages_per_part: int = _SPAN) -> DataFrame:
     """``(path, part_no, content, n_pages)``: the text of :func:`assemble_document` cut at page borders.
 
     Joined in ``part_no`` order the parts are the document. No row or task holds more than one part, so one document
-    may be any share of the data.
+    may be any share of the data. Parts are the spans their pages were numbered in, so nothing is shuffled again.
     """
-    part = F.floor((F.col("footer_no") - 1) / F.lit(pages_per_part)).cast("int")
+    page = F.struct("footer_no", "page_text")
+    footed = F.transform("pages", lambda p: F.concat(p["page_text"], T.footer(p["footer_no"])))
     return (
-        page_footer(pages)
-        .groupBy("path", part.alias("part_no"))
-        .agg(F.array_sort(F.collect_list(F.struct("footer_no", "page_text"))).alias("pages"))
-        .select(
-            "path",
-            "part_no",
-            F.array_join(F.transform("pages", lambda p: p["page_text"]), "").alias("content"),
-            F.size("pages").alias("n_pages"),
-        )
+        _numbered(pages, pages_per_part)
+        .groupBy("path", F.col("span").alias("part_no"))
+        .agg(F.array_sort(F.collect_list(page)).alias("pages"))
+        .select("path", "part_no", F.array_join(footed, "").alias("content"), F.size("pages").alias("n_pages"))
     )
 
 

@@ -188,10 +188,13 @@ def clean_image(
 ) -> DataFrame:
     """The inked part of each image on white, cut out and halved. An image without ink has no rows."""
     known = px.where(F.col("image_id").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    masked = clean_mask(known, t, noise, grow, shrink).withColumn(
-        "v", F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE))
+    masked = clean_mask(known, t, noise, grow, shrink)
+    cleaned = masked.select(
+        "image_id", "y", "x", F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE)).alias("v")
     )
-    return half_size(crop(masked.select("image_id", "y", "x", "v"), bounding_box(masked, "m")))
+    # The box needs only the mask. It asks for v as well, so that both uses of the mask read the same shuffle.
+    box = bounding_box(masked.where(F.col("v").isNotNull()), "m")
+    return half_size(crop(cleaned, box))
 
 
 def sparse_images(px: DataFrame) -> DataFrame:

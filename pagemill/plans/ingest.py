@@ -15,7 +15,7 @@ from pagemill.operators.classify import attach_classification, classify_rules
 from pagemill.operators.extract import document_page_counts, extract_pages
 from pagemill.operators.filters import drop_blank, filter_extension
 from pagemill.operators.pages import assemble_document, assemble_paged, plan_page_batches
-from pagemill.operators.records import index_record
+from pagemill.operators.records import index_record, preview
 from pagemill.sinks.archive import archive
 from pagemill.sinks.index import upsert_index
 from pagemill.sinks.removal import remove_sources
@@ -23,7 +23,7 @@ from pagemill.sinks.texts import write_text_files, write_texts
 from pagemill.sources.documents import scan_documents
 from pagemill.sources.index import read_index
 
-# (path, content) to (path, classification)
+# (path, content, n_pages) to the same with a classification, or to (path, classification)
 Classifier = Callable[[DataFrame], DataFrame]
 
 
@@ -39,8 +39,7 @@ def index_texts(
     Pages, footers, the assembled text and its category are all made inside the row of the document.
     """
     assembled = assemble_paged(filter_extension(docs, ext), pages)
-    flat = assembled.withColumn("line", T.flatten("content"))
-    classified = classify_rules(flat, rules, col="line").drop("line")
+    classified = classify_rules(assembled, rules, col=T.flatten("content"))
     return index_record(drop_blank(classified, "classification"), run_ts)
 
 
@@ -65,15 +64,25 @@ def ingest_pages(
     """Page table to texts, index and archive. Returns the texts as stored and the archive's folder.
 
     Pages and texts are stored before they are used twice, so extraction and classification run once, and a lost
-    executor costs a read and not another recognition. With ``text_dir`` each text is also written to a file.
+    executor costs a read and not another recognition. A classifier that adds its column to the documents needs no
+    join. One that answers by path is joined to the previews for the index and to the texts for the archive. With
+    ``text_dir`` each text is also written to a file.
     """
-    documents = write_texts(assemble_document(pages), f"{out}/texts", run_id)
+    assembled = assemble_document(pages)
+    answers = classifier(assembled)
+    if "content" in answers.columns:
+        documents = write_texts(answers, f"{out}/texts", run_id)
+        indexed = archived = drop_blank(documents, "classification")
+    else:
+        documents = write_texts(assembled, f"{out}/texts", run_id)
+        categories = write_texts(classifier(documents), f"{out}/categories", run_id)
+        known = drop_blank(categories, "classification")
+        indexed = attach_classification(preview(documents), known)
+        archived = attach_classification(documents, known)
     if text_dir is not None:
         write_text_files(documents, text_dir, f"{out}/text_files/run={run_id}", root)
-    categories = write_texts(classifier(documents.select("path", "content")), f"{out}/categories", run_id)
-    full = drop_blank(attach_classification(documents, categories), "classification")
-    upsert_index(index_record(full, run_ts), f"{out}/index", run_id)
-    return documents, archive(full, f"{out}/archive", run_id)
+    upsert_index(index_record(indexed, run_ts), f"{out}/index", run_id)
+    return documents, archive(archived, f"{out}/archive", run_id)
 
 
 def indexed_by(spark: SparkSession, out: str, run_id: str) -> DataFrame:
@@ -105,7 +114,7 @@ def ingest(
     if _is_table(spark, f"{doomed}/run={run_id}"):
         raise ValueError(f"run {run_id} has already begun to delete its sources; take a new run_id")
     files = scan_documents(spark, root, extension=SOURCE_EXTENSION).select("path")
-    counts = document_page_counts(files, engine)
+    counts = document_page_counts(files, engine, num_partitions)
     batches = plan_page_batches(counts.select("path", "n_pages"), max_pages)
     read = extract_pages(batches, engine, lang, num_partitions)
     pages = write_texts(read, f"{out}/pages", run_id)

@@ -1,4 +1,4 @@
-from pagemill.sources.documents import decode_documents, scan_documents, scan_document_stream, union_sources
+from pagemill.sources.documents import decode_documents, scan_documents, scan_document_stream, spread, union_sources
 from pagemill.sources.index import latest_records, read_index
 
 __all__ = [
@@ -7,5 +7,6 @@ __all__ = [
     "read_index",
     "scan_document_stream",
     "scan_documents",
+    "spread",
     "union_sources",
 ]

@@ -55,6 +55,16 @@ def scan_document_stream(
     )
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Deals rows out again when they come in fewer pieces than wanted (one per core by default).
+
+    A table in many pieces, as any large one is, is returned as it is: only the number of pieces is looked at, and no
+    job is run for it.
+    """
+    wanted = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def decode_documents(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """``(path, text)`` of files that already hold text."""
     return files.select("path", F.decode("content", encoding).alias("text"))

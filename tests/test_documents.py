@@ -46,10 +46,21 @@ def form_feed_engine():
                     raise RuntimeError("cannot render")
                 yield page
 
-        def recognize(self, image, lang):
+        def recognize(self, image, lang, rect):
             if image == "unreadable":
                 raise RuntimeError("cannot read")
-            return f"{lang}:{image}"
+            return f"{lang}:{image}" if rect is None else f"{lang}:{image[rect[0] : rect[0] + rect[2]]}"
+
+        def words(self, image, lang, rect, level):
+            for i, word in enumerate(image.split()):
+                if word == "unreadable":
+                    raise RuntimeError("cannot read")
+                yield word, 50.0 + i, 10 * i, 0, len(word), 1
+
+        def regions(self, image, level):
+            if image == "unreadable":
+                raise RuntimeError("cannot read")
+            return [(0, 0, len(image), 1)]
 
     return Engine
 
@@ -151,6 +162,41 @@ def test_failures_stay_where_they_happen(spark, folder):
     assert [(r.page_no, r.footer_no) for r in footed] == [(1, 1), (2, 2), (5, 3)]
 
 
+def one_range(spark, text, first=1, last=1):
+    rows = [("p", bytearray(text.encode()), first, last)]
+    return spark.createDataFrame(rows, "path string, content binary, first_page int, last_page int")
+
+
+def test_part_of_an_image(spark):
+    ranges = one_range(spark, "abcdef\fghijkl", 1, 2)
+    rect = [F.lit(v).alias(n) for n, v in (("rx", 1), ("ry", 0), ("rw", 3), ("rh", 1))]
+    pages = pm.extract_pages(ranges.select("*", *rect), form_feed_engine()).orderBy("page_no").collect()
+    assert [r.page_text for r in pages] == ["spa:bcd", "spa:hij"]
+
+
+def test_engine_words_stop_at_an_error(spark):
+    words = pm.recognize_words(one_range(spark, "one two unreadable three\ffour", 1, 2), form_feed_engine())
+    got = [(r.page_no, r.word_no, r.text, r.confidence, tuple(r.box)) for r in words.collect()]
+    assert got == [
+        (1, 0, "one", 50.0, (0, 0, 3, 1)),
+        (1, 1, "two", 51.0, (10, 0, 3, 1)),
+        (2, 0, "four", 50.0, (0, 0, 4, 1)),
+    ]
+
+
+def test_engine_regions_raise(spark):
+    regions = pm.segment_regions(one_range(spark, "one"), form_feed_engine())
+    assert [(r.page_no, r.region_no, tuple(r.box)) for r in regions.collect()] == [(1, 0, (0, 0, 3, 1))]
+    for text in ("unreadable", "unrenderable"):
+        with pytest.raises(Exception, match="cannot"):
+            pm.segment_regions(one_range(spark, text), form_feed_engine()).collect()
+
+
+def test_engine_that_gives_too_few_images(spark):
+    pages = pm.extract_pages(one_range(spark, "a\fb", 1, 3), form_feed_engine()).orderBy("page_no").collect()
+    assert [(r.page_text, r.ok) for r in pages] == [("spa:a", True), ("spa:b", True), (None, False)]
+
+
 @pytest.mark.parametrize("n, sizes", [(1, [1]), (4, [4]), (5, [5]), (6, [5, 1]), (10, [5, 5]), (11, [5, 5, 1])])
 def test_batches_cover_all_pages(spark, n, sizes):
     df = spark.createDataFrame([("p", n)], "path string, n_pages int")
