@@ -8,6 +8,8 @@ share of the data. Kernels are anchored at ``k // 2`` and clipped at the border.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -24,21 +26,17 @@ def to_gray(px: DataFrame) -> DataFrame:
 
 def binarize_inv(px: DataFrame, t: int = THRESHOLD) -> DataFrame:
     """Ink (at most ``t``) becomes 255, paper 0."""
-    return px.withColumn("v", _ink("v", t))
-
-
-def _ink(col: str, t: int) -> Column:
-    return F.when(F.col(col) > t, F.lit(0)).otherwise(F.lit(WHITE))
+    return px.withColumn("v", F.when(F.col("v") > t, F.lit(0)).otherwise(F.lit(WHITE)))
 
 
 def _line(along: str) -> WindowSpec:
     return Window.partitionBy("image_id", _ACROSS[along]).orderBy(along)
 
 
-def _box(px: DataFrame, k: int, pick, out: str = "v") -> DataFrame:
+def _box(px: DataFrame, k: int, pick: Callable[[str], Column]) -> DataFrame:
     low, high = -(k // 2), k - 1 - k // 2
     for along in ("x", "y"):
-        px = px.withColumn(out, pick(out).over(_line(along).rangeBetween(low, high)))
+        px = px.withColumn("v", pick("v").over(_line(along).rangeBetween(low, high)))
     return px
 
 
@@ -52,29 +50,33 @@ def dilate(px: DataFrame, k: int = GROW_KERNEL) -> DataFrame:
     return _box(px, k, F.max)
 
 
-def _spread(px: DataFrame, col: str, value: int, k: int, along: str) -> DataFrame:
-    """One pass over a mask of 0 and 255: pixels with ``value`` spread over the kernel, whatever its size.
+def _reached(source: Column, k: int, along: str) -> Column:
+    """Whether the kernel's line through a pixel holds a pixel for which ``source`` is true, for any ``k`` at one cost.
 
-    The last such pixel up to the far end of the kernel is a running maximum, so a pixel costs the same for a kernel of
-    100 as for one of 3. Spreading 0 is an erosion and spreading 255 a dilation.
+    The last such pixel up to the far end of the kernel is a running maximum, so a kernel of 100 takes no longer than
+    one of 3.
     """
     low, high = -(k // 2), k - 1 - k // 2
     here = F.col(along)
-    last = F.max(F.when(F.col(col) == value, here)).over(
-        _line(along).rangeBetween(Window.unboundedPreceding, high)
-    )
-    hit = last >= here + low
-    return px.withColumn(col, F.when(hit, F.lit(value)).otherwise(F.lit(WHITE - value)))
+    last = F.max(F.when(source, here)).over(_line(along).rangeBetween(Window.unboundedPreceding, high))
+    return F.coalesce(last >= here + low, F.lit(False))
 
 
-def erode_mask(px: DataFrame, k: int = NOISE_KERNEL, col: str = "v") -> DataFrame:
-    """:func:`erode` for masks, at a cost that does not depend on ``k``."""
-    return _spread(_spread(px, col, 0, k, "x"), col, 0, k, "y")
+def _spread(px: DataFrame, value: int, k: int) -> DataFrame:
+    for along in ("x", "y"):
+        hit = _reached(F.col("v") == value, k, along)
+        px = px.withColumn("v", F.when(hit, F.lit(value)).otherwise(F.lit(WHITE - value)))
+    return px
+
 
+def erode_mask(px: DataFrame, k: int = NOISE_KERNEL) -> DataFrame:
+    """:func:`erode` for masks of 0 and 255, at a cost that does not depend on ``k``."""
+    return _spread(px, 0, k)
 
-def dilate_mask(px: DataFrame, k: int = GROW_KERNEL, col: str = "v") -> DataFrame:
-    """:func:`dilate` for masks, at a cost that does not depend on ``k``."""
-    return _spread(_spread(px, col, WHITE, k, "x"), col, WHITE, k, "y")
+
+def dilate_mask(px: DataFrame, k: int = GROW_KERNEL) -> DataFrame:
+    """:func:`dilate` for masks of 0 and 255, at a cost that does not depend on ``k``."""
+    return _spread(px, WHITE, k)
 
 
 def nonzero(px: DataFrame) -> DataFrame:
@@ -158,6 +160,38 @@ def half_size(px: DataFrame) -> DataFrame:
     return summed.where(area > 0).select("image_id", "y", "x", value.cast("int").alias("v"))
 
 
+# Pixel and mask in one number: the pixel, plus this where the mask is set.
+_SET = 256
+
+
+def _packed_mask(px: DataFrame, t: int, noise: int, grow: int, shrink: int) -> DataFrame:
+    """``(image_id, y, x, p)``: binarize, erode, dilate, erode.
+
+    The row and column passes of one step may change places, so they are ordered to let neighbours share a
+    partitioning: four shuffles for three steps. Pixel and mask travel as one column, so applying the mask needs no
+    join, and whoever uses the result, for whatever part of it, reads the same shuffle.
+    """
+    pixel = F.col("p") % _SET
+
+    def erosion(df: DataFrame, k: int, along: str) -> DataFrame:
+        hit = _reached(F.col("p") < _SET, k, along)
+        return df.withColumn("p", pixel + F.when(hit, F.lit(0)).otherwise(F.lit(_SET)))
+
+    def dilation(df: DataFrame, k: int, along: str) -> DataFrame:
+        hit = _reached(F.col("p") >= _SET, k, along)
+        return df.withColumn("p", pixel + F.when(hit, F.lit(_SET)).otherwise(F.lit(0)))
+
+    known = px.where(F.col("image_id").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
+    ink = F.when(F.col("v") > t, F.lit(0)).otherwise(F.lit(_SET))
+    packed = known.select("image_id", "y", "x", (F.col("v") + ink).alias("p"))
+    packed = erosion(packed, noise, "x")
+    packed = erosion(packed, noise, "y")
+    packed = dilation(packed, grow, "y")
+    packed = dilation(packed, grow, "x")
+    packed = erosion(packed, shrink, "x")
+    return erosion(packed, shrink, "y")
+
+
 def clean_mask(
     px: DataFrame,
     t: int = THRESHOLD,
@@ -165,18 +199,11 @@ def clean_mask(
     grow: int = GROW_KERNEL,
     shrink: int = SHRINK_KERNEL,
 ) -> DataFrame:
-    """Adds ``m``, the mask of the inked areas: binarize, erode, dilate, erode.
-
-    The row and column passes of one step may change places, so they are ordered to let neighbours share a
-    partitioning: four shuffles for three steps. The pixel travels with its mask, so applying it needs no join.
-    """
-    masked = px.withColumn("m", _ink("v", t))
-    masked = _spread(masked, "m", 0, noise, "x")
-    masked = _spread(masked, "m", 0, noise, "y")
-    masked = _spread(masked, "m", WHITE, grow, "y")
-    masked = _spread(masked, "m", WHITE, grow, "x")
-    masked = _spread(masked, "m", 0, shrink, "x")
-    return _spread(masked, "m", 0, shrink, "y")
+    """``(image_id, y, x, v, m)``: the pixels with ``m``, the mask of the inked areas."""
+    mask = F.when(F.col("p") >= _SET, F.lit(WHITE)).otherwise(F.lit(0))
+    return _packed_mask(px, t, noise, grow, shrink).select(
+        "image_id", "y", "x", (F.col("p") % _SET).alias("v"), mask.alias("m")
+    )
 
 
 def clean_image(
@@ -187,14 +214,9 @@ def clean_image(
     shrink: int = SHRINK_KERNEL,
 ) -> DataFrame:
     """The inked part of each image on white, cut out and halved. An image without ink has no rows."""
-    known = px.where(F.col("image_id").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    masked = clean_mask(known, t, noise, grow, shrink)
-    cleaned = masked.select(
-        "image_id", "y", "x", F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE)).alias("v")
-    )
-    # The box needs only the mask. It asks for v as well, so that both uses of the mask read the same shuffle.
-    box = bounding_box(masked.where(F.col("v").isNotNull()), "m")
-    return half_size(crop(cleaned, box))
+    masked = clean_mask(px, t, noise, grow, shrink)
+    kept = F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE))
+    return half_size(crop(masked.select("image_id", "y", "x", kept.alias("v")), bounding_box(masked, "m")))
 
 
 def sparse_images(px: DataFrame) -> DataFrame:
