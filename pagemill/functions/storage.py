@@ -25,6 +25,7 @@ def resolver() -> Callable[[str], tuple[Any, str]]:
         if scheme == "file":
             return fs.LocalFileSystem(), "/" + rest.lstrip("/")
         authority, _, inner = rest.removeprefix("//").partition("/")
+        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
         at = f"{scheme}://{authority}/"
         if at not in systems:
             systems[at] = fs.FileSystem.from_uri(at)

@@ -19,8 +19,11 @@ from pagemill.sources.documents import scan_document_stream
 Extractor = Callable[[DataFrame], DataFrame]
 
 
+_PREFIX = "batch"
+
+
 def _run_id(batch: int) -> str:
-    return f"batch{batch:012d}"
+    return f"{_PREFIX}{batch:012d}"
 
 
 def ingest_stream(
@@ -72,5 +75,6 @@ def remove_ingested(spark: SparkSession, out: str, query: StreamingQuery) -> Dat
         raise ValueError("the stream is still running")
     if query.exception() is not None:
         raise ValueError("the last micro-batch failed; its sources are still needed")
-    last = spark.read.parquet(f"{out}/texts").agg(F.max("run")).first()[0]
+    runs = spark.read.parquet(f"{out}/texts").select(F.col("run").cast("string").alias("run"))
+    last = runs.where(F.startswith("run", F.lit(_PREFIX))).agg(F.max("run")).first()[0]
     return None if last is None else _remove_batch(spark, out, last)

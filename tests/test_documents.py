@@ -550,3 +550,68 @@ def test_stream_handles_each_file_once(spark, folder):
     assert {k: v for k, v in second.items() if k != "c.pdf"} == first
     assert second["c.pdf"][0] == "fruit"
     assert os.listdir(f"{folder}/in") == ["x.pdf"]
+
+
+def test_empty_folder(spark, folder):
+    os.makedirs(f"{folder}/in")
+    put(folder, {"in/readme.txt": "not a document"})
+    result = pm.ingest(
+        spark, f"{folder}/in", f"{folder}/out", "r", RUN, form_feed_engine(), rules, remove=True
+    )
+    assert result.pages.count() == result.index.count() == result.removed.count() == 0
+    assert os.listdir(f"{folder}/in") == ["readme.txt"]
+
+
+def test_stream_survives_a_failed_batch(spark, folder):
+    put(f"{folder}/in", {f"{i}.pdf": "an apple" for i in range(4)})
+
+    def run(classifier):
+        query = pm.ingest_stream(
+            spark,
+            f"{folder}/in",
+            f"{folder}/out",
+            f"{folder}/checkpoint",
+            lambda batch: RUN,
+            lambda files: pm.extract_text_pages(pm.decode_documents(files)),
+            classifier,
+            max_files=2,
+            remove=True,
+        )
+        try:
+            query.awaitTermination()
+        except Exception:
+            assert query.exception() is not None
+            with pytest.raises(ValueError):
+                pm.remove_ingested(spark, f"{folder}/out", query)
+            return
+        pm.remove_ingested(spark, f"{folder}/out", query)
+
+    calls = []
+
+    def fails_in_second_batch(documents):
+        calls.append(1)
+        if len(calls) > 2:
+            raise RuntimeError("no classifier")
+        return rules(documents)
+
+    run(fails_in_second_batch)
+    # The first batch is through and its sources went when the second began; those of the second are still there.
+    assert len(os.listdir(f"{folder}/in")) == 2
+    run(rules)
+    assert os.listdir(f"{folder}/in") == []
+    assert pm.read_index(spark, f"{folder}/out/index").count() == 4
+    assert spark.read.parquet(f"{folder}/out/texts").count() == 4
+
+
+def test_storage_places():
+    from pagemill.functions.storage import resolver
+
+    resolve = resolver()
+    assert resolve("file:/a/b c.pdf")[1] == resolve("file:///a/b c.pdf")[1] == resolve("/a/b c.pdf")[1] == "/a/b c.pdf"
+
+
+def test_spread_leaves_tables_in_many_pieces_alone(spark):
+    many = spark.range(0, 100, 1, 20)
+    assert pm.spread(many, 10) is many
+    few = pm.spread(spark.range(0, 100, 1, 2), 10)
+    assert few.rdd.getNumPartitions() == 10 and few.count() == 100
