@@ -105,6 +105,10 @@ def extract_lines(spark, sf):
     return fx.flat_boxes(pm.extract_words(fx.pages(spark, sf), "line"))
 
 
+def extract_blocks(spark, sf):
+    return fx.flat_boxes(pm.extract_words(fx.pages(spark, sf), "block"))
+
+
 def extract_symbols(spark, sf):
     """Characters with ink, counted per page and place."""
     symbols = fx.flat_boxes(pm.extract_words(fx.pages(spark, sf), "symbol"))
@@ -239,6 +243,7 @@ QUERIES = {
     "sort_pages": sort_pages,
     "extract_words": extract_words,
     "extract_lines": extract_lines,
+    "extract_blocks": extract_blocks,
     "extract_symbols": extract_symbols,
     "extract_regions_word": _regions("word"),
     "extract_regions_line": _regions("line"),
@@ -275,6 +280,16 @@ _BOX = (
     "min(x)::INTEGER AS x, min(y)::INTEGER AS y, (max(x + w) - min(x))::INTEGER AS w,"
     " (max(y + h) - min(y))::INTEGER AS h"
 )
+BLOCKS = (
+    fx.WORDS
+    + """,
+inked AS (SELECT DISTINCT path, page_no, line_no FROM words_in),
+starts AS (
+  SELECT *, CASE WHEN lag(line_no) OVER p = line_no - 1 THEN 0 ELSE 1 END AS fresh
+  FROM inked WINDOW p AS (PARTITION BY path, page_no ORDER BY line_no)),
+blocks AS (
+  SELECT *, (sum(fresh) OVER (PARTITION BY path, page_no ORDER BY line_no) - 1)::INTEGER AS region_no FROM starts)"""
+)
 _FIELDS = "len(string_split(replace(text, chr(10), ''), ','))"
 
 ORACLE = {
@@ -326,14 +341,19 @@ SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY li
        AS region_no, x, y, w, h FROM words_in""",
     "extract_regions_line": f"""WITH {fx.WORDS}
 SELECT path, page_no, line_no AS region_no, {_BOX} FROM words_in GROUP BY path, page_no, line_no""",
-    "extract_regions_block": f"""WITH {fx.WORDS},
-inked AS (SELECT DISTINCT path, page_no, line_no FROM words_in),
-starts AS (
-  SELECT *, CASE WHEN lag(line_no) OVER p = line_no - 1 THEN 0 ELSE 1 END AS fresh
-  FROM inked WINDOW p AS (PARTITION BY path, page_no ORDER BY line_no)),
-blocks AS (SELECT *, (sum(fresh) OVER (PARTITION BY path, page_no ORDER BY line_no) - 1)::INTEGER AS region_no FROM starts)
+    "extract_regions_block": f"""WITH {BLOCKS}
 SELECT path, page_no, region_no, {_BOX}
 FROM words_in JOIN blocks USING (path, page_no, line_no) GROUP BY path, page_no, region_no""",
+    "extract_blocks": f"""WITH {BLOCKS},
+texts AS (
+  SELECT path, page_no, region_no, min(line_no) AS line_no,
+         string_agg(trim(line, ' ' || chr(9)), chr(10) ORDER BY line_no) AS text
+  FROM page_lines JOIN blocks USING (path, page_no, line_no) GROUP BY path, page_no, region_no),
+hulls AS (
+  SELECT path, page_no, region_no, {_BOX}
+  FROM words_in JOIN blocks USING (path, page_no, line_no) GROUP BY path, page_no, region_no)
+SELECT path, page_no, line_no, region_no AS word_no, text, 100.0::FLOAT AS confidence, x, y, w, h
+FROM texts JOIN hulls USING (path, page_no, region_no)""",
     "extract_regions_page": f"""WITH {fx.WORDS}
 SELECT path, page_no, 0 AS region_no, {_BOX} FROM words_in GROUP BY path, page_no""",
     "words_in_rect": f"""WITH {fx.WORDS}, {fx.RECTS}

@@ -36,12 +36,16 @@ def classify_rules(
 
 
 def classify_udf(df: DataFrame, fn: Callable[[pd.Series], pd.Series], col: str = "content") -> DataFrame:
-    """Adds ``classification`` from a function of a pandas series of texts."""
+    """Adds ``classification`` from a function of a pandas series of texts.
+
+    The function is declared nondeterministic, so a filter on its result does not make Spark call it a second time.
+    """
 
     def categories(texts: pd.Series) -> pd.Series:
         return fn(texts)
 
-    return df.withColumn("classification", F.pandas_udf(categories, "string")(F.col(col)))
+    classify = F.pandas_udf(categories, "string").asNondeterministic()
+    return df.withColumn("classification", classify(F.col(col)))
 
 
 def _one_line(col: str) -> Column:

@@ -124,3 +124,10 @@ def test_bound_values_are_computed_once(spark):
     doubled = T.bind(F.split("text", " "), lambda words: F.concat(words, words))
     plan = plan_of(df.select(doubled.alias("w")))
     assert plan.count("split(") == 1
+
+
+def test_pandas_classifier_runs_once(stored):
+    docs = stored("docs").withColumnRenamed("text", "content")
+    classified = pm.classify_udf(docs, lambda texts: texts.str.slice(0, 1))
+    plan = plan_of(pm.drop_blank(classified, "classification"))
+    assert plan.count("ArrowEvalPython") == 1
