@@ -50,7 +50,7 @@ def classify_udf(df: DataFrame, fn: Callable[[pd.Series], pd.Series], col: str =
 
 def _one_line(col: str) -> Column:
     """The text on one line and in one tab-separated field."""
-    return F.translate(T.flatten(col), "\t\r\f", "   ")
+    return F.regexp_replace(T.flatten(col), r"[\t\r\f]", " ")
 
 
 # What would break a path out of its field, and how it is written instead.
