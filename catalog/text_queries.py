@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import pagemill as pm
 from catalog import fixtures as fx
-from pagemill.functions import text as T
 
 FOOTED = fx.FOOTER_SQL.format(n="row_number() OVER (PARTITION BY path ORDER BY page_no)")
 FOOTED_PAGES = (

@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 
 from pagemill.functions.fixed import LANGUAGE
 from pagemill.functions.storage import resolver
+from pagemill.sources.documents import deal_out
 
 PAGE_SCHEMA = "path string, page_no int, page_text string, ok boolean, error string"
 _WORD_SCHEMA = (
@@ -74,7 +75,7 @@ def document_page_counts(
 ) -> DataFrame:
     """``(path, n_pages, ok, error)``. A file that cannot be loaded has 0 pages and its error; it stops nothing.
 
-    ``num_partitions`` deals out the rows first, which is cheap as long as they carry paths and no bytes.
+    Rows that carry paths and no bytes are dealt out first; see :func:`extract_pages`.
     """
     open_document, batched = _opener(), _batched()
 
@@ -97,10 +98,10 @@ def document_page_counts(
             getattr(reader, "close", lambda: None)()
 
     columns = [c for c in ("path", "content") if c in df.columns]
-    dealt = df.select(*columns)
-    if num_partitions is not None:
-        dealt = dealt.repartition(num_partitions)
-    return dealt.mapInArrow(count, _COUNT_SCHEMA)
+    rows = df.select(*columns)
+    if "content" not in columns:
+        rows = deal_out(rows, num_partitions, "path")
+    return rows.mapInArrow(count, _COUNT_SCHEMA)
 
 
 def _map_images(
@@ -151,10 +152,10 @@ def _map_images(
             getattr(reader, "close", lambda: None)()
 
     known = ("path", "content", "first_page", "last_page", *_RECT)
-    dealt = batches.select(*[c for c in known if c in batches.columns])
-    if num_partitions is not None:
-        dealt = dealt.repartition(num_partitions, "path", "first_page")
-    return dealt.mapInArrow(extract, schema)
+    ranges = batches.select(*[c for c in known if c in batches.columns])
+    if "content" not in ranges.columns:
+        ranges = deal_out(ranges, num_partitions, "path", "first_page")
+    return ranges.mapInArrow(extract, schema)
 
 
 def _raiser() -> Callable[..., Any]:
@@ -172,9 +173,12 @@ def extract_pages(
 ) -> DataFrame:
     """``(path, first_page, last_page[, content][, rx, ry, rw, rh])`` to ``(path, page_no, page_text, ok, error)``.
 
-    Without a ``content`` column each batch opens its file by path. Then only page ranges are shuffled, one large
-    document is worked on by many tasks, and its bytes never travel. An error while a page is recognised gives ``''``
-    for that page; an error while a batch is rendered gives NULL for the pages of that batch that are missing.
+    Without a ``content`` column each batch opens its file by path. Then page ranges are dealt out to
+    ``num_partitions`` tasks (by default four per core and at least ``spark.sql.shuffle.partitions``), one large document
+    is worked on by many of them, and its bytes never travel. Rows with bytes stay where they are.
+
+    An error while a page is recognised gives ``''`` for that page. An error while a batch is rendered gives NULL for
+    the pages of that batch that are missing.
     """
 
     def recognized(reader, path, page_no, image, rect):

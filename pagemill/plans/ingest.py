@@ -92,7 +92,7 @@ def indexed_by(spark: SparkSession, out: str, run_id: str) -> DataFrame:
 
 def ingest(
     spark: SparkSession,
-    root: str,
+    root: str | list[str],
     out: str,
     run_id: str,
     run_ts: datetime,
@@ -113,12 +113,14 @@ def ingest(
     doomed = f"{out}/to_remove"
     if _is_table(spark, f"{doomed}/run={run_id}"):
         raise ValueError(f"run {run_id} has already begun to delete its sources; take a new run_id")
-    files = scan_documents(spark, root, extension=SOURCE_EXTENSION).select("path")
+    # Folders may overlap; a file that is listed twice is still one document.
+    files = scan_documents(spark, root, extension=SOURCE_EXTENSION).select("path").distinct()
     counts = document_page_counts(files, engine, num_partitions)
     batches = plan_page_batches(counts.select("path", "n_pages"), max_pages)
     read = extract_pages(batches, engine, lang, num_partitions)
     pages = write_texts(read, f"{out}/pages", run_id)
-    documents, archived = ingest_pages(pages, out, run_id, run_ts, classifier, text_dir, root)
+    base = root if isinstance(root, str) else "/"
+    documents, archived = ingest_pages(pages, out, run_id, run_ts, classifier, text_dir, base)
     mine = indexed_by(spark, out, run_id)
     removed = remove_sources(documents, mine)
     if remove:

@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.storage import resolver
 from pagemill.operators.filters import indexed_only
+from pagemill.sources.documents import deal_out
 
 _REPORT = "path string, deleted boolean, error string"
 
 
 def remove_sources(
-    sources: DataFrame, index: DataFrame, report_dir: str | None = None, dry_run: bool = True
+    sources: DataFrame,
+    index: DataFrame,
+    report_dir: str | None = None,
+    dry_run: bool = True,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Deletes the sources that have an index record; returns ``(path, deleted, error)``.
 
@@ -49,5 +54,5 @@ def remove_sources(
                     errors.append(f"{type(e).__name__}: {e}")
             yield frame[["path"]].assign(deleted=[e is None for e in errors], error=errors)
 
-    paths.mapInPandas(remove, _REPORT).write.mode("overwrite").parquet(report_dir)
+    deal_out(paths, num_partitions, "path").mapInPandas(remove, _REPORT).write.mode("overwrite").parquet(report_dir)
     return sources.sparkSession.read.schema(_REPORT).parquet(report_dir)

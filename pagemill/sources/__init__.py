@@ -1,7 +1,15 @@
-from pagemill.sources.documents import decode_documents, scan_documents, scan_document_stream, spread, union_sources
+from pagemill.sources.documents import (
+    deal_out,
+    decode_documents,
+    scan_document_stream,
+    scan_documents,
+    spread,
+    union_sources,
+)
 from pagemill.sources.index import latest_records, read_index
 
 __all__ = [
+    "deal_out",
     "decode_documents",
     "latest_records",
     "read_index",

@@ -65,6 +65,19 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 
 
+def deal_out(df: DataFrame, num_partitions: int | None, *keys: str) -> DataFrame:
+    """Deals out small rows that stand for much work, such as paths of files to open.
+
+    The number of tasks is fixed (by default four per core and at least ``spark.sql.shuffle.partitions``): going by the
+    size of the rows, Spark would put them all in one task.
+    """
+    if num_partitions is None:
+        spark = df.sparkSession
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(num_partitions, *keys)
+
+
 def decode_documents(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """``(path, text)`` of files that already hold text."""
     return files.select("path", F.decode("content", encoding).alias("text"))

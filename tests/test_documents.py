@@ -554,6 +554,24 @@ def test_stream_handles_each_file_once(spark, folder):
     assert os.listdir(f"{folder}/in") == ["x.pdf"]
 
 
+def test_overlapping_folders_hold_each_document_once(spark, folder):
+    put(folder, {"in/sub/a.pdf": "an apple\fmore"})
+    roots = [f"{folder}/in", f"{folder}/in/sub"]
+    result = pm.ingest(spark, roots, f"{folder}/out", "r", RUN, form_feed_engine(), rules)
+    assert [(r.page_no, r.page_text) for r in result.pages.orderBy("page_no").collect()] == [
+        (1, "spa:an apple"),
+        (2, "spa:more"),
+    ]
+    assert result.documents.count() == result.index.count() == 1
+
+
+def test_ranges_of_one_document_go_to_many_tasks(spark):
+    ranges = pm.plan_page_batches(spark.createDataFrame([("p", 500)], "path string, n_pages int"), 5)
+    pages = pm.extract_pages(ranges, form_feed_engine())
+    tasks = pages.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 8
+
+
 def test_empty_folder(spark, folder):
     os.makedirs(f"{folder}/in")
     put(folder, {"in/readme.txt": "not a document"})
