@@ -104,8 +104,8 @@ def bounding_box(mask: DataFrame, col: str = "v") -> DataFrame:
     )
 
 
-def crop(px: DataFrame, box: DataFrame) -> DataFrame:
-    """Pixels inside the image's box, counted from its corner.
+def _cut(px: DataFrame, box: DataFrame) -> DataFrame:
+    """``(image_id, y, x, v, w, h)``: pixels inside the box and the size of the box.
 
     The box is listed once per column, so the join is on ``(image_id, x)``: a large image is spread over its columns,
     and pixels that a column pass has just partitioned stay where they are.
@@ -114,6 +114,7 @@ def crop(px: DataFrame, box: DataFrame) -> DataFrame:
         "image_id",
         "bx",
         "by",
+        "bw",
         "bh",
         F.explode(F.sequence(F.col("bx"), F.col("bx") + F.col("bw") - 1)).alias("x"),
     )
@@ -125,39 +126,50 @@ def crop(px: DataFrame, box: DataFrame) -> DataFrame:
             (F.col("y") - F.col("by")).alias("y"),
             (F.col("x") - F.col("bx")).alias("x"),
             "v",
+            F.col("bw").alias("w"),
+            F.col("bh").alias("h"),
         )
     )
 
 
+def crop(px: DataFrame, box: DataFrame) -> DataFrame:
+    """Pixels inside the image's box, counted from its corner."""
+    return _cut(px, box).select("image_id", "y", "x", "v")
+
+
 def _halve(px: DataFrame, along: str, size: str) -> DataFrame:
     """Overlap-weighted sums of ``v`` onto half as many places along one direction, in whole numbers.
 
-    The line's length comes from the line itself, so no image-wide table is joined. A line of one pixel has no half.
+    ``size`` is the length of the line; where it is not known it comes from the line itself, so no image-wide table is
+    joined. A line of one pixel has no half.
     """
-    line = Window.partitionBy("image_id", _ACROSS[along])
-    n, half = F.col(size), F.col("half")
+    if size not in px.columns:
+        line = Window.partitionBy("image_id", _ACROSS[along])
+        px = px.withColumn(size, F.max(along).over(line) + 1)
+    n, half = F.col(size), F.floor(F.col(size) / 2).cast("int")
     near = (F.col(along) * half / n).cast("int")
     far = (((F.col(along) + 1) * half - 1) / n).cast("int")
     overlap = F.least((F.col(along) + 1) * half, (F.col("place") + 1) * n) - F.greatest(
         F.col(along) * half, F.col("place") * n
     )
-    keep = [c for c in px.columns if c not in ("image_id", "x", "y", "v")]
+    sizes = [c for c in ("w", "h") if c in px.columns]
     return (
-        px.withColumn(size, F.max(along).over(line) + 1)
-        .withColumn("half", (n / 2).cast("int"))
-        .where(half > 0)
+        px.where(n > 1)
         .withColumn("place", F.explode(F.sequence(near, far)))
-        .groupBy("image_id", _ACROSS[along], F.col("place").alias(along), size, *keep)
+        .groupBy("image_id", _ACROSS[along], F.col("place").alias(along), *sizes)
         .agg(F.sum(F.col("v") * overlap).alias("v"))
     )
 
 
-def half_size(px: DataFrame) -> DataFrame:
-    """Area average to half the width and height, rounded half up; exact for odd sizes too."""
+def _half_size(px: DataFrame) -> DataFrame:
     summed = _halve(_halve(px, "y", "h"), "x", "w")
-    area = F.col("w").cast("long") * F.col("h")
     value = F.expr("(2 * v + cast(w AS bigint) * h) div (2 * cast(w AS bigint) * h)")
-    return summed.where(area > 0).select("image_id", "y", "x", value.cast("int").alias("v"))
+    return summed.select("image_id", "y", "x", value.cast("int").alias("v"))
+
+
+def half_size(px: DataFrame) -> DataFrame:
+    """Area average to half the width and height, rounded half up; exact for odd sizes too."""
+    return _half_size(px.select("image_id", "y", "x", "v"))
 
 
 # Pixel and mask in one number: the pixel, plus this where the mask is set.
@@ -216,7 +228,7 @@ def clean_image(
     """The inked part of each image on white, cut out and halved. An image without ink has no rows."""
     masked = clean_mask(px, t, noise, grow, shrink)
     kept = F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE))
-    return half_size(crop(masked.select("image_id", "y", "x", kept.alias("v")), bounding_box(masked, "m")))
+    return _half_size(_cut(masked.select("image_id", "y", "x", kept.alias("v")), bounding_box(masked, "m")))
 
 
 def sparse_images(px: DataFrame) -> DataFrame:
