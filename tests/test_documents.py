@@ -266,7 +266,8 @@ def test_blocks_end_at_empty_lines(spark):
         for r in pm.extract_regions(words, "block").orderBy("region_no").collect()
     ]
     assert got == [(0, 0, 0, 2, 2), (1, 0, 4, 4, 1)]
-    texts = [(r.word_no, r.line_no, r.text, tuple(r.box)) for r in pm.extract_words(df, "block").orderBy("word_no").collect()]
+    blocks = pm.extract_words(df, "block").orderBy("word_no").collect()
+    texts = [(r.word_no, r.line_no, r.text, tuple(r.box)) for r in blocks]
     assert texts == [(0, 0, "aa\nb", (0, 0, 2, 2)), (1, 4, "cccc", (0, 4, 4, 1))]
 
 

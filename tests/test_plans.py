@@ -77,7 +77,10 @@ def test_extraction_prunes_and_pushes(stored):
     assert "ReadSchema: struct<path:string>" in plan
     index = pm.latest_records(
         stored("docs").select(
-            F.col("path").alias("filename"), F.lit("c").alias("classification"), F.lit("d").alias("date"), F.lit("").alias("content")
+            F.col("path").alias("filename"),
+            F.lit("c").alias("classification"),
+            F.lit("d").alias("date"),
+            F.lit("").alias("content"),
         )
     ).where(F.col("filename") == "x")
     assert "EqualTo(path,x)" in plan_of(index)
@@ -86,7 +89,8 @@ def test_extraction_prunes_and_pushes(stored):
 def test_joins_leave_the_choice_to_spark(spark, stored):
     docs = stored("docs").withColumnRenamed("text", "content")
     cats = docs.select("path", F.lit("c").alias("classification"))
-    for joined in (pm.attach_classification(docs, cats), pm.indexed_only(docs, cats.withColumnRenamed("path", "filename"))):
+    index = cats.withColumnRenamed("path", "filename")
+    for joined in (pm.attach_classification(docs, cats), pm.indexed_only(docs, index)):
         assert "rightHint" not in joined._jdf.queryExecution().analyzed().toString()
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
