@@ -13,6 +13,7 @@ their own; a ratio without words is 0. Equal rows are judged alike. Added column
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,13 @@ from pagemill.llm.common import stored
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Least value at which a ratio can be rejected, whatever its group looks like.
-FLOORS = {"symbols_per_word": 0.1, "dup_lines_per_word": 0.05, "word_length": 12.0, "repeated_share": 0.1}
+FLOORS = {
+    "symbols_per_word": 0.1,
+    "dup_lines_per_word": 0.1,
+    "word_length": 14.0,
+    "repeated_share": 0.2,
+    "echo_share": 0.2,
+}
 SPREAD = 4.0
 SMALL = 50
 SKETCH_K = 400
@@ -36,8 +43,8 @@ _NO_SYMBOL = bytes(b for b in range(256) if b not in _SYMBOLS)
 _WINDOW = 5
 
 
-def base_counts(text: str) -> tuple[int, int, int, int, int]:
-    """The counts of ``BASE`` for one text."""
+def base_counts(text: str) -> tuple[int, int, int, int, int, int]:
+    """The counts of ``BASE`` for one text, and its words that equal the word before them."""
     data = text.encode()
     words = data.split()
     blanks = len(data.translate(None, _NO_BLANK))
@@ -53,16 +60,19 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
             if window in twice:
                 repeated += k + _WINDOW - max(k, covered)
                 covered = k + _WINDOW
-    return len(words), len(text) - blanks, symbols, len(lines) - len(set(lines)), repeated
+    echoes = sum(map(eq, words, words[1:]))
+    return len(words), len(text) - blanks, symbols, len(lines) - len(set(lines)), repeated, echoes
 
 
 def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the columns ``BASE``, the ratios of ``FLOORS`` and ``base_failed``."""
 
-    @F.pandas_udf(", ".join(f"{c} long" for c in BASE))
+    columns = [*BASE, "_echoes"]
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in columns))
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([base_counts(t) for t in batch], columns=list(BASE), dtype="int64")
+            yield pd.DataFrame([base_counts(t) for t in batch], columns=columns, dtype="int64")
 
     n = F.col("n_words")
 
@@ -77,6 +87,8 @@ def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("dup_lines_per_word", per_word("n_dup_lines"))
         .withColumn("word_length", per_word("word_chars"))
         .withColumn("repeated_share", per_word("n_repeat_words"))
+        .withColumn("echo_share", per_word("_echoes"))
+        .drop("_echoes")
         .withColumn("base_failed", (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n))
     )
 
