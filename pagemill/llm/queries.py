@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, packing, quality, simhash, token_counts
+from pagemill.llm import ann, bpe, packing, pii, quality, sharding, simhash, token_counts, toxicity, url_filter
 from pagemill.llm.common import stored, table
 
 
@@ -14,6 +14,35 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*columns)
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+PII_KEY = "pagemill"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(_documents(spark, sf_dir, "doc_id", "text"), PII_KEY)
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = _documents(spark, sf_dir, "doc_id", "text").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"),
+    )
+    placed = sharding.assign(rows, F.col("size"), "text_hash", "text_crc32")
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -46,11 +75,34 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_sharding": op2_sharding,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op6_url_filter": op6_url_filter,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
+    "op9_ann": op9_ann,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
