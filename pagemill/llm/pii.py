@@ -37,9 +37,9 @@ PATTERNS = {
     "secret": r"(?i:(?<![a-z])(?:token|password|passwd|secret|api[_-]?key|access[_-]?key)[ \t]{0,4}[=:][ \t]{0,4})[\"']?(?=\S{0,4096}?\d)[\p{L}\p{N}_+/.-]{6,4096}+[\"']?",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
-    "card": r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{1,5}\)[ .-]?\d{2,5}(?:[ .-]?\d{2,5})?|\+\d{1,3}(?:[ .-]?(?!\d{1,3}\.\d{1,3}\.\d)\d{2,5}){2,4}|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?![\p{L}\p{N}])",
     "male": rf"(?<!\p{{L}})(?:{_MALE_TITLES})\.? {_NAME}(?: {_NAME})?",
     "female": rf"(?<!\p{{L}})(?:{_FEMALE_TITLES})\.? {_NAME}(?: {_NAME})?",
 }
@@ -186,8 +186,8 @@ def surrogate(canon: Column, kind: Column, key: str, draw: Column) -> Column:
     check = (10 - _luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
     off = F.when(_luhn_sum(canon) % 10 == 0, F.lit(0)).otherwise(1 + _hash_int(seed, F.lit("c"), 9))
     card = F.concat(body, ((check + off) % 10).cast("string"))
-    country = F.greatest(F.lit(0), size - 10)
-    phone = F.concat(F.substring(canon, F.lit(1), country), _translated(F.substring(canon, country + 1, F.lit(10)), seed))
+    country = F.least(F.lit(3), F.greatest(F.lit(0), size - 10))
+    phone = F.concat(F.substring(canon, F.lit(1), country), _translated(F.substring(canon, country + 1, size), seed))
     iban = F.concat(F.substring(canon, 1, 2), _translated(F.substring(canon, F.lit(3), size), seed))
     return (
         F.when(kind == "email", email)

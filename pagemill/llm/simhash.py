@@ -142,6 +142,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFrame
     if distance > 2:
         raise ValueError("hot values are resolved for distances up to 2")
     total = fps.count()
+    if total < 2:
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     sample = np.array([r["fp"] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
     plan = choose_partitions(sample, total, distance)
     entries = None
