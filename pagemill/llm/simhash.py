@@ -3,7 +3,8 @@
 A fingerprint's 64 bits are dealt into partitions, correlated bits together. If thresholds ``t`` of the partitions sum to
 ``distance - partitions + 1``, two fingerprints within ``distance`` bits differ in at most ``t`` bits in some partition (a
 threshold of -1 leaves a partition out). The number of partitions and the thresholds are chosen by dynamic programming
-on candidate counts estimated from a bounded sample of fingerprints; they decide the cost, never the result. Each
+on candidate counts (hot values counted at the cost of their own way, below) estimated from a bounded sample of
+fingerprints; they decide the cost, never the result. Each
 fingerprint is indexed by its bits in a partition and probes all values within the threshold; candidates are verified.
 
 Values shared by more than ``HOT`` entries are not paired. Their fingerprints emit every value within one bit of
@@ -98,19 +99,20 @@ def _mask(bits: list[int]) -> int:
 def choose_partitions(sample: np.ndarray, total: int, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
     """``(bits, threshold)`` of the partitions of least estimated cost. ``sample``: unsigned fingerprints of ``total``."""
     best: tuple[float, list[tuple[list[int], int]]] = (inf, [(list(range(BITS)), distance)])
-    pairs = total * total / 2
-    seen = max(1, len(sample) * (len(sample) - 1) / 2)
+    scale = total / max(1, len(sample))
     for partitions in range(1, MOST_PARTITIONS + 1):
         groups = group_bits(sample, partitions)
         costs = []
         for group in groups:
             masked = sample & np.uint64(_mask(group))
-            apart = np.concatenate([np.bitwise_count(masked[k + 1 :] ^ masked[k]) for k in range(len(masked) - 1)] or [np.zeros(0, np.uint8)])
+            apart = np.array([np.bitwise_count(masked ^ x) for x in masked], np.uint8)
             of_group = {-1: 0.0}
             for t in range(min(distance, len(group)) + 1):
                 probes = sum(comb(len(group), k) for k in range(t + 1))
-                by_chance = probes / 2 ** len(group)
-                of_group[t] = total * (probes + 1) + pairs * max(np.count_nonzero(apart <= t) / seen, by_chance)
+                partners = (np.count_nonzero(apart <= t, axis=1) - 1) * scale  # of each fingerprint of the sample
+                candidates = np.where(partners > HOT, BITS + 1, partners / 2).sum() * scale
+                by_chance = min(HOT, total * probes / 2 ** len(group)) / 2 * total
+                of_group[t] = total * (probes + 1) + max(candidates, by_chance)
             costs.append(of_group)
         target = distance - partitions + 1
         states: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
@@ -152,7 +154,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFrame
         part = fps.select("fp", F.lit(k).alias("k"), F.posexplode(_within(value, bits, t)).alias("probe", "value"))
         entries = part if entries is None else entries.unionByName(part)
     entries = stored(entries, "simhash-entries")
-    sizes = stored(entries.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-buckets")
+    of_value = entries.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"), F.min("probe").alias("first"))
+    sizes = stored(of_value.where("n > 1 and first = 0").drop("first"), "simhash-buckets")
     shared = stored(entries.join(sizes, ["k", "value"]), "simhash-shared")
     small = shared.where(F.col("n") <= hot)
     a, b = small.alias("a"), small.where("probe = 0").alias("b")
