@@ -1,0 +1,168 @@
+"""SimHash components and quality rules against brute force."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import OTHER, PROSE, no_documents, odd_documents, with_clash, write_tables
+
+from pagemill.llm import quality, queries, simhash
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_fingerprint(text):
+    words = WORD.findall((text or "").translate(CAPITALS))
+    if not words:
+        return 0
+    shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(rows, distance=2):
+    """Smallest id by row of ``rows`` ``(id, fingerprint)``."""
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if (rows[a][1] ^ rows[b][1]).bit_count() <= distance:
+                root[find(a)] = find(b)
+    groups = {}
+    for k in range(len(rows)):
+        groups.setdefault(find(k), []).append(k)
+    least = {k: min((rows[x][0] for x in g if rows[x][0] is not None), default=None) for g in groups.values() for k in g}
+    return [least[k] for k in range(len(rows))]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_op4(spark, folder):
+    docs = odd_documents(spark)
+    rows = [(r["doc_id"], brute_fingerprint(r["text"])) for r in docs.collect()]
+    want = sorted(((i, f"{f:016x}", c) for (i, f), c in zip(rows, brute_components(rows), strict=True)), key=str)
+    got = queries.op4_simhash(spark, write_tables(f"{folder}-t", docs))
+    assert sorted(map(tuple, got.select("doc_id", "fingerprint", "component_id").collect()), key=str) == want
+
+
+@pytest.mark.parametrize("hot", [2, 64])
+def test_components_of_planted_fingerprints(spark, hot):
+    """Groups of near fingerprints, chains, and unrelated ones; with ``hot`` 2 all go the way of hot values."""
+    random = np.random.default_rng(5)
+    values = [int(x) for x in random.integers(0, 1 << 63, 300)]
+    for base in values[:6]:
+        chain = base
+        for _ in range(60):
+            chain ^= 1 << int(random.integers(0, 64))
+            values.append(chain)
+    rows = [(k, v) for k, v in enumerate(values)]
+    marked = spark.createDataFrame([(i, signed(f)) for i, f in rows], "doc_id long, fp long")
+    fps = marked.select("fp").distinct()
+    edges = {tuple(e) for e in simhash.links(fps, hot=hot).collect()}
+    assert all((a ^ b).bit_count() <= 2 or (signed(a) ^ signed(b)) & (1 << 64) - 1 for a, b in edges)
+    roots = {r["node"]: r["root"] for r in simhash.connected_components(simhash.links(fps, hot=hot)).collect()}
+    want = brute_components(rows)
+    of_value = {}
+    for (_, f), c in zip(rows, want, strict=True):
+        of_value.setdefault(c, set()).add(signed(f))
+    for members in of_value.values():
+        assert len({roots.get(f, f) for f in members}) == 1
+    assert len({roots.get(signed(f), signed(f)) for _, f in rows}) == len(of_value)
+
+
+@pytest.mark.parametrize("total", [2_000, 10**7, 10**10, 10**12])
+def test_thresholds_fulfil_the_principle(total):
+    sample = np.random.default_rng(1).integers(0, 1 << 63, 500).astype(np.uint64)
+    plan = simhash.choose_partitions(sample, total)
+    bits = [b for group, _ in plan for b in group]
+    assert len(bits) == len(set(bits))
+    for _ in range(200):
+        pair = np.random.default_rng(_).choice(64, 2, replace=False)
+        assert any(sum(b in group for b in pair) <= t for group, t in plan)
+
+
+def test_correlated_bits_stand_together():
+    sample = np.random.default_rng(2).integers(0, 2, (400, 64)).astype(np.uint64)
+    sample[:, 1::2] = sample[:, 0::2]
+    groups = simhash.group_bits((sample << np.arange(64, dtype=np.uint64)).sum(axis=1), 2)
+    assert sorted(b for g in groups for b in g) == list(range(64))
+    assert all(b ^ 1 in g for g in groups for b in g)
+
+
+def test_one_row_of_each_component_stays(spark):
+    docs = with_clash(odd_documents(spark), "fp_", "size")
+    kept = simhash.without_near_duplicates(docs).collect()
+    rows = [(r["doc_id"], brute_fingerprint(r["text"])) for r in docs.collect()]
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(brute_components(rows)))
+    assert kept[0].asDict().keys() == set(docs.columns)
+    assert simhash.without_near_duplicates(no_documents(spark)).count() == 0
+
+
+def brute_base(text):
+    words, lines, seen, repeats = WORD.findall(text or ""), (text or "").split("\n"), set(), 0
+    for line in lines:
+        if WORD.search(line):
+            repeats += line in seen
+            seen.add(line)
+    places = {}
+    for k in range(len(words) - 4):
+        places.setdefault(tuple(words[k : k + 5]), []).append(k)
+    covered = {p for v in places.values() if len(v) > 1 for k in v for p in range(k, k + 5)}
+    return len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), repeats, len(covered)
+
+
+def test_op8_base_counts(spark, folder):
+    docs = odd_documents(spark).union(
+        spark.createDataFrame(
+            [
+                (20, "a b c d e f a b c d e g\nx\nx\n\n\nx y", "en", "a", 1),
+                (21, "one # two ** $5 <b> & |\x0bthree\x0cfour\rfive\u3000six", "en", "a", 1),
+                (22, "a a a a a a a", "en", "a", 1),
+            ],
+            docs_schema(spark),
+        )
+    )
+    got = queries.op8_quality(spark, write_tables(f"{folder}-t", docs))
+    assert got.columns == ["doc_id", *quality.BASE, "base_failed", "kept"]
+    want = []
+    for r in docs.collect():
+        base = brute_base(r["text"])
+        want.append((r["doc_id"], *base, base[0] < 10 or 100 * base[4] > 20 * base[0]))
+    rows = got.collect()
+    assert sorted((tuple(r)[:7] for r in rows), key=str) == sorted(want, key=str)
+    assert not any(r["kept"] and r["base_failed"] for r in rows)
+
+
+def docs_schema(spark):
+    return odd_documents(spark).schema
+
+
+def test_thresholds_follow_the_group(spark):
+    """A source whose documents all hold many signs keeps them; single junk documents elsewhere go."""
+    words = PROSE.split()
+    rows = []
+    for k in range(120):
+        plain = " ".join(words[k % 7 :] + [str(k)])
+        rows.append((k, plain, "en", "prose", 1))
+        rows.append((1000 + k, " ".join(w + ("#" if (k + j) % 2 else "") for j, w in enumerate(words)) + str(k), "en", "code", 1))
+    rows.append((5000, " ".join(w + "###" for w in OTHER.split()), "en", "prose", 1))
+    rows.append((5001, " ".join(w + " " + w for w in OTHER.split()), "en", "prose", 1))
+    rows.append((5002, OTHER, "en", "small", 1))
+    rows.append((5003, OTHER, None, None, 1))
+    counted = quality.with_base_counts(with_clash(spark.createDataFrame(rows, docs_schema(spark)), "kept"))
+    dropped = {r["doc_id"] for r in quality.judge(counted, quality.thresholds(counted)).where("not kept").collect()}
+    assert dropped == {5000, 5001}
+
+
+def test_quality_of_no_documents(spark):
+    counted = quality.with_base_counts(no_documents(spark))
+    assert quality.judge(counted, quality.thresholds(counted)).count() == 0
