@@ -76,11 +76,13 @@ def n_grams(host: Column, path: Column) -> Column:
 
     def grams(text: Column, mark: str) -> list[Column]:
         edged = F.concat(F.lit("^"), text, F.lit("$"))
-        out = []
-        for n in GRAMS:
+
+        def of_length(n: int) -> Column:
             last = F.char_length(edged) - (n - 1)
             places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-            out.append(F.transform(places, lambda k, n=n: F.concat(F.lit(mark), F.substring(edged, k, F.lit(n)))))
+            return F.transform(places, lambda k: F.concat(F.lit(mark), F.substring(edged, k, F.lit(n))))
+
+        out = [of_length(n) for n in GRAMS]
         return [F.when(text == "", F.array().cast("array<string>")).otherwise(g) for g in out]
 
     return F.concat(*grams(host, "h:"), *grams(path, "p:"))
@@ -98,6 +100,8 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
             rows.append((f"{frame[0]}{word}.{frame[1]}", frame[2], label))
             rows.append((f"{again[0]}{word}-{other}.{again[1]}" if label else f"{again[0]}{word}{other}.{again[1]}", again[2], label))
             rows.append((f"{frame[0]}{other}{word}.{again[1]}", frame[2], label))
+            if label:
+                rows.append((f"{again[0]}{word}-{ORDINARY[k]}.{frame[1]}", again[2], label))
     return spark.createDataFrame(rows, "host string, path string, label double")
 
 

@@ -175,6 +175,13 @@ def test_url_scores_equal_brute_force(spark):
     assert url_filter.judge(df.limit(0), [], model).count() == 0
 
 
+def inner(a, b):
+    total = 0.0
+    for x, y in zip(a, b, strict=True):
+        total += x * y
+    return total
+
+
 def brute_neighbours(rows, k=20):
     clean = {(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)}
     out = {}
@@ -183,7 +190,7 @@ def brute_neighbours(rows, k=20):
             found = {}
             for i, b in clean:
                 if i != q and len(a) == len(b):
-                    found[i] = max(found.get(i, -math.inf), sum(x * y for x, y in zip(a, b, strict=True)))
+                    found[i] = max(found.get(i, -math.inf), inner(a, b))
             out[q] = sorted(((i, s) for i, s in found.items()), key=lambda x: (-x[1], x[0]))[:k]
     return out
 
