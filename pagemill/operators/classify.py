@@ -99,31 +99,67 @@ def pipe_classify_lines(
 ) -> DataFrame:
     """``(path, classification)`` from a program that knows nothing of paths: a line of text in, a category line out.
 
-    Categories are attached by position inside one Arrow batch, before blank ones are dropped. A program that does not
-    answer each line with one line fails the job, since its answers cannot be told apart.
+    The program runs once per task; lines go in from a thread of their own while answers are read, so neither side waits
+    for the other's pipe and no more than an Arrow batch is held. Categories are attached by position. A program
+    that does not answer each line with one line fails the job, since its answers cannot be told apart.
     """
     command = list(command)
     variable = SEPARATOR_VARIABLE
 
     def classify(frames):
         import os
+        import queue
         import subprocess
-
-        for frame in frames:
-            if frame.empty:
-                continue
-            answer = subprocess.run(
-                command,
-                input="".join(line + "\n" for line in frame["line"]),
-                env={**os.environ, variable: sep},
-                stdout=subprocess.PIPE,
-                encoding="utf-8",
-                check=True,
-            ).stdout
-            categories = answer.removesuffix("\n").split("\n")
-            if len(categories) != len(frame):
-                raise ValueError(f"{len(frame)} documents in, {len(categories)} categories out")
-            yield frame[["path"]].assign(classification=categories)
+        import threading
+
+        import pandas as pd
+
+        env = {**os.environ, variable: sep}
+        program = subprocess.Popen(command, env=env, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
+        paths: queue.Queue = queue.Queue()
+        failure: list[BaseException] = []
+
+        def feed():
+            try:
+                with program.stdin as lines:
+                    for frame in frames:
+                        for path, line in zip(frame["path"], frame["line"]):
+                            lines.write(f"{line}\n".encode())
+                            paths.put((path,))
+            except BaseException as e:
+                failure.append(e)
+            finally:
+                paths.put(None)
+
+        feeder = threading.Thread(target=feed, daemon=True)
+        feeder.start()
+        n_in = n_out = 0
+        held: list[tuple] = []
+        try:
+            for answer in program.stdout:
+                path = paths.get()
+                n_out += 1
+                if path is None:
+                    raise ValueError(f"{n_in} documents in, more categories out")
+                n_in += 1
+                held.append((*path, answer.decode().removesuffix("\n")))
+                if len(held) >= 2000:
+                    yield pd.DataFrame(held, columns=["path", "classification"])
+                    held = []
+            feeder.join()
+            if failure and not isinstance(failure[0], BrokenPipeError):
+                raise failure[0]
+            while paths.get() is not None:
+                n_in += 1
+            if n_in != n_out:
+                raise ValueError(f"{n_in} documents in, {n_out} categories out")
+            if program.wait():
+                raise subprocess.CalledProcessError(program.returncode, command)
+            if held:
+                yield pd.DataFrame(held, columns=["path", "classification"])
+        finally:
+            program.kill()
+            program.wait()
 
     lines = df.select("path", _one_line(col).alias("line"))
     return lines.mapInPandas(classify, "path string, classification string")
