@@ -5,9 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.sql import SparkSession
 
-def resolver() -> Callable[[str], tuple[Any, str]]:
-    """A function from a path or URI to ``(file system, place in it)``.
+
+def default_storage(spark: SparkSession) -> str:
+    """Where paths without a scheme lie: ``fs.defaultFS``."""
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+
+
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly below ``folder``, in order; none if it is not there. No file is opened."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(path) if s.isDirectory())
+
+
+def exists(spark: SparkSession, place: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def resolver(default: str) -> Callable[[str], tuple[Any, str]]:
+    """A function from a path or URI to ``(file system, place in it)``; ``default`` holds paths without a scheme.
 
     It is made anew by each caller and so travels to the tasks with the caller's own code.
     """
@@ -19,9 +41,13 @@ def resolver() -> Callable[[str], tuple[Any, str]]:
 
         from pyarrow import fs
 
-        scheme, rest = re.match(r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)$", uri, re.S).groups()
+        split = re.compile(r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)$", re.S)
+        scheme, rest = split.match(uri).groups()
         if scheme is None:
-            return fs.LocalFileSystem(), os.path.abspath(rest)
+            if default.startswith("file:"):
+                return fs.LocalFileSystem(), os.path.abspath(rest)
+            scheme, authority = split.match(default).groups()
+            rest = f"{authority.rstrip('/')}/{rest.lstrip('/')}"
         if scheme == "file":
             return fs.LocalFileSystem(), "/" + rest.lstrip("/")
         authority, _, inner = rest.removeprefix("//").partition("/")

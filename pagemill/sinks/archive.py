@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SCHEMA = "path string, content string, classification string"
 
 
-def archive(df: DataFrame, out_dir: str, run_id: str, max_records: int = 100_000) -> str:
+def archive(df: DataFrame, out_dir: str, run_id: str, max_records: int = 100_000, max_chars: int = 1 << 28) -> str:
     """Writes ``(path, content, classification)`` as gzip JSON lines to a folder of its own and returns the folder.
 
-    A text of many lines is still one line of the file. Gzip files are read by one task each, so ``max_records`` keeps
-    them from growing without bound.
+    A text of many lines is still one line of the file. Gzip files are read by one task each, so a file ends after
+    ``max_records`` records, or fewer where the texts of ``df`` are so long on average that these exceed ``max_chars``.
     """
+    mean = df.agg(F.avg(F.length("content"))).first()[0] or 0
+    max_records = max(1, min(max_records, int(max_chars / max(mean, 1))))
     target = f"{out_dir}/{run_id}"
     (
         df.select("path", "content", "classification")
