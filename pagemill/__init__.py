@@ -8,6 +8,7 @@ from pagemill.operators.classify import (
     pipe_classify_lines,
 )
 from pagemill.operators.extract import (
+    complete_documents,
     document_page_counts,
     extract_pages,
     failed_pages,
@@ -70,9 +71,8 @@ from pagemill.sources import (
     read_index,
     scan_document_stream,
     scan_documents,
-    spread,
     union_sources,
 )
-from pagemill.streaming.ingest import ingest_stream, remove_ingested
+from pagemill.streaming.ingest import failed_documents, ingest_stream, remove_ingested
 
 __all__ = [name for name in dir() if not name.startswith("_")]

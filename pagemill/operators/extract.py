@@ -18,33 +18,34 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from pagemill.functions.fixed import LANGUAGE
-from pagemill.functions.storage import resolver
+from pagemill.functions.storage import default_storage, resolver
 from pagemill.sources.documents import deal_out
 
 PAGE_SCHEMA = "path string, page_no int, page_text string, ok boolean, error string"
 _WORD_SCHEMA = (
-    "path string, page_no int, word_no int, text string, confidence float, box struct<x:int,y:int,w:int,h:int>"
+    "path string, page_no int, word_no int, text string, confidence float, box struct<x:int,y:int,w:int,h:int>, "
+    "ok boolean, error string"
 )
-_REGION_SCHEMA = "path string, page_no int, region_no int, box struct<x:int,y:int,w:int,h:int>"
+_REGION_SCHEMA = "path string, page_no int, region_no int, box struct<x:int,y:int,w:int,h:int>, ok boolean, error string"
 _RECT = ("rx", "ry", "rw", "rh")
 _COUNT_SCHEMA = "path string, n_pages int, ok boolean, error string"
 
 
-def _opener() -> Callable[[str, Any], Any]:
-    """How a task gets at a document: the bytes it was handed, or the file on shared storage."""
-    resolve = resolver()
+def _opener(spark: SparkSession) -> Callable[[str, Any], Any]:
+    """How a task gets at a document: the bytes it was handed (an Arrow value), or the file on shared storage."""
+    resolve = resolver(default_storage(spark))
 
     def open_document(path: str, content: Any) -> Any:
-        import io
+        import pyarrow as pa
 
-        if content is not None:
-            return io.BytesIO(bytes(content))
+        if content is not None and content.is_valid:
+            return pa.BufferReader(content.as_buffer())
         system, place = resolve(path)
         return system.open_input_file(place)
 
@@ -57,15 +58,21 @@ def _batched() -> Callable[..., Any]:
     def batched(rows, schema):
         import pyarrow as pa
 
-        held, n_chars = [], 0
+        def batch(columns):
+            arrays = [pa.array(values, field.type) for values, field in zip(columns, schema)]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+        columns, n_chars = [[] for _ in schema], 0
         for row in rows:
-            held.append(dict(zip(schema.names, row)))
-            n_chars += sum(len(value) for value in row if isinstance(value, str))
-            if len(held) >= 2000 or n_chars >= 16_000_000:
-                yield pa.RecordBatch.from_pylist(held, schema)
-                held, n_chars = [], 0
-        if held:
-            yield pa.RecordBatch.from_pylist(held, schema)
+            for values, value in zip(columns, row):
+                values.append(value)
+                if isinstance(value, str):
+                    n_chars += len(value)
+            if len(columns[0]) >= 2000 or n_chars >= 16_000_000:
+                yield batch(columns)
+                columns, n_chars = [[] for _ in schema], 0
+        if columns[0]:
+            yield batch(columns)
 
     return batched
 
@@ -77,19 +84,20 @@ def document_page_counts(
 
     Rows that carry paths and no bytes are dealt out first; see :func:`extract_pages`.
     """
-    open_document, batched = _opener(), _batched()
+    open_document, batched = _opener(df.sparkSession), _batched()
 
     arrow_schema = to_arrow_schema(StructType.fromDDL(_COUNT_SCHEMA))
 
     def count(batches):
         def counts(reader):
             for batch in batches:
-                for row in batch.to_pylist():
+                contents = batch.column("content") if "content" in batch.schema.names else [None] * batch.num_rows
+                for path, content in zip(batch.column("path").to_pylist(), contents):
                     try:
-                        with open_document(row["path"], row.get("content")) as file:
-                            yield row["path"], int(reader.page_count(file)), True, None
+                        with open_document(path, content) as file:
+                            yield path, int(reader.page_count(file)), True, None
                     except Exception as e:  # a bad document is a row of the report
-                        yield row["path"], 0, False, f"{type(e).__name__}: {e}"
+                        yield path, 0, False, f"{type(e).__name__}: {e}"
 
         reader = engine()
         try:
@@ -117,15 +125,15 @@ def _map_images(
     ``recognized(reader, path, page_no, image, rect)`` gives the rows of an image, ``lost(path, page_no, error)`` the
     row of a page without an image.
     """
-    open_document, batched = _opener(), _batched()
+    open_document, batched = _opener(batches.sparkSession), _batched()
     rect_columns = _RECT
     arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
 
     def extract(batches):
-        def images(reader, row):
+        def images(reader, row, content):
             page_no, last, error = row["first_page"], row["last_page"], "no image"
             try:
-                with open_document(row["path"], row.get("content")) as file:
+                with open_document(row["path"], content) as file:
                     for image in reader.render(file, page_no, last):
                         yield page_no, image, None
                         page_no += 1
@@ -136,10 +144,12 @@ def _map_images(
 
         def rows(reader):
             for batch in batches:
-                for row in batch.to_pylist():
+                contents = batch.column("content") if "content" in batch.schema.names else [None] * batch.num_rows
+                small = batch.select([n for n in batch.schema.names if n != "content"]).to_pylist()
+                for row, content in zip(small, contents):
                     rect = tuple(row.get(c) for c in rect_columns)
                     rect = None if None in rect else rect
-                    for page_no, image, error in images(reader, row):
+                    for page_no, image, error in images(reader, row, content):
                         if error is None:
                             yield from recognized(reader, row["path"], page_no, image, rect)
                         else:
@@ -158,13 +168,6 @@ def _map_images(
     return ranges.mapInArrow(extract, schema)
 
 
-def _raiser() -> Callable[..., Any]:
-    def no_image(path, page_no, error):
-        raise RuntimeError(f"{path}, page {page_no}: {error}")
-
-    return no_image
-
-
 def extract_pages(
     batches: DataFrame,
     engine: Callable[[], Any],
@@ -200,31 +203,46 @@ def recognize_words(
     lang: str = LANGUAGE,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``(path, page_no, word_no, text, confidence, box)`` as the engine sees them.
+    """``(path, page_no, word_no, text, confidence, box, ok, error)`` as the engine sees them.
 
-    An error while a page is recognised keeps the words found so far; a page that cannot be rendered fails the job.
+    An error while a page is recognised keeps the words found so far. It, and a page that cannot be rendered, add a row
+    with ``ok`` false, the error and nothing else.
     """
 
     def recognized(reader, path, page_no, image, rect):
         try:
             for n, (text, confidence, x, y, w, h) in enumerate(reader.words(image, lang, rect, level)):
-                yield path, page_no, n, text, confidence, {"x": x, "y": y, "w": w, "h": h}
-        except Exception:
-            return
+                yield path, page_no, n, text, confidence, {"x": x, "y": y, "w": w, "h": h}, True, None
+        except Exception as e:
+            yield lost(path, page_no, f"{type(e).__name__}: {e}")
+
+    def lost(path, page_no, error):
+        return path, page_no, None, None, None, None, False, error
 
-    return _map_images(batches, engine, num_partitions, _WORD_SCHEMA, recognized, _raiser())
+    return _map_images(batches, engine, num_partitions, _WORD_SCHEMA, recognized, lost)
 
 
 def segment_regions(
     batches: DataFrame, engine: Callable[[], Any], level: str = "line", num_partitions: int | None = None
 ) -> DataFrame:
-    """``(path, page_no, region_no, box)`` as the engine sees them. Any error fails the job."""
+    """``(path, page_no, region_no, box, ok, error)`` as the engine sees them; errors as in :func:`recognize_words`."""
 
     def recognized(reader, path, page_no, image, rect):
-        for n, (x, y, w, h) in enumerate(reader.regions(image, level)):
-            yield path, page_no, n, {"x": x, "y": y, "w": w, "h": h}
+        try:
+            for n, (x, y, w, h) in enumerate(reader.regions(image, level)):
+                yield path, page_no, n, {"x": x, "y": y, "w": w, "h": h}, True, None
+        except Exception as e:
+            yield lost(path, page_no, f"{type(e).__name__}: {e}")
+
+    def lost(path, page_no, error):
+        return path, page_no, None, None, False, error
+
+    return _map_images(batches, engine, num_partitions, _REGION_SCHEMA, recognized, lost)
+
 
-    return _map_images(batches, engine, num_partitions, _REGION_SCHEMA, recognized, _raiser())
+def complete_documents(pages: DataFrame) -> DataFrame:
+    """``(path)`` of the documents all of whose pages were read."""
+    return pages.groupBy("path").agg(F.bool_and("ok").alias("ok")).where("ok").select("path")
 
 
 def failed_pages(pages: DataFrame) -> DataFrame:

@@ -8,11 +8,12 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
 from pagemill.functions.fixed import LANGUAGE, MAX_PAGES, SOURCE_EXTENSION
 from pagemill.operators.classify import attach_classification, classify_rules
-from pagemill.operators.extract import document_page_counts, extract_pages
+from pagemill.operators.extract import complete_documents, document_page_counts, extract_pages, failed_pages
 from pagemill.operators.filters import drop_blank, filter_extension
 from pagemill.operators.pages import assemble_document, assemble_paged, plan_page_batches
 from pagemill.operators.records import index_record, preview
@@ -45,11 +46,14 @@ def index_texts(
 
 @dataclass(frozen=True)
 class IngestResult:
+    """``failed``: ``(path, page_no, error)`` of pages not read, and, without a page number, of documents not loaded."""
+
     pages: DataFrame
     documents: DataFrame
     index: DataFrame
     archived: str
     removed: DataFrame
+    failed: DataFrame
 
 
 def ingest_pages(
@@ -60,6 +64,7 @@ def ingest_pages(
     classifier: Classifier,
     text_dir: str | None = None,
     root: str = "/",
+    sequence: int | None = None,
 ) -> tuple[DataFrame, str]:
     """Page table to texts, index and archive. Returns the texts as stored and the archive's folder.
 
@@ -81,7 +86,7 @@ def ingest_pages(
         archived = attach_classification(documents, known)
     if text_dir is not None:
         write_text_files(documents, text_dir, f"{out}/text_files/run={run_id}", root)
-    upsert_index(index_record(indexed, run_ts), f"{out}/index", run_id)
+    upsert_index(index_record(indexed, run_ts), f"{out}/index", run_id, sequence)
     return documents, archive(archived, f"{out}/archive", run_id)
 
 
@@ -103,10 +108,13 @@ def ingest(
     num_partitions: int | None = None,
     text_dir: str | None = None,
     remove: bool = False,
+    ranges_per_task: int = 64,
 ) -> IngestResult:
     """The batch job: scan a folder, read its pages, store texts, categories, index and archive, then drop sources.
 
-    Sources are deleted only with ``remove`` and only when the index holds their record. Until then a run may be
+    Sources are deleted only with ``remove``, only when all their pages were read, and only when the index holds their
+    record. What could not be read is in ``failed``. Page counts are stored; the number of page ranges, at
+    ``ranges_per_task``, gives the number of extraction tasks. Until sources are deleted a run may be
     repeated under its ``run_id`` and replaces what it wrote; afterwards its sources are no longer all there, so the
     same ``run_id`` is refused.
     """
@@ -115,18 +123,24 @@ def ingest(
         raise ValueError(f"run {run_id} has already begun to delete its sources; take a new run_id")
     # Folders may overlap; a file that is listed twice is still one document.
     files = scan_documents(spark, root, extension=SOURCE_EXTENSION).select("path").distinct()
-    counts = document_page_counts(files, engine, num_partitions)
+    counts = write_texts(document_page_counts(files, engine, num_partitions), f"{out}/counts", run_id)
     batches = plan_page_batches(counts.select("path", "n_pages"), max_pages)
+    if num_partitions is None:
+        n_ranges = counts.agg(F.sum(F.ceil(F.col("n_pages") / F.lit(max_pages)))).first()[0] or 0
+        num_partitions = max(spark.sparkContext.defaultParallelism, -(-int(n_ranges) // ranges_per_task))
     read = extract_pages(batches, engine, lang, num_partitions)
     pages = write_texts(read, f"{out}/pages", run_id)
     base = root if isinstance(root, str) else "/"
     documents, archived = ingest_pages(pages, out, run_id, run_ts, classifier, text_dir, base)
     mine = indexed_by(spark, out, run_id)
-    removed = remove_sources(documents, mine)
+    complete = complete_documents(pages)
+    removed = remove_sources(complete, mine)
     if remove:
         planned = write_texts(removed.select("path"), doomed, run_id)
         removed = remove_sources(planned, mine, f"{out}/removed/run={run_id}", dry_run=False)
-    return IngestResult(pages, documents, read_index(spark, f"{out}/index"), archived, removed)
+    not_loaded = counts.where(~F.col("ok")).select("path", F.lit(None).cast("int").alias("page_no"), "error")
+    failed = not_loaded.unionByName(failed_pages(pages))
+    return IngestResult(pages, documents, read_index(spark, f"{out}/index"), archived, removed, failed)
 
 
 def _is_table(spark: SparkSession, path: str) -> bool:

@@ -3,7 +3,6 @@ from pagemill.sources.documents import (
     decode_documents,
     scan_document_stream,
     scan_documents,
-    spread,
     union_sources,
 )
 from pagemill.sources.index import latest_records, read_index
@@ -15,6 +14,5 @@ __all__ = [
     "read_index",
     "scan_document_stream",
     "scan_documents",
-    "spread",
     "union_sources",
 ]

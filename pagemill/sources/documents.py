@@ -19,17 +19,13 @@ def scan_documents(
     spark: SparkSession,
     root: str | list[str],
     recursive: bool = True,
-    min_partitions: int | None = None,
     extension: str | None = None,
 ) -> DataFrame:
     """Every file below ``root`` as ``(path, modificationTime, length, content)``.
 
-    ``content`` is read only when a query asks for it, so listing ``path`` and ``length`` costs no file reads.
-    ``min_partitions`` sets Spark's own hint for the number of scan tasks
-    (``spark.sql.files.minPartitionNum``); bytes are never shuffled to reach it.
+    ``content`` is read only when a query asks for it, so listing ``path`` and ``length`` costs no file reads. For more
+    scan tasks than Spark takes set ``spark.sql.files.minPartitionNum``; bytes are never shuffled to reach it.
     """
-    if min_partitions is not None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
@@ -55,16 +51,6 @@ def scan_document_stream(
     )
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Deals rows out again when they come in fewer pieces than wanted (one per core by default).
-
-    A table in many pieces, as any large one is, is returned as it is: only the number of pieces is looked at, and no
-    job is run for it.
-    """
-    wanted = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
-
-
 def deal_out(df: DataFrame, num_partitions: int | None, *keys: str) -> DataFrame:
     """Deals out small rows that stand for much work, such as paths of files to open.
 
@@ -79,8 +65,9 @@ def deal_out(df: DataFrame, num_partitions: int | None, *keys: str) -> DataFrame
 
 
 def decode_documents(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """``(path, text)`` of files that already hold text."""
-    return files.select("path", F.decode("content", encoding).alias("text"))
+    """Files that already hold text: ``text`` in place of ``content``, the other columns as they are."""
+    rest = [c for c in files.columns if c not in ("content", "text")]
+    return files.select(*rest, F.decode("content", encoding).alias("text"))
 
 
 def union_sources(a: DataFrame, b: DataFrame) -> DataFrame:

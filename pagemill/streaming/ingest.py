@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from pagemill.functions.fixed import SOURCE_EXTENSION
+from pagemill.functions.storage import list_folders
+from pagemill.operators.extract import complete_documents, failed_pages
 from pagemill.plans.ingest import Classifier, indexed_by, ingest_pages
 from pagemill.sinks.removal import remove_sources
 from pagemill.sinks.texts import write_texts
@@ -38,19 +40,24 @@ def ingest_stream(
     max_files: int = 10_000,
     remove: bool = False,
     available_now: bool = True,
+    text_dir: str | None = None,
 ) -> StreamingQuery:
     """Starts the stream. ``run_ts`` gives the date of a micro-batch from its number.
 
     Every output of a micro-batch goes to a folder named after its number, so a batch that is repeated after a failure
     replaces what it wrote. For the same reason a batch must still find its sources: with ``remove`` they are deleted
-    by the batch that follows, once theirs is committed, and those of the last batch by :func:`remove_ingested`.
+    by the batch that follows, once theirs is committed, and those of the last batch by :func:`remove_ingested`. Only
+    sources all of whose pages were read are deleted; :func:`failed_documents` lists the others. With ``text_dir`` each
+    text is also written to a file, below it as the source is below ``root``.
     """
 
     def handle(files: DataFrame, batch: int) -> None:
         if remove and batch > 0:
             _remove_batch(files.sparkSession, out, _run_id(batch - 1))
-        pages = write_texts(extractor(files), f"{out}/pages", _run_id(batch))
-        ingest_pages(pages, out, _run_id(batch), run_ts(batch), classifier)
+        run_id = _run_id(batch)
+        write_texts(files.select("path"), f"{out}/sources", run_id)
+        pages = write_texts(extractor(files), f"{out}/pages", run_id)
+        ingest_pages(pages, out, run_id, run_ts(batch), classifier, text_dir, root)
 
     writer = (
         scan_document_stream(spark, root, extension, max_files)
@@ -63,9 +70,9 @@ def ingest_stream(
 
 
 def _remove_batch(spark: SparkSession, out: str, run_id: str) -> DataFrame:
-    sources = spark.read.parquet(f"{out}/texts/run={run_id}").select("path")
+    complete = complete_documents(spark.read.parquet(f"{out}/pages/run={run_id}"))
     return remove_sources(
-        sources, indexed_by(spark, out, run_id), f"{out}/removed/run={run_id}", dry_run=False
+        complete, indexed_by(spark, out, run_id), f"{out}/removed/run={run_id}", dry_run=False
     )
 
 
@@ -75,6 +82,14 @@ def remove_ingested(spark: SparkSession, out: str, query: StreamingQuery) -> Dat
         raise ValueError("the stream is still running")
     if query.exception() is not None:
         raise ValueError("the last micro-batch failed; its sources are still needed")
-    runs = spark.read.parquet(f"{out}/texts").select(F.col("run").cast("string").alias("run"))
-    last = runs.where(F.startswith("run", F.lit(_PREFIX))).agg(F.max("run")).first()[0]
-    return None if last is None else _remove_batch(spark, out, last)
+    runs = [n.removeprefix("run=") for n in list_folders(spark, f"{out}/texts") if n.startswith(f"run={_PREFIX}")]
+    return _remove_batch(spark, out, max(runs)) if runs else None
+
+
+def failed_documents(spark: SparkSession, out: str) -> DataFrame:
+    """``(path, page_no, error)`` over all micro-batches: pages not read, and sources without any page."""
+    pages = spark.read.schema("path string, page_no int, ok boolean, error string, run string").parquet(f"{out}/pages")
+    sources = spark.read.schema("path string, run string").parquet(f"{out}/sources")
+    without = sources.join(pages.select("path", "run"), ["path", "run"], "left_anti")
+    no_page = without.select("path", F.lit(None).cast("int").alias("page_no"), F.lit("no page").alias("error"))
+    return no_page.unionByName(failed_pages(pages))
