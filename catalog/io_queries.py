@@ -12,15 +12,15 @@ import pagemill as pm
 from catalog import fixtures as fx
 from catalog import text_queries as tq
 from pagemill.functions import text as T
-from pagemill.functions.storage import resolver
-from pagemill.plans.workspace import new_folder
+from pagemill.functions.storage import default_storage, resolver
+from catalog.workspace import new_folder
 
 
 def put_files(docs: DataFrame, folder: str) -> int:
     """Writes ``text`` to ``folder/path`` from the tasks; returns the number of files."""
     target = T.strip_scheme("path")
 
-    resolve = resolver()
+    resolve = resolver(default_storage(docs.sparkSession))
 
     def put(frames):
         import os
@@ -44,13 +44,24 @@ def relative(df: DataFrame, folder: str, col: str = "path") -> DataFrame:
     return df.withColumn(col, F.concat(F.lit("hdfs:"), bare))
 
 
-def text_engine():
-    """A factory of engines for text files; their pages are lines."""
-    per_page = fx.LINES_PER_PAGE
+def text_engine(fails: bool = False):
+    """A factory of engines for text files; their pages are lines.
+
+    With ``fails`` a file cannot be loaded if its number of bytes is a multiple of ``fx.BAD_FILE``, and a page cannot be
+    recognised if its number of characters is a multiple of ``fx.BAD_PAGE``.
+    """
+    per_page, bad_file, bad_page = fx.LINES_PER_PAGE, fx.BAD_FILE, fx.BAD_PAGE
 
     class TextEngine:
         def lines(self, file):
-            return file.read().decode("utf-8").split("\n")
+            data = file.read()
+            if fails and len(data) % bad_file == 0:
+                raise ValueError("a file of this length")
+            return data.decode("utf-8").split("\n")
+
+        def check(self, image):
+            if fails and len("\n".join(image)) % bad_page == 0:
+                raise ValueError("a page of this length")
 
         def page_count(self, file):
             return -(-len(self.lines(file)) // per_page)
@@ -61,9 +72,12 @@ def text_engine():
                 yield lines[page * per_page : (page + 1) * per_page]
 
         def recognize(self, image, lang, rect):
-            return "\n".join(image)
+            self.check(image)
+            x, y, w, h = rect or (0, 0, None, None)
+            return "\n".join(line[x:][:w] for line in image[y:][:h])
 
         def words(self, image, lang, rect, level):
+            self.check(image)
             for y, line in enumerate(image):
                 x = 0
                 for word in line.split(" "):
@@ -72,6 +86,7 @@ def text_engine():
                     x += len(word) + 1
 
         def regions(self, image, level):
+            self.check(image)
             return [(0, y, len(line), 1) for y, line in enumerate(image) if line]
 
     return TextEngine
@@ -89,8 +104,7 @@ def scan_documents(spark, sf):
     folder = new_folder(spark, "scan")
     put_files(fx.sources(spark, sf), folder)
     files = pm.scan_documents(spark, folder, extension="pdf")
-    texts = pm.decode_documents(files).join(files.select("path", "length"), "path")
-    return relative(texts, folder)
+    return relative(pm.decode_documents(files).select("path", "length", "text"), folder)
 
 
 def _page_ranges(spark, sf, name):
@@ -107,14 +121,25 @@ def extract_pages(spark, sf):
     return relative(pages, folder).select("path", "page_no", "page_text", "ok")
 
 
+def extract_rect(spark, sf):
+    """Of each page the part inside a rectangle."""
+    folder, ranges = _page_ranges(spark, sf, "rects")
+    x, y, w, h = (F.lit(v) for v in fx.RECT)
+    rects = ranges.withColumns({"rx": x, "ry": y, "rw": w, "rh": h})
+    pages = pm.extract_pages(rects, text_engine(), num_partitions=8)
+    return relative(pages, folder).select("path", "page_no", "page_text")
+
+
 def recognize_words(spark, sf):
     folder, ranges = _page_ranges(spark, sf, "words")
-    return relative(fx.flat_boxes(pm.recognize_words(ranges, text_engine(), num_partitions=8)), folder)
+    found = pm.recognize_words(ranges, text_engine(fails=True), num_partitions=8)
+    return relative(fx.flat_boxes(found).drop("error"), folder)
 
 
 def segment_regions(spark, sf):
     folder, ranges = _page_ranges(spark, sf, "regions")
-    return relative(fx.flat_boxes(pm.segment_regions(ranges, text_engine(), num_partitions=8)), folder)
+    found = pm.segment_regions(ranges, text_engine(fails=True), num_partitions=8)
+    return relative(fx.flat_boxes(found).drop("error"), folder)
 
 
 def write_texts(spark, sf):
@@ -126,6 +151,24 @@ def write_text_files(spark, sf):
     return pm.write_text_files(fx.contents(spark, sf), f"{folder}/out", f"{folder}/report", root="/in")
 
 
+def write_clashing_files(spark, sf):
+    """Each document under three names that meet when lower-cased; counts the files and their bytes by folder."""
+    folder = new_folder(spark, "clashes")
+    name = F.col("path")
+    others = F.array(F.lower(name), F.upper(name), F.replace(F.lower(name), F.lit(".pdf"), F.lit("~2.pdf")))
+    docs = fx.contents(spark, sf)
+    place = F.regexp_replace(name, "[^/]*$", "")
+    file = F.concat(F.regexp_replace(F.lower(T.base_name(name)), r"\.[^.]*$", ""), F.lit(".pdf"))
+    named = docs.select(place.alias("place"), file.alias("path"), "content").select(
+        "place", F.explode(F.array_distinct(others)).alias("file"), "content"
+    )
+    renamed = named.select(F.concat("place", "file").alias("path"), F.concat("content", "file").alias("content"))
+    pm.write_text_files(renamed, f"{folder}/out", f"{folder}/report", root="/in")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/out")
+    source = F.substring_index(F.substring_index("path", "/", -2), "/", 1).alias("source")
+    return files.groupBy(source).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
 def _two_batches(spark, sf):
     index = new_folder(spark, "index")
     old, new = fx.index_batches(spark, sf)
@@ -138,14 +181,29 @@ def upsert_index(spark, sf):
     return pm.read_index(spark, _two_batches(spark, sf))
 
 
+def upsert_same_date(spark, sf):
+    """The second batch wins although its records have the date of the first and smaller categories."""
+    index = new_folder(spark, "index")
+    old, new = fx.index_batches(spark, sf)
+    pm.upsert_index(pm.index_record(old, fx.FIRST_RUN), index, "008")
+    again = new.withColumn("classification", F.lit("a"))
+    pm.upsert_index(pm.index_record(again, fx.FIRST_RUN), index, "007")
+    return pm.read_index(spark, index)
+
+
 def read_index(spark, sf):
     return pm.read_index(spark, _two_batches(spark, sf), ["filename", "content"], ("classification", "good"))
 
 
 def compact_index(spark, sf):
-    index = _two_batches(spark, sf)
-    pm.compact_index(spark, index, "folded")
-    return spark.read.parquet(f"{index}/batch=folded")
+    """The index after a compaction, one more batch, and a compaction of both."""
+    index = new_folder(spark, "index")
+    old, new = fx.index_batches(spark, sf)
+    pm.upsert_index(pm.index_record(old, fx.FIRST_RUN), index, "007")
+    pm.compact_index(spark, index)
+    pm.upsert_index(pm.index_record(new, fx.SECOND_RUN), index, "008")
+    pm.compact_index(spark, index)
+    return pm.read_index(spark, index)
 
 
 def archive(spark, sf):
@@ -187,6 +245,75 @@ def ingest(spark, sf):
     return relative(result.index, f"{folder}/in", "filename")
 
 
+def _states(spark, folder, out, failed, index):
+    """Of each source: what became of it, and whether it is still there."""
+    sources = pm.scan_documents(spark, f"{folder}/all", extension="pdf").select("path")
+    there = pm.scan_documents(spark, f"{folder}/in", extension="pdf").select("path", F.lit(True).alias("there"))
+    lost = failed.groupBy("path").agg(F.bool_or(F.col("page_no").isNull()).alias("unreadable"))
+    named = relative(index.select(F.col("filename").alias("path")), f"{folder}/in").withColumn("indexed", F.lit(True))
+    state = (
+        F.when(F.col("unreadable"), "unreadable")
+        .when(~F.col("unreadable"), "pages lost")
+        .when(F.col("indexed"), "indexed")
+        .otherwise("no category")
+    )
+    return (
+        relative(sources, f"{folder}/all")
+        .join(relative(lost, f"{folder}/in"), "path", "left")
+        .join(named, "path", "left")
+        .join(relative(there, f"{folder}/in"), "path", "left")
+        .select("path", state.alias("state"), F.coalesce("there", F.lit(False)).alias("there"))
+    )
+
+
+def ingest_failures(spark, sf):
+    """An engine that fails on some files and pages: they are reported, and their sources stay."""
+    folder = new_folder(spark, "failures")
+    put_files(fx.sources(spark, sf), f"{folder}/in")
+    put_files(fx.sources(spark, sf), f"{folder}/all")
+    result = pm.ingest(
+        spark,
+        f"{folder}/in",
+        f"{folder}/out",
+        "1",
+        fx.FIRST_RUN,
+        text_engine(fails=True),
+        by_rules,
+        max_pages=fx.MAX_PAGES,
+        remove=True,
+    )
+    return _states(spark, folder, f"{folder}/out", result.failed, result.index)
+
+
+def ingest_stream_failures(spark, sf):
+    """The same as a stream."""
+    folder = new_folder(spark, "stream-failures")
+    n_files = put_files(fx.sources(spark, sf), f"{folder}/in")
+    put_files(fx.sources(spark, sf), f"{folder}/all")
+
+    def extractor(files: DataFrame) -> DataFrame:
+        counts = pm.document_page_counts(files.select("path", "content"), text_engine(fails=True))
+        ranges = pm.plan_page_batches(counts.select("path", "n_pages"), fx.MAX_PAGES)
+        return pm.extract_pages(ranges, text_engine(fails=True), num_partitions=8)
+
+    query = pm.ingest_stream(
+        spark,
+        f"{folder}/in",
+        f"{folder}/out",
+        f"{folder}/checkpoint",
+        lambda batch: fx.FIRST_RUN,
+        extractor,
+        by_rules,
+        max_files=-(-n_files // 2),
+        remove=True,
+        text_dir=f"{folder}/files",
+    )
+    query.awaitTermination()
+    pm.remove_ingested(spark, f"{folder}/out", query)
+    failed = pm.failed_documents(spark, f"{folder}/out")
+    return _states(spark, folder, f"{folder}/out", failed, pm.read_index(spark, f"{folder}/out/index"))
+
+
 def ingest_stream(spark, sf):
     folder = new_folder(spark, "stream")
     n_files = put_files(fx.sources(spark, sf), f"{folder}/in")
@@ -213,36 +340,81 @@ def ingest_stream(spark, sf):
 QUERIES = {
     "scan_documents": scan_documents,
     "extract_pages": extract_pages,
+    "extract_rect": extract_rect,
     "recognize_words": recognize_words,
     "segment_regions": segment_regions,
     "write_texts": write_texts,
     "write_text_files": write_text_files,
+    "write_clashing_files": write_clashing_files,
     "upsert_index": upsert_index,
+    "upsert_same_date": upsert_same_date,
     "read_index": read_index,
     "compact_index": compact_index,
     "archive": archive,
     "remove_sources": remove_sources,
     "ingest": ingest,
+    "ingest_failures": ingest_failures,
     "ingest_stream": ingest_stream,
+    "ingest_stream_failures": ingest_stream_failures,
 }
 
 _PDF = f"{tq.EXTENSION} = 'pdf'"
+_BAD_FILE = f"octet_length(encode(text)) % {fx.BAD_FILE} = 0"
+_BAD_PAGE = f"length(page_text) % {fx.BAD_PAGE} = 0"
+_NOT_READ = f"({_BAD_PAGE} OR path IN (SELECT path FROM src WHERE {_BAD_FILE}))"
+_X, _Y, _W, _H = fx.RECT
+
+
+def _hashed(name: str, relative: str) -> str:
+    """The text name of ``name``, with a hash of ``relative``."""
+    named = f"replace(lower({name}), '.pdf', '.txt')"
+    stem = f"regexp_replace({named}, '[.][^.]*$', '')"
+    return f"{stem} || '~' || substring(sha256({relative}), 1, 16) || substring({named}, length({stem}) + 1)"
+
+
+_FAILURES = f"""WITH {fx.PAGES},
+footed AS (
+  SELECT path, string_agg(page_text || {fx.FOOTER_SQL.format(n="page_no")}, '' ORDER BY page_no) AS content,
+         bool_or({_BAD_PAGE}) AS lost
+  FROM pages_in GROUP BY path),
+states AS (
+  SELECT path, CASE WHEN {_BAD_FILE} THEN 'unreadable' WHEN lost THEN 'pages lost'
+                    WHEN {fx.category_sql("replace(content, chr(10), '')")} <> '' THEN 'indexed'
+                    ELSE 'no category' END AS state
+  FROM src JOIN footed USING (path) WHERE {_PDF})
+SELECT path, state, state <> 'indexed' AS there FROM states"""
 
 ORACLE = {
     "scan_documents": f"""WITH {fx.SRC}
 SELECT path, octet_length(encode(text))::BIGINT AS length, text FROM src WHERE {_PDF}""",
     "extract_pages": f"WITH {fx.PAGES} SELECT path, page_no, page_text, true AS ok FROM pages_in WHERE {_PDF}",
+    "extract_rect": f"""WITH {fx.PAGES}
+SELECT path, page_no,
+       array_to_string([l[{_X} + 1:{_X + _W}] FOR l IN string_split(page_text, chr(10))[{_Y} + 1:{_Y + _H}]], chr(10))
+         AS page_text
+FROM pages_in WHERE {_PDF}""",
     "recognize_words": f"""WITH {fx.WORDS}
 SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY line_no, word_no) - 1)::INTEGER AS word_no,
-       text, confidence, x, y, w, h FROM words_in WHERE {_PDF}""",
+       text, confidence, x, y, w, h, true AS ok
+FROM words_in JOIN pages_in USING (path, page_no) WHERE {_PDF} AND NOT {_NOT_READ}
+UNION ALL SELECT path, page_no, NULL, NULL, NULL, NULL, NULL, NULL, NULL, false FROM pages_in WHERE {_PDF} AND {_NOT_READ}""",
     "segment_regions": f"""WITH {fx.WORDS}
 SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY line_no) - 1)::INTEGER AS region_no,
-       0 AS x, line_no AS y, length(line)::INTEGER AS w, 1 AS h FROM page_lines WHERE line <> '' AND {_PDF}""",
+       0 AS x, line_no AS y, length(line)::INTEGER AS w, 1 AS h, true AS ok
+FROM page_lines JOIN pages_in USING (path, page_no) WHERE line <> '' AND {_PDF} AND NOT {_NOT_READ}
+UNION ALL SELECT path, page_no, NULL, NULL, NULL, NULL, NULL, false FROM pages_in WHERE {_PDF} AND {_NOT_READ}""",
     "write_texts": tq.ORACLE["assemble_document"],
-    "write_text_files": f"""WITH {fx.SRC}
-SELECT path, split_part(path, '/', -2) || '/' || replace(lower(split_part(path, '/', -1)), '.pdf', '.txt') AS output,
-       octet_length(encode(text))::BIGINT AS n_bytes FROM src""",
+    "write_text_files": f"""WITH {fx.SRC},
+named AS (SELECT path, text, split_part(path, '/', -2) AS folder, split_part(path, '/', -1) AS name FROM src)
+SELECT path, folder || '/' || {_hashed("name", "folder || '/' || name")} AS output,
+       octet_length(encode(text))::BIGINT AS n_bytes FROM named""",
+    "write_clashing_files": """SELECT source, count(*) * 3 AS n_files,
+       sum(3 * (octet_length(encode(text)) + length('doc_' || doc_id || '.pdf')) + 2)::BIGINT AS n_bytes
+FROM documents GROUP BY source""",
     "upsert_index": tq.ORACLE["latest_records"],
+    "upsert_same_date": f"""WITH {fx.BATCHES}
+SELECT filename, CASE WHEN filename IN (SELECT filename FROM new_batch) THEN 'a' ELSE classification END AS classification,
+       '2024-01-31T08:30:00Z' AS date, content FROM merged""",
     "read_index": f"WITH {fx.BATCHES} SELECT filename, content FROM merged WHERE classification = 'good'",
     "compact_index": tq.ORACLE["latest_records"],
     "archive": f"""WITH {fx.SRC}
@@ -250,5 +422,7 @@ SELECT path, text AS content, {fx.category_sql("text")} AS classification FROM s
     "remove_sources": f"""WITH {fx.SRC}
 SELECT path, {fx.category_sql("replace(text, chr(10), '')")} = '' AS there FROM src""",
     "ingest": tq.ORACLE["index_texts"],
+    "ingest_failures": _FAILURES,
     "ingest_stream": tq.ORACLE["index_texts"],
+    "ingest_stream_failures": _FAILURES,
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import pagemill as pm
 from catalog import fixtures as fx
+from catalog.workspace import new_folder
+from pagemill.functions import text as T
 
 FOOTED = fx.FOOTER_SQL.format(n="row_number() OVER (PARTITION BY path ORDER BY page_no)")
 FOOTED_PAGES = (
@@ -84,16 +86,23 @@ def extract_html_pages(spark, sf):
 def number_pages(spark, sf):
     """Batches of page texts, numbered on from the first page of their batch."""
     texts = F.transform(fx.pages_column(), lambda p: p["page_text"])
-    counted = fx.sources(spark, sf).withColumn("texts", texts).withColumn("n_pages", F.size("texts"))
-    batches = pm.plan_page_batches(counted.select("path", "n_pages", "texts"), fx.MAX_PAGES)
-    own = F.slice("texts", F.col("first_page"), F.col("last_page") - F.col("first_page") + 1)
-    return pm.number_pages(batches.select("path", "batch_no", "first_page", own.alias("texts")))
+    size = fx.MAX_PAGES
+    batches = T.bind(
+        texts,
+        lambda t: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.size(t) / size).cast("int")) - 1),
+            lambda b: F.struct(b.alias("batch_no"), F.slice(t, b * size + 1, F.lit(size)).alias("texts")),
+        ),
+    )
+    dealt = fx.sources(spark, sf).select("path", F.explode(batches).alias("b"))
+    first = (F.col("b.batch_no") * size + 1).cast("int").alias("first_page")
+    return pm.number_pages(dealt.select("path", "b.batch_no", first, "b.texts"))
 
 
 def sort_pages(spark, sf):
-    return pm.sort_pages(fx.pages(spark, sf)).select(
-        "path", F.array_join(F.transform("pages", lambda p: p["page_no"].cast("string")), ",").alias("page_order")
-    )
+    order = F.array_join(F.transform("pages", lambda p: p["page_no"].cast("string")), ",")
+    texts = F.array_join(F.transform("pages", lambda p: p["page_text"]), "|")
+    return pm.sort_pages(fx.pages(spark, sf)).select("path", order.alias("page_order"), texts.alias("page_texts"))
 
 
 def extract_words(spark, sf):
@@ -109,9 +118,9 @@ def extract_blocks(spark, sf):
 
 
 def extract_symbols(spark, sf):
-    """Characters with ink, counted per page and place."""
+    """Characters with ink and their places."""
     symbols = fx.flat_boxes(pm.extract_words(fx.pages(spark, sf), "symbol"))
-    return symbols.groupBy("text", "y").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sum_x"))
+    return symbols.select("path", "page_no", "text", "x", "y")
 
 
 def _regions(level):
@@ -128,7 +137,7 @@ def words_in_rect(spark, sf):
 
 def words_in_page_rect(spark, sf):
     """One rectangle per page: the middle half of the page's own region."""
-    words = fx.words(spark, sf)
+    words = pm.write_texts(fx.words(spark, sf), new_folder(spark, "rect-words"), "1")
     rects = pm.extract_regions(words, "page").select(
         "path",
         "page_no",
@@ -325,7 +334,8 @@ SELECT path, unnest(range(1, len(string_split(text, '.' || chr(10))) + 1))::INTE
     "number_pages": f"""WITH {fx.PAGES}
 SELECT path, ((page_no - 1) // {fx.MAX_PAGES})::INTEGER AS batch_no, page_no, page_text FROM pages_in""",
     "sort_pages": f"""WITH {fx.PAGES}
-SELECT path, string_agg(page_no::VARCHAR, ',' ORDER BY page_no) AS page_order FROM pages_in GROUP BY path""",
+SELECT path, string_agg(page_no::VARCHAR, ',' ORDER BY page_no) AS page_order,
+       string_agg(page_text, '|' ORDER BY page_no) AS page_texts FROM pages_in GROUP BY path""",
     "extract_words": f"WITH {fx.WORDS} SELECT * FROM words_in",
     "extract_lines": f"""WITH {fx.WORDS}
 SELECT path, page_no, line_no, 0 AS word_no, trim(line, ' ' || chr(9)) AS text, 100.0::FLOAT AS confidence,
@@ -333,8 +343,9 @@ SELECT path, page_no, line_no, 0 AS word_no, trim(line, ' ' || chr(9)) AS text,
        length(trim(line, ' ' || chr(9)))::INTEGER AS w, 1 AS h
 FROM page_lines WHERE trim(line, ' ' || chr(9)) <> ''""",
     "extract_symbols": f"""WITH {fx.WORDS},
-c AS (SELECT line_no AS y, unnest(string_split(line, '')) AS text, unnest(range(length(line))) AS x FROM page_lines)
-SELECT text, y, count(*) AS n, sum(x)::BIGINT AS sum_x FROM c WHERE text NOT IN ('', ' ', chr(9)) GROUP BY text, y""",
+c AS (SELECT path, page_no, line_no AS y, unnest(string_split(line, '')) AS text,
+             unnest(range(length(line)))::INTEGER AS x FROM page_lines)
+SELECT path, page_no, text, x, y FROM c WHERE text NOT IN ('', ' ', chr(9))""",
     "extract_regions_word": f"""WITH {fx.WORDS}
 SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY line_no, word_no) - 1)::INTEGER
        AS region_no, x, y, w, h FROM words_in""",

@@ -28,7 +28,7 @@ def spark():
 
 @pytest.fixture
 def folder(spark):
-    from pagemill.plans.workspace import new_folder
+    from catalog.workspace import new_folder
 
     path = new_folder(spark, "test")
     os.makedirs(path)

@@ -1,5 +1,6 @@
 """Scanning, extraction, assembling, classifying, writing and removing on small hand-made files."""
 
+import hashlib
 import os
 import re
 import time
@@ -176,20 +177,24 @@ def test_part_of_an_image(spark):
 
 def test_engine_words_stop_at_an_error(spark):
     words = pm.recognize_words(one_range(spark, "one two unreadable three\ffour", 1, 2), form_feed_engine())
-    got = [(r.page_no, r.word_no, r.text, r.confidence, tuple(r.box)) for r in words.collect()]
+    rows = words.collect()
+    got = [(r.page_no, r.word_no, r.text, r.confidence, tuple(r.box)) for r in rows if r.ok]
     assert got == [
         (1, 0, "one", 50.0, (0, 0, 3, 1)),
         (1, 1, "two", 51.0, (10, 0, 3, 1)),
         (2, 0, "four", 50.0, (0, 0, 4, 1)),
     ]
+    failed = [r for r in rows if not r.ok]
+    assert [(r.page_no, r.word_no, r.text, r.box) for r in failed] == [(1, None, None, None)] and failed[0].error
 
 
-def test_engine_regions_raise(spark):
+def test_engine_regions_report(spark):
     regions = pm.segment_regions(one_range(spark, "one"), form_feed_engine())
     assert [(r.page_no, r.region_no, tuple(r.box)) for r in regions.collect()] == [(1, 0, (0, 0, 3, 1))]
     for text in ("unreadable", "unrenderable"):
-        with pytest.raises(Exception, match="cannot"):
-            pm.segment_regions(one_range(spark, text), form_feed_engine()).collect()
+        for read in (pm.segment_regions, pm.recognize_words):
+            row = read(one_range(spark, text), form_feed_engine()).first()
+            assert (row.page_no, row.ok, row.box) == (1, False, None) and "cannot" in row.error
 
 
 def test_engine_that_gives_too_few_images(spark):
@@ -381,6 +386,19 @@ def test_line_program_must_answer_each_line(spark):
         pm.pipe_classify_lines(docs, ["awk", '$0 != "drop"']).collect()
 
 
+def test_line_program_starts_once_per_task(spark, folder):
+    docs = spark.range(0, 25_000, 1, 2).select(
+        F.col("id").cast("string").alias("path"), F.repeat(F.lit("x "), 40).alias("content")
+    )
+    count = ["sh", "-c", f"echo start >> {folder}/starts; exec cat"]
+    cats = pm.pipe_classify_lines(docs, count)
+    assert cats.count() == 25_000
+    with open(f"{folder}/starts") as f:
+        assert len(f.readlines()) == 2
+    with pytest.raises(Exception, match="more categories out"):
+        pm.pipe_classify_lines(docs.limit(3).coalesce(1), ["sed", "p"]).collect()
+
+
 def test_copies_do_not_multiply(spark):
     docs = classified(spark, [("a", "x")] * 5 + [("b", "y")])
     cats = spark.createDataFrame([("a", "c")] * 4 + [("b", "d")], "path string, classification string")
@@ -421,19 +439,21 @@ def test_index_keeps_the_newest(spark, folder):
     index = f"{folder}/index"
     pm.upsert_index(records(spark, [record("a", "2024-01"), record("b", "2024-01")]), index, "1")
     pm.upsert_index(records(spark, [record("a", "2024-02", "new"), record("c", "2024-02")]), index, "2")
-    pm.upsert_index(records(spark, [record("a", "2023-12", "late arrival")]), index, "3")
-    want = {"a": "new", "b": "t", "c": "t"}
+    pm.upsert_index(records(spark, [record("a", "2023-12", "last written")]), index, "007")
+    want = {"a": "last written", "b": "t", "c": "t"}
     assert {r.filename: r.content for r in pm.read_index(spark, index).collect()} == want
-    # A repeated batch changes nothing.
-    pm.upsert_index(records(spark, [record("a", "2024-02", "new"), record("c", "2024-02")]), index, "2")
+    # A batch with a sequence of its own takes its place in the order.
+    pm.upsert_index(records(spark, [record("a", "2024-03", "early"), record("d", "2024-03")]), index, "0", sequence=1)
+    want["d"] = "t"
     assert {r.filename: r.content for r in pm.read_index(spark, index).collect()} == want
-    # Nor does folding, with the folded batches still there.
-    old = pm.compact_index(spark, index, "4")
-    assert len(old) == 3
+    # Folding changes nothing, with the folded batches still there, and leaves later batches their place.
+    old = pm.compact_index(spark, index)
+    assert [p.split("/")[-1] for p in old] == ["batch=0", "batch=007", "batch=1", "batch=2"]
     assert {r.filename: r.content for r in pm.read_index(spark, index).collect()} == want
-    assert spark.read.parquet(f"{index}/batch=4").count() == 3
-    with pytest.raises(ValueError):
-        pm.compact_index(spark, index, "4")
+    assert pm.compact_index(spark, index) == []
+    pm.upsert_index(records(spark, [record("b", "2020-01", "later")]), index, "5")
+    assert len(pm.compact_index(spark, index)) == 6
+    assert {r.filename: r.content for r in pm.read_index(spark, index).collect()} == {**want, "b": "later"}
 
 
 def test_index_lookup_reaches_the_scan(spark, folder):
@@ -455,21 +475,33 @@ def test_archive_keeps_lines_together(spark, folder):
 def test_text_files_do_not_overwrite_each_other(spark, folder):
     df = classified(
         spark,
-        [("file:/in/a/x.pdf", "1"), ("file:/in/b/x.pdf", "2"), ("file:/in/b/X.PDF", "3"), ("file:/in/b/y", "ñ")],
+        [
+            ("file:/in/a/x.pdf", "1"),
+            ("file:/in/b/x.pdf", "2"),
+            ("file:/in/b/X.PDF", "3"),
+            ("file:/in/b/y", "ñ"),
+            ("file:/in/b/x~2.pdf", "4"),
+            ("file:/in/b/x.txt", "5"),
+        ],
     )
     report = pm.write_text_files(df, f"{folder}/out", f"{folder}/report", root="file:/in").collect()
-    assert sorted((r.output, r.n_bytes) for r in report) == [
-        ("a/x.txt", 1),
-        ("b/x.txt", 1),
-        ("b/x~2.txt", 1),
-        ("b/y", 2),
-    ]
+    hashed = {p: hashlib.sha256(p.encode()).hexdigest()[:16] for p in ("b/X.PDF", "b/y", "b/x~2.pdf", "b/x.txt")}
+    assert sorted((r.output, r.n_bytes) for r in report) == sorted(
+        [
+            ("a/x.txt", 1),
+            ("b/x.txt", 1),
+            (f"b/x~{hashed['b/X.PDF']}.txt", 1),
+            (f"b/y~{hashed['b/y']}", 2),
+            (f"b/x~2~{hashed['b/x~2.pdf']}.txt", 1),
+            (f"b/x~{hashed['b/x.txt']}.txt", 1),
+        ]
+    )
     found = {}
     for base, _, files in os.walk(f"{folder}/out"):
         for name in files:
             with open(os.path.join(base, name)) as f:
                 found[os.path.relpath(os.path.join(base, name), f"{folder}/out")] = f.read()
-    assert sorted(found.values()) == sorted("123ñ")
+    assert sorted(found.values()) == sorted("123ñ45")
     assert found["a/x.txt"] == "1"
     # A second run replaces the files.
     pm.write_text_files(classified(spark, [("file:/in/a/x.pdf", "new")]), f"{folder}/out", f"{folder}/report2", "/in")
@@ -491,6 +523,9 @@ def test_only_indexed_sources_are_removed(spark, folder):
         assert sorted(r.path.split("/")[-1] for r in report) == ["a.pdf", "b c.pdf"]
         assert all(r.deleted and r.error is None for r in report)
         assert os.listdir(f"{folder}/in") == ["d.pdf"]
+    # What is not found was deleted only if an earlier try says so.
+    unknown = pm.remove_sources(files, index, f"{folder}/other", dry_run=False).collect()
+    assert not any(r.deleted for r in unknown) and all("FileNotFound" in r.error for r in unknown)
 
 
 def rules(documents):
@@ -510,7 +545,8 @@ def test_batch_job(spark, folder):
     assert got == {"a.pdf": "fruit", "sub/b.PDF": "tool"}
     assert pm.read_archive(spark, result.archived).count() == 2
     assert not any(r.deleted for r in result.removed.collect())
-    with open(f"{folder}/text/sub/b.txt") as f:
+    digest = hashlib.sha256(b"sub/b.PDF").hexdigest()[:16]
+    with open(f"{folder}/text/sub/b~{digest}.txt") as f:
         assert f.read() == f"spa:a hammer{FOOTER_BEFORE}1{FOOTER_AFTER}"
 
     # The run may be repeated until it deletes sources.
@@ -625,14 +661,29 @@ def test_stream_survives_a_failed_batch(spark, folder):
 
 
 def test_storage_places():
+    from pyarrow import fs
+
     from pagemill.functions.storage import resolver
 
-    resolve = resolver()
+    resolve = resolver("file:///")
     assert resolve("file:/a/b c.pdf")[1] == resolve("file:///a/b c.pdf")[1] == resolve("/a/b c.pdf")[1] == "/a/b c.pdf"
-
-
-def test_spread_leaves_tables_in_many_pieces_alone(spark):
-    many = spark.range(0, 100, 1, 20)
-    assert pm.spread(many, 10) is many
-    few = pm.spread(spark.range(0, 100, 1, 2), 10)
-    assert few.rdd.getNumPartitions() == 10 and few.count() == 100
+    # A path without a scheme lies on the default file system.
+    asked = []
+    original = fs.FileSystem.from_uri
+    try:
+        fs_class = type("Fake", (), {"from_uri": staticmethod(lambda uri: asked.append(uri) or ("system", "/"))})
+        fs.FileSystem, kept = fs_class, fs.FileSystem
+        assert resolver("hdfs://name:9000")("/out/a") == ("system", "/out/a")
+    finally:
+        fs.FileSystem = kept
+    assert asked == ["hdfs://name:9000/"] and fs.FileSystem.from_uri == original
+
+
+def test_sources_with_lost_pages_survive(spark, folder):
+    put(f"{folder}/in", {"good.pdf": "an apple\fmore", "lost.pdf": "apple\funrenderable\fpear", "bad.pdf": "broken"})
+    arguments = (spark, f"{folder}/in", f"{folder}/out", "r", RUN, form_feed_engine(), rules)
+    result = pm.ingest(*arguments, max_pages=1, remove=True)
+    assert sorted(os.listdir(f"{folder}/in")) == ["bad.pdf", "lost.pdf"]
+    failed = {(r.path.split("/")[-1], r.page_no) for r in result.failed.collect()}
+    assert failed == {("bad.pdf", None), ("lost.pdf", 2)}
+    assert names(result.pages.select("path").distinct(), f"{folder}/in") == ["good.pdf", "lost.pdf"]
