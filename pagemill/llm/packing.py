@@ -16,7 +16,9 @@ itself. No rows give no sequences. Other columns are dropped from the pieces but
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.llm.bpe import byte_alphabet
 from pagemill.llm.common import stored
 from pagemill.llm.segments import Memo, words
 
@@ -35,19 +38,53 @@ END_TOKEN = 1
 BUCKETS = 1024
 
 
+#: Words without characters past U+017F, for which there is nothing to compose and lower case is one to one.
+_PLAIN = re.compile("[^\u0180-\U0010ffff\x1c-\x1f\u0130]*")
+_LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
+_DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+")
+
+
+def tokenizer_parts(word: str) -> list[str] | None:
+    """The tokenizer's own pieces of a word (runs of letters, single digits, runs of signs) in lower case; None for a word
+    with characters of which only the tokenizer knows what it makes."""
+    if "<|" not in word and _PLAIN.fullmatch(word):
+        return _PARTS.findall(word.lower())
+    return None
+
+
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> Memo:
+    """Ids of words, from the ids of their parts, which many words share."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    encode = tokenizer.encode_batch_fast
-    return Memo(lambda texts: [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)])
+    merge = tokenizer.model.tokenize
+    shown = {byte: character for character, byte in byte_alphabet().items()}
+
+    def of_parts(parts: list[str]) -> list[bytes]:
+        written = [p.encode().decode("latin-1").translate(shown) for p in parts]
+        return [array("I", [t.id for t in merge(w)]).tobytes() for w in written]
+
+    known = Memo(of_parts, entries=300_000)
+
+    def of_words(pieces: list[str]) -> list[bytes]:
+        cut = [tokenizer_parts(p) for p in pieces]
+        ids = iter(known.of([x for parts in cut if parts for x in parts]))
+        return [
+            array("I", tokenizer.encode(p, add_special_tokens=False).ids).tobytes()
+            if parts is None
+            else b"".join([next(ids) for _ in parts])
+            for p, parts in zip(pieces, cut, strict=True)
+        ]
+
+    return Memo(of_words, entries=500_000)
 
 
 def document_ids(text: str, path: str) -> bytes:
-    """Ids of a text as little-endian 32-bit integers. The vocabulary drops white space, so words are encoded one by one."""
+    """Ids of a text as little-endian 32-bit integers."""
     return b"".join(_word_ids(path).of(words(text)))
 
 

@@ -44,22 +44,25 @@ class Memo:
         self.old: dict = {}
 
     def of(self, pieces: list[str]) -> list:
-        """Results in order. Those of pieces over ``longest`` characters are not kept."""
+        """Results in order; ``batch`` never gives None. Those of pieces over ``longest`` characters are not kept."""
         young = self.young
-        try:
-            return [young[p] for p in pieces]
-        except KeyError:
-            pass
-        old, missing, brief = self.old, [], {}
-        for p in dict.fromkeys(pieces):
-            if p not in young:
-                if p in old:
-                    young[p] = old[p]
-                else:
-                    missing.append(p)
-        for p, found in zip(missing, self.batch(missing), strict=True):
-            (young if len(p) <= self.longest else brief)[p] = found
-        results = [brief[p] if p in brief else young[p] for p in pieces] if brief else [young[p] for p in pieces]
+        results = list(map(young.get, pieces))
+        if None not in results:
+            return results
+        places = [k for k, found in enumerate(results) if found is None]
+        old, missing, fresh = self.old, [], {}
+        for p in dict.fromkeys([pieces[k] for k in places]):
+            found = old.get(p)
+            if found is None:
+                missing.append(p)
+            else:
+                young[p] = fresh[p] = found
+        for p, found in zip(missing, self.batch(missing) if missing else (), strict=True):
+            fresh[p] = found
+            if len(p) <= self.longest:
+                young[p] = found
+        for k in places:
+            results[k] = fresh[pieces[k]]
         if len(young) > self.entries:
             self.young, self.old = {}, young
         return results
