@@ -150,7 +150,7 @@ def count_tokens(
             *rest, *own_text, "n_bytes", "n_tokens", "over_limit"
         )
 
-    sized = docs.withColumn("n_bytes", F.octet_length(whole).cast("long"))
+    sized = docs.select(*rest, *own_text).withColumn("n_bytes", F.octet_length(whole).cast("long"))
     short = finish(sized.where(~is_long).withColumn("n_tokens", counts(whole)))
     long_rows = sized.where(is_long).withColumn("_key", F.sha2(F.col(text).cast("binary"), 256))
 
