@@ -17,10 +17,10 @@ from pagemill.llm import bpe, packing, queries, token_counts
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = {p: Tokenizer.from_file(p) for p in (BYTE, WORD)}
-ODD_TEXTS = st.text(
-    st.sampled_from(list("abcdefgh ABC '\n\t\r.,;!?#%0123456789éßñ漢😀\x1c\x1d\x85\xa0\u3000") + ["<|endoftext|>", "'ll", " the", "  "]),
+ODD_TEXTS = st.lists(
+    st.sampled_from([*"abcdefgh ABCÀİΣ '\n\t\r.,;!?#%0123456789²½éßñ漢😀\x1c\x1d\x85\xa0\u3000\u0301", "<|endoftext|>", "'ll", " the", "  "]),
     max_size=60,
-)
+).map("".join)
 
 
 def ids(path, text):
@@ -168,7 +168,7 @@ def test_ranges_place_each_piece_once(counts):
         rows += [{"sequence_id": sequence + k, "offset": offset, "length": length} for k in range(count)]
     assert {w: sorted(n) for w, n in numbers.items()} == {w: list(range(n)) for w, n in counts.items()}
     assert check_packed(rows, 64) == sequences
-    assert sequences <= 11 / 9 * -(-sum(w * n for w, n in counts.items()) // 64) * 1.5 + 1
+    assert sequences <= 2 * sum(w * n for w, n in counts.items()) / 64 + 1  # two sequences at most half full would be one
 
 
 @pytest.mark.parametrize("text", ["no cut here", "two  spaces", "\nstart", "end \n"])
