@@ -90,33 +90,32 @@ def index_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return old, new
 
 
+def gray_values(column: str = "embedding"):
+    """Each component of a vector as a gray value."""
+    return F.transform(
+        column,
+        lambda e: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(F.lit(128) + e.cast("double") * 500))).cast("int"),
+    )
+
+
+def square(values, *names: str):
+    """64 values as 8 lines of 8, with the place of each line."""
+    lines = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda y: F.slice(values, y * 8 + 1, F.lit(8)))
+    return F.posexplode(lines).alias(*names)
+
+
 def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each embedding as an image of 8 x 8 pixels."""
-    value = F.floor(F.lit(128) + F.col("e").cast("double") * 500)
-    return (
-        table(spark, sf_dir, "embeddings")
-        .select(F.col("vec_id").alias("image_id"), F.posexplode("embedding").alias("k", "e"))
-        .select(
-            "image_id",
-            F.floor(F.col("k") / 8).cast("int").alias("y"),
-            (F.col("k") % 8).cast("int").alias("x"),
-            F.least(F.lit(255), F.greatest(F.lit(0), value)).cast("int").alias("v"),
-        )
-    )
+    image = F.col("vec_id").alias("image_id")
+    return table(spark, sf_dir, "embeddings").select(image, square(gray_values(), "y", "v"))
 
 
 def tall_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each embedding as one line of 64 pixels, 250 lines to an image."""
-    value = F.floor(F.lit(128) + F.col("e").cast("double") * 500)
-    return (
-        table(spark, sf_dir, "embeddings")
-        .select("vec_id", F.posexplode("embedding").alias("x", "e"))
-        .select(
-            F.floor(F.col("vec_id") / 250).cast("long").alias("image_id"),
-            (F.col("vec_id") % 250).cast("int").alias("y"),
-            "x",
-            F.least(F.lit(255), F.greatest(F.lit(0), value)).cast("int").alias("v"),
-        )
+    return table(spark, sf_dir, "embeddings").select(
+        F.floor(F.col("vec_id") / 250).cast("long").alias("image_id"),
+        (F.col("vec_id") % 250).cast("int").alias("y"),
+        gray_values().alias("v"),
     )
 
 

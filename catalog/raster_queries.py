@@ -13,34 +13,25 @@ TALL = {"t": 128, "noise": 3, "grow": 9, "shrink": 5}
 FULL = {"t": 128, "noise": 3, "grow": 100, "shrink": 50}
 
 
-def _rgb(spark, sf):
-    """Three channels of one image from three embedding values each."""
-    value = lambda c: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(F.lit(128) + c.cast("double") * 500)))
-    at = lambda k: F.element_at("embedding", k)
-    shifted = F.transform(
-        "embedding",
-        lambda e, k: F.struct(
-            value(e).cast("int").alias("r"),
-            value(at(((k + 1) % 64 + 1).cast("int"))).cast("int").alias("g"),
-            value(at(((k + 2) % 64 + 1).cast("int"))).cast("int").alias("b"),
-        ),
-    )
-    return (
-        fx.table(spark, sf, "embeddings")
-        .select(F.col("vec_id").alias("image_id"), F.posexplode(shifted).alias("k", "c"))
-        .select(
-            "image_id",
-            F.floor(F.col("k") / 8).cast("int").alias("y"),
-            (F.col("k") % 8).cast("int").alias("x"),
-            "c.r",
-            "c.g",
-            "c.b",
-        )
-    )
+def _pixels(query):
+    """The query's lines as pixels, at the last step only."""
+
+    def run(spark, sf):
+        return pm.to_pixels(query(spark, sf))
+
+    return run
 
 
 def to_gray(spark, sf):
-    return pm.to_gray(_rgb(spark, sf))
+    """Three channels of one image from three embedding values each."""
+    values = fx.gray_values()
+
+    def shifted(by):
+        return F.concat(F.slice(values, by + 1, 64 - by), F.slice(values, 1, by)) if by else values
+
+    channels = F.arrays_zip(values.alias("r"), shifted(1).alias("g"), shifted(2).alias("b"))
+    rgb = fx.table(spark, sf, "embeddings").select(F.col("vec_id").alias("image_id"), fx.square(channels, "y", "c"))
+    return pm.to_gray(rgb.select("image_id", "y", "c.r", "c.g", "c.b"))
 
 
 def binarize_inv(spark, sf):
@@ -115,26 +106,26 @@ def clean_image_full_kernels(spark, sf):
 
 def sparse_images(spark, sf):
     """Dropping the white pixels leaves images that no longer fill their rectangle."""
-    return pm.sparse_images(fx.raster(spark, sf).where(F.col("v") < 255))
+    return pm.sparse_images(pm.to_pixels(fx.raster(spark, sf)).where(F.col("v") < 255))
 
 
 QUERIES = {
-    "to_gray": to_gray,
-    "binarize_inv": binarize_inv,
-    "erode_3": erode_3,
-    "dilate_100": dilate_100,
-    "erode_50": erode_50,
-    "erode_mask": erode_mask,
-    "dilate_mask": dilate_mask,
+    "to_gray": _pixels(to_gray),
+    "binarize_inv": _pixels(binarize_inv),
+    "erode_3": _pixels(erode_3),
+    "dilate_100": _pixels(dilate_100),
+    "erode_50": _pixels(erode_50),
+    "erode_mask": _pixels(erode_mask),
+    "dilate_mask": _pixels(dilate_mask),
     "nonzero": nonzero,
-    "apply_mask": apply_mask,
+    "apply_mask": _pixels(apply_mask),
     "bounding_box": bounding_box,
-    "crop": crop,
-    "half_size": half_size,
-    "half_size_cropped": half_size_cropped,
-    "clean_image": clean_image,
-    "clean_image_tall": clean_image_tall,
-    "clean_image_full_kernels": clean_image_full_kernels,
+    "crop": _pixels(crop),
+    "half_size": _pixels(half_size),
+    "half_size_cropped": _pixels(half_size_cropped),
+    "clean_image": _pixels(clean_image),
+    "clean_image_tall": _pixels(clean_image_tall),
+    "clean_image_full_kernels": _pixels(clean_image_full_kernels),
     "sparse_images": sparse_images,
 }
 

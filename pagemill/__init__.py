@@ -12,7 +12,9 @@ from pagemill.operators.extract import (
     document_page_counts,
     extract_pages,
     failed_pages,
+    recognize_rasters,
     recognize_words,
+    render_rasters,
     segment_regions,
 )
 from pagemill.operators.filters import (
@@ -53,6 +55,8 @@ from pagemill.operators.raster import (
     nonzero,
     sparse_images,
     to_gray,
+    to_lines,
+    to_pixels,
 )
 from pagemill.operators.records import flatten_text, index_record, output_name, preview, strip_scheme
 from pagemill.plans.ingest import IngestResult, index_texts, ingest, ingest_pages

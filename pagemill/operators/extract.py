@@ -7,6 +7,7 @@ An engine is any object with
 * ``recognize(image, lang, rect) -> str``; ``rect`` is None or ``(x, y, w, h)``, the part of the image to read
 * for words: ``words(image, lang, rect, level) -> iterable of (text, confidence, x, y, w, h)``
 * for regions: ``regions(image, level) -> iterable of (x, y, w, h)``
+* for rasters: ``raster(image) -> iterable of lines of gray values``, and ``image(lines) -> image``
 * optionally ``close()``
 
 ``file`` is a seekable binary file. A factory for the engine is passed, and called once per task, so that a costly
@@ -33,6 +34,7 @@ _WORD_SCHEMA = (
     "ok boolean, error string"
 )
 _REGION_SCHEMA = "path string, page_no int, region_no int, box struct<x:int,y:int,w:int,h:int>, ok boolean, error string"
+_RASTER_SCHEMA = "path string, page_no int, y int, v array<int>, ok boolean, error string"
 _RECT = ("rx", "ry", "rw", "rh")
 _COUNT_SCHEMA = "path string, n_pages int, ok boolean, error string"
 
@@ -66,7 +68,7 @@ def _batched() -> Callable[..., Any]:
         for row in rows:
             for values, value in zip(columns, row):
                 values.append(value)
-                if isinstance(value, str):
+                if isinstance(value, (str, list)):
                     n_chars += len(value)
             if len(columns[0]) >= 2000 or n_chars >= 16_000_000:
                 yield batch(columns)
@@ -240,6 +242,49 @@ def segment_regions(
     return _map_images(batches, engine, num_partitions, _REGION_SCHEMA, recognized, lost)
 
 
+def render_rasters(batches: DataFrame, engine: Callable[[], Any], num_partitions: int | None = None) -> DataFrame:
+    """``(path, page_no, y, v, ok, error)``: the pixels of each rendered page, a row per line, for the raster operators.
+
+    The engine gives them with ``raster(image) -> iterable of lines of gray values``. A page without pixels is one row
+    with its error.
+    """
+
+    def recognized(reader, path, page_no, image, rect):
+        try:
+            for y, line in enumerate(reader.raster(image)):
+                yield path, page_no, y, line, True, None
+        except Exception as e:
+            yield lost(path, page_no, f"{type(e).__name__}: {e}")
+
+    def lost(path, page_no, error):
+        return path, page_no, None, None, False, error
+
+    return _map_images(batches, engine, num_partitions, _RASTER_SCHEMA, recognized, lost)
+
+
+def recognize_rasters(lines: DataFrame, engine: Callable[[], Any], lang: str = LANGUAGE) -> DataFrame:
+    """Lines ``(path, page_no, y, v)``, cleaned for example, to the page table of :func:`extract_pages`.
+
+    The engine makes an image of them with ``image(lines)``. The lines of one page meet in one task.
+    """
+
+    def recognize(key, group):
+        import pandas as pd
+
+        reader = engine()
+        try:
+            image = reader.image(group.sort_values("y")["v"].tolist())
+            row = (*key, reader.recognize(image, lang, None), True, None)
+        except Exception as e:
+            row = (*key, "", False, f"{type(e).__name__}: {e}")
+        finally:
+            getattr(reader, "close", lambda: None)()
+        return pd.DataFrame([row], columns=["path", "page_no", "page_text", "ok", "error"])
+
+    rows = lines.where(F.col("v").isNotNull()).select("path", "page_no", "y", "v")
+    return rows.groupBy("path", "page_no").applyInPandas(recognize, PAGE_SCHEMA)
+
+
 def complete_documents(pages: DataFrame) -> DataFrame:
     """``(path)`` of the documents all of whose pages were read."""
     return pages.groupBy("path").agg(F.bool_and("ok").alias("ok")).where("ok").select("path")

@@ -1,238 +1,307 @@
-"""Image cleaning on raster tables.
+"""Image cleaning on rasters held as lines.
 
-A raster table is ``(image_id, y, x, v)`` with one row per pixel and values from 0 to 255. Rectangular erosion and
-dilation are separable, so each is a pass along the rows and a pass along the columns. Pixels are partitioned by
-``(image_id, y)`` or ``(image_id, x)``, so one task holds one line of an image at a time and a single image may be any
-share of the data. Kernels are anchored at ``k // 2`` and clipped at the border.
+A raster table is ``(image_id, y, v)`` with one row per line of an image; ``v`` holds the line's values from 0 to 255, and a
+pixel's ``x`` is its place in it. :func:`to_lines` and :func:`to_pixels` lead from and to one row per pixel.
+
+Box filters work on tiles: each task gets a square of pixels with as much of its surroundings as the kernels reach, runs
+all passes on it in memory, and gives back the square. So a chain of filters takes one shuffle of tiles and one that puts
+lines together again, a single image may be any share of the data, and no task holds more than a tile. A pass costs
+the same for any kernel: least and greatest values run up and down inside blocks of the kernel's size. Kernels are
+anchored at ``k // 2`` and clipped at the border.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.fixed import GROW_KERNEL, NOISE_KERNEL, SHRINK_KERNEL, THRESHOLD, WHITE
 
-_ACROSS = {"x": "y", "y": "x"}
+# Pixels along a side of a tile, without its surroundings. Results do not depend on it.
+_TILE = 1024
+# Pixel and mask in one number: the pixel, plus this where the mask is set.
+_SET = 256
+
+
+def to_lines(px: DataFrame, *values: str) -> DataFrame:
+    """One row per pixel ``(image_id, y, x, v)`` to lines; with ``values`` these columns in place of ``v``."""
+    names = values or ("v",)
+    line = F.array_sort(F.collect_list(F.struct("x", *names)))
+    return px.groupBy("image_id", "y").agg(line.alias("line")).select(
+        "image_id", "y", *[F.col(f"line.{n}").alias(n) for n in names]
+    )
 
 
-def to_gray(px: DataFrame) -> DataFrame:
+def to_pixels(lines: DataFrame) -> DataFrame:
+    """Lines to one row per pixel ``(image_id, y, x, v)``."""
+    return lines.select("image_id", "y", F.posexplode("v").alias("x", "v"))
+
+
+def to_gray(lines: DataFrame) -> DataFrame:
     """``r, g, b`` to one gray value: 0.299, 0.587 and 0.114, rounded half up, in whole numbers."""
-    weighted = F.col("r") * 299 + F.col("g") * 587 + F.col("b") * 114 + 500
-    return px.select("image_id", "y", "x", F.floor(weighted / 1000).cast("int").alias("v"))
+    gray = F.transform(
+        F.arrays_zip("r", "g", "b"),
+        lambda p: F.floor((p["r"] * 299 + p["g"] * 587 + p["b"] * 114 + 500) / 1000).cast("int"),
+    )
+    return lines.select("image_id", "y", gray.alias("v"))
 
 
-def binarize_inv(px: DataFrame, t: int = THRESHOLD) -> DataFrame:
+def binarize_inv(lines: DataFrame, t: int = THRESHOLD) -> DataFrame:
     """Ink (at most ``t``) becomes 255, paper 0."""
-    return px.withColumn("v", F.when(F.col("v") > t, F.lit(0)).otherwise(F.lit(WHITE)))
+    return lines.withColumn("v", F.transform("v", lambda p: F.when(p > t, F.lit(0)).otherwise(F.lit(WHITE))))
 
 
-def _line(along: str) -> WindowSpec:
-    return Window.partitionBy("image_id", _ACROSS[along]).orderBy(along)
+def _slide(a: np.ndarray, k: int, axis: int, pick: np.ufunc, neutral: int) -> np.ndarray:
+    """``pick`` over windows of ``k`` along an axis: a running value up to the window's end and one down from its start."""
+    a = np.moveaxis(a, axis, -1)
+    n = a.shape[-1]
+    whole = -(-(n + k - 1) // k) * k
+    padded = np.full((*a.shape[:-1], whole), neutral, a.dtype)
+    padded[..., k // 2 : k // 2 + n] = a
+    blocks = padded.reshape(*a.shape[:-1], whole // k, k)
+    up = pick.accumulate(blocks, axis=-1).reshape(padded.shape)
+    down = pick.accumulate(blocks[..., ::-1], axis=-1)[..., ::-1].reshape(padded.shape)
+    return np.moveaxis(pick(down[..., :n], up[..., k - 1 : k - 1 + n]), -1, axis)
 
 
-def _box(px: DataFrame, k: int, pick: Callable[[str], Column]) -> DataFrame:
-    low, high = -(k // 2), k - 1 - k // 2
-    for along in ("x", "y"):
-        px = px.withColumn("v", pick("v").over(_line(along).rangeBetween(low, high)))
-    return px
+def _least(a: np.ndarray, k: int) -> np.ndarray:
+    return _slide(_slide(a, k, 1, np.minimum, WHITE), k, 0, np.minimum, WHITE)
 
 
-def erode(px: DataFrame, k: int = NOISE_KERNEL) -> DataFrame:
-    """Least value in a k x k box."""
-    return _box(px, k, F.min)
+def _greatest(a: np.ndarray, k: int) -> np.ndarray:
+    return _slide(_slide(a, k, 1, np.maximum, 0), k, 0, np.maximum, 0)
 
 
-def dilate(px: DataFrame, k: int = GROW_KERNEL) -> DataFrame:
-    """Greatest value in a k x k box."""
-    return _box(px, k, F.max)
+def _tiled(lines: DataFrame, reach: int, work: Callable[[np.ndarray], np.ndarray], tile: int | None = None) -> DataFrame:
+    """``work`` on tiles of the image with ``reach`` pixels around them, as far as the image goes."""
+    side = tile or _TILE
+    known = lines.where(F.col("image_id").isNotNull() & F.col("y").isNotNull() & F.col("v").isNotNull())
+    tiles = F.sequence(F.lit(0), F.floor(F.greatest(F.lit(0), F.size("v") - 1) / F.lit(side)).cast("int"))
 
+    def start(t: Column) -> Column:
+        return F.greatest(F.lit(0), t * side - reach)
 
-def _reached(source: Column, k: int, along: str) -> Column:
-    """Whether the kernel's line through a pixel holds a pixel for which ``source`` is true, for any ``k`` at one cost.
+    cut = F.transform(
+        tiles, lambda t: F.struct(t.alias("tx"), F.slice("v", start(t) + 1, (t + 1) * side + reach - start(t)).alias("part"))
+    )
+    rows = F.sequence(
+        F.floor(F.greatest(F.lit(0), F.col("y") - reach) / F.lit(side)).cast("int"),
+        F.floor((F.col("y") + reach) / F.lit(side)).cast("int"),
+    )
+    dealt = known.select("image_id", "y", F.explode(cut).alias("c")).select(
+        "image_id", "y", "c.tx", "c.part", F.explode(rows).alias("ty")
+    )
+
+    def of_tiles(frame: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
+        ys, parts, chosen, results = frame["y"].to_numpy(), frame["part"].to_list(), [], []
+        for first, last in zip(starts, [*starts[1:], len(frame)]):
+            tx, ty = frame["tx"].iat[first], frame["ty"].iat[first]
+            own = np.flatnonzero(ys[first:last] // side == ty)
+            if len(own):
+                left = tx * side - max(0, tx * side - reach)
+                result = work(np.stack(parts[first:last]).astype(np.int16))[own, left : left + side]
+                chosen.append(own + first)
+                results += list(result.astype(np.int32))
+        if not chosen:
+            return frame.iloc[:0][["image_id", "y", "tx", "part"]]
+        rows = np.concatenate(chosen)
+        return frame.iloc[rows][["image_id", "y", "tx"]].assign(part=results)
+
+    def filtered(batches):
+        held = None
+        for batch in batches:
+            frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            keys = frame[["image_id", "tx", "ty"]]
+            starts = np.flatnonzero((keys != keys.shift()).any(axis=1)).tolist()
+            if len(starts) > 1:
+                yield of_tiles(frame.iloc[: starts[-1]], starts[:-1])
+            held = frame.iloc[starts[-1] :] if starts else None
+        if held is not None and len(held):
+            yield of_tiles(held, [0])
+
+    kind = lines.schema["image_id"].dataType.simpleString()
+    keys = ("image_id", "tx", "ty")
+    parts = (
+        dealt.repartition(*keys)
+        .sortWithinPartitions(*keys, "y")
+        .mapInPandas(filtered, f"image_id {kind}, y int, tx int, part array<int>")
+    )
+    # Said here for all who use the result, for whom Spark would otherwise say it one by one, and then share no shuffle.
+    parts = parts.where(F.col("image_id").isNotNull() & F.col("y").isNotNull())
+    whole = F.array_sort(F.collect_list(F.struct("tx", "part")))
+    return parts.groupBy("image_id", "y").agg(whole.alias("parts")).select(
+        "image_id", "y", F.flatten("parts.part").alias("v")
+    )
 
-    The last such pixel up to the far end of the kernel is a running maximum, so a kernel of 100 takes no longer than
-    one of 3.
-    """
-    low, high = -(k // 2), k - 1 - k // 2
-    here = F.col(along)
-    last = F.max(F.when(source, here)).over(_line(along).rangeBetween(Window.unboundedPreceding, high))
-    return F.coalesce(last >= here + low, F.lit(False))
 
+def erode(lines: DataFrame, k: int = NOISE_KERNEL) -> DataFrame:
+    """Least value in a k x k box."""
+    least = _least
+    return _tiled(lines, k, lambda a: least(a, k))
 
-def _spread(px: DataFrame, value: int, k: int) -> DataFrame:
-    for along in ("x", "y"):
-        hit = _reached(F.col("v") == value, k, along)
-        px = px.withColumn("v", F.when(hit, F.lit(value)).otherwise(F.lit(WHITE - value)))
-    return px
+
+def dilate(lines: DataFrame, k: int = GROW_KERNEL) -> DataFrame:
+    """Greatest value in a k x k box."""
+    greatest = _greatest
+    return _tiled(lines, k, lambda a: greatest(a, k))
 
 
-def erode_mask(px: DataFrame, k: int = NOISE_KERNEL) -> DataFrame:
-    """:func:`erode` for masks of 0 and 255, at a cost that does not depend on ``k``."""
-    return _spread(px, 0, k)
+def erode_mask(lines: DataFrame, k: int = NOISE_KERNEL) -> DataFrame:
+    """:func:`erode` of a mask of 0 and 255."""
+    return erode(lines, k)
 
 
-def dilate_mask(px: DataFrame, k: int = GROW_KERNEL) -> DataFrame:
-    """:func:`dilate` for masks of 0 and 255, at a cost that does not depend on ``k``."""
-    return _spread(px, WHITE, k)
+def dilate_mask(lines: DataFrame, k: int = GROW_KERNEL) -> DataFrame:
+    """:func:`dilate` of a mask of 0 and 255."""
+    return dilate(lines, k)
 
 
-def nonzero(px: DataFrame) -> DataFrame:
-    return px.where(F.col("v") != 0).select("image_id", "y", "x")
+def nonzero(lines: DataFrame) -> DataFrame:
+    """``(image_id, y, x)`` of the pixels that are set."""
+    return to_pixels(lines).where(F.col("v") != 0).select("image_id", "y", "x")
 
 
-def apply_mask(px: DataFrame, mask: DataFrame) -> DataFrame:
+def apply_mask(lines: DataFrame, mask: DataFrame) -> DataFrame:
     """The pixel where the mask is set, white elsewhere."""
-    m = mask.select("image_id", "y", "x", F.col("v").alias("m"))
-    kept = F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE))
-    return px.join(m, ["image_id", "y", "x"]).select("image_id", "y", "x", kept.alias("v"))
+    m = mask.select("image_id", "y", F.col("v").alias("m"))
+    kept = F.zip_with("v", "m", lambda p, on: F.when(on != 0, p).otherwise(F.lit(WHITE)))
+    return lines.join(m, ["image_id", "y"]).select("image_id", "y", kept.alias("v"))
 
 
-def bounding_box(mask: DataFrame, col: str = "v") -> DataFrame:
-    """``(image_id, bx, by, bw, bh)`` around the pixels that are set; no row for an empty mask."""
+def _boxes(lines: DataFrame, is_set: Callable[[Column], Column]) -> DataFrame:
+    places = F.filter(F.transform("v", lambda p, x: F.when(is_set(p), x)), lambda x: x.isNotNull())
     return (
-        mask.where(F.col(col) != 0)
+        lines.select("image_id", "y", places.alias("xs"))
+        .where(F.size("xs") > 0)
         .groupBy("image_id")
         .agg(
-            F.min("x").alias("bx"),
+            F.min(F.array_min("xs")).alias("bx"),
             F.min("y").alias("by"),
-            (F.max("x") - F.min("x") + 1).alias("bw"),
+            (F.max(F.array_max("xs")) - F.min(F.array_min("xs")) + 1).alias("bw"),
             (F.max("y") - F.min("y") + 1).alias("bh"),
         )
     )
 
 
-def _cut(px: DataFrame, box: DataFrame) -> DataFrame:
-    """``(image_id, y, x, v, w, h)``: pixels inside the box and the size of the box.
+def bounding_box(mask: DataFrame) -> DataFrame:
+    """``(image_id, bx, by, bw, bh)`` around the pixels that are set; no row for an empty mask."""
+    return _boxes(mask, lambda p: p != 0)
+
 
-    The box is listed once per column, so the join is on ``(image_id, x)``: a large image is spread over its columns,
-    and pixels that a column pass has just partitioned stay where they are.
+def _cut(lines: DataFrame, box: DataFrame) -> DataFrame:
+    """``(image_id, y, v, h)``: the part inside the box, and the box's height.
+
+    The box is listed once per line, so the join is on ``(image_id, y)`` and a large image is spread over its lines.
     """
-    columns = box.select(
+    listed = box.withColumn("y", F.explode(F.sequence(F.col("by"), F.col("by") + F.col("bh") - 1)))
+    return lines.join(listed, ["image_id", "y"]).select(
         "image_id",
-        "bx",
-        "by",
-        "bw",
-        "bh",
-        F.explode(F.sequence(F.col("bx"), F.col("bx") + F.col("bw") - 1)).alias("x"),
-    )
-    return (
-        px.join(columns, ["image_id", "x"])
-        .where((F.col("y") >= F.col("by")) & (F.col("y") < F.col("by") + F.col("bh")))
-        .select(
-            "image_id",
-            (F.col("y") - F.col("by")).alias("y"),
-            (F.col("x") - F.col("bx")).alias("x"),
-            "v",
-            F.col("bw").alias("w"),
-            F.col("bh").alias("h"),
-        )
+        (F.col("y") - F.col("by")).alias("y"),
+        F.slice("v", F.col("bx") + 1, F.col("bw")).alias("v"),
+        F.col("bh").alias("h"),
     )
 
 
-def crop(px: DataFrame, box: DataFrame) -> DataFrame:
+def crop(lines: DataFrame, box: DataFrame) -> DataFrame:
     """Pixels inside the image's box, counted from its corner."""
-    return _cut(px, box).select("image_id", "y", "x", "v")
-
-
-def _halve(px: DataFrame, along: str, size: str) -> DataFrame:
-    """Overlap-weighted sums of ``v`` onto half as many places along one direction, in whole numbers.
-
-    ``size`` is the length of the line; where it is not known it comes from the line itself, so no image-wide table is
-    joined. A line of one pixel has no half.
-    """
-    if size not in px.columns:
-        line = Window.partitionBy("image_id", _ACROSS[along])
-        px = px.withColumn(size, F.max(along).over(line) + 1)
-    n, half = F.col(size), F.floor(F.col(size) / 2).cast("int")
-    near = (F.col(along) * half / n).cast("int")
-    far = (((F.col(along) + 1) * half - 1) / n).cast("int")
-    overlap = F.least((F.col(along) + 1) * half, (F.col("place") + 1) * n) - F.greatest(
-        F.col(along) * half, F.col("place") * n
+    return _cut(lines, box).drop("h")
+
+
+def _half_line(v: np.ndarray) -> np.ndarray:
+    """Overlap-weighted sums onto half as many places: a place is ``n`` long where a pixel is ``n // 2`` long."""
+    n, half = len(v), len(v) // 2
+    line = np.concatenate([[0], np.cumsum(v, dtype=np.int64)]) * half
+    ends = np.arange(half + 1, dtype=np.int64) * n
+    pixel = ends // half
+    upto = line[pixel] + np.append(v, 0)[pixel] * (ends % half)
+    return np.diff(upto)
+
+
+def _halved(lines: DataFrame) -> DataFrame:
+    """Half the width and height of lines that know the height ``h`` of their image."""
+    half_line = _half_line
+
+    @F.pandas_udf("array<bigint>")
+    def across(v: pd.Series) -> pd.Series:
+        return v.map(half_line)
+
+    @F.pandas_udf("array<int>")
+    def averaged(sums: pd.Series, weights: pd.Series, area: pd.Series) -> pd.Series:
+        totals = [
+            sum(s.astype(np.int64) * w for s, w in zip(rows, by, strict=True)) for rows, by in zip(sums, weights, strict=True)
+        ]
+        return pd.Series([((2 * t + a) // (2 * a)).astype(np.int32) for t, a in zip(totals, area, strict=True)], dtype=object)
+
+    rows = (
+        lines.where((F.size("v") > 1) & (F.col("h") > 1))
+        .withColumn("h", F.col("h").cast("bigint"))
+        .withColumn("y", F.col("y").cast("bigint"))
+        .select("image_id", "y", "h", (F.size("v") * F.col("h")).alias("area"), across("v").alias("s"))
     )
-    sizes = [c for c in ("w", "h") if c in px.columns]
+    near, far = F.expr("y * (h div 2) div h"), F.expr("((y + 1) * (h div 2) - 1) div h")
+    weight = F.expr("least((y + 1) * (h div 2), (place + 1) * h) - greatest(y * (h div 2), place * h)")
     return (
-        px.where(n > 1)
-        .withColumn("place", F.explode(F.sequence(near, far)))
-        .groupBy("image_id", _ACROSS[along], F.col("place").alias(along), *sizes)
-        .agg(F.sum(F.col("v") * overlap).alias("v"))
+        rows.withColumn("place", F.explode(F.sequence(near, far)))
+        .withColumn("weight", weight)
+        .groupBy("image_id", F.col("place").cast("int").alias("y"), "area")
+        .agg(F.collect_list(F.struct("s", "weight")).alias("rows"))
+        .select("image_id", "y", averaged(F.col("rows.s"), F.col("rows.weight"), "area").alias("v"))
     )
 
 
-def _half_size(px: DataFrame) -> DataFrame:
-    summed = _halve(_halve(px, "y", "h"), "x", "w")
-    value = F.expr("(2 * v + cast(w AS bigint) * h) div (2 * cast(w AS bigint) * h)")
-    return summed.select("image_id", "y", "x", value.cast("int").alias("v"))
-
-
-def half_size(px: DataFrame) -> DataFrame:
-    """Area average to half the width and height, rounded half up; exact for odd sizes too."""
-    return _half_size(px.select("image_id", "y", "x", "v"))
-
-
-# Pixel and mask in one number: the pixel, plus this where the mask is set.
-_SET = 256
-
+def half_size(lines: DataFrame) -> DataFrame:
+    """Area average to half the width and height, rounded half up; exact for odd sizes too.
 
-def _packed_mask(px: DataFrame, t: int, noise: int, grow: int, shrink: int) -> DataFrame:
-    """``(image_id, y, x, p)``: binarize, erode, dilate, erode.
-
-    The row and column passes of one step may change places, so they are ordered to let neighbours share a
-    partitioning: four shuffles for three steps. Pixel and mask travel as one column, so applying the mask needs no
-    join, and whoever uses the result, for whatever part of it, reads the same shuffle.
+    The heights of the images are counted first, so the lines are read twice.
     """
-    pixel = F.col("p") % _SET
+    heights = lines.groupBy("image_id").agg((F.max("y") + 1).alias("h"))
+    return _halved(lines.join(heights, "image_id").select("image_id", "y", "v", "h"))
+
 
-    def erosion(df: DataFrame, k: int, along: str) -> DataFrame:
-        hit = _reached(F.col("p") < _SET, k, along)
-        return df.withColumn("p", pixel + F.when(hit, F.lit(0)).otherwise(F.lit(_SET)))
+def _packed_mask(lines: DataFrame, t: int, noise: int, grow: int, shrink: int) -> DataFrame:
+    """Lines of pixels that carry the mask of the inked areas: binarize, erode, dilate, erode in one pass over tiles."""
+    least, greatest, white, is_set = _least, _greatest, WHITE, _SET
 
-    def dilation(df: DataFrame, k: int, along: str) -> DataFrame:
-        hit = _reached(F.col("p") >= _SET, k, along)
-        return df.withColumn("p", pixel + F.when(hit, F.lit(_SET)).otherwise(F.lit(0)))
+    def packed(a: np.ndarray) -> np.ndarray:
+        ink = np.where(a > t, 0, white).astype(np.int16)
+        return a + is_set * (least(greatest(least(ink, noise), grow), shrink) != 0)
 
-    known = px.where(F.col("image_id").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    ink = F.when(F.col("v") > t, F.lit(0)).otherwise(F.lit(_SET))
-    packed = known.select("image_id", "y", "x", (F.col("v") + ink).alias("p"))
-    packed = erosion(packed, noise, "x")
-    packed = erosion(packed, noise, "y")
-    packed = dilation(packed, grow, "y")
-    packed = dilation(packed, grow, "x")
-    packed = erosion(packed, shrink, "x")
-    return erosion(packed, shrink, "y")
+    return _tiled(lines, noise + grow + shrink, packed)
 
 
 def clean_mask(
-    px: DataFrame,
+    lines: DataFrame,
     t: int = THRESHOLD,
     noise: int = NOISE_KERNEL,
     grow: int = GROW_KERNEL,
     shrink: int = SHRINK_KERNEL,
 ) -> DataFrame:
-    """``(image_id, y, x, v, m)``: the pixels with ``m``, the mask of the inked areas."""
-    mask = F.when(F.col("p") >= _SET, F.lit(WHITE)).otherwise(F.lit(0))
-    return _packed_mask(px, t, noise, grow, shrink).select(
-        "image_id", "y", "x", (F.col("p") % _SET).alias("v"), mask.alias("m")
+    """``(image_id, y, v, m)``: the lines with ``m``, the mask of the inked areas."""
+    mask = F.transform("v", lambda p: F.when(p >= _SET, F.lit(WHITE)).otherwise(F.lit(0)))
+    return _packed_mask(lines, t, noise, grow, shrink).select(
+        "image_id", "y", F.transform("v", lambda p: p % _SET).alias("v"), mask.alias("m")
     )
 
 
 def clean_image(
-    px: DataFrame,
+    lines: DataFrame,
     t: int = THRESHOLD,
     noise: int = NOISE_KERNEL,
     grow: int = GROW_KERNEL,
     shrink: int = SHRINK_KERNEL,
 ) -> DataFrame:
     """The inked part of each image on white, cut out and halved. An image without ink has no rows."""
-    masked = clean_mask(px, t, noise, grow, shrink)
-    kept = F.when(F.col("m") != 0, F.col("v")).otherwise(F.lit(WHITE))
-    return _half_size(_cut(masked.select("image_id", "y", "x", kept.alias("v")), bounding_box(masked, "m")))
+    packed = _packed_mask(lines, t, noise, grow, shrink)
+    kept = F.transform("v", lambda p: F.when(p >= _SET, p - _SET).otherwise(F.lit(WHITE)))
+    return _halved(_cut(packed, _boxes(packed, lambda p: p >= _SET)).withColumn("v", kept))
 
 
 def sparse_images(px: DataFrame) -> DataFrame:
-    """Images whose pixels do not fill a rectangle that starts at (0, 0); the operators expect none."""
+    """Images whose pixels do not fill a rectangle that starts at (0, 0); :func:`to_lines` expects none."""
     full = (F.max("x") + 1).cast("long") * (F.max("y") + 1)
     return (
         px.groupBy("image_id")

@@ -12,12 +12,12 @@ def to_df(spark, images):
         for image_id, image in images.items()
         for (y, x), v in np.ndenumerate(image)
     ]
-    return spark.createDataFrame(rows, "image_id long, y int, x int, v int")
+    return pm.to_lines(spark.createDataFrame(rows, "image_id long, y int, x int, v int"))
 
 
 def from_df(df):
     images = {}
-    for r in df.collect():
+    for r in pm.to_pixels(df).collect():
         images.setdefault(r.image_id, {})[(r.y, r.x)] = r.v
     out = {}
     for image_id, cells in images.items():
@@ -130,7 +130,7 @@ def test_steps_make_the_chain(spark, images):
 def test_gray_is_weighted_and_rounded(spark):
     rows = [(1, 0, 0, 255, 255, 255), (1, 0, 1, 0, 0, 0), (1, 0, 2, 255, 0, 0), (1, 0, 3, 0, 255, 0), (1, 0, 4, 0, 0, 255)]
     df = spark.createDataFrame(rows, "image_id long, y int, x int, r int, g int, b int")
-    assert [r.v for r in pm.to_gray(df).orderBy("x").collect()] == [255, 0, 76, 150, 29]
+    assert [r.v for r in pm.to_gray(pm.to_lines(df, "r", "g", "b")).collect()] == [[255, 0, 76, 150, 29]]
 
 
 def test_nonzero_and_box(spark, images):
@@ -140,6 +140,57 @@ def test_nonzero_and_box(spark, images):
 
 
 def test_sparse_images_are_found(spark, images):
-    df = to_df(spark, images)
+    df = pm.to_pixels(to_df(spark, images))
     assert pm.sparse_images(df).count() == 0
     assert [r.image_id for r in pm.sparse_images(df.where("NOT (image_id = 3 AND x = 5 AND y = 7)")).collect()] == [3]
+
+
+def test_tiles_meet_without_a_seam(spark, images, monkeypatch):
+    from pagemill.operators import raster
+
+    want = from_df(pm.clean_image(to_df(spark, images), 100, 3, 9, 5))
+    monkeypatch.setattr(raster, "_TILE", 7)
+    got = from_df(pm.clean_image(to_df(spark, images), 100, 3, 9, 5))
+    assert got.keys() == want.keys() and all((got[i] == want[i]).all() for i in want)
+    dilated = from_df(pm.dilate(to_df(spark, images), 10))
+    assert all((dilated[i] == box_filter(image, 10, np.max)).all() for i, image in images.items())
+
+
+def test_long_sides(spark):
+    line = [int(v) for v in np.random.default_rng(1).integers(0, 256, 70_000)]
+    df = spark.createDataFrame([(1, 0, line), (1, 1, line)], "image_id long, y int, v array<int>")
+    (row,) = pm.half_size(df).collect()
+    pairs = np.array(line).reshape(-1, 2).sum(axis=1)
+    assert row.v == ((2 * pairs + 2) // 4).tolist()
+    turned = spark.createDataFrame([(1, y, [v, v]) for y, v in enumerate(line)], "image_id long, y int, v array<int>")
+    assert [r.v for r in pm.half_size(turned).orderBy("y").collect()] == [[v] for v in row.v]
+
+
+def test_pages_to_rasters_and_back(spark):
+    class Engine:
+        def page_count(self, file):
+            return 2
+
+        def render(self, file, first, last):
+            for _ in range(first, last + 1):
+                yield file.read(4)
+
+        def raster(self, image):
+            if image == b"bad!":
+                raise ValueError("no pixels")
+            return [[image[0], image[1]], [image[2], image[3]]]
+
+        def image(self, lines):
+            return bytes(int(v) for line in lines for v in line)
+
+        def recognize(self, image, lang, rect):
+            return image.decode()
+
+    df = spark.createDataFrame(
+        [("p", bytearray(b"abcdbad!"), 1, 2)], "path string, content binary, first_page int, last_page int"
+    )
+    lines = pm.render_rasters(df, Engine)
+    got = sorted(((r.page_no, r.y, r.v, r.ok) for r in lines.collect()), key=str)
+    assert got == [(1, 0, [97, 98], True), (1, 1, [99, 100], True), (2, None, None, False)]
+    pages = pm.recognize_rasters(lines, Engine).collect()
+    assert [(r.page_no, r.page_text, r.ok) for r in pages] == [(1, "abcd", True)]
