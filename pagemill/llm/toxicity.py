@@ -86,13 +86,13 @@ class Lexicon:
         self.weights = weights
         self.words = Memo(lambda words: [self._word(w) for w in words], entries=250_000, longest=64)
 
-    def _word(self, word: str) -> tuple[float, bool, bool, bool, bool] | None:
-        """Weight, second person, capitals, obfuscated, stretched; None for a word that shows none of them."""
+    def _word(self, word: str) -> tuple:
+        """Weight, second person, capitals, obfuscated, stretched; empty for a word that shows none of them."""
         plain, changed, stretched = plain_word(word)
         weight = max((self.weights.get(t, 0.0) for t in terms(plain)), default=0.0)
         capital = len(word) > 2 and word.isupper()
         found = (weight, plain in SECOND_PERSON, capital, changed, stretched)
-        return found if any(found) else None
+        return found if any(found) else ()
 
     def features(self, text: str) -> tuple[float, ...]:
         words = text.split()
