@@ -66,10 +66,12 @@ def plain_word(word: str) -> tuple[str, bool, bool]:
     core = _EDGES.sub("", word.lower())
     if core.isalpha():
         bare, changed = core, False
+    elif not any(map(str.isalpha, core)):
+        return core, False, False
     else:
         back = _EDGES.sub("", word.lower().rstrip(".,;:!?\"')")).translate(_CHANGED)
         bare = _INNER.sub("", back)
-        changed = bool(bare) and bare.isalpha() and any(c.isalpha() for c in core)
+        changed = bare.isalpha()
     squeezed = _STRETCHED.sub(r"\1", bare)
     return squeezed, changed, squeezed != bare
 
