@@ -2,9 +2,9 @@
 
 Each document gets base counts and ratios. Per language and source, and per language, KLL sketches of the ratios are built:
 partial sketches on the map side are merged after the shuffle, so a source that holds a third of all rows is no burden.
-A ratio is rejected above ``upper quartile + SPREAD * (upper quartile - lower quartile)`` of its group, but never below
-its floor, so that groups without variation do not reject ordinary documents. Groups of fewer than ``SMALL`` documents
-take the thresholds of their language. Thresholds are joined back by language and source.
+A ratio is rejected above ``outer quantile + SPREAD * (outer quantile - median + least spread)`` of its group. The least spread
+is added, not a bound, so groups without variation spare ordinary documents and others follow their sketches. Quantiles of a
+group of n documents are mixed with those of its language, ``n² : SMALL²``. Thresholds are joined back by language and source.
 
 Defined results: a null or blank text has no words and fails the base rules; null languages and sources are groups of
 their own; a ratio without words is 0. Equal rows are judged alike. Added columns replace input columns of equal names.
@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from pagemill.llm.common import stored
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Least value at which a ratio can be rejected, whatever its group looks like.
-FLOORS = {
-    "symbols_per_word": 0.1,
-    "dup_lines_per_word": 0.1,
-    "word_length": 14.0,
-    "repeated_share": 0.2,
-    "echo_share": 0.2,
+#: Outer quantile and least spread of each ratio. Junk may be a fifth of a group where the quantile is low; ratios that ordinary
+#: documents have in long tails take a higher one. The mean word of ten varies by about a letter.
+RATIOS = {
+    "symbols_per_word": (0.75, 0.02),
+    "dup_lines_per_word": (0.9, 0.01),
+    "word_length": (0.75, 1.25),
+    "repeated_share": (0.98, 0.02),
+    "echo_share": (0.95, 0.02),
 }
 SPREAD = 4.0
 SMALL = 50
@@ -65,7 +66,7 @@ def base_counts(text: str) -> tuple[int, int, int, int, int, int]:
 
 
 def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``BASE``, the ratios of ``FLOORS`` and ``base_failed``."""
+    """``docs`` with the columns ``BASE``, the ratios of ``RATIOS`` and ``base_failed``."""
 
     columns = [*BASE, "_echoes"]
 
@@ -79,7 +80,7 @@ def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def per_word(column: str) -> Column:
         return F.when(n > 0, F.col(column) / n).otherwise(F.lit(0.0))
 
-    added = {*BASE, *FLOORS, "base_failed"}
+    added = {*BASE, *RATIOS, "base_failed"}
     return (
         docs.withColumn("_base", count(F.coalesce(F.col(text), F.lit(""))))
         .select(*[c for c in docs.columns if c not in added], "_base.*")
@@ -96,14 +97,14 @@ def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def sketches(counted: DataFrame, *keys: str) -> DataFrame:
     """Mergeable sketches of each ratio by ``keys``, and the number of documents."""
     return counted.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_docs"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in FLOORS]
+        F.count(F.lit(1)).alias("n_docs"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATIOS]
     )
 
 
 def merged(parts: DataFrame, *keys: str) -> DataFrame:
     """Sketches of groups merged to those of coarser groups, or sketches of several days to one."""
     return parts.groupBy(*keys).agg(
-        F.sum("n_docs").alias("n_docs"), *[F.kll_merge_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in FLOORS]
+        F.sum("n_docs").alias("n_docs"), *[F.kll_merge_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATIOS]
     )
 
 
@@ -112,22 +113,27 @@ def thresholds(counted: DataFrame) -> DataFrame:
     parts = stored(sketches(counted.where(~F.col("base_failed")), "lang", "source"), "quality-sketches")
     languages = merged(parts, "lang")
 
-    def limits(df: DataFrame, prefix: str) -> list[Column]:
-        out = []
-        for ratio, floor in FLOORS.items():
-            low, high = (F.kll_sketch_get_quantile_double(ratio, F.lit(q)) for q in (0.25, 0.75))
-            out.append(F.greatest(F.lit(floor), high + SPREAD * (high - low)).alias(prefix + ratio))
-        return out
+    def quantiles(prefix: str) -> list[Column]:
+        return [
+            F.kll_sketch_get_quantile_double(ratio, F.lit(q)).alias(f"{prefix}{end}_{ratio}")
+            for ratio, (outer, _) in RATIOS.items()
+            for end, q in (("high", outer), ("mid", 0.5))
+        ]
 
-    by_source = parts.select("lang", "source", "n_docs", *limits(parts, "own_"))
-    by_language = languages.select(F.col("lang").alias("of_lang"), *limits(languages, "lang_"))
+    by_source = parts.select("lang", "source", "n_docs", *quantiles("own_"))
+    by_language = languages.select(F.col("lang").alias("of_lang"), *quantiles("lang_"))
     both = by_source.join(by_language, F.col("lang").eqNullSafe(F.col("of_lang")))
-    small = F.col("n_docs") < SMALL
+    own = F.pow("n_docs", F.lit(2)) / (F.pow("n_docs", F.lit(2)) + SMALL**2)
+
+    def limit(ratio: str, least: float) -> Column:
+        high, mid = (own * F.col(f"own_{end}_{ratio}") + (1 - own) * F.col(f"lang_{end}_{ratio}") for end in ("high", "mid"))
+        return (high + SPREAD * (high - mid + least)).alias(f"max_{ratio}")
+
     return stored(
         both.select(
             F.col("lang").alias("_lang"),
             F.col("source").alias("_source"),
-            *[F.when(small, F.col(f"lang_{r}")).otherwise(F.col(f"own_{r}")).alias(f"max_{r}") for r in FLOORS],
+            *[limit(ratio, least) for ratio, (_, least) in RATIOS.items()],
         ),
         "quality-thresholds",
     )
@@ -137,7 +143,7 @@ def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """``counted`` with ``kept``. The join is left to Spark: broadcast where the thresholds are few, else by shuffle."""
     matches = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     within = F.lit(True)
-    for ratio in FLOORS:
+    for ratio in RATIOS:
         within = within & (F.col(ratio) <= F.col(f"max_{ratio}"))
     kept = ~F.col("base_failed") & F.coalesce(within, F.lit(False))
     rest = [c for c in counted.columns if c != "kept"]

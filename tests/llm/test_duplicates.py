@@ -197,6 +197,29 @@ def test_thresholds_follow_the_group(spark):
     assert dropped == {5000, 5001}
 
 
+def test_sketches_decide(spark):
+    """Outliers below any fixed cutoff go where the group is uniform and stay where many documents are like them; few documents
+    of a source follow their language."""
+    words = PROSE.split()
+
+    def repeats(text, at):
+        return " ".join(text[:at] + text[at : at + 5] + text[at:])
+
+    signs = " ".join(w + ("#" if k % 12 == 0 else "") for k, w in enumerate(words))
+    long = " ".join(w + "x" * 8 for w in words)
+    rows = [(k, " ".join(words[k % 7 :] + [str(k)]), "en", "prose", 1) for k in range(200)]
+    rows += [(1000 + k, repeats(words, k % 40), "en", "songs", 1) for k in range(100)]
+    rows += [(2000 + k, " ".join(w + "x" * (k % 9) for w in words), "en", "terms", 1) for k in range(100)]
+    odd = (signs, repeats(words, 3), long)
+    rows += [(5000 + k, t, "en", "prose", 1) for k, t in enumerate(odd)]
+    rows += [(5010, odd[1], "en", "songs", 1), (5011, long, "en", "terms", 1)]
+    counted = quality.with_base_counts(spark.createDataFrame(rows, docs_schema(spark)))
+    shares = {r["doc_id"]: r for r in counted.where("doc_id >= 5000").collect()}
+    assert shares[5000]["symbols_per_word"] < 0.1 and shares[5001]["repeated_share"] < 0.2 and shares[5002]["word_length"] < 14
+    dropped = {r["doc_id"] for r in quality.judge(counted, quality.thresholds(counted)).where("not kept and not base_failed").collect()}
+    assert dropped == {5000, 5001, 5002}
+
+
 def test_quality_of_no_documents(spark):
     counted = quality.with_base_counts(no_documents(spark))
     assert quality.judge(counted, quality.thresholds(counted)).count() == 0
