@@ -1,7 +1,7 @@
 """Personal data replaced by surrogates, with DataFrame functions only.
 
 Detected are emails, secrets after a key word, IBANs, card numbers, social security numbers, phone numbers, IP addresses and
-names after a title. Each entity has a canonical form (digits of a number, lower case of an email), so all ways to write
+names after a title. Entities are replaced whole, secrets of any length included. Each entity has a canonical form (digits of a number, lower case of an email), so all ways to write
 it share one surrogate: coreference holds over the whole corpus. Surrogates come from a keyed hash of kind and canonical
 form, letter for letter and digit for digit: scripts (Latin, Greek, Cyrillic), case and separators stay, names are drawn
 from lists of their script and gender, cards keep a valid check digit if they had one, octets stay octets, and emails end in
@@ -26,6 +26,8 @@ from pagemill.llm.common import stored
 SALTS = 32
 #: Draws after which an entity gets a longer surrogate, if its form leaves no free one.
 DRAWS = 24
+#: Letters of an entity above which its seed is hashed first.
+LONG = 256
 
 _MALE_TITLES = r"Mr|Herr|Monsieur|Señor|Sr|Don|Mister|Господин|Κύριος"
 _FEMALE_TITLES = r"Mrs|Ms|Miss|Frau|Madame|Mademoiselle|Señora|Señorita|Sra|Doña|Госпожа|Κυρία"
@@ -34,7 +36,7 @@ _NAME = r"\p{Lu}[\p{L}’'-]{1,40}"
 #: Kinds in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}",
-    "secret": r"(?i:(?<![a-z])(?:token|password|passwd|secret|api[_-]?key|access[_-]?key)[ \t]{0,4}[=:][ \t]{0,4})[\"']?(?=\S{0,4096}?\d)[\p{L}\p{N}_+/.-]{6,4096}+[\"']?",
+    "secret": r"(?i:(?<![a-z])(?:token|password|passwd|secret|api[_-]?key|access[_-]?key)[ \t]{0,4}[=:][ \t]{0,4})[\"']?(?=\S{0,4096}?\d|[\p{L}\p{N}_+/.-]*?\d)[\p{L}\p{N}_+/.-]{6,}+[\"']?",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])",
@@ -45,7 +47,7 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 #: What any entity holds; texts without it are not searched.
-HINT = rf"@|\d[\d .()-]{{6}}|\d\.\d{{1,3}}\.\d|[A-Z]{{2}}\d{{2}}[A-Z0-9 ]|[=:][ \t]{{0,4}}[\"']?[\p{{L}}\p{{N}}_]|(?:{_MALE_TITLES}|{_FEMALE_TITLES})\.? \p{{Lu}}"
+HINT = rf"@|\d[\d .()-]{{6}}|\d\.\d{{1,3}}\.\d|[A-Z]{{2}}\d{{2}}[A-Z0-9 ]|[=:][ \t]{{0,4}}[\"']?[\p{{L}}\p{{N}}_+/.-]|\+\d|(?:{_MALE_TITLES}|{_FEMALE_TITLES})\.? \p{{Lu}}"
 
 _ALPHABETS = {
     "lower": "abcdefghijklmnopqrstuvwxyz",
@@ -175,6 +177,7 @@ def _name(canon: Column, kind: Column, seed: Column) -> Column:
 def surrogate(canon: Column, kind: Column, key: str, draw: Column) -> Column:
     """The surrogate of a canonical form at a draw. It has the canonical form of its kind, too."""
     seed = F.concat(F.lit(key + "|"), kind, F.lit("|"), canon, F.lit("|"), draw.cast("string"))
+    seed = F.when(F.char_length(canon) > LONG, F.sha2(seed, 256)).otherwise(seed)  # it is hashed for each letter
     longer = F.when(draw >= DRAWS, F.substring(F.sha2(seed, 256), 1, 12)).otherwise(F.lit(""))
     local = F.regexp_extract(canon, r"^([^@]*)@", 1)
     host = F.regexp_extract(canon, r"@([^.]*)", 1)

@@ -53,6 +53,21 @@ def test_surrogates_are_consistent(spark):
     assert replaced(spark, TEXTS) == got != replaced(spark, TEXTS, "other key")
 
 
+def test_texts_with_any_entity_are_searched(spark):
+    """Each pattern's match holds what texts are searched for, and secrets are replaced to their end."""
+    secrets = ["set token=/aB3dE5fG7hJ9kL2m now", 'password: "+x9Qw7Er5Ty3Ui1Op" here', "secret = -Zk81mQpLr", "api_key=.hidden7file", "token=_abcde7"]
+    others = ["a@b.cd", "DE89370400440532", "1.2.3.4", "1234567890123", "123-45-6789", "+1(2)34", "+12345", "(123) 456 7890", "Mr Ab", "Frau. Él"]
+    shown = spark.createDataFrame([(t,) for t in secrets + others], "t string")
+    assert shown.where(F.col("t").rlike(pii.ANY)).count() == len(secrets + others)
+    assert [r["t"] for r in shown.where(F.col("t").rlike(pii.ANY) & ~F.col("t").rlike(pii.HINT)).collect()] == []
+    got = replaced(spark, secrets)
+    assert all(re.search(r"[=:] ?\"?(\S+?)(\"|\s|$)", t)[1] not in got[k] for k, t in enumerate(secrets))
+    values = ["aB3/" * 2500, "x" * 5000 + "7"]
+    for k, value in enumerate(values):
+        out = replaced(spark, [f"token={value} end"])[0]
+        assert len(out) == len(f"token={value} end") and value[-24:] not in out and out.endswith(" end"), k
+
+
 def test_distinct_entities_stay_distinct(spark):
     ips = [f"10.{a}.{b}.7" for a in range(40) for b in range(50)]
     names = [f"Mr. {x}{y}" for x in ("Al", "Be", "Ce", "Do", "Em", "Fa") for y in "abcdefghijklmnopqrstuvwxyz"]
