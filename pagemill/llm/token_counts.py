@@ -122,7 +122,7 @@ def _long_counts(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataF
     encoded = pieces.mapInPandas(encode, "key string, k int, low long, cuts array<long>, before array<long>")
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("k").sort_values("k")
+        group = group.sort_values("k")
         chunks = [(low, list(c), list(b)) for low, c, b in zip(group["low"], group["cuts"], group["before"], strict=True)]
         zones = [(k * chunk - overlap, k * chunk + overlap) for k in range(1, len(chunks))]
         return pd.DataFrame({"key": [group["key"].iloc[0]], "n": pd.array([splice(chunks, zones)], dtype="Int64")})
@@ -154,7 +154,8 @@ def count_tokens(
     short = finish(sized.where(~is_long).withColumn("n_tokens", counts(whole)))
     long_rows = sized.where(is_long).withColumn("_key", F.sha2(F.col(text).cast("binary"), 256))
 
-    texts = long_rows.select(F.col("_key").alias("key"), F.col(text).alias("text"))
+    copies = long_rows.select(F.col("_key").alias("key"), F.col(text).alias("text"))
+    texts = stored(copies.dropDuplicates(["key"]), "token-texts")  # each text is encoded once
     done = None
     while True:
         result = stored(_long_counts(texts, path, max(chunk_chars, 2 * overlap), overlap), "token-counts")

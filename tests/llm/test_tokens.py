@@ -49,6 +49,21 @@ def test_long_runs_without_white_space():
         assert bpe.codec(BYTE).encode(text).tolist() == ids(BYTE, text)
 
 
+def test_copies_of_a_long_text_are_encoded_once(spark, monkeypatch):
+    taken, long_counts = [], token_counts._long_counts
+
+    def spy(texts, *args):
+        taken.append(texts.count())
+        return long_counts(texts, *args)
+
+    monkeypatch.setattr(token_counts, "_long_counts", spy)
+    texts = [f"{'some words of a text ' * 60}{k}" for k in range(2)]
+    docs = spark.createDataFrame([(k, texts[k % 10 == 0]) for k in range(40)], "doc_id long, text string")
+    got = token_counts.count_tokens(docs, BYTE, chunk_chars=600, overlap=16).collect()
+    assert taken[0] == 2
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == [(k, token_counts.count_text(texts[k % 10 == 0], BYTE)) for k in range(40)]
+
+
 def test_all_tokens_are_their_own_encoding():
     codec = bpe.codec(BYTE)
     assert len(codec.ids) == LIBRARY[BYTE].get_vocab_size() - 1
