@@ -10,7 +10,8 @@ fingerprint is indexed by its bits in a partition and probes all values within t
 
 Values shared by more than ``HOT`` entries are not paired. Their fingerprints emit every value within one bit of
 themselves: two fingerprints are within two bits exactly if they share such a value, and at most 65 can share one. So a
-group of near copies of any size costs 65 rows a fingerprint, and no link is lost.
+group of near copies of any size costs 65 rows a fingerprint, and no link is lost. For a distance of one bit those values are
+joined with the fingerprints themselves.
 
 ``near_duplicates`` links texts whose sets of five-word shingles have a Jaccard similarity of ``PERCENT`` or more. Candidates share
 one of ``BANDS`` bands of minimum hashes (a pair at 0.8 shares none with a probability of 3 in a million); each is
@@ -181,13 +182,14 @@ def links(fps: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFrame
     )
     paired = a.join(b, near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
-    # distance 1: equal or one bit apart, so a pair shares a value of which one of them is the middle; distance 0: none
     crowded = shared.where(F.col("n") > hot).select("fp").distinct()
-    around = crowded.select("fp", F.explode(_within(F.col("fp"), list(range(BITS)), 1)).alias("value"))
-    groups = around.groupBy("value").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
-    star = groups.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b")
-    if distance < 2:
-        star = star.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    around = crowded.select("fp", F.explode(_within(F.col("fp"), list(range(BITS)), min(1, distance))).alias("value"))
+    if distance < 2:  # a pair is a fingerprint and one of the values around another
+        met = around.join(fps.select(F.col("fp").alias("value")), "value").where(F.col("fp") != F.col("value"))
+        star = met.select(F.least("fp", "value").alias("a"), F.greatest("fp", "value").alias("b"))
+    else:
+        groups = around.groupBy("value").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
+        star = groups.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b")
     return stored(paired.unionByName(star).distinct(), "simhash-links")
 
 

@@ -79,6 +79,16 @@ def test_components_of_planted_fingerprints(spark, hot):
     assert len({roots.get(signed(f), signed(f)) for _, f in rows}) == len(of_value)
 
 
+@pytest.mark.parametrize("distance", [0, 1])
+def test_hot_values_at_short_distances(spark, distance):
+    """Chains of one bit whose least member is not next to the others stay whole."""
+    values = [96, 97, 32, 65] + [x << 32 | y << 8 for x in range(1, 6) for y in (96, 97, 32, 65, 7)]
+    fps = spark.createDataFrame([(v,) for v in values], "fp long")
+    roots = {r["node"]: r["root"] for r in simhash.connected_components(simhash.links(fps, distance, hot=2)).collect()}
+    want = brute_components([(v, v) for v in values], distance)
+    assert [roots.get(v, v) for v in values] == want and (distance == 0 or want[:4] == [32] * 4)
+
+
 @pytest.mark.parametrize("total", [2_000, 10**7, 10**10, 10**12])
 def test_thresholds_fulfil_the_principle(total):
     sample = np.random.default_rng(1).integers(0, 1 << 63, 500).astype(np.uint64)
