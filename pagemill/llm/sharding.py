@@ -108,7 +108,8 @@ def _ranges(keyed: DataFrame, total: int, pieces: int) -> tuple[list[tuple[int,
 def assign(rows: DataFrame, size: Column, *group: str, shards: int = SHARDS, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``shards`` - 1, near equal sums of ``size``) and ``slot`` (0, 1, 2.. within a shard).
 
-    Rows equal in the columns ``group`` stand together where their sizes allow it.
+    Rows equal in the columns ``group`` follow each other. Shards end at rows, by the law of bytes alone, so a group of any size that
+    lies across the end of a shard (at most ``shards`` - 1 of them) goes on in the next one.
     """
     rest = [c for c in rows.columns if c not in ("shard", "slot")]
     keyed = stored(
