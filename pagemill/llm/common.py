@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -33,3 +34,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Aside:
+    """``rows``: a table whose columns are renamed to ``own0``, ``own1`` ..., beside the expressions an operator works on, so that
+    no name of the caller's meets one of the operator's. ``back`` gives the caller's names again."""
+
+    def __init__(self, df: DataFrame, **needed: Column):
+        self.columns = df.columns
+        quoted = [F.col(f"`{c.replace('`', '``')}`") for c in self.columns]
+        self.own = [f"own{k}" for k in range(len(self.columns))]
+        self.rows = df.select(*[c.alias(n) for c, n in zip(quoted, self.own, strict=True)], *[e.alias(n) for n, e in needed.items()])
+
+    def back(self, df: DataFrame, **added: Column) -> DataFrame:
+        """The caller's columns, but for those named like ``added`` ones, and these."""
+        kept = [F.col(n).alias(c) for c, n in zip(self.columns, self.own, strict=True) if c not in added]
+        return df.select(*kept, *[e.alias(n) for n, e in added.items()])

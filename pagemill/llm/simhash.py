@@ -1,6 +1,5 @@
-"""Near-duplicates: SimHash components (``components``), and texts whose word shingles are alike (``near_duplicates``).
+"""Near-duplicates by SimHash, found with the generalised pigeonhole principle.
 
-SimHash pairs are found with the generalised pigeonhole principle.
 A fingerprint's 64 bits are dealt into partitions, correlated bits together. If thresholds ``t`` of the partitions sum to
 ``distance - partitions + 1``, two fingerprints within ``distance`` bits differ in at most ``t`` bits in some partition (a
 threshold of -1 leaves a partition out). The number of partitions and the thresholds are chosen by dynamic programming
@@ -13,20 +12,13 @@ themselves: two fingerprints are within two bits exactly if they share such a va
 group of near copies of any size costs 65 rows a fingerprint, and no link is lost. For a distance of one bit those values are
 joined with the fingerprints themselves.
 
-``near_duplicates`` links texts whose sets of five-word shingles have a Jaccard similarity of ``PERCENT`` or more. Candidates share
-one of ``BANDS`` bands of minimum hashes (a pair at 0.8 shares none with a probability of 3 in a million); each is
-verified on the exact sets. First each text is held against the least text of its buckets, and what that links is one
-component, whose members need no further comparison. Of what is left, all pairs of different components are compared in buckets of up
-to ``HOT`` texts; texts of larger ones get ``FINE_BANDS`` longer bands (1 in a million) and are then treated in
-the same way, without a limit of size. Texts of equal words are one node, keyed by 64 bits of their hash.
-
 Equal fingerprints are one node of the graph. Components are found by alternating large and small stars, each round
 stored in the shared folder.
 
 Defined results: words are runs of other characters than the six ASCII blanks, A-Z lower-cased; fewer words than a shingle
 are one shingle; a null or blank text has the fingerprint zero and is linked like any other. Repeated rows are members of
-their component. ``component_id`` is the smallest id reachable, nulls last. Other columns stay; added ones replace
-input columns of the same names.
+their component. ``component_id`` is the smallest id reachable, nulls last. An empty table gives an empty table. Other columns
+stay under any names; added ones replace input columns of the same names.
 """
 
 from __future__ import annotations
@@ -40,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored
+from pagemill.llm.common import Aside, stored
 
 BITS = 64
 DISTANCE = 2
@@ -50,12 +42,6 @@ SEED = 42
 SAMPLE = 2048
 HOT = 64
 MOST_PARTITIONS = 5
-#: Near-duplicates share so many percent of their shingles of so many words.
-PERCENT = 80
-WORDS = 5
-#: Minimum hashes of a band, and bands.
-BANDS = (5, 32)
-FINE_BANDS = (10, 120)
 _BLOCK = 1 << 16
 
 
@@ -221,129 +207,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def shingles(text: str) -> set[bytes]:
-    """The word shingles of a text; fewer words than a shingle are one, no words none."""
-    words = text.encode().lower().split()
-    if len(words) < WORDS:
-        return {b" ".join(words)} if words else set()
-    return set(map(b" ".join, zip(*(words[k:] for k in range(WORDS)), strict=False)))
-
-
-def alike(a: str, b: str) -> bool:
-    """Whether the shingles of two texts have a Jaccard similarity of ``PERCENT`` or more."""
-    of_a, of_b = shingles(a), shingles(b)
-    both = len(of_a & of_b)
-    return 100 * both >= PERCENT * (len(of_a) + len(of_b) - both)
-
-
-def bands_of(found: set[bytes], rows: int, bands: int) -> list[int]:
-    """Hashes of ``bands`` bands of ``rows`` minimum hashes each; sets that agree in a band share its hash."""
-    from xxhash import xxh64_intdigest
-
-    if not found:
-        return []
-    hashes = np.array([xxh64_intdigest(s, SEED) for s in found], np.uint64)
-    masks, factors = np.random.default_rng(SEED).integers(0, 1 << 64, (2, rows * bands, 1), np.uint64)
-    factors |= np.uint64(1)
-    least = np.full(rows * bands, np.iinfo(np.uint64).max)
-    for k in range(0, len(hashes), 1024):
-        least = np.minimum(least, ((hashes[k : k + 1024] ^ masks) * factors).min(axis=1))
-    return [_signed(xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least.reshape(bands, rows))]
-
-
-def _banded(docs: DataFrame, text: str, rows: int, bands: int) -> DataFrame:
-    """``docs`` with ``_near``: the hash of the words, the number of shingles and the bands."""
-
-    @F.pandas_udf("fp long, size long, bands array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        from xxhash import xxh64_intdigest
-
-        for batch in batches:
-            out = []
-            for t in batch:
-                found = shingles(t)
-                key = _signed(xxh64_intdigest(b" ".join(t.encode().lower().split()), SEED))
-                out.append((key, len(found), bands_of(found, rows, bands)))
-            yield pd.DataFrame(out, columns=["fp", "size", "bands"])
-
-    return docs.withColumn("_near", run(F.coalesce(F.col(text), F.lit(""))))
-
-
-def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``pairs`` ``(a, b)``, a < b, whose ``texts`` ``(fp, text)`` are alike."""
-
-    @F.pandas_udf("boolean")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            yield pd.Series([alike(x, y) for x, y in zip(a, b, strict=True)], dtype="bool")
-
-    of_a, of_b = (texts.select(F.col("fp").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    joined = pairs.join(of_a, "a").join(of_b, "b")
-    return stored(joined.where(run("text_a", "text_b")).select("a", "b"), "shingles-links")
-
-
-def _sizes_fit(a: str, b: str) -> Column:
-    """Sets of these sizes can be alike."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
-
-
-def _buckets(entries: DataFrame) -> DataFrame:
-    """``entries`` ``(fp, size, value)`` that share a value, with the number of them, ``n``, and the ``least`` of them."""
-    of_value = entries.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("fp", "size")).alias("least"))
-    return stored(entries.join(stored(of_value.where("n > 1"), "shingles-values"), "value"), "shingles-buckets")
-
-
-def _stars(buckets: DataFrame) -> DataFrame:
-    """Pairs of each text and the least text of its buckets that it shares the most values with."""
-    near = buckets.where((F.col("least.fp") < F.col("fp")) & _sizes_fit("size", "least.size"))
-    met = near.groupBy("fp", F.col("least.fp").alias("a")).agg(F.count(F.lit(1)).alias("n"))
-    best = met.groupBy("fp").agg(F.max(F.struct("n", "a")).alias("best"))
-    return best.select(F.col("best.a").alias("a"), F.col("fp").alias("b"))
-
-
-def _open(buckets: DataFrame, edges: DataFrame) -> DataFrame:
-    """``buckets`` with texts that ``edges`` leave in more than one component, with their ``root``."""
-    roots = stored(connected_components(edges), "shingles-roots")
-    rooted = buckets.select("fp", "size", "value").join(roots, F.col("fp") == F.col("node"), "left")
-    rooted = stored(rooted.select("fp", "size", "value", F.coalesce("root", "fp").alias("root")), "shingles-rooted")
-    of_value = rooted.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    return stored(rooted.join(of_value.where("low < high").select("value", "n"), "value"), "shingles-open")
-
-
-def _pairs(buckets: DataFrame) -> DataFrame:
-    """All pairs of texts of different roots in ``buckets``."""
-    a, b = buckets.alias("a"), buckets.alias("b")
-    apart = (F.col("a.value") == F.col("b.value")) & (F.col("a.fp") < F.col("b.fp")) & (F.col("a.root") != F.col("b.root"))
-    return a.join(b, apart & _sizes_fit("a.size", "b.size")).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
-
-
-def shingle_links(marked: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
-    """Edges ``(a, b)``, a < b, whose components are those of all pairs of texts of ``marked`` (``_banded``) that are alike."""
-    nodes = marked.select("fp", "_near.size", "_near.bands").dropDuplicates(["fp"])
-    buckets = _buckets(stored(nodes.select("fp", "size", F.explode("bands").alias("value")), "shingles-entries"))
-    needed = marked.select("fp", F.col(text).alias("text")).join(buckets.select("fp").distinct(), "fp", "left_semi")
-    texts = stored(stored(needed, "shingles-needed").dropDuplicates(["fp"]), "shingles-texts")
-
-    edges = _alike(_stars(buckets), texts)
-    left = _open(buckets, edges)
-    edges = edges.unionByName(_alike(_pairs(left.where(F.col("n") <= hot)), texts))
-    crowded = stored(left.where(F.col("n") > hot).select("fp").distinct(), "shingles-crowded")
-    if not crowded.isEmpty():
-        fine = _banded(texts.join(crowded, "fp", "left_semi"), "text", *FINE_BANDS)
-        buckets = _buckets(stored(fine.select("fp", "_near.size", F.explode("_near.bands").alias("value")), "shingles-entries"))
-        edges = edges.unionByName(_alike(_stars(buckets), texts))
-        edges = edges.unionByName(_alike(_pairs(_open(buckets, edges)), texts))
-    return stored(edges.distinct(), "shingles-edges")
-
-
-def components(
-    marked: DataFrame, id: str = "doc_id", distance: int = DISTANCE, edges: DataFrame | None = None
-) -> DataFrame:
+def components(marked: DataFrame, id: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
     """``(fp, component_id, kept_fp)`` of each fingerprint of ``marked`` ``(id, fp)``; the row of ``component_id`` with the
-    fingerprint ``kept_fp`` stands for the component. ``edges`` of fingerprints replace those within ``distance``."""
+    fingerprint ``kept_fp`` stands for the component."""
     ranked = F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("fp").alias("fp"))
     by_fp = stored(marked.groupBy("fp").agg(F.min(ranked).alias("first")), "simhash-fingerprints")
-    roots = stored(connected_components(links(by_fp.select("fp"), distance) if edges is None else edges), "simhash-roots")
+    roots = stored(connected_components(links(by_fp.select("fp"), distance)), "simhash-roots")
     linked = by_fp.join(roots, by_fp.fp == roots.node).select("fp", "first", "root")
     least = stored(linked.groupBy("root").agg(F.min("first").alias("least")), "simhash-least")
     moved = roots.join(least, "root").select("node", "least")
@@ -354,25 +223,29 @@ def components(
     )
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``fingerprint`` (of the words, hexadecimal), ``component_id`` and ``component_kept`` (true for one row's key
-    of each component of texts that are ``alike``).
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
+    """``docs`` with ``fingerprint`` (hexadecimal), ``component_id`` and ``component_kept`` (true for one row's key of each
+    component).
 
-    Give only the columns that are needed.
+    The text is read once; give only the columns that are needed.
     """
-    rest = [c for c in docs.columns if c not in ("fingerprint", "component_id", "component_kept", "fp", "_near")]
-    marked = stored(_banded(docs, text, *BANDS).select(*rest, "_near.fp", "_near"), "simhash-documents")
-    found = components(marked, id, edges=shingle_links(marked, text)).withColumnRenamed("fp", "_fp").withColumnRenamed("component_id", "_component")
-    joined = marked.join(found, F.col("fp") == F.col("_fp"))
-    return joined.select(
-        *rest,
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.col("_component").alias("component_id"),
-        ((F.col("fp") == F.col("kept_fp")) & F.col(id).eqNullSafe(F.col("_component"))).alias("component_kept"),
+    aside = Aside(docs, id=F.col(id), text=F.col(text))
+    marked = stored(with_fingerprint(aside.rows, "text", shingle).drop("text"), "simhash-documents")
+    found = components(marked, "id", distance).withColumnRenamed("fp", "of")
+    return aside.back(
+        marked.join(found, F.col("fp") == F.col("of")),
+        fingerprint=F.lower(F.lpad(F.hex("fp"), 16, "0")),
+        component_id=F.col("component_id"),
+        component_kept=(F.col("fp") == F.col("kept_fp")) & F.col("id").eqNullSafe(F.col("component_id")),
     )
 
 
-def without_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
     """One row of each component, with the columns of ``docs``: that of the smallest id. Of repeated rows of it one stays."""
-    kept = near_duplicates(docs, id, text).where("component_kept")
-    return kept.dropDuplicates([id, "fingerprint"]).select(*docs.columns)
+    aside = Aside(docs, id=F.col(id), text=F.col(text))
+    kept = near_duplicates(aside.rows, "id", "text", shingle, distance).where("component_kept")
+    return aside.back(kept.dropDuplicates(["id", "fingerprint"]))

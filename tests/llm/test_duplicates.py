@@ -109,7 +109,7 @@ def test_correlated_bits_stand_together():
 
 
 def test_one_row_of_each_component_stays(spark):
-    docs = with_clash(odd_documents(spark), "fp_", "size")
+    docs = with_clash(odd_documents(spark), "fp", "_fp", "of", "id", "own0", "kept_fp")
     kept = simhash.without_near_duplicates(docs).collect()
     rows = [(r["doc_id"], brute_fingerprint(r["text"])) for r in docs.collect()]
     assert sorted(r["doc_id"] for r in kept) == sorted(set(brute_components(rows)))
@@ -117,40 +117,6 @@ def test_one_row_of_each_component_stays(spark):
     assert simhash.without_near_duplicates(no_documents(spark)).count() == 0
 
 
-def five_words(text):
-    words = text.lower().split()
-    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
-
-
-@pytest.mark.parametrize("hot", [2, 64])
-def test_near_copies_by_shingles(spark, monkeypatch, hot):
-    """Copies with planted edits at a similarity of 0.8 to 0.95 are linked, those below are not; ``hot`` 2 takes the way of hot buckets."""
-    monkeypatch.setattr(simhash.shingle_links, "__defaults__", ("text", hot))
-    random = np.random.default_rng(11)
-    rows = []
-    for group in range(12):
-        base = [f"g{group}w{x}" for x in random.integers(0, 10_000, 300)]
-        for edits in (0, 0, 3, 6, 9, 11, 12, 14, 20):
-            words = list(base)
-            for at in random.choice(300, edits, replace=False):
-                words[at] = f"new{random.integers(0, 1 << 40)}"
-            rows.append((len(rows), " ".join(words)))
-    sets = [five_words(t) for _, t in rows]
-    root = list(range(len(rows)))
-    linked = {}
-    for a in range(len(rows)):
-        for b in range(a):
-            share = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-            if share >= 0.8:
-                linked[b, a] = share
-                old, new = root[a], root[b]
-                root = [new if r == old else r for r in root]
-    least = [min(k for k, r in enumerate(root) if r == own) for own in root]
-    assert sum(0.8 <= x < 0.95 for x in linked.values()) >= 20 and len(set(least)) > 12
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()} == dict(enumerate(least))
-
-
 def brute_base(text):
     words, lines, seen, repeats = WORD.findall(text or ""), (text or "").split("\n"), set(), 0
     for line in lines:
