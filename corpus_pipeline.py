@@ -49,9 +49,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: Jaccard similarity of five-word shingles of 0.8 or more."""
-    added = ("fp", "fingerprint", "component_id", "component_kept", "_near")
-    return _keeping_columns(docs, added, simhash.without_near_duplicates)
+    """One document of each group of near-duplicates: SimHash of three-word shingles within two bits."""
+    return simhash.without_near_duplicates(docs, shingle=simhash.SHINGLE, distance=simhash.DISTANCE)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
