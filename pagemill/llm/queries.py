@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import ann, bpe, packing, pii, quality, sharding, simhash, token_counts, toxicity, url_filter
+from pagemill.llm import ann, bpe, packing, pii, quality, sharding, simhash, spelling, token_counts, toxicity, url_filter
 from pagemill.llm.common import stored, table
 
 
@@ -93,6 +93,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(_documents(spark, sf_dir, "doc_id", "text")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
@@ -104,5 +108,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling": op11_spelling,
 }
 ORACLE: dict[str, str] = {}
