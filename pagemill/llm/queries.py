@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import ann, bpe, packing, pii, quality, sharding, simhash, spelling, token_counts, toxicity, url_filter
+from pagemill.llm import alignment, ann, bpe, packing, pii, quality, sharding, simhash, spelling, token_counts, toxicity, url_filter
 from pagemill.llm.common import stored, table
 
 
@@ -97,6 +97,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.count_words(_documents(spark, sf_dir, "doc_id", "text")))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return alignment.aligned(docs, *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
@@ -109,5 +114,6 @@ QUERIES = {
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
     "op11_spelling": op11_spelling,
+    "op12_alignment": op12_alignment,
 }
 ORACLE: dict[str, str] = {}

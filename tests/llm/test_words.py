@@ -1,13 +1,16 @@
 """Spelling variants, aligned tokenizers and the language model against brute force."""
 
+import hashlib
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
 import pytest
 from helpers import OTHER, PROSE, no_documents, odd_documents, with_clash, write_tables
 
-from pagemill.llm import queries, spelling
+from pagemill.llm import alignment, queries, spelling
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -89,3 +92,108 @@ def test_nodes_of_equal_prefixes_are_equal():
     a, b = nodes[starts[1] : starts[2]], nodes[starts[2] : starts[3]]
     assert starts.tolist() == [0, 1, 5, 9, 11] and (a[:3] == b[:3]).all() and a[3] != b[3] and nodes[0] == a[0] and nodes[10] != a[1]
     assert not set(nodes[starts[1] : starts[2]]) & set(spelling.prefix_nodes(["abc"], 1)[0])
+
+
+A, B = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def brute_alignment(rows):
+    """Whole texts by the libraries, links from all pairs of tokens."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    back = {c: bytes([k]) for c, k in alignment.byte_alphabet().items()}
+    docs, counts = [], Counter()
+    for name, text in rows:
+        of_a = [(i, b"".join(back[c] for c in a.id_to_token(i))) for i in (a.encode(" " + text, add_special_tokens=False).ids if text else [])]
+        of_b = []
+        for i in b.encode(text or ""):
+            piece = b.id_to_piece(i)
+            of_b.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("\u2581", " ").encode()))
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(x for _, x in of_a) != whole or b"".join(x for _, x in of_b) != whole:
+            of_a, of_b = [], []
+        spans = []
+        for tokens in (of_a, of_b):
+            ends = np.cumsum([len(x) for _, x in tokens]).tolist()
+            spans.append([(i, e - len(x), e) for (i, x), e in zip(tokens, ends, strict=True)])
+        links = [(i, j) for i, s, e in spans[0] for j, s2, e2 in spans[1] if s < e2 and s2 < e]
+        cuts = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups = [
+            "|".join(",".join(str(i) for i, s, _ in side if low <= s < high) for side in spans)
+            for low, high in zip([0, *cuts[:-1]], cuts, strict=True)
+        ] if cuts else []
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if of_a else ""
+        docs.append((name, len(of_a), len(of_b), len(groups), links, digest))
+        counts.update(set(links))
+    highest = Counter()
+    for (i, _), n in counts.items():
+        highest[i] = max(highest[i], n)
+    return [
+        (name, n_a, n_b, n_groups, len(links), sum(counts[x] == highest[x[0]] for x in links), sum(counts[x] for x in links), digest)
+        for name, n_a, n_b, n_groups, links, digest in docs
+    ]
+
+
+def aligned_rows(df):
+    return sorted((tuple(r[c] for c in ("doc_id", *alignment.RESULTS, "groups_sha256")) for r in df.collect()), key=str)
+
+
+def test_op12(spark, folder):
+    odd = [" a  b \n c\n\n d\t e", "a\u2581b", "\u2581", " ", "  ", "\x1c x \x1f y", "naïve café — “quoted” 12345 don't", "<s> x</s> <unk> <|endoftext|>",
+           "\u3000wide \u00a0no-break", "émoji 😀😀 x", "a" * 500, "e\u0301 e \u0301x"]
+    docs = odd_documents(spark).unionByName(
+        spark.createDataFrame([(50 + k, t, "en", "a", 1) for k, t in enumerate(odd)] + [(2**60 + 1, PROSE, "en", "a", 1)], odd_documents(spark).schema)
+    )
+    got = queries.op12_alignment(spark, write_tables(f"{folder}-t", with_clash(docs, "chunk", "n_a", "code", "id")))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["text"] is None or len(r["text"]) < 8000]
+    everything = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert len(rows) < len(everything)  # the long text is repetitive: its links are counted below, not pair by pair
+    docs = docs.where("text is null or length(text) < 8000")
+    got = aligned_rows(alignment.aligned(docs, A, B))
+    assert got == sorted(brute_alignment(rows), key=str)
+    assert sum(r[1] == 0 for r in got) > 4 and any(r[5] < r[4] for r in got)
+    assert queries.op12_alignment(spark, write_tables(f"{folder}-e", no_documents(spark))).count() == 0
+
+
+def test_chunks_do_not_change_alignment(spark, folder):
+    """Few rows or links to a chunk, and many documents of one text."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
+    docs = docs.unionByName(spark.range(1000, 1300).selectExpr("id as doc_id", "'the same words the same' as text"))
+    docs.write.parquet(f"{folder}-d")
+    docs = spark.read.parquet(f"{folder}-d")
+    want = sorted(brute_alignment([(r["doc_id"], (r["text"] or "")) for r in docs.collect()]), key=str)
+    assert aligned_rows(alignment.aligned(docs, A, B)) == want
+    assert aligned_rows(alignment.aligned(docs, A, B, chunk_rows=3)) == want
+    assert aligned_rows(alignment.aligned(docs, A, B, chunk_links=1000)) == want
+
+
+def test_bitmaps():
+    random = np.random.default_rng(3)
+    for size in (0, 1, 5, 2000, 2047, 2048, 20_000, alignment.CHUNK_ROWS):
+        places = np.sort(random.choice(alignment.CHUNK_ROWS, size, replace=False))
+        packed = alignment.pack(places)
+        assert len(packed) <= alignment.PLAIN and alignment.popcount(packed) == size
+        assert alignment.places_of(packed).tolist() == places.tolist()
+        assert alignment.merge([packed, alignment.pack(np.arange(3))]) == alignment.pack(np.unique(np.r_[places, 0, 1, 2]))
+
+
+def test_postings_of_a_chunk():
+    """Bitmaps and planes give back each document's number of links."""
+    random, held, want = np.random.default_rng(4), alignment.Postings(), {}
+    for place in range(5000):
+        codes = random.integers(0, 4, random.integers(0, 12))
+        held.add(codes)
+        for code, n in Counter(codes.tolist()).items():
+            want[code, place] = n
+    got = {}
+    for r in held.lists().itertuples():
+        assert r.n_docs == alignment.popcount(r.docs)
+        for p in alignment.places_of(r.docs):
+            got[r.code, p] = 1
+        for bit, plane in enumerate(r.planes):
+            for p in alignment.places_of(plane):
+                got[r.code, p] += 1 << bit
+    assert got == want
