@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import alignment, ann, bpe, packing, pii, quality, sharding, simhash, spelling, token_counts, toxicity, url_filter
+from pagemill.llm import alignment, ann, bpe, language_model, packing, pii, quality, sharding, simhash, spelling, token_counts, toxicity, url_filter
 from pagemill.llm.common import stored, table
 
 
@@ -102,6 +102,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(docs, *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return language_model.score(docs, language_model.train(docs))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
@@ -115,5 +120,6 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_spelling": op11_spelling,
     "op12_alignment": op12_alignment,
+    "op13_language_model": op13_language_model,
 }
 ORACLE: dict[str, str] = {}

@@ -12,7 +12,7 @@ LABELS = "doc_id long, quality int, toxic int"
 
 def test_every_operator_is_registered():
     names = entry_point.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert names["pipeline"] is corpus_pipeline.run
     assert [k for k, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "near-duplicates", "personal data", "packing"]
 

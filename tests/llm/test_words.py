@@ -1,6 +1,7 @@
 """Spelling variants, aligned tokenizers and the language model against brute force."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -10,7 +11,7 @@ import public_tokenizers
 import pytest
 from helpers import OTHER, PROSE, no_documents, odd_documents, with_clash, write_tables
 
-from pagemill.llm import alignment, queries, spelling
+from pagemill.llm import alignment, language_model, queries, spelling
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -197,3 +198,103 @@ def test_postings_of_a_chunk():
             for p in alignment.places_of(plane):
                 got[r.code, p] += 1 << bit
     assert got == want
+
+
+BLANKS = re.compile("[^\x20\x09-\x0d]+")
+
+
+def lm_tokens(text):
+    return [*BLANKS.findall((text or "").translate(CAPITALS)), ""]
+
+
+def lm_fold(name):
+    return None if name is None else zlib.crc32(str(name).encode()) % 10
+
+
+def brute_lm(rows):
+    """Base values from exact counts, and the model's formula with exact counts of bigrams, words and followers."""
+    learn = [lm_tokens(t) for i, t in rows if lm_fold(i) not in (0, None)]
+    words = Counter(w for x in learn for w in x)
+    pairs = Counter(p for x in learn for p in zip(["", *x], x, strict=False))
+    followers = Counter(u for u, _ in pairs)
+    n, v = sum(words.values()), len(words)
+    once, twice = (sum(c == k for c in pairs.values()) for k in (1, 2))
+    d = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+    out = []
+    for name, text in rows:
+        tokens = lm_tokens(text)
+        alone = {w: (words[w] + 0.1) / (n + 0.1 * (v + 1)) for w in tokens}
+        total = 0.0
+        for u, w in zip(["", *tokens], tokens, strict=False):
+            p = alone[w]
+            if words[u]:
+                p = max(pairs[u, w] - d, 0) / words[u] + d * followers[u] / words[u] * p
+            total += math.log10(p)
+        out.append((name, lm_fold(name) == 0, len(tokens), sum(words[w] > 0 for w in tokens), n, sum(math.log10(alone[w]) for w in tokens), total))
+    return out
+
+
+def lm_rows(df):
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
+
+
+def test_op13(spark, folder):
+    docs = odd_documents(spark).unionByName(
+        spark.createDataFrame([(100 + k, f"{PROSE if k % 3 else OTHER} Tail{k % 7} \x1c\u00a0", "en", "a", 1) for k in range(60)], odd_documents(spark).schema)
+    )
+    got = lm_rows(queries.op13_language_model(spark, write_tables(f"{folder}-t", with_clash(docs, "row", "n_tokens", "score", "word"))))
+    want = sorted(brute_lm([(r["doc_id"], r["text"]) for r in docs.collect()]), key=str)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5] for r in got], [r[5] for r in want], rtol=1e-9)
+    # counts of the model are quantised: within a fifth, so 0.1 a token for each of three counts
+    assert all(abs(a[6] - b[6]) <= 0.3 * a[2] and a[6] <= 0 for a, b in zip(got, want, strict=True))
+    held = [r for r in got if r[1] and (r[0] or 0) >= 100]
+    assert len(held) > 3 and all(r[6] > r[5] / 2 for r in held)  # texts like those learned from are far likelier than their words
+    empty = write_tables(f"{folder}-e", no_documents(spark))
+    assert queries.op13_language_model(spark, empty).count() == 0
+    nothing = docs.where("doc_id is null or text is null")
+    assert all(r[6] == 0 for r in lm_rows(language_model.score(nothing, language_model.train(nothing.where("false")))))
+
+
+def test_filters_in_segments(spark):
+    """Small segments, blocks and lists of words, filters that stay where they are: the same scores, and exact base values."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = sorted(brute_lm(rows), key=str)
+    model = language_model.train(docs, segment_tokens=3000, segment_words=700)
+    assert model.bigram_segments > 3 and model.word_segments > 1 and model.filter_bytes > 0
+    near = lm_rows(language_model.score(docs, model))
+    far = lm_rows(language_model.score(docs, model, filter_bytes=0, hot_words=20))
+    for got in (near, far):
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert np.allclose([r[5] for r in got], [r[5] for r in want], rtol=1e-9)
+    assert np.allclose([r[6] for r in near], [r[6] for r in far], rtol=1e-9)
+    errors = [abs(a[6] - b[6]) / a[2] for a, b in zip(near, want, strict=True)]
+    assert max(errors) < 0.2 and np.mean(errors) < 0.1
+
+
+def test_log_bloom():
+    """Counts are never too small, rarely too large, and within their level."""
+    random = np.random.default_rng(6)
+    keys = random.integers(0, 1 << 63, 20_000).astype(np.uint64)
+    counts = np.ceil(random.pareto(0.7, len(keys)) * 2 + 0.5).clip(1, 1e9)
+    made = language_model.LogBloom.of(keys, counts)
+    got = made.counts(keys)
+    level = language_model.levels(counts)
+    assert (language_model.levels(got) >= level).all() and (language_model.levels(got) == level).mean() > 0.98
+    other = random.integers(0, 1 << 63, 20_000).astype(np.uint64)
+    assert (made.counts(other) > 0).mean() < 0.02
+    small = counts <= 3
+    assert (got[small] == counts[small]).mean() > 0.98
+
+
+def test_blocks_of_long_texts(monkeypatch):
+    """A text over several blocks and lists has its tokens once, each with the word before it."""
+    monkeypatch.setattr(language_model, "_TEXT_BYTES", 50)
+    texts = [(0, PROSE * 3), (1, ""), (2, " \n"), (3, "x" * 200 + " " + OTHER)]
+    got = {}
+    for block in language_model.blocks(iter(texts), 30):
+        for u, w, k in zip(block.before, block.token, block.owner, strict=True):
+            got.setdefault(int(k), []).append((block.words[u].decode(), block.words[w].decode()))
+    assert got == {k: list(zip(["", *lm_tokens(t)], lm_tokens(t), strict=False)) for k, t in texts}
