@@ -206,6 +206,66 @@ def compact_index(spark, sf):
     return pm.read_index(spark, index)
 
 
+def index_late_batches(spark, sf):
+    """Late records after a compaction, batches of one sequence, and a batch that is repeated, each in other documents."""
+    index = new_folder(spark, "index")
+    old, new = fx.index_batches(spark, sf)
+    pm.upsert_index(pm.index_record(old, fx.FIRST_RUN), index, "first", sequence=10)
+    pm.compact_index(spark, index)
+    late = new.withColumn("path", F.when(F.col("classification") == "good", F.col("path")).otherwise(F.concat("path", F.lit("/late"))))
+    pm.upsert_index(pm.index_record(late, fx.SECOND_RUN), index, "late", sequence=9)
+    for batch, category in (("equal-b", "b"), ("equal-a", "a")):
+        equal = new.where("classification = 'poor'").withColumn("classification", F.lit(category))
+        pm.upsert_index(pm.index_record(equal, fx.SECOND_RUN), index, batch, sequence=11)
+    pm.compact_index(spark, index)
+    pm.upsert_index(pm.index_record(late.withColumn("content", F.lit("again")), fx.SECOND_RUN), index, "late", sequence=9)
+    return pm.read_index(spark, index)
+
+
+def index_lookup(spark, sf):
+    """One record by its name, the least name of the index."""
+    index = _two_batches(spark, sf)
+    name = pm.read_index(spark, index, ["filename"]).agg(F.min("filename")).first()[0]
+    return pm.read_index(spark, index, ["filename", "classification", "date"], ("filename", name))
+
+
+def searchable_index(spark, sf, compacted=False):
+    """The documents' beginnings, and later parts of the labelled ones in their place."""
+    index = new_folder(spark, "search")
+    old, new = fx.index_batches(spark, sf)
+    pm.upsert_index(pm.index_record(old, fx.FIRST_RUN), index, "first", searchable=True)
+    replaced = new.withColumn("content", F.substring("content", 200, 300))
+    pm.upsert_index(pm.index_record(replaced, fx.SECOND_RUN), index, "second")
+    if compacted:
+        pm.compact_index(spark, index)
+    return index
+
+
+def content_queries(spark, sf, first, n):
+    """Some words of each document whose number is divisible by 20, as queries against all records."""
+    words = T.terms(F.substring("text", 1, 300))
+    docs = fx.table(spark, sf, "documents").where("doc_id % 20 = 0")
+    return docs.select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(words, first, n), " ").alias("query"))
+
+
+def _rounded(found):
+    return found.withColumn("score", F.round("score", 6))
+
+
+def search_index(spark, sf):
+    return _rounded(pm.search_index(spark, searchable_index(spark, sf), content_queries(spark, sf, 2, 2)))
+
+
+def search_index_all(spark, sf):
+    """All words of the query, after a compaction; the best five."""
+    index = searchable_index(spark, sf, compacted=True)
+    return _rounded(pm.search_index(spark, index, content_queries(spark, sf, 2, 3), how="all", limit=5))
+
+
+def search_index_phrase(spark, sf):
+    return _rounded(pm.search_index(spark, searchable_index(spark, sf), content_queries(spark, sf, 4, 3), how="phrase"))
+
+
 def archive(spark, sf):
     classified = pm.classify_rules(fx.contents(spark, sf), fx.RULES)
     return pm.read_archive(spark, pm.archive(classified, new_folder(spark, "archive"), "1"))
@@ -350,6 +410,11 @@ QUERIES = {
     "upsert_same_date": upsert_same_date,
     "read_index": read_index,
     "compact_index": compact_index,
+    "index_late_batches": index_late_batches,
+    "index_lookup": index_lookup,
+    "search_index": search_index,
+    "search_index_all": search_index_all,
+    "search_index_phrase": search_index_phrase,
     "archive": archive,
     "remove_sources": remove_sources,
     "ingest": ingest,
@@ -372,6 +437,41 @@ def _hashed(name: str, relative: str) -> str:
     return f"{stem} || '~' || substring(sha256({relative}), 1, 16) || substring({named}, length({stem}) + 1)"
 
 
+_WORDS = "regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _search(first: int, n: int) -> str:
+    """Postings, queries and scores over the records of ``searchable_index``."""
+    return f"""WITH replaced AS (
+  SELECT 'hdfs:/in/' || source || '/Doc_' || doc_id AS filename, substring(substring(text, 200, 300), 1, 300) AS content
+  FROM documents JOIN labels USING (doc_id)),
+records AS (
+  SELECT * FROM replaced UNION ALL
+  SELECT 'hdfs:/in/' || source || '/Doc_' || doc_id, substring(text, 1, 300) FROM documents
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+sized AS (SELECT filename, {_WORDS.format(text="content")} AS words FROM records),
+corpus AS (SELECT count(*) AS n_docs, avg(len(words)) AS mean_terms FROM sized),
+placed AS (SELECT filename, unnest(words) AS term, unnest(range(len(words))) AS k, len(words) AS n_terms FROM sized),
+postings AS (SELECT term, filename, any_value(n_terms) AS n_terms, count(*) AS n, list(k) AS positions FROM placed GROUP BY term, filename),
+held AS (SELECT term, count(*) AS n_held FROM postings GROUP BY term),
+queries AS (SELECT doc_id AS query_id, ({_WORDS.format(text="substring(text, 1, 300)")})[{first}:{first + n - 1}] AS words FROM documents WHERE doc_id % 20 = 0),
+wanted AS (SELECT query_id, unnest(words) AS term, unnest(range(len(words))) AS place FROM queries),
+weighed AS (
+  SELECT DISTINCT query_id, filename, term,
+         ln(1 + (n_docs - n_held + 0.5) / (n_held + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * n_terms / mean_terms)) AS weight
+  FROM wanted JOIN postings USING (term) JOIN held USING (term), corpus),
+answers AS (
+  SELECT query_id, filename, count(*)::INTEGER AS n_terms_found, sum(weight) AS score FROM weighed GROUP BY query_id, filename),
+complete AS (
+  SELECT answers.* FROM answers JOIN (SELECT query_id, count(DISTINCT term) AS n_wanted FROM wanted GROUP BY query_id) USING (query_id)
+  WHERE n_terms_found = n_wanted),
+begins AS (
+  SELECT query_id, filename FROM (
+    SELECT query_id, filename, unnest(positions) - place AS begin FROM wanted JOIN postings USING (term))
+  GROUP BY query_id, filename, begin HAVING count(*) = {n})
+"""
+
+
 _FAILURES = f"""WITH {fx.PAGES},
 footed AS (
   SELECT path, string_agg(page_text || {fx.FOOTER_SQL.format(n="page_no")}, '' ORDER BY page_no) AS content,
@@ -417,6 +517,22 @@ SELECT filename, CASE WHEN filename IN (SELECT filename FROM new_batch) THEN 'a'
        '2024-01-31T08:30:00Z' AS date, content FROM merged""",
     "read_index": f"WITH {fx.BATCHES} SELECT filename, content FROM merged WHERE classification = 'good'",
     "compact_index": tq.ORACLE["latest_records"],
+    "index_late_batches": f"""WITH {fx.BATCHES},
+late AS (SELECT filename || '/late' AS filename, classification, date, 'again' AS content FROM new_batch WHERE classification = 'poor')
+SELECT filename, CASE WHEN filename IN (SELECT filename FROM new_batch WHERE classification = 'poor') THEN 'b' ELSE classification END
+         AS classification,
+       CASE WHEN filename IN (SELECT filename FROM new_batch WHERE classification = 'poor') THEN '2024-02-29T23:59:59Z' ELSE date END AS date,
+       content FROM old_batch
+UNION ALL SELECT * FROM late""",
+    "index_lookup": f"""WITH {fx.BATCHES}
+SELECT filename, classification, date FROM merged WHERE filename = (SELECT min(filename) FROM merged)""",
+    "search_index": _search(2, 2) + "SELECT query_id, filename, n_terms_found, round(score, 6) AS score FROM answers",
+    "search_index_all": _search(2, 3)
+    + """SELECT query_id, filename, n_terms_found, round(score, 6) AS score FROM complete
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, filename) <= 5""",
+    "search_index_phrase": _search(4, 3)
+    + """SELECT query_id, filename, n_terms_found, round(score, 6) AS score FROM complete
+WHERE (query_id, filename) IN (SELECT (query_id, filename) FROM begins)""",
     "archive": f"""WITH {fx.SRC}
 SELECT path, text AS content, {fx.category_sql("text")} AS classification FROM src""",
     "remove_sources": f"""WITH {fx.SRC}

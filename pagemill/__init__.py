@@ -65,16 +65,19 @@ from pagemill.sinks import (
     compact_index,
     read_archive,
     remove_sources,
+    replaced_folders,
     upsert_index,
     write_text_files,
     write_texts,
 )
 from pagemill.sources import (
+    batch_records,
     decode_documents,
     latest_records,
     read_index,
     scan_document_stream,
     scan_documents,
+    search_index,
     union_sources,
 )
 from pagemill.streaming.ingest import failed_documents, ingest_stream, remove_ingested

@@ -63,6 +63,11 @@ def html_text(html: Column | str) -> Column:
     return F.trim(F.regexp_replace(untagged, r"[ \t\r\n]+", " "))
 
 
+def terms(text: Column | str) -> Column:
+    """Runs of letters and digits, lower-cased, in order; none for a null text."""
+    return F.coalesce(F.regexp_extract_all(F.lower(_col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), F.array().cast("array<string>"))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is computed once per row however often ``body`` names it.
 

@@ -22,7 +22,7 @@ from pagemill.sinks.index import upsert_index
 from pagemill.sinks.removal import remove_sources
 from pagemill.sinks.texts import write_text_files, write_texts
 from pagemill.sources.documents import scan_documents
-from pagemill.sources.index import read_index
+from pagemill.sources.index import batch_records, read_index
 
 # (path, content, n_pages) to the same with a classification, or to (path, classification)
 Classifier = Callable[[DataFrame], DataFrame]
@@ -91,8 +91,8 @@ def ingest_pages(
 
 
 def indexed_by(spark: SparkSession, out: str, run_id: str) -> DataFrame:
-    """Names one run has put into the index; reads that run's batch and not the index."""
-    return spark.read.parquet(f"{out}/index/batch={run_id}").select("filename")
+    """Names one run has put into the index."""
+    return batch_records(spark, f"{out}/index", run_id)
 
 
 def ingest(

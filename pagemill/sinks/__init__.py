@@ -1,5 +1,5 @@
 from pagemill.sinks.archive import archive, read_archive
-from pagemill.sinks.index import compact_index, upsert_index
+from pagemill.sinks.index import compact_index, replaced_folders, upsert_index
 from pagemill.sinks.removal import remove_sources
 from pagemill.sinks.texts import write_text_files, write_texts
 
@@ -8,6 +8,7 @@ __all__ = [
     "compact_index",
     "read_archive",
     "remove_sources",
+    "replaced_folders",
     "upsert_index",
     "write_text_files",
     "write_texts",
