@@ -150,6 +150,19 @@ def words_in_page_rect(spark, sf):
     return fx.flat_boxes(pm.words_in_rect(words, rects))
 
 
+def words_in_large_rect(spark, sf):
+    """Rectangles from a cell to far beyond any page, narrow and flat ones too, that hold for every page."""
+    key = F.col("n_nationkey")
+    rects = fx.table(spark, sf, "nation").select(
+        key.alias("rect_id"),
+        (key - 12).alias("rx"),
+        (-key).alias("ry"),
+        F.pow(F.lit(2), key % 18).cast("int").alias("rw"),
+        F.pow(F.lit(3), key % 11).cast("int").alias("rh"),
+    )
+    return fx.flat_boxes(pm.words_in_rect(fx.words(spark, sf), rects))
+
+
 def render_hocr(spark, sf):
     fragments = fx.pages(spark, sf).withColumn("fragment", F.concat(F.lit("<p>"), "page_text", F.lit("</p>\n")))
     return pm.render_hocr(fragments)
@@ -259,6 +272,7 @@ QUERIES = {
     "extract_regions_page": _regions("page"),
     "words_in_rect": words_in_rect,
     "words_in_page_rect": words_in_page_rect,
+    "words_in_large_rect": words_in_large_rect,
     "render_hocr": render_hocr,
     "attach_classification": attach_classification,
     "indexed_only": indexed_only,
@@ -366,6 +380,12 @@ SELECT path, page_no, line_no, region_no AS word_no, text, 100.0::FLOAT AS confi
 FROM texts JOIN hulls USING (path, page_no, region_no)""",
     "extract_regions_page": f"""WITH {fx.WORDS}
 SELECT path, page_no, 0 AS region_no, {_BOX} FROM words_in GROUP BY path, page_no""",
+    "words_in_large_rect": f"""WITH {fx.WORDS},
+rects AS (
+  SELECT n_nationkey AS rect_id, n_nationkey - 12 AS rx, -n_nationkey AS ry, pow(2, n_nationkey % 18)::INTEGER AS rw,
+         pow(3, n_nationkey % 11)::INTEGER AS rh FROM nation)
+SELECT words_in.*, rect_id FROM words_in JOIN rects
+  ON x >= rx AND y >= ry AND x + w <= rx + rw AND y + h <= ry + rh""",
     "words_in_rect": f"""WITH {fx.WORDS}, {fx.RECTS}
 SELECT words_in.*, rect_id FROM words_in JOIN rects
 ON x >= rx AND y >= ry AND x + w <= rx + rw AND y + h <= ry + rh""",

@@ -6,11 +6,12 @@ not be recognised and NULL for a page that was never rendered; the latter has no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
 from pagemill.functions.fixed import HOCR_FOOTER, HOCR_HEADER, MAX_PAGES
+from pagemill.functions.spans import stored, with_start
 
 # Pages that one task numbers together. Results do not depend on it.
 _SPAN = 1000
@@ -78,34 +79,34 @@ def sort_pages(pages: DataFrame) -> DataFrame:
     return kept.groupBy("path").agg(F.array_sort(F.collect_list(page)).alias("pages"))
 
 
-def _numbered(pages: DataFrame, span_size: int) -> DataFrame:
-    """Rendered pages with ``span`` and ``footer_no``, their rank in the document.
+def _parts(pages: DataFrame, span_size: int, folder: str | None) -> DataFrame:
+    """``(path, span, pages, start)``: rendered pages in spans of page numbers, and how many come before a span.
 
-    Ranks are taken inside spans of page numbers, and each span starts after the pages of the spans before it. So no
-    task holds more than one span, whatever share of all pages one document has. Texts are shuffled once, by
-    ``(path, span)``; the table of span sizes has one row per span and joins on the same keys.
+    The pages are computed and shuffled once, into one row per span, and stored; sizes are summed up from what was stored. So no
+    task holds more than one span, whatever share of all pages one document has.
     """
     span = F.floor((F.col("page_no") - 1) / F.lit(span_size)).cast("int")
-    kept = pages.where(F.col("page_text").isNotNull()).withColumn("span", span)
-    before = Window.partitionBy("path").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        kept.groupBy("path", "span")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("path", "span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    )
-    inside = F.row_number().over(Window.partitionBy("path", "span").orderBy("page_no"))
-    return (
-        kept.withColumn("inside", inside)
-        .join(starts, ["path", "span"])
-        .withColumn("footer_no", (F.col("start") + F.col("inside")).cast("int"))
-        .drop("inside", "start")
+    rest = [c for c in pages.columns if c not in ("path", "page_no", "page_text")]
+    # A condition here would be moved below the computation of the text, and compute it again; the list leaves nulls out.
+    page = F.when(F.col("page_text").isNotNull(), F.struct("page_no", "page_text", *rest))
+    in_order = F.array_sort(
+        F.collect_list(page), lambda a, b: F.when(a["page_no"] < b["page_no"], -1).when(a["page_no"] > b["page_no"], 1).otherwise(0)
     )
+    grouped = pages.groupBy("path", span.alias("span")).agg(in_order.alias("pages")).where(F.size("pages") > 0)
+    spans = stored(grouped, "page-spans", folder)
+    return with_start(spans.withColumn("n", F.size("pages")), ["path"], "n").drop("n")
 
 
-def page_footer(pages: DataFrame) -> DataFrame:
-    """Appends the numbered footer to each page; the number counts the pages a document really has."""
-    footed = F.concat("page_text", T.footer("footer_no"))
-    return _numbered(pages, _SPAN).withColumn("page_text", footed).drop("span")
+def page_footer(pages: DataFrame, folder: str | None = None) -> DataFrame:
+    """Appends the numbered footer to each page, and ``footer_no``; the number counts the pages a document really has.
+
+    The pages are evaluated once, here, and stored in ``folder`` or in a new folder below ``spark.checkpoint.dir``.
+    """
+    rest = [c for c in pages.columns if c not in ("path", "page_no", "page_text")]
+    each = _parts(pages, _SPAN, folder).select("path", "start", F.posexplode("pages").alias("k", "p"))
+    numbered = each.select("path", "p.*", (F.col("start") + F.col("k") + 1).cast("int").alias("footer_no"))
+    footed = F.concat("page_text", T.footer("footer_no")).alias("page_text")
+    return numbered.select(*[footed if c == "page_text" else F.col(c) for c in ("path", "page_no", "page_text", *rest)], "footer_no")
 
 
 def assemble_document(pages: DataFrame) -> DataFrame:
@@ -130,19 +131,15 @@ def assemble_paged(df: DataFrame, pages: Column) -> DataFrame:
     )
 
 
-def assemble_parts(pages: DataFrame, pages_per_part: int = _SPAN) -> DataFrame:
+def assemble_parts(pages: DataFrame, pages_per_part: int = _SPAN, folder: str | None = None) -> DataFrame:
     """``(path, part_no, content, n_pages)``: the text of :func:`assemble_document` cut at page borders.
 
     Joined in ``part_no`` order the parts are the document. No row or task holds more than one part, so one document
-    may be any share of the data. Parts are the spans their pages were numbered in, so nothing is shuffled again.
+    may be any share of the data. The pages are evaluated once, here, and stored as for :func:`page_footer`; their texts are shuffled once.
     """
-    page = F.struct("footer_no", "page_text")
-    footed = F.transform("pages", lambda p: F.concat(p["page_text"], T.footer(p["footer_no"])))
-    return (
-        _numbered(pages, pages_per_part)
-        .groupBy("path", F.col("span").alias("part_no"))
-        .agg(F.array_sort(F.collect_list(page)).alias("pages"))
-        .select("path", "part_no", F.array_join(footed, "").alias("content"), F.size("pages").alias("n_pages"))
+    footed = F.transform("pages", lambda p, k: F.concat(p["page_text"], T.footer(F.col("start") + k + 1)))
+    return _parts(pages, pages_per_part, folder).select(
+        "path", F.col("span").alias("part_no"), F.array_join(footed, "").alias("content"), F.size("pages").alias("n_pages")
     )
 
 

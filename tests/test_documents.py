@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 import pagemill as pm
 from pagemill.functions.fixed import FOOTER_AFTER, FOOTER_BEFORE
+from pagemill.operators import layout
+from pagemill.operators import pages as pages_module
 
 RUN = datetime(2024, 5, 6, 7, 8, 9)
 
@@ -263,6 +265,66 @@ def test_long_line_of_words(spark):
     assert (row.n, row.x) == (30_000, text.rindex(" ") + 1)
 
 
+def test_rectangles_of_any_size_are_listed_a_few_times(spark):
+    rects = [(k, k, -k, 3**k % (2**31), 5**k % (2**31)) for k in range(20)] + [(99, 0, 0, 200_000, 200_000)]
+    df = spark.createDataFrame(rects, "rect_id int, rx int, ry int, rw int, rh int")
+    counts = {r["rect_id"]: r["count"] for r in layout.list_rects(df, 16).groupBy("rect_id").count().collect()}
+    assert len(counts) == len(rects) and max(counts.values()) <= 64
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 4096])
+def test_blocks_and_words_over_spans(spark, monkeypatch, span):
+    """Blocks that begin, end or go on at the border of a span of lines, on several pages."""
+    monkeypatch.setattr(layout, "_SPAN", span)
+    texts = ["a\nb\nc\n\nd\n\n\ne\nf", "\n\na b\nc d e", "x", "\n".join("yy" if k % 5 else "" for k in range(40))]
+    df = spark.createDataFrame([("p", k, t) for k, t in enumerate(texts)], "path string, page_no int, page_text string")
+    words = pm.extract_words(df)
+    want = []
+    for page, text in enumerate(texts):
+        blocks, fresh = [], True
+        for y, line in enumerate(text.split("\n")):
+            if line and fresh:
+                blocks.append([y, y, len(line)])
+            elif line:
+                blocks[-1][1:] = [y, max(blocks[-1][2], len(line))]
+            fresh = not line
+        want += [(page, k, a, b - a + 1, w) for k, (a, b, w) in enumerate(blocks)]
+    got = pm.extract_regions(words, "block").select("page_no", "region_no", "box.y", "box.h", "box.w").collect()
+    assert sorted(map(tuple, got)) == want
+    numbers = pm.extract_regions(words, "word").select("page_no", "region_no", "box.y", "box.x").collect()
+    places = sorted((r.page_no, r.box.y, r.box.x) for r in words.collect())
+    of_page = [sum(p[0] == q[0] for q in places[:k]) for k, p in enumerate(places)]
+    assert sorted((r.page_no, r.y, r.x, r.region_no) for r in numbers) == [(*p, k) for p, k in zip(places, of_page, strict=True)]
+
+
+def test_pages_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def looked_at(text):
+        seen.add(1)
+        return text
+
+    rows = [("a", k, f"t{k}") for k in range(1, 2301)] + [("b", 1, "x"), ("b", 7, None)]
+    pages = spark.createDataFrame(rows, "path string, page_no int, page_text string").repartition(4)
+    for work in (pm.page_footer, pm.assemble_parts):
+        seen.value = 0
+        work(pages.withColumn("page_text", looked_at("page_text"))).collect()
+        assert len(rows) - 1 <= seen.value <= len(rows)
+
+
+def test_footers_over_spans(spark, monkeypatch):
+    monkeypatch.setattr(pages_module, "_SPAN", 3)
+    rows = [("a", k, f"t{k}", k % 2 == 0) for k in (1, 2, 5, 6, 7, 8, 30, 31)] + [("b", 2, "x", True), ("b", 4, None, False)]
+    pages = spark.createDataFrame(rows, "path string, page_no int, page_text string, ok boolean")
+    footed = pm.page_footer(pages)
+    assert footed.columns == ["path", "page_no", "page_text", "ok", "footer_no"]
+    got = sorted((r.path, r.page_no, r.footer_no, r.page_text, r.ok) for r in footed.collect())
+    kept = sorted(r for r in rows if r[2] is not None)
+    want = [(p, n, sum(q[0] == p and q[1] <= n for q in kept), t, ok) for p, n, t, ok in kept]
+    assert got == [(p, n, k, f"{t}{FOOTER_BEFORE}{k}{FOOTER_AFTER}", ok) for p, n, k, t, ok in want]
+
+
 def test_blocks_end_at_empty_lines(spark):
     df = spark.createDataFrame([("p", 1, "aa\n b\n\n   \ncccc\n")], "path string, page_no int, page_text string")
     words = pm.extract_words(df)
@@ -276,12 +338,14 @@ def test_blocks_end_at_empty_lines(spark):
     assert texts == [(0, 0, "aa\nb", (0, 0, 2, 2)), (1, 4, "cccc", (0, 4, 4, 1))]
 
 
-@pytest.mark.parametrize("tile, salts", [(1, 1), (3, 4), (64, 16), (1000, 2)])
-def test_words_in_rect_match_brute_force(spark, tile, salts):
+@pytest.mark.parametrize("bits, salts", [(0, 1), (2, 4), (4, 16)])
+def test_words_in_rect_match_brute_force(spark, monkeypatch, bits, salts):
+    monkeypatch.setattr(layout, "_CELL_BITS", bits)
     text = "\n".join(" ".join("ab"[: 1 + (i * j) % 2] * (1 + (i + j) % 5) for j in range(30)) for i in range(12))
     df = spark.createDataFrame([("p", 1, text), ("q", 2, text[::-1])], "path string, page_no int, page_text string")
     words = pm.extract_words(df)
     rects = [(1, 0, 0, 20, 3), (2, 5, 2, 40, 5), (3, 5, 2, 0, 5), (4, 0, 0, 500, 500), (5, 64, 3, 3, 1)]
+    rects += [(6, -7, -3, 60, 9), (7, -100_000, -100_000, 200_000, 200_000), (8, 0, 4, 2**31 - 1, 1), (9, 3, -(2**31), 4, 2**31 - 1)]
     keyed = [(10, 0, 0, 50, 6, "p", 1), (11, 0, 0, 50, 6, "p", 2), (12, 3, 3, 30, 4, "q", 2)]
     boxes = [(r.path, r.page_no, r.line_no, r.word_no, tuple(r.box)) for r in words.collect()]
 
@@ -292,14 +356,14 @@ def test_words_in_rect_match_brute_force(spark, tile, salts):
 
     want = sorted((*b[:4], r[0]) for b in boxes for r in rects if inside(b[4], r))
     rect_df = spark.createDataFrame(rects, "rect_id int, rx int, ry int, rw int, rh int")
-    got = pm.words_in_rect(words, rect_df, tile, salts).select("path", "page_no", "line_no", "word_no", "rect_id")
+    got = pm.words_in_rect(words, rect_df, salts).select("path", "page_no", "line_no", "word_no", "rect_id")
     assert want and sorted(map(tuple, got.collect())) == want
 
     want = sorted((*b[:4], r[0]) for b in boxes for r in keyed if b[:2] == r[5:] and inside(b[4], r))
     keyed_df = spark.createDataFrame(
         keyed, "rect_id int, rx int, ry int, rw int, rh int, path string, page_no int"
     )
-    got = pm.words_in_rect(words, keyed_df, tile, salts).select("path", "page_no", "line_no", "word_no", "rect_id")
+    got = pm.words_in_rect(words, keyed_df, salts).select("path", "page_no", "line_no", "word_no", "rect_id")
     assert want and sorted(map(tuple, got.collect())) == want
 
 
