@@ -59,6 +59,7 @@ from pagemill.operators.raster import (
     to_pixels,
 )
 from pagemill.operators.records import flatten_text, index_record, output_name, preview, strip_scheme
+from pagemill.operators.shapes import deskew, raster_regions, skew, turn
 from pagemill.plans.ingest import IngestResult, index_texts, ingest, ingest_pages
 from pagemill.sinks import (
     archive,

@@ -172,11 +172,22 @@ def apply_mask(lines: DataFrame, mask: DataFrame) -> DataFrame:
     return lines.join(m, ["image_id", "y"]).select("image_id", "y", kept.alias("v"))
 
 
-def _boxes(lines: DataFrame, is_set: Callable[[Column], Column]) -> DataFrame:
+def _set_places(lines: DataFrame, is_set: Callable[[Column], Column]) -> DataFrame:
+    """``(image_id, y, xs)``: the places of the pixels that are set, for lines that have any."""
     places = F.filter(F.transform("v", lambda p, x: F.when(is_set(p), x)), lambda x: x.isNotNull())
+    return lines.select("image_id", "y", places.alias("xs")).where(F.size("xs") > 0)
+
+
+def nonzero_ends(mask: DataFrame) -> DataFrame:
+    """``(image_id, y, low, high)``: the first and last pixel that is set, for lines that have any."""
+    return _set_places(mask, lambda p: p != 0).select(
+        "image_id", "y", F.array_min("xs").alias("low"), F.array_max("xs").alias("high")
+    )
+
+
+def _boxes(lines: DataFrame, is_set: Callable[[Column], Column]) -> DataFrame:
     return (
-        lines.select("image_id", "y", places.alias("xs"))
-        .where(F.size("xs") > 0)
+        _set_places(lines, is_set)
         .groupBy("image_id")
         .agg(
             F.min(F.array_min("xs")).alias("bx"),
