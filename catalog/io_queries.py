@@ -85,6 +85,12 @@ def text_engine(fails: bool = False):
                         yield word, 100.0, x, y, len(word), 1
                     x += len(word) + 1
 
+        def raster(self, image):
+            return [[ord(c) for c in line] for line in image]
+
+        def image(self, lines):
+            return ["".join(map(chr, line)) for line in lines]
+
         def regions(self, image, level):
             self.check(image)
             return [(0, y, len(line), 1) for y, line in enumerate(image) if line]
@@ -142,6 +148,25 @@ def segment_regions(spark, sf):
     return relative(fx.flat_boxes(found).drop("error"), folder)
 
 
+def _rasters(spark, sf, name):
+    folder, ranges = _page_ranges(spark, sf, name)
+    return folder, pm.render_rasters(ranges, text_engine(), num_partitions=8)
+
+
+def render_rasters(spark, sf):
+    """Each page's lines as gray values: how many, and their sum."""
+    folder, lines = _rasters(spark, sf, "rasters")
+    total = F.aggregate("v", F.lit(0).cast("long"), lambda s, p: s + p)
+    return relative(lines, folder).select("path", "page_no", "y", F.size("v").alias("width"), total.alias("total"), "ok")
+
+
+def recognize_rasters(spark, sf):
+    """Pages to rasters, and the rasters without their even lines to pages."""
+    folder, lines = _rasters(spark, sf, "recognized")
+    pages = pm.recognize_rasters(lines.where("y % 2 = 0"), text_engine())
+    return relative(pages, folder).select("path", "page_no", "page_text", "ok")
+
+
 def write_texts(spark, sf):
     return pm.write_texts(pm.assemble_document(fx.pages(spark, sf)), new_folder(spark, "texts"), "1")
 
@@ -403,6 +428,8 @@ QUERIES = {
     "extract_rect": extract_rect,
     "recognize_words": recognize_words,
     "segment_regions": segment_regions,
+    "render_rasters": render_rasters,
+    "recognize_rasters": recognize_rasters,
     "write_texts": write_texts,
     "write_text_files": write_text_files,
     "write_clashing_files": write_clashing_files,
@@ -503,6 +530,13 @@ SELECT path, page_no, (row_number() OVER (PARTITION BY path, page_no ORDER BY li
        0 AS x, line_no AS y, length(line)::INTEGER AS w, 1 AS h, true AS ok
 FROM page_lines JOIN pages_in USING (path, page_no) WHERE line <> '' AND {_PDF} AND NOT {_NOT_READ}
 UNION ALL SELECT path, page_no, NULL, NULL, NULL, NULL, NULL, false FROM pages_in WHERE {_PDF} AND {_NOT_READ}""",
+    "render_rasters": f"""WITH {fx.WORDS}
+SELECT path, page_no, line_no AS y, length(line)::INTEGER AS width, true AS ok,
+       CASE line WHEN '' THEN 0 ELSE list_sum([unicode(c) FOR c IN string_split(line, '')]) END::BIGINT AS total
+FROM page_lines WHERE {_PDF}""",
+    "recognize_rasters": f"""WITH {fx.WORDS}
+SELECT path, page_no, string_agg(line, chr(10) ORDER BY line_no) AS page_text, true AS ok
+FROM page_lines WHERE {_PDF} AND line_no % 2 = 0 GROUP BY path, page_no""",
     "write_texts": tq.ORACLE["assemble_document"],
     "write_text_files": f"""WITH {fx.SRC},
 named AS (SELECT path, text, split_part(path, '/', -2) AS folder, split_part(path, '/', -1) AS name FROM src)

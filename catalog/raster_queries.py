@@ -109,6 +109,20 @@ def sparse_images(spark, sf):
     return pm.sparse_images(pm.to_pixels(fx.raster(spark, sf)).where(F.col("v") < 255))
 
 
+def raster_regions(spark, sf):
+    """Connected regions of the ink, found on tiles of three pixels."""
+    return fx.flat_boxes(pm.raster_regions(pm.binarize_inv(fx.raster(spark, sf)), tile=3))
+
+
+def skew(spark, sf):
+    return pm.skew(pm.binarize_inv(fx.raster(spark, sf)))
+
+
+def deskew(spark, sf):
+    lines = fx.raster(spark, sf)
+    return pm.deskew(lines, pm.binarize_inv(lines), tile=3)
+
+
 QUERIES = {
     "to_gray": _pixels(to_gray),
     "binarize_inv": _pixels(binarize_inv),
@@ -127,6 +141,9 @@ QUERIES = {
     "clean_image_tall": _pixels(clean_image_tall),
     "clean_image_full_kernels": _pixels(clean_image_full_kernels),
     "sparse_images": sparse_images,
+    "raster_regions": raster_regions,
+    "skew": skew,
+    "deskew": _pixels(deskew),
 }
 
 
@@ -181,6 +198,43 @@ whitened AS (
 {_boxes("mask")}, {_cut("whitened")}, {_half("cut")}"""
 
 
+def _components(source: str) -> str:
+    """Regions of ``source`` ``(image_id, y, x)``: each pixel's least pixel that can be reached."""
+    return f"""reached AS (
+  SELECT image_id, y, x, y AS ry, x AS rx FROM {source}
+  UNION
+  SELECT r.image_id, s.y, s.x, r.ry, r.rx FROM reached r JOIN {source} s
+    ON s.image_id = r.image_id AND s.y BETWEEN r.y - 1 AND r.y + 1 AND s.x BETWEEN r.x - 1 AND r.x + 1),
+rooted AS (SELECT image_id, y, x, min(ry::BIGINT * 100000 + rx) AS root FROM reached GROUP BY image_id, y, x),
+regions AS (
+  SELECT image_id, root, min(x) AS x, min(y) AS y, (max(x) - min(x) + 1)::INTEGER AS w, (max(y) - min(y) + 1)::INTEGER AS h,
+         count(*) AS n_pixels FROM rooted GROUP BY image_id, root)
+SELECT image_id, (row_number() OVER (PARTITION BY image_id ORDER BY y, x, root) - 1)::INTEGER AS region_no, x, y, w, h, n_pixels
+FROM regions"""
+
+
+_SKEW = """pts AS (
+  SELECT image_id, y::BIGINT AS y, unnest([min(x), max(x)])::BIGINT AS x FROM ink WHERE v <> 0 GROUP BY image_id, y),
+sides AS (
+  SELECT a.image_id, b.x - a.x AS dx, b.y - a.y AS dy
+  FROM pts a JOIN pts b ON a.image_id = b.image_id AND (a.x <> b.x OR a.y <> b.y) JOIN pts c ON c.image_id = a.image_id
+  GROUP BY a.image_id, a.x, a.y, b.x, b.y HAVING min((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) >= 0),
+turned AS (
+  SELECT DISTINCT image_id, t.dx // gcd(t.dx, t.dy) AS dx, t.dy // gcd(t.dx, t.dy) AS dy
+  FROM (SELECT image_id, unnest([{'dx': dx, 'dy': dy}, {'dx': -dy, 'dy': dx}, {'dx': -dx, 'dy': -dy}, {'dx': dy, 'dy': -dx}]) AS t FROM sides)
+  WHERE t.dx > 0 AND t.dy > -t.dx AND t.dy <= t.dx),
+areas AS (
+  SELECT image_id, dx, dy,
+         ((max(x * dx + y * dy) - min(x * dx + y * dy)) * (max(y * dx - x * dy) - min(y * dx - x * dy)))::DOUBLE
+           / (dx * dx + dy * dy)::DOUBLE AS area
+  FROM turned JOIN pts USING (image_id) GROUP BY image_id, dx, dy),
+least AS (
+  SELECT image_id, dx, dy FROM areas
+  QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY area, dy::DOUBLE / dx::DOUBLE) = 1),
+skew AS (
+  SELECT image_id, coalesce(dx, 1)::BIGINT AS dx, coalesce(dy, 0)::BIGINT AS dy
+  FROM (SELECT DISTINCT image_id FROM pts) LEFT JOIN least USING (image_id))"""
+
 _SELECT = "SELECT image_id, y, x, v FROM "
 _SMALL_BOXES = f"{fx.RASTER}, {_ink(100)}, {_filter('ink', 2, 'min', 'thin')}, {_boxes('thin')}"
 _VALUE = "least(255, greatest(0, floor(128 + embedding[{} + 1]::DOUBLE * 500)))::INTEGER"
@@ -210,4 +264,16 @@ SELECT image_id, y::INTEGER AS y, x::INTEGER AS x, ((299 * r + 587 * g + 114 * b
     "sparse_images": f"""WITH {fx.RASTER}
 SELECT image_id, count(*) AS n_pixels, ((max(x) + 1) * (max(y) + 1))::BIGINT AS n_expected
 FROM px WHERE v < 255 GROUP BY image_id HAVING count(*) <> (max(x) + 1) * (max(y) + 1)""",
+    "raster_regions": f"WITH RECURSIVE {fx.RASTER}, {_ink(100)}, inked AS (SELECT image_id, y, x FROM ink WHERE v <> 0), {_components('inked')}",
+    "skew": f"WITH {fx.RASTER}, {_ink(100)}, {_SKEW} SELECT * FROM skew",
+    "deskew": f"""WITH {fx.RASTER}, {_ink(100)}, {_SKEW},
+angles AS (
+  SELECT image_id, dx / sqrt((dx * dx + dy * dy)::DOUBLE) AS c, dy / sqrt((dx * dx + dy * dy)::DOUBLE) AS s
+  FROM (SELECT image_id, coalesce(dx, 1) AS dx, coalesce(dy, 0) AS dy FROM (SELECT DISTINCT image_id FROM px) LEFT JOIN skew USING (image_id))),
+from_where AS (
+  SELECT image_id, y, x, floor(3.5::DOUBLE + (x - 3.5::DOUBLE) * c - (y - 3.5::DOUBLE) * s + 0.5::DOUBLE)::INTEGER AS u,
+         floor(3.5::DOUBLE + (x - 3.5::DOUBLE) * s + (y - 3.5::DOUBLE) * c + 0.5::DOUBLE)::INTEGER AS t
+  FROM px JOIN angles USING (image_id))
+SELECT f.image_id, f.y, f.x, coalesce(px.v, 255)::INTEGER AS v
+FROM from_where f LEFT JOIN px ON px.image_id = f.image_id AND px.y = f.t AND px.x = f.u""",
 }

@@ -25,6 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from pagemill.functions.fixed import LANGUAGE
+from pagemill.functions.frames import whole_groups
 from pagemill.functions.storage import default_storage, resolver
 from pagemill.sources.documents import deal_out
 
@@ -265,24 +266,32 @@ def render_rasters(batches: DataFrame, engine: Callable[[], Any], num_partitions
 def recognize_rasters(lines: DataFrame, engine: Callable[[], Any], lang: str = LANGUAGE) -> DataFrame:
     """Lines ``(path, page_no, y, v)``, cleaned for example, to the page table of :func:`extract_pages`.
 
-    The engine makes an image of them with ``image(lines)``. The lines of one page meet in one task.
+    The engine makes an image of them with ``image(lines)``. The lines of one page meet in one task, which makes one engine for all
+    its pages.
     """
+    groups, columns = whole_groups, ["path", "page_no", "page_text", "ok", "error"]
 
-    def recognize(key, group):
+    def recognize(batches):
         import pandas as pd
 
+        def row(reader, group):
+            key = (group["path"].iat[0], group["page_no"].iat[0])
+            try:
+                return *key, reader.recognize(reader.image(group["v"].tolist()), lang, None), True, None
+            except Exception as e:
+                return *key, "", False, f"{type(e).__name__}: {e}"
+
         reader = engine()
         try:
-            image = reader.image(group.sort_values("y")["v"].tolist())
-            row = (*key, reader.recognize(image, lang, None), True, None)
-        except Exception as e:
-            row = (*key, "", False, f"{type(e).__name__}: {e}")
+            for group in groups(batches, ["path", "page_no"]):
+                yield pd.DataFrame([row(reader, group)], columns=columns)
         finally:
             getattr(reader, "close", lambda: None)()
-        return pd.DataFrame([row], columns=["path", "page_no", "page_text", "ok", "error"])
 
-    rows = lines.where(F.col("v").isNotNull()).select("path", "page_no", "y", "v")
-    return rows.groupBy("path", "page_no").applyInPandas(recognize, PAGE_SCHEMA)
+    known = F.col("v").isNotNull() & F.col("path").isNotNull() & F.col("page_no").isNotNull()
+    rows = lines.where(known).select("path", "page_no", "y", "v")
+    in_order = rows.repartition("path", "page_no").sortWithinPartitions("path", "page_no", "y")
+    return in_order.mapInPandas(recognize, PAGE_SCHEMA)
 
 
 def complete_documents(pages: DataFrame) -> DataFrame:

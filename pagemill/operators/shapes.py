@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.fixed import WHITE
+from pagemill.functions.frames import whole_groups
 from pagemill.functions.graph import component_roots
 from pagemill.functions.spans import numbered, stored
 from pagemill.operators.raster import nonzero_ends
@@ -27,20 +28,6 @@ _TILE = 1024
 _SPAN = 4096
 
 
-def _groups(batches, keys):
-    """Frames of whole groups from batches that are sorted by ``keys``."""
-    held = None
-    for batch in batches:
-        frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        of_key = frame[keys]
-        starts = np.flatnonzero((of_key != of_key.shift()).any(axis=1)).tolist()
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            yield frame.iloc[a:b]
-        held = frame.iloc[starts[-1] :] if starts else None
-    if held is not None and len(held):
-        yield held
-
-
 def _merged(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest node that each of ``n`` nodes is tied to by the edges ``a``, ``b``."""
     root = np.arange(n)
@@ -100,7 +87,7 @@ def _labelled(mask: DataFrame, tile: int) -> DataFrame:
         "image_id", "y", "c.tx", "c.part", F.explode(rows).alias("ty")
     )
     kind = mask.schema["image_id"].dataType.simpleString()
-    keys, groups, labelled = ["image_id", "tx", "ty"], _groups, label_runs
+    keys, groups, labelled = ["image_id", "tx", "ty"], whole_groups, label_runs
 
     def label(batches):
         for group in groups(batches, keys):
@@ -276,7 +263,7 @@ def turn(lines: DataFrame, directions: DataFrame, tile: int | None = None) -> Da
         F.lit(None).cast("array<int>").alias("part"), "w", "h", "dx", "dy",
     )
     kind = lines.schema["image_id"].dataType.simpleString()
-    keys, groups, white = ["image_id", "tx", "ty"], _groups, WHITE
+    keys, groups, white = ["image_id", "tx", "ty"], whole_groups, WHITE
 
     def made(batches):
         for group in groups(batches, keys):
