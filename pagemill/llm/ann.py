@@ -1,10 +1,11 @@
 """Nearest neighbours by inner product: forests of random-projection trees with one priority queue, and exact reranking.
 
-Distinct vectors are dealt into shards of about ``SHARD_ROWS``; each shard builds a forest over all its vectors, and each
-block of distinct query vectors searches each shard's forest. So an index task and a search task hold one shard and one
-block, whatever the input. A search keeps one priority queue over all trees of the forest, ordered by the least margin on the
-way to a node, and takes leaves until it has seen ``SEARCH_SHARE`` of the shard; candidates are then ranked by their exact
-inner products in double precision, added up in the order of the components. The best of all shards are merged.
+Distinct vectors are dealt into shards of about ``SHARD_ROWS``. Each shard's forest is built once, over all its vectors, and stored with
+them as one row; distinct query vectors are packed into blocks of about ``QUERY_BLOCK``. Each block meets each shard once, as two
+rows, so a task holds one forest and one block, whatever the input. A search has one priority queue over all trees of
+a forest, ordered by the largest distance to a plane on the wrong side on the way to a leaf, and takes leaves until it has seen ``SEARCH_SHARE``
+of the shard. (The order of all leaves is computed for many queries at once; a queue would pop them in just that order.) Candidates are
+then ranked by their exact inner products in double precision, added up in the order of the components. The best of all shards are merged.
 
 Of equal vectors only the ``k + 1`` of the smallest ids can be among the k nearest, so a vector that a third of all rows
 share is one entry. The share sets recall: vectors without structure, such as uniform ones in 64 dimensions, need about
@@ -12,7 +13,7 @@ three quarters; ``recall`` in the tests compares with brute force.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without id.
 Repeated rows of one id and vector count once. Vectors of another dimension than the query's have no inner product with
-it and are no candidates. Fewer candidates than k give as many rows.
+it and are no candidates. Fewer candidates than k give as many rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ NEIGHBOURS = 20
 TREES = 8
 LEAF_ROWS = 64
 SHARD_ROWS = 16_384
-QUERY_BLOCK = 1_024
+QUERY_BLOCK = 8_192
 SEARCH_SHARE = 0.75
 SEED = 17
+_AT_ONCE = 256
 
 
 class Forest:
@@ -42,18 +44,31 @@ class Forest:
         random = np.random.default_rng(seed)
         self.normals: list[np.ndarray] = []
         self.offsets: list[float] = []
-        self.children: list[tuple[int, int]] = []  # inner nodes from 0 on; leaf k is ~k
-        self.leaves: list[np.ndarray] = []
-        self.roots = [self._grow(vectors, np.arange(len(vectors)), leaf_rows, random) for _ in range(trees)]
-        self.planes = np.array(self.normals).reshape(len(self.normals), vectors.shape[1]) if len(vectors) else np.zeros((0, 0))
-
-    def _grow(self, vectors: np.ndarray, rows: np.ndarray, leaf_rows: int, random: np.random.Generator) -> int:
-        todo, root = [(rows, -1, 0)], 0
+        self.children: list[list[int]] = []  # inner nodes from 0 on; leaf k is ~k
+        self.roots: list[int] = []
+        self.n_leaves = 0
+        self.leaf_of = np.array([self._grow(vectors, leaf_rows, random) for _ in range(trees)], np.int32)
+
+    def packed(self) -> dict[str, bytes]:
+        return {
+            "planes": np.array(self.normals, np.float64).tobytes(),
+            "offsets": np.array(self.offsets, np.float64).tobytes(),
+            "children": np.array(self.children, np.int32).tobytes(),
+            "roots": np.array(self.roots, np.int32).tobytes(),
+            "leaf_of": self.leaf_of.tobytes(),
+        }
+
+    def _grow(self, vectors: np.ndarray, leaf_rows: int, random: np.random.Generator) -> np.ndarray:
+        """The leaf of each row in one more tree. Nodes come after the nodes above them."""
+        self.roots.append(len(self.normals))
+        leaf_of = np.zeros(len(vectors), np.int32)
+        todo = [(np.arange(len(vectors)), -1, 0)]
         while todo:
             rows, parent, side = todo.pop()
             if len(rows) <= leaf_rows:
-                self.leaves.append(rows)
-                node = ~(len(self.leaves) - 1)
+                leaf_of[rows] = self.n_leaves
+                node = ~self.n_leaves
+                self.n_leaves += 1
             else:
                 a, b = vectors[random.choice(rows, 2, replace=False)]
                 normal = a - b
@@ -65,60 +80,70 @@ class Forest:
                 node = len(self.normals)
                 self.normals.append(normal)
                 self.offsets.append(float(along[order[half]]))
-                self.children.append((0, 0))
+                self.children.append([0, 0])
                 todo += [(rows[order[:half]], node, 0), (rows[order[half:]], node, 1)]
-            if parent < 0:
-                root = node
-            else:
-                pair = list(self.children[parent])
-                pair[side] = node
-                self.children[parent] = (pair[0], pair[1])
-        return root
-
-    def candidates(self, margins: np.ndarray, enough: int) -> np.ndarray:
-        """Rows of the leaves taken from the queue until ``enough`` are seen. ``margins``: of the query at each inner node."""
-        queue = [(-np.inf, r) for r in self.roots]
-        heapq.heapify(queue)
-        children, leaves = self.children, self.leaves
-        seen = np.zeros(self.size, bool)
-        count = 0
-        while queue and count < enough:
-            worst, node = heapq.heappop(queue)
-            if node < 0:
-                rows = leaves[~node]
-                count += len(rows) - int(seen[rows].sum())
-                seen[rows] = True
-                continue
-            margin = margins[node]
-            left, right = children[node]
-            heapq.heappush(queue, (max(worst, margin), left))
-            heapq.heappush(queue, (max(worst, -margin), right))
-        return np.flatnonzero(seen)
-
-    @property
-    def size(self) -> int:
-        return sum(len(x) for x in self.leaves) // max(1, len(self.roots))
-
-
-def nearest(vectors: np.ndarray, ids: list, queries: np.ndarray, k: int, share: float, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> list[list[tuple[float, int]]]:
-    """For each query up to ``k`` ``(score, id)``, best first, ties to smaller ids. ``ids``: those of each vector's rows."""
-    forest = Forest(vectors, trees, leaf_rows)
-    size, offsets = forest.size, np.array(forest.offsets)
-    enough = int(np.ceil(share * size))
-    out = []
-    for query in queries:
-        margins = forest.planes @ query - offsets if len(offsets) else offsets
-        rows = forest.candidates(margins.tolist() if len(margins) else [], enough)
-        rough = vectors[rows] @ query
-        if len(rows) > 2 * k:
-            bound = np.partition(rough, len(rough) - k)[len(rough) - k]
-            rows = rows[rough >= bound - 1e-9 * max(1.0, abs(bound))]
-        exact = np.add.accumulate(vectors[rows] * query, axis=1)[:, -1]
-        found = [(-float(s), int(i)) for s, r in zip(exact, rows, strict=True) for i in ids[r]]
-        out.append([(-s, i) for s, i in heapq.nsmallest(k, found)])
+            if parent >= 0:
+                self.children[parent][side] = node
+        return leaf_of
+
+
+
+class Searcher:
+    """A forest and its vectors as they were stored."""
+
+    def __init__(self, vectors: np.ndarray, planes: bytes, offsets: bytes, children: bytes, roots: bytes, leaf_of: bytes):
+        self.vectors = vectors
+        self.planes = np.frombuffer(planes).reshape(-1, vectors.shape[1])
+        self.offsets = np.frombuffer(offsets)
+        self.children = np.frombuffer(children, np.int32).reshape(-1, 2)
+        self.roots = np.frombuffer(roots, np.int32)
+        self.leaf_of = np.frombuffer(leaf_of, np.int32).reshape(len(self.roots), len(vectors))
+
+    def queue(self, queries: np.ndarray) -> np.ndarray:
+        """The place of each leaf in each query's priority queue, as a number to order by: leaves by queries."""
+        margins = (self.planes @ queries.T - self.offsets[:, None]).astype(np.float32)
+        worst = np.full(margins.shape, -np.inf, np.float32)
+        leaves = np.full((int(self.leaf_of.max()) + 1, len(queries)), -np.inf, np.float32)  # a tree of one leaf comes first
+        for node, (left, right) in enumerate(self.children.tolist()):
+            for child, margin in ((left, margins[node]), (right, -margins[node])):
+                into = worst[child] if child >= 0 else leaves[~child]
+                np.maximum(worst[node], margin, out=into)
+        return leaves
+
+    def candidates(self, queries: np.ndarray, enough: int) -> np.ndarray:
+        """Which rows (by queries) are in the leaves that a queue gives until ``enough`` rows are seen."""
+        leaves = self.queue(queries)
+        first = leaves[self.leaf_of[0]]
+        for of_tree in self.leaf_of[1:]:
+            np.minimum(first, leaves[of_tree], out=first)  # a row is seen with the first of its leaves
+        if enough >= len(first):
+            return np.ones(first.shape, bool)
+        return first <= np.partition(first, enough - 1, axis=0)[enough - 1]
+
+
+def nearest(searcher: Searcher, ids: np.ndarray, starts: np.ndarray, queries: np.ndarray, k: int, share: float) -> list[list[tuple[float, int]]]:
+    """For each query up to ``k`` ``(score, id)``, best first, ties to smaller ids. Row ``r`` has the ``ids`` from ``starts[r]`` on."""
+    vectors, out = searcher.vectors, []
+    enough = int(np.ceil(share * len(vectors)))
+    for at in range(0, len(queries), _AT_ONCE):
+        block = queries[at : at + _AT_ONCE]
+        rough = np.where(searcher.candidates(block, enough), vectors @ block.T, -np.inf)
+        if len(vectors) > k:
+            bounds = np.partition(rough, len(vectors) - k, axis=0)[len(vectors) - k]
+        else:
+            bounds = np.full(len(block), -np.inf)
+        for query, scores, bound in zip(block, rough.T, bounds.tolist(), strict=True):
+            least = bound - 1e-9 * max(1.0, abs(bound)) if bound > -np.inf else np.finfo(float).min
+            rows = np.flatnonzero(scores >= least)
+            exact = np.add.accumulate(vectors[rows] * query, axis=1)[:, -1]
+            found = [(-s, i) for s, r in zip(exact.tolist(), rows.tolist(), strict=True) for i in ids[starts[r] : starts[r + 1]].tolist()]
+            out.append([(-s, i) for s, i in heapq.nsmallest(k, found)])
     return out
 
 
+_FOREST = "dim int, shard int, vectors binary, ids binary, counts binary, planes binary, offsets binary, children binary, roots binary, leaf_of binary"
+
+
 def search(items: DataFrame, is_query, k: int = NEIGHBOURS, id: str = "vec_id", vector: str = "embedding", share: float = SEARCH_SHARE,
            trees: int = TREES, shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``(query_id, rank, <id>, score)``: the k nearest found for each row for which the column ``is_query`` holds."""
@@ -141,30 +166,42 @@ def search(items: DataFrame, is_query, k: int = NEIGHBOURS, id: str = "vec_id",
     asked = stored(rows.where("q").groupBy("v").agg(F.min("id").alias("asked")), "ann-queries")
     shards = max(1, -(-entries.count() // shard_rows))
     blocks = max(1, -(-asked.count() // query_block))
-    dealt = (
-        entries.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .select("shard", "block", "v", "ids")
-    )
-    asking = (
-        asked.withColumn("block", F.pmod(F.xxhash64("asked", F.lit(1)), F.lit(blocks)).cast("int"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        .select("shard", "block", "v", "asked")
-    )
 
-    def find(entry: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.stack(group["v"].to_list()).astype(np.float64)
+        counts = np.array([len(x) for x in group["ids"]], np.int64)
+        row = {"dim": vectors.shape[1], "shard": group["shard"].iat[0], "vectors": vectors.tobytes()}
+        row |= {"ids": np.concatenate(group["ids"].to_list()).astype(np.int64).tobytes(), "counts": counts.tobytes()}
+        return pd.DataFrame([row | Forest(vectors, trees).packed()])
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.stack(group["v"].to_list()).astype(np.float64)
+        row = {"dim": vectors.shape[1], "block": group["block"].iat[0], "queries": vectors.tobytes(), "asked": group["asked"].to_numpy(np.int64).tobytes()}
+        return pd.DataFrame([row])
+
+    dealt = entries.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "v", "ids")
+    # in order of the keys, so that a task that runs again builds the same forest
+    forests = stored(dealt.groupBy("dim", "shard").applyInPandas(lambda g: build(g.sort_values("key")), _FOREST), "ann-forests")
+    asking = asked.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("asked", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), "v", "asked")
+    packed = stored(asking.groupBy("dim", "block").applyInPandas(pack, "dim int, block int, queries binary, asked binary"), "ann-blocks")
+
+    def find(forest: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, float]] = []
-        sizes = entry["v"].map(len)
-        for size, group in query.groupby(query["v"].map(len)):
-            same = entry[sizes == size]
-            if len(same):
-                vectors, ids = np.stack(same["v"].to_list()).astype(float), same["ids"].to_list()
-                results = nearest(vectors, ids, np.stack(group["v"].to_list()).astype(float), k + 1, share, trees)
-                found += [(q, i, s) for q, result in zip(group["asked"], results, strict=True) for s, i in result]
+        if len(forest) and len(block):
+            one, asks = forest.iloc[0], block.iloc[0]
+            vectors = np.frombuffer(one["vectors"]).reshape(-1, one["dim"])
+            searcher = Searcher(vectors, *(one[c] for c in ("planes", "offsets", "children", "roots", "leaf_of")))
+            starts = np.concatenate([[0], np.cumsum(np.frombuffer(one["counts"], np.int64))])
+            queries = np.frombuffer(asks["queries"]).reshape(-1, one["dim"])
+            results = nearest(searcher, np.frombuffer(one["ids"], np.int64), starts, queries, k + 1, share)
+            names = np.frombuffer(asks["asked"], np.int64).tolist()
+            found = [(q, i, s) for q, result in zip(names, results, strict=True) for s, i in result]
         return pd.DataFrame(found, columns=["asked", "found", "score"])
 
     schema = "asked long, found long, score double"
-    partial = dealt.groupBy("shard", "block").cogroup(asking.groupBy("shard", "block")).applyInPandas(find, schema)
+    of_shard = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).groupBy("dim", "shard", "block")
+    of_block = forests.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("dim", "shard", "block")
+    partial = of_block.cogroup(of_shard).applyInPandas(find, schema)
     best = Window.partitionBy("asked").orderBy(F.col("score").desc(), "found")
     top = partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
     lists = stored(

@@ -1,6 +1,7 @@
 """PII surrogates, shards, url filter, nearest neighbours and toxicity."""
 
 import math
+import heapq
 import re
 import zlib
 from collections import Counter
@@ -238,6 +239,45 @@ def test_neighbours_of_odd_vectors(spark):
     assert ann.search(items.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_many_shards_and_blocks(spark):
+    """All shares of the vectors, over several forests and blocks, give brute force's result; the forests' order is a queue's."""
+    random = np.random.default_rng(12)
+    rows = [(k, [float(x) for x in random.standard_normal(3 if k % 7 == 0 else 8)]) for k in range(900)] + [(900 + k, [1.0] * 8) for k in range(60)]
+    items = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute_neighbours([(i, tuple(v)) for i, v in rows])
+    for shard_rows, query_block in ((90, 7), (500, 16), (5000, 5000)):
+        got = {}
+        for r in ann.search(items, F.col("vec_id") % 20 == 0, share=1.0, shard_rows=shard_rows, query_block=query_block).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert got == want
+    vectors = random.standard_normal((500, 6))
+    forest = ann.Forest(vectors, trees=3, leaf_rows=10)
+    searcher = ann.Searcher(vectors, **forest.packed())
+    query = random.standard_normal((1, 6))
+    margins = (searcher.planes @ query[0] - searcher.offsets).tolist()
+    queue, order = [(-np.inf, r) for r in searcher.roots.tolist()], []
+    heapq.heapify(queue)
+    while queue:
+        worst, node = heapq.heappop(queue)
+        if node < 0:
+            order.append(~node)
+        else:
+            left, right = searcher.children[node].tolist()
+            heapq.heappush(queue, (max(worst, margins[node]), left))
+            heapq.heappush(queue, (max(worst, -margins[node]), right))
+    places = searcher.queue(query)[:, 0]
+    assert sorted(order) == list(range(forest.n_leaves)) and (np.diff(places[order]) >= -1e-6).all()
+
+
+def test_recall_on_given_vectors(spark):
+    items = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    want = brute_neighbours([(r["vec_id"], tuple(r["embedding"])) for r in items.collect()])
+    hits = 0
+    for r in ann.search(items, F.col("vec_id") % 20 == 0, shard_rows=700, query_block=40).collect():
+        hits += r["vec_id"] in {i for i, _ in want[r["query_id"]]}
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
 def toxic_tables(spark, n=600):
     random = np.random.default_rng(4)
     words = [w.strip(".,") for w in (PROSE + " " + OTHER).split()]
