@@ -2,7 +2,8 @@
 
 Detected are emails, secrets after a key word, IBANs, card numbers, social security numbers, phone numbers, IP addresses and
 names after a title. Entities are replaced whole, secrets of any length included. Each entity has a canonical form (digits of a number, lower case of an email), so all ways to write
-it share one surrogate: coreference holds over the whole corpus. Surrogates come from a keyed hash of kind and canonical
+it share one surrogate: coreference holds over the whole corpus. A name that stands after a title somewhere in a document is also found
+without it in that document, as the full name and as the surname alone. Surrogates come from a keyed hash of kind and canonical
 form, letter for letter and digit for digit: scripts (Latin, Greek, Cyrillic), case and separators stay, names are drawn
 from lists of their script and gender, cards keep a valid check digit if they had one, octets stay octets, and emails end in
 a reserved domain.
@@ -20,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored
+from pagemill.functions.text import once
+from pagemill.llm.common import Aside, stored
 
 #: Rows with one list of mentions are dealt to so many keys.
 SALTS = 32
@@ -31,6 +33,7 @@ LONG = 256
 
 _MALE_TITLES = r"Mr|Herr|Monsieur|Señor|Sr|Don|Mister|Господин|Κύριος"
 _FEMALE_TITLES = r"Mrs|Ms|Miss|Frau|Madame|Mademoiselle|Señora|Señorita|Sra|Doña|Госпожа|Κυρία"
+_OTHER_TITLES = r"Dr|Prof|Professor|Professorin|Doktor|Docteur|Doctor|Доктор|Профессор"
 _NAME = r"\p{Lu}[\p{L}’'-]{1,40}"
 
 #: Kinds in the order in which they are tried at a place.
@@ -38,16 +41,19 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}",
     "secret": r"(?i:(?<![a-z])(?:token|password|passwd|secret|api[_-]?key|access[_-]?key)[ \t]{0,4}[=:][ \t]{0,4})[\"']?(?=\S{0,4096}?\d|[\p{L}\p{N}_+/.-]*?\d)[\p{L}\p{N}_+/.-]{6,}+[\"']?",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
+    "ip": r"(?<![\d.])(?<!(?i:version|release|revision) )(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{1,5}\)[ .-]?\d{2,5}(?:[ .-]?\d{2,5})?|\+\d{1,3}(?:[ .-]?(?!\d{1,3}\.\d{1,3}\.\d)\d{2,5}){2,4}|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4})(?![\p{L}\p{N}])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{1,5}\)[ .-]?\d{2,5}(?:[ .-]?\d{2,5})?|\+\d{1,3}(?:[ .-]?(?!\d{1,3}\.\d{1,3}\.\d)\d{2,5}){2,4}|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}|0\d{2,4}[ /-]\d{3,4}[ -]\d{3,5})(?![\p{L}\p{N}])",
     "male": rf"(?<!\p{{L}})(?:{_MALE_TITLES})\.? {_NAME}(?: {_NAME})?",
     "female": rf"(?<!\p{{L}})(?:{_FEMALE_TITLES})\.? {_NAME}(?: {_NAME})?",
+    "person": rf"(?<!\p{{L}})(?:{_OTHER_TITLES})\.? {_NAME}(?: {_NAME})?",
 }
+#: Kinds of names, by the titles before them.
+NAMED = ("male", "female", "person")
 ANY = "|".join(PATTERNS.values())
 #: What any entity holds; texts without it are not searched.
-HINT = rf"@|\d[\d .()-]{{6}}|\d\.\d{{1,3}}\.\d|[A-Z]{{2}}\d{{2}}[A-Z0-9 ]|[=:][ \t]{{0,4}}[\"']?[\p{{L}}\p{{N}}_+/.-]|\+\d|(?:{_MALE_TITLES}|{_FEMALE_TITLES})\.? \p{{Lu}}"
+HINT = rf"@|\d[\d .()-]{{6}}|\d\.\d{{1,3}}\.\d|[A-Z]{{2}}\d{{2}}[A-Z0-9 ]|[=:][ \t]{{0,4}}[\"']?[\p{{L}}\p{{N}}_+/.-]|\+\d|(?:{_MALE_TITLES}|{_FEMALE_TITLES}|{_OTHER_TITLES})\.? \p{{Lu}}"
 
 _ALPHABETS = {
     "lower": "abcdefghijklmnopqrstuvwxyz",
@@ -65,6 +71,7 @@ NAMES = {
     ("male", "cyrillic"): "Алексей Борис Виктор Дмитрий Иван Михаил Николай Павел Сергей".split(),
     ("female", "cyrillic"): "Анна Вера Галина Елена Ирина Мария Наталья Ольга Светлана".split(),
 }
+NAMES |= {("person", script): NAMES["male", script] + NAMES["female", script] for script in ("latin", "greek", "cyrillic")}
 SURNAME_PARTS = {
     "latin": ("Bar Cor Dal Fen Gar Hol Kel Lan Mor Nor Par Ros Sel Tor Val Wes".split(), "a e i o u".split(), "bert der ford gren kin land mann ner rin sen ston win".split()),
     "greek": ("Αθ Βασ Γαβ Δημ Καρ Λαμ Μαν Παπ".split(), "α ι ο".split(), "δης κης λος νης πουλος ρας".split()),
@@ -77,9 +84,14 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9]", "")
 
 
+#: Stands before a name that is mentioned without its title, with the kind of the name; no pattern finds it in a text.
+_BARE = "\x01"
+
+
 def kind_of(mention: Column) -> Column:
-    """The kind of a mention: the first pattern that fits the whole of it."""
-    found = None
+    """The kind of a mention: the first pattern that fits the whole of it; that of a bare name is written before it."""
+    bare = F.regexp_extract(mention, rf"^{_BARE}([a-z]+) ", 1)
+    found = F.when(bare != "", bare)
     for kind, pattern in PATTERNS.items():
         fits = mention.rlike(rf"^(?:{pattern})$")
         found = F.when(fits, F.lit(kind)) if found is None else found.when(fits, F.lit(kind))
@@ -89,8 +101,8 @@ def kind_of(mention: Column) -> Column:
 def parts(mention: Column, kind: Column) -> tuple[Column, Column, Column]:
     """What stands before the entity in a mention (a key word, a title), the entity, and what stands after it."""
     secret = r"(?s)^(.*?[=:][ \t]{0,4}[\"']?)(.*?)([\"']?)$"
-    title = r"(?s)^(\S+ )(.*)()$"
-    named = kind.isin("male", "female")
+    title = r"(?s)^(\S+ )(.*)()$"  # of a bare name what stands before it is its mark
+    named = kind.isin(*NAMED)
 
     def part(k: int) -> Column:
         alone = mention if k == 2 else F.lit("")
@@ -198,7 +210,7 @@ def surrogate(canon: Column, kind: Column, key: str, draw: Column) -> Column:
         .when(kind == "card", F.concat(card, longer))
         .when(kind == "phone", F.concat(phone, longer))
         .when(kind == "iban", F.concat(iban, longer))
-        .when(kind.isin("male", "female"), F.concat(F.lower(_name(canon, kind, F.concat(F.lit(key + "|"), draw.cast("string"), F.lit("|")))), longer))
+        .when(kind.isin(*NAMED), F.concat(F.lower(_name(canon, kind, F.concat(F.lit(key + "|"), draw.cast("string"), F.lit("|")))), longer))
         .when(canon.rlike("^[0-9a-f]{16,}$"), F.concat(_hexadecimal(canon, seed), longer))
         .otherwise(F.concat(_translated(canon, seed), longer))
     )
@@ -218,7 +230,7 @@ def written(surrogate_: Column, entity: Column, kind: Column) -> Column:
         F.substring(surrogate_, F.char_length(F.regexp_replace(entity, "[^0-9A-Z]", "")) + 1, F.lit(64)),
     ).otherwise(F.lit(""))
     upper = (entity == F.upper(entity)) & (entity != F.lower(entity))
-    cased = F.when(upper, F.upper(surrogate_)).when(kind.isin("male", "female"), F.initcap(surrogate_)).otherwise(surrogate_)
+    cased = F.when(upper, F.upper(surrogate_)).when(kind.isin(*NAMED), F.initcap(surrogate_)).otherwise(surrogate_)
     return F.when(kind.isin("card", "ssn", "phone", "iban"), F.concat(spaced, tail)).otherwise(cased)
 
 
@@ -249,33 +261,64 @@ def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
             return done
 
 
+def _with_bare_names(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``mentions`` in order and ``pattern``, which finds them in ``text``, from the mentions with titles, ``titled``.
+
+    Names found after a title are looked for in the rest of the text, too: the full name, and the surname alone.
+    """
+
+    def of_kind(kind: str) -> Column:
+        whole = F.filter("titled", lambda m: m.rlike(rf"^(?:{PATTERNS[kind]})$"))
+        return F.transform(whole, lambda m: F.struct(F.lit(kind).alias("kind"), F.regexp_extract(m, r"^\S+ (.*)$", 1).alias("name")))
+
+    titled = once(rows, "full", F.concat(*map(of_kind, NAMED)))
+    surnames = F.transform("full", lambda n: F.struct(n["kind"].alias("kind"), F.substring_index(n["name"], " ", -1).alias("name")))
+    # longer names first, as the first that fits counts
+    longest = F.array_sort(
+        F.array_distinct(F.concat("full", surnames)), lambda a, b: F.char_length(b["name"]) - F.char_length(a["name"])
+    )
+    named = once(titled, "names", longest).drop("full")
+    quoted = F.array_join(F.transform("names", lambda n: F.concat(F.lit("\\Q"), n["name"], F.lit("\\E"))), "|")
+    own = F.concat(F.lit(rf"{ANY}|(?<![\p{{L}}\p{{N}}])(?:"), quoted, F.lit(r")(?![\p{L}\p{N}])"))
+    patterned = once(named, "pattern", F.when(F.size("names") > 0, own).otherwise(F.lit(ANY)))
+    again = once(patterned, "again", F.when(F.size("names") > 0, F.regexp_extract_all("text", F.col("pattern"), F.lit(0))))
+
+    def mark(mention: Column) -> Column:
+        bare = F.filter("names", lambda n: n["name"] == mention)
+        return F.concat(F.coalesce(F.concat(F.lit(_BARE), F.get(bare, F.lit(0))["kind"], F.lit(" ")), F.lit("")), mention)
+
+    return again.withColumn("mentions", F.coalesce(F.transform("again", mark), "titled")).drop("titled", "names", "again")
+
+
 def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``n_surrogates``."""
-    rest = [c for c in docs.columns if c != "n_surrogates"]
-    column = F.col(text)
-    found = F.when(column.rlike(HINT), F.regexp_extract_all(column, F.lit(ANY), F.lit(0)))
-    marked = docs.select(*rest).withColumn("_mentions", found)
-    any_found = F.coalesce(F.size("_mentions"), F.lit(0)) > 0
+    aside = Aside(docs, text=F.col(text))
+    found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    marked = aside.rows.withColumn("titled", found)
+    any_found = F.coalesce(F.size("titled"), F.lit(0)) > 0
     spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
-    with_entities = stored(marked.where(any_found).withColumn("_salt", spread), "pii-documents")
-    lists = stored(with_entities.groupBy(F.col("_mentions").alias("list")).agg(F.count(F.lit(1)).alias("n")), "pii-lists")
+    searched = stored(marked.where(any_found).withColumn("salt", spread), "pii-searched")
+    with_entities = stored(_with_bare_names(searched), "pii-documents")
+    lists = stored(with_entities.select(F.col("mentions").alias("list")).distinct(), "pii-lists")
     entities = stored(_entities(lists.select(F.explode("list").alias("mention")).distinct()), "pii-mentions")
     drawn = draw_surrogates(entities, key)
-    new = F.concat("before", written(F.col("surrogate"), F.col("entity"), F.col("kind")), "after")
+    before = F.when(F.startswith("before", F.lit(_BARE)), F.lit("")).otherwise(F.col("before"))
+    new = F.concat(before, written(F.col("surrogate"), F.col("entity"), F.col("kind")), "after")
     by_mention = stored(entities.join(drawn, ["kind", "canon"]).select("mention", new.alias("new")), "pii-replacements")
     places = lists.select("list", F.posexplode("list").alias("k", "mention")).join(by_mention, "mention")
     replaced = stored(
         places.groupBy("list").agg(F.sort_array(F.collect_list(F.struct("k", "new"))).alias("pairs")).select(
-            F.col("list").alias("_list"), F.col("pairs.new").alias("_new")
+            "list", F.col("pairs.new").alias("new")
         ),
         "pii-lists-replaced",
     )
-    salted = replaced.withColumn("_of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = with_entities.join(salted, (F.col("_mentions") == F.col("_list")) & (F.col("_salt") == F.col("_of_salt")))
-    between = F.split(column, ANY, -1)
-    pieces = F.zip_with(between, F.concat("_new", F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    done = joined.select(
-        *[F.array_join(pieces, "").alias(text) if c == text else F.col(c) for c in rest], F.size("_mentions").alias("n_surrogates")
-    )
-    untouched = marked.where(~any_found).select(*rest, F.lit(0).alias("n_surrogates"))
-    return untouched.unionByName(done)
+    salted = replaced.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = with_entities.join(salted, (F.col("mentions") == F.col("list")) & (F.col("salt") == F.col("of_salt")))
+    between = F.split("text", F.col("pattern"), -1)
+    pieces = F.zip_with(between, F.concat("new", F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+
+    def finish(rows: DataFrame, made: Column, n: Column) -> DataFrame:
+        return aside.back(rows, **{text: made, "n_surrogates": n}).select(*[c for c in docs.columns if c != "n_surrogates"], "n_surrogates")
+
+    untouched = finish(marked.where(~any_found), F.col("text"), F.lit(0))
+    return untouched.unionByName(finish(joined, F.array_join(pieces, ""), F.size("mentions")))

@@ -211,6 +211,27 @@ def brute_neighbours(rows, k=20):
     return out
 
 
+def test_names_without_their_title_follow(spark):
+    """Bare full names and surnames of a document get the surrogate of the titled name, in that document only."""
+    rows = [
+        (1, "Mr John Smith came. Later Smith left and John Smith slept; Smithson and smith did not. SMITH?"),
+        (2, "Dr. Ana Lopez-Ruiz met Mrs Smith, Prof. Smith and Ana Lopez-Ruiz. Lopez-Ruiz left."),
+        (3, "John Smith without a title, Smith too."),
+        (4, "Version 1.2.3.4 and release 10.0.0.1 came with order number 12; call 0171 555 1234 from 10.0.0.1."),
+        (5, "Господин Иван Петров пришёл. Петров ушёл."),
+    ]
+    docs = with_clash(spark.createDataFrame(rows, "doc_id long, text string"), "mentions", "salt", "list", "new", "own0", "_mentions", "kind")
+    got = {r["doc_id"]: r for r in pii.replace_pii(docs, "k").collect()}
+    assert {r["mentions"] + r["salt"] + r["list"] + r["own0"] for r in got.values()} == {"ownownownown"}
+    one = re.fullmatch(r"Mr (\w+) (\w+) came\. Later (\w+) left and (\w+) (\w+) slept; Smithson and smith did not\. SMITH\?", got[1]["text"])
+    assert one and one[2] == one[3] == one[5] and one[1] == one[4] and "Smith" not in (one[2], one[1]) and got[1]["n_surrogates"] == 3
+    two = re.fullmatch(r"Dr\. (\w+) ([\w-]+) met Mrs (\w+), Prof\. (\w+) and (\w+) ([\w-]+)\. ([\w-]+) left\.", got[2]["text"])
+    assert two and two[1] == two[5] and two[2] == two[6] == two[7] and two[3] == two[4] == one[2] and "Lopez" not in got[2]["text"]
+    assert got[3]["text"] == rows[2][1] and got[3]["n_surrogates"] == 0
+    assert got[4]["text"].startswith(rows[3][1][:60]) and "0171" not in got[4]["text"] and got[4]["n_surrogates"] == 2
+    assert "Петров" not in got[5]["text"]
+
+
 def test_op9_recall(spark, folder):
     random = np.random.default_rng(8)
     rows = [(k, [float(np.float32(x)) for x in random.standard_normal(64)]) for k in range(1500)]
