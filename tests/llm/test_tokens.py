@@ -34,7 +34,8 @@ def test_codec_is_exact(text):
     want = ids(BYTE, text)
     assert codec.encode(text).tolist() == want
     assert codec.decode(np.array(want, np.int64)) == LIBRARY[BYTE].decode(want, skip_special_tokens=False) == text
-    assert token_counts.count_text(text, BYTE) == len(want)
+    assert token_counts.count_text(text, BYTE) == (len(want), 0)
+    assert token_counts.count_text(text, BYTE, 7, 2)[0] == len(want)
 
 
 @settings(max_examples=300, deadline=None)
@@ -59,9 +60,9 @@ def test_copies_of_a_long_text_are_encoded_once(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "_long_counts", spy)
     texts = [f"{'some words of a text ' * 60}{k}" for k in range(2)]
     docs = spark.createDataFrame([(k, texts[k % 10 == 0]) for k in range(40)], "doc_id long, text string")
-    got = token_counts.count_tokens(docs, BYTE, chunk_chars=600, overlap=16).collect()
+    got = token_counts.count_tokens(docs, BYTE, chunk_chars=600, overlap=16, spread_chars=600).collect()
     assert taken[0] == 2
-    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == [(k, token_counts.count_text(texts[k % 10 == 0], BYTE)) for k in range(40)]
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == [(k, len(ids(BYTE, texts[k % 10 == 0]))) for k in range(40)]
 
 
 def test_all_tokens_are_their_own_encoding():
@@ -82,10 +83,25 @@ def test_decode_column(spark):
 def test_splice_widens_until_a_boundary_is_common(spark):
     texts = [PROSE * 60, "x" * 3_000 + " " + PROSE * 5 + "y" * 5_000, "é漢 " * 2_000, " " * 4_000, "a\x1cb " * 1_500, "word " * 7 + "z" * 700]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(9, texts[0])], "doc_id long, text string")
-    got = token_counts.count_tokens(docs, BYTE, chunk_chars=600, overlap=16).collect()
-    assert len(got) == 7
+    got = token_counts.count_tokens(docs, BYTE, chunk_chars=600, overlap=16, spread_chars=600).collect()
+    inside = token_counts.count_tokens(docs, BYTE, chunk_chars=600, overlap=16).collect()
+    assert len(got) == len(inside) == 7
     for row in got:
         assert row["n_tokens"] == len(ids(BYTE, row["text"])), row["doc_id"]
+    # the same splices, whether chunks are rows or not, but for texts that have no common boundary at all
+    counts = [{r["doc_id"]: (r["n_tokens"], r["n_splices"]) for r in rows} for rows in (got, inside)]
+    assert counts[0][0] == counts[1][0] and counts[0][0][1] == -(-len(texts[0]) // 600) - 1
+    assert {k: v[0] for k, v in counts[0].items()} == {k: v[0] for k, v in counts[1].items()}
+
+
+def test_given_documents_are_spliced(spark):
+    """Texts above a chunk go through chunks; their counts are the library's."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = token_counts.count_tokens(docs, BYTE).collect()
+    assert all(r["n_tokens"] == len(ids(BYTE, r["text"])) for r in rows)
+    for r in rows:
+        assert (r["n_splices"] > 0) == (len(r["text"] or "") > token_counts.CHUNK_CHARS)
+    assert sum(r["n_splices"] > 0 for r in rows) >= 20
 
 
 def test_op3_and_op5(spark, folder):
@@ -107,8 +123,9 @@ def test_op3_and_op5(spark, folder):
 
 
 def test_clashing_columns_and_empty_tables(spark):
-    docs = with_clash(odd_documents(spark), "n_tokens", "over_limit", "ids", "key", "k")
-    counted = token_counts.count_tokens(docs, BYTE, chunk_chars=500)
+    docs = with_clash(odd_documents(spark), "n_tokens", "over_limit", "ids", "key", "k", "_key", "of_key", "whole", "own1", "made", "_round_trip")
+    assert {r["_round_trip"] + r["made"] + r["own1"] for r in bpe.round_trip(docs, BYTE).collect()} == {"ownownown"}
+    counted = token_counts.count_tokens(docs, BYTE, chunk_chars=500, spread_chars=1000)
     assert counted.count() == docs.count() and dict(counted.dtypes)["n_tokens"] == "bigint"
     assert {r["key"] for r in counted.collect()} == {"own"}
     assert token_counts.count_tokens(no_documents(spark), BYTE).count() == 0
