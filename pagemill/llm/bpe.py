@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.common import Aside
 from pagemill.llm.segments import Memo, segments
 
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -246,6 +247,5 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    added = ("n_tokens", "ids_sha256", "decoded_sha256")
-    result = docs.withColumn("_round_trip", run(F.coalesce(F.col(text), F.lit(""))))
-    return result.select(*[c for c in docs.columns if c not in added], "_round_trip.*")
+    aside = Aside(docs, made=run(F.coalesce(F.col(text), F.lit(""))))
+    return aside.back(aside.rows, **{c: F.col(f"made.{c}") for c in ("n_tokens", "ids_sha256", "decoded_sha256")})

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored
+from pagemill.llm.common import Aside, stored
 
 SHARDS = 16
 RANGE_BYTES = 1 << 30
@@ -111,14 +111,13 @@ def assign(rows: DataFrame, size: Column, *group: str, shards: int = SHARDS, ran
     Rows equal in the columns ``group`` follow each other. Shards end at rows, by the law of bytes alone, so a group of any size that
     lies across the end of a shard (at most ``shards`` - 1 of them) goes on in the next one.
     """
-    rest = [c for c in rows.columns if c not in ("shard", "slot")]
-    keyed = stored(
-        rows.select(*rest)
-        .withColumn("_size", F.greatest(F.lit(1), F.coalesce(size.cast("long"), F.lit(1))))
-        .withColumn("_high", F.xxhash64(*group) if group else F.lit(0).cast("long"))
-        .withColumn("_low", F.xxhash64(F.monotonically_increasing_id(), *group)),
-        "sharding-keys",
+    aside = Aside(
+        rows,
+        _size=F.greatest(F.lit(1), F.coalesce(size.cast("long"), F.lit(1))),
+        _high=F.xxhash64(*group) if group else F.lit(0).cast("long"),
+        _low=F.xxhash64(F.monotonically_increasing_id(), *group),
     )
+    keyed = stored(aside.rows, "sharding-keys")
     keys = keyed.select("_size", "_high", "_low")
     total = keys.agg(F.sum("_size")).first()[0] or 0
     pieces = max(LEAST_RANGES, -(-total // range_bytes))
@@ -144,9 +143,9 @@ def assign(rows: DataFrame, size: Column, *group: str, shards: int = SHARDS, ran
         .withColumn("_middle", 2 * (F.col("_start.bytes") + F.col("_upto")) - F.col("_size"))
         .withColumn("shard", F.least(F.lit(shards - 1), F.expr(f"_middle * {shards} div {2 * max(total, 1)}")).cast("int"))
         .withColumn("_place", F.col("_start.rows") + F.col("_row"))
-        .select(*rest, "_range", "shard", "_place")
+        .select(*aside.own, "_range", "shard", "_place")
     )
     placed = stored(placed, "sharding-places")
     firsts = {r["shard"]: r["first"] for r in placed.groupBy("shard").agg(F.min("_place").alias("first")).collect()}
     first = F.element_at(F.array(*[F.lit(firsts.get(k, 0)).cast("long") for k in range(shards)]), F.col("shard") + 1)
-    return placed.select(*rest, "shard", (F.col("_place") - first).alias("slot"))
+    return aside.back(placed, shard=F.col("shard"), slot=F.col("_place") - first)

@@ -32,7 +32,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored
+from pagemill.llm.common import Aside, stored
 from pagemill.llm.segments import Memo
 
 FOLDS = 5
@@ -255,18 +255,18 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
-    rest = [c for c in docs.columns if c not in ("score", "predicted")]
+    aside = Aside(docs, text=F.col(text))
     if model.trees is None:
-        scored = docs.select(*rest).withColumn("_score", F.lit(model.base_rate))
+        scored = aside.rows.withColumn("_score", F.lit(model.base_rate))
     else:
-        vectors = _as_vector(featured(docs, {0: model.lexicon}, None, text), rest)
+        vectors = _as_vector(featured(aside.rows, {0: model.lexicon}), aside.own)
         scored = _probability(model.trees, vectors)
         if model.calibration is None:
             scored = scored.withColumn("_score", F.col("_p"))
         else:
             scored = model.calibration.transform(scored)
     bounded = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("_score")))
-    return scored.select(*rest, bounded.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return aside.back(scored.withColumn("bounded", bounded), score=F.col("bounded"), predicted=(F.col("bounded") >= 0.5).cast("int"))
 
 
 def held_out(id: str = "doc_id"):

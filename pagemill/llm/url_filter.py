@@ -22,6 +22,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.llm.common import Aside
+
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
 
@@ -118,15 +120,17 @@ def train(labelled: DataFrame, buckets: int = BUCKETS) -> PipelineModel:
 
 def judge(urls: DataFrame, rules: list[Rule], model: PipelineModel, url: str = "url") -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule``, ``block_score`` and ``verdict`` (allow or block)."""
-    added = ("host", "path", "rule", "block_score", "verdict")
-    rest = [c for c in urls.columns if c not in added]
     host, path = host_and_path(F.col(url))
-    split = urls.select(*rest, host.alias("host"), path.alias("path"))
-    ruled = split.withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
+    aside = Aside(urls, host=host, path=path)
+    ruled = aside.rows.withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
     scored = model.transform(ruled.withColumn("_grams", n_grams(F.col("host"), F.col("path"))))
     score = vector_to_array("_probability")[1]
     by_model = F.when(score >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
-    return scored.select(
-        *rest, "host", "path", F.col("_rule.rule").alias("rule"), score.alias("block_score"),
-        F.coalesce(F.col("_rule.action"), by_model).alias("verdict"),
-    )
+    return aside.back(
+        scored,
+        host=F.col("host"),
+        path=F.col("path"),
+        rule=F.col("_rule.rule"),
+        block_score=score,
+        verdict=F.coalesce(F.col("_rule.action"), by_model),
+    )
