@@ -87,18 +87,20 @@ class LogBloom:
     def of(cls, keys: np.ndarray, counts: np.ndarray) -> LogBloom:
         marks = levels(counts)
         made = cls(np.zeros(int(marks.sum()) * BITS_PER_MARK // 8 + 8, np.uint8))
+        bits = np.zeros(int(made.size), bool)
         level = 1
         while len(keys):
             for probe in range(PROBES):
-                at = made._at(keys, level, probe)
-                np.bitwise_or.at(made.bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+                bits[made._at(keys, level, probe)] = True
             level += 1
             more = marks >= level
             keys, marks = keys[more], marks[more]
+        made.bits = np.packbits(bits, bitorder="little")
         return made
 
     def _at(self, keys: np.ndarray, level: int, probe: int) -> np.ndarray:
-        return mixed(keys + _GOLD * np.uint64(level * PROBES + probe)) % self.size
+        mark = np.uint64((level * PROBES + probe) * int(_GOLD) % (1 << 64))
+        return mixed(keys + mark) % self.size
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """The count that each key's level stands for; 0 for keys that are not there."""
