@@ -537,6 +537,31 @@ def test_archive_keeps_lines_together(spark, folder):
     assert sorted(map(tuple, pm.read_archive(spark, target).collect())) == rows
 
 
+def test_archive_files_are_of_equal_bytes(spark, folder):
+    """Texts of a kilobyte and of a hundred: no file is twice as large as another, and nothing is lost."""
+    long = (F.col("id") % 40 == 0).cast("int")
+    df = spark.range(2000).select(
+        F.concat(F.lit("p"), "id").alias("path"),
+        F.expr("repeat(sha2(cast(id as string), 256), cast(case when id % 40 = 0 then 1600 else 16 end as int))").alias("content"),
+        long.cast("string").alias("classification"),
+    )
+    target = pm.archive(df, folder, "run", max_bytes=1 << 20)
+    got = pm.read_archive(spark, target)
+    assert got.columns == ["path", "content", "classification"] and got.exceptAll(df).count() == 0 and got.count() == 2000
+    sizes = [r.n for r in got.groupBy(F.input_file_name().alias("file")).agg(F.sum(F.length("content")).alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 2 * min(sizes)
+    assert pm.read_archive(spark, pm.archive(df, folder, "one")).count() == 2000
+    nothing = df.limit(0)
+    assert pm.read_archive(spark, pm.archive(nothing, folder, "none")).count() == 0
+
+
+def test_null_text_has_no_file(spark, folder):
+    df = spark.createDataFrame([("/a.pdf", "x"), ("/b.pdf", None)], "path string, content string")
+    report = pm.write_text_files(df, f"{folder}/out", f"{folder}/report").collect()
+    assert {r.path: r.n_bytes for r in report} == {"/a.pdf": 1, "/b.pdf": None}
+    assert os.listdir(f"{folder}/out") == ["a.txt"]
+
+
 def test_text_files_do_not_overwrite_each_other(spark, folder):
     df = classified(
         spark,
