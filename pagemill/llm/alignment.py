@@ -10,7 +10,7 @@ chunk there is one posting: a compressed bitmap of the chunk's documents (sorted
 shorter), and multiplicity planes, bitmaps of the documents in whose number of links, less one, the bit of the plane is set. The
 bitmaps of a pair are OR-merged: those of one chunk by their bits (``merge``), those of different chunks by standing side by
 side, as their documents differ. Their population counts add up to the number of documents that hold the pair linked. These
-counts are the pairs' scores; postings meet the scores of their pair, go to their chunk and return them to its documents, each link by
+counts are the pairs' scores; those of a chunk's pairs go to the chunk, where the postings return them to its documents, each link by
 its multiplicity. So a frequent pair is one row a chunk, not one row a document, and a task holds one chunk.
 
 Defined results: texts that are null, empty, or not cut into the same bytes by both (U+2581 in a text, for example) have no tokens: zeros
@@ -23,8 +23,11 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.bpe import byte_alphabet
+from pagemill.llm.bpe import PRE_TOKEN, byte_alphabet
 from pagemill.llm.common import stored
 from pagemill.llm.segments import Memo
 
@@ -41,6 +44,10 @@ CHUNK_LINKS = 2_000_000
 #: Bytes of a bitmap of plain bits; fewer places than half of it are held as sorted places of two bytes.
 PLAIN = CHUNK_ROWS // 8
 CUT = re.compile(r" (?<=\S )")
+_SIGNS, _LETTERS = ".,;:!?)", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZßàáâäæçèéêëíîïñóôöœúûü"
+_SHIFT = 20
+#: Texts, and characters of them, that are encoded at once.
+_AT_ONCE, _CHARS_AT_ONCE = 64, 1 << 20
 RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -55,28 +62,25 @@ class Piece(NamedTuple):
     joined: tuple[bytes, bytes] | None
 
 
-def align(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups and links of two sequences of tokens over the same bytes; sizes are the tokens' bytes."""
-    groups, links = [], []
-    own_a, own_b = [], []
-    end_a = end_b = 0
-    ka = kb = 0
-    while ka < len(a) or kb < len(b):
+def align(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> tuple[int, str, list[int]]:
+    """Number of groups, the groups as text and the codes of the links of two sequences of tokens over the same bytes; sizes are
+    the tokens' bytes."""
+    groups, codes = [], []
+    start_a = start_b = end_a = end_b = ka = kb = 0
+    while ka < len(a):
         if end_a <= end_b:  # both ended at one place, or A lies behind
+            if ka > start_a:
+                codes.append(a[ka] << _SHIFT | b[kb - 1])  # it begins inside of the last token of B
             end_a += a_sizes[ka]
-            own_a.append(a[ka])
             ka += 1
-            if own_b and end_a - a_sizes[ka - 1] < end_b:
-                links.append((a[ka - 1], own_b[-1]))
-        else:
+        while end_b < end_a:
+            codes.append(a[ka - 1] << _SHIFT | b[kb])
             end_b += b_sizes[kb]
-            own_b.append(b[kb])
             kb += 1
-            links.append((own_a[-1], b[kb - 1]))
-        if end_a == end_b and own_a and own_b:
-            groups.append((own_a, own_b))
-            own_a, own_b = [], []
-    return groups, links
+        if end_a == end_b:
+            groups.append(f"{','.join(map(str, a[start_a:ka]))}|{','.join(map(str, b[start_b:kb]))}")
+            start_a, start_b = ka, kb
+    return len(groups), ";".join(groups), codes
 
 
 class Aligner:
@@ -90,42 +94,128 @@ class Aligner:
         self.a.no_padding()
         alphabet = byte_alphabet()
         with open(path_a, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        self.bytes_a = {i: bytes(alphabet[c] for c in token) for token, i in vocabulary.items() if all(c in alphabet for c in token)}
+            spec = json.load(file)
+        vocabulary, special = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
+        of_token = {token: bytes(alphabet[c] for c in token) for token in vocabulary if token not in special}
+        self.bytes_a = {vocabulary[token]: data for token, data in of_token.items()}
+        self.ranked = self._ranked(spec, vocabulary, of_token)
         self.b = SentencePieceProcessor(model_file=path_b)
-        self.bytes_b = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
-        inner = re.compile("[^▁]▁")
-        self.cuts = not any(inner.search(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = {i: len(x) for i, x in self.bytes_a.items()}, list(map(len, self.bytes_b))
+        self.length_a, self.length_b = np.zeros(max(self.size_a) + 1, np.int64), np.array(self.size_b, np.int64)
+        self.length_a[list(self.size_a)] = list(self.size_a.values())
+        most = max(len(self.length_a), len(pieces))
+        self.shown = [[f"{i}{mark}" for i in range(most)] for mark in ",|;"]
+        side_by_side = {p[k : k + 2] for i, p in enumerate(pieces) if not self.b.is_byte(i) for k in range(len(p) - 1)}
+        self.cuts = not any(x[0] != "▁" and x[1] == "▁" for x in side_by_side)
+        # A sign behind a letter that no piece of B has side by side is a token of its own in both.
+        signs = {c: (of_token.get(c), self.b.piece_to_id(c)) for c in _SIGNS}
+        self.signs = {c: self._piece(c.encode(), [vocabulary[c]], [i]) for c, (data, i) in signs.items() if data and self.bytes_b[i] == data}
+        self.apart = {x + c for x in _LETTERS for c in self.signs} - side_by_side
+        self.stems = Memo(self._encoded, entries=100_000, longest=48)
         self.pieces = Memo(self._aligned, entries=150_000, longest=48)
 
-    def _piece_bytes(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
+    @staticmethod
+    def _ranked(spec: dict, vocabulary: dict[str, int], of_token: dict[str, bytes]):
+        """The vocabulary as ranks, for a faster encoder, where ids grow with the order of merges; else None."""
+        import tiktoken
+
+        made = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"]["merges"]]
+        ids = [vocabulary[m] for m in made]
+        first = len(of_token) - len(ids)
+        if ids != list(range(first, first + len(ids))) or spec.get("normalizer"):
+            return None
+        ranks = {data: vocabulary[token] for token, data in of_token.items()}
+        return tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked:
+            return [self.ranked.encode_ordinary(t) for t in texts]
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, segments: list[str]) -> list[Piece]:
+        """Alignments of many segments, as those of one text that they make up: both tokenizers cut between them."""
+        data = [(" " + s).encode() for s in segments]
+        of_a, of_b = self._ids([" " + s for s in segments]), self.b.encode(segments, num_threads=1)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (of_a, of_b))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (of_a, of_b))
+        whole, border = b"".join(data), np.cumsum([len(d) for d in data])
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
+        if (
+            b"".join(map(self.bytes_a.__getitem__, a.tolist())) != whole
+            or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != whole
+            or (ends_a[last_a - 1] != border).any()
+            or (ends_b[last_b - 1] != border).any()
+        ):
+            return [self._piece(d, x, y) for d, x, y in zip(data, of_a, of_b, strict=True)]
+        # links: the tokens of B from the one that holds the first byte of a token of A to the one that holds its last
+        first = np.searchsorted(ends_b, ends_a - self.length_a[a], side="right")
+        n_links = np.searchsorted(ends_b, ends_a, side="left") - first + 1
+        of_link = np.repeat(np.arange(len(a)), n_links)
+        upto = np.cumsum(n_links)
+        codes = a[of_link] << _SHIFT | b[np.arange(upto[-1]) - (upto - n_links - first)[of_link]]
+        # groups: tokens of A, then of B, up to each common end
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        side = np.concatenate([2 * np.searchsorted(common, ends_a), 2 * np.searchsorted(common, ends_b) + 1])
+        order = np.argsort(side, kind="stable")
+        side, ids = side[order], np.concatenate([a, b])[order]
+        mark = np.where(np.append(side[1:] != side[:-1], True), 1 + side % 2, 0)
+        shown = self.shown
+        texts = [shown[m][i] for m, i in zip(mark.tolist(), ids.tolist(), strict=True)]
+        n_groups = np.diff(np.searchsorted(common, border, side="right"), prepend=0)
+        raw, of_code = codes.tobytes(), 8 * np.append(0, upto[last_a - 1])
+        of_text = np.append(0, last_a + last_b)
+        return [
+            Piece(x, y, n, "".join(texts[t0:t1])[:-1], raw[c0:c1], None)
+            for x, y, n, t0, t1, c0, c1 in zip(
+                n_a.tolist(), n_b.tolist(), n_groups.tolist(), of_text[:-1].tolist(), of_text[1:].tolist(),
+                of_code[:-1].tolist(), of_code[1:].tolist(), strict=True,
+            )
+        ]
 
     def _aligned(self, segments: list[str]) -> list[Piece]:
-        of_a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in segments], add_special_tokens=False)]
-        of_b = self.b.encode(segments, num_threads=1)
-        return [self._piece((" " + s).encode(), a, b) for s, a, b in zip(segments, of_a, of_b, strict=True)]
+        apart, signs = self.apart, self.signs
+        stems = [s[:-1] if s[-2:] in apart else s for s in segments]
+        return [
+            p if len(stem) == len(s) else _joined(p, signs[s[-1]], s[-1])
+            for s, stem, p in zip(segments, stems, self.stems.of(stems), strict=True)
+        ]
 
     def _piece(self, data: bytes, a: list[int], b: list[int]) -> Piece:
-        of_a, of_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        joined = b"".join(of_a), b"".join(of_b)
+        bytes_a, bytes_b = self.bytes_a, self.bytes_b
+        joined = b"".join([bytes_a[i] for i in a]), b"".join([bytes_b[i] for i in b])
         if joined != (data, data):
             return Piece(0, 0, 0, "", b"", joined)
-        groups, links = align(a, list(map(len, of_a)), b, list(map(len, of_b)))
-        shown = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        return Piece(len(a), len(b), len(groups), shown, np.array([x << 20 | y for x, y in links], np.int64).tobytes(), None)
+        if len(a) == len(b) == 1:
+            return Piece(1, 1, 1, f"{a[0]}|{b[0]}", (a[0] << _SHIFT | b[0]).to_bytes(8, sys.byteorder), None)
+        size_a, size_b = self.size_a, self.size_b
+        n, groups, codes = align(a, [size_a[i] for i in a], b, [size_b[i] for i in b])
+        return Piece(len(a), len(b), n, groups, array("q", codes).tobytes(), None)
 
-    def of_text(self, text: str) -> tuple[int, int, int, str, np.ndarray] | None:
-        """Tokens of A and B, groups, the groups' digest and the codes of the links of a text; None if it has no tokens."""
-        if not text:
-            return None
-        pieces = self.pieces.of(CUT.split(text) if self.cuts else [text])
-        if any(p.joined for p in pieces):
-            return None
-        digest = hashlib.sha256(";".join([p.groups for p in pieces]).encode()).hexdigest()
-        codes = np.frombuffer(b"".join([p.codes for p in pieces]), np.int64)
-        return sum([p.n_a for p in pieces]), sum([p.n_b for p in pieces]), sum([p.n_groups for p in pieces]), digest, codes
+    def of_texts(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray] | None]:
+        """For each text its tokens of A and B, groups, the groups' digest and the codes of its links; None if it has no tokens."""
+        segments = [(CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
+        found, at, out = self.pieces.of([s for of_text in segments for s in of_text]), 0, []
+        for of_text in segments:
+            pieces = found[at : at + len(of_text)]
+            at += len(of_text)
+            # a segment that differs is longer or shorter in its tokens than it is, and so is the text
+            out.append(None if not pieces or any([p[5] for p in pieces]) else _summary(pieces))
+        return out
+
+
+def _summary(pieces: list[Piece]) -> tuple[int, int, int, str, np.ndarray]:
+    n_a, n_b, n_groups, groups, codes, _ = zip(*pieces, strict=True)
+    digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+    return sum(n_a), sum(n_b), sum(n_groups), digest, np.frombuffer(b"".join(codes), np.int64)
+
+
+def _joined(stem: Piece, sign: Piece, c: str) -> Piece:
+    if stem.joined:
+        return stem._replace(joined=(stem.joined[0] + c.encode(), stem.joined[1] + c.encode()))
+    return Piece(stem.n_a + 1, stem.n_b + 1, stem.n_groups + 1, f"{stem.groups};{sign.groups}", stem.codes + sign.codes, None)
 
 
 @lru_cache(maxsize=2)
@@ -204,6 +294,7 @@ _LISTS = "code long, docs binary, planes array<binary>, n_docs long"
 
 def chunks(docs: DataFrame, path_a: str, path_b: str, id: str, text: str, chunk_rows: int = CHUNK_ROWS, chunk_links: int = CHUNK_LINKS) -> DataFrame:
     """Both of rows of documents (``code`` is null) and postings (``place`` is null), chunk by chunk; texts are encoded once."""
+    at_once, chars_at_once = _AT_ONCE, _CHARS_AT_ONCE
     of_rows, of_lists = ([c.split()[0] for c in x.split(", ")] for x in (_ROWS, _LISTS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,15 +309,26 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id: str, text: str, chunk_
             if held.links:
                 yield held.lists().assign(**{c: None for c in of_rows} | {"chunk": chunk})
 
-        for batch in batches:
-            for name, content in zip(batch["id"], batch["text"], strict=True):
-                found = aligned.of_text(content)
-                n_a, n_b, n_groups, digest, codes = found or (0, 0, 0, "", np.zeros(0, np.int64))
-                rows.append((chunk, held.rows, name, n_a, n_b, n_groups, len(codes), digest))
-                held.add(codes)
-                if held.rows >= chunk_rows or held.links >= chunk_links:
-                    yield from ended()
-                    chunk, held, rows = chunk + 1, Postings(), []
+        def encoded() -> Iterator[tuple]:
+            names, texts, chars = [], [], 0
+            for batch in batches:
+                for name, content in zip(batch["id"], batch["text"], strict=True):
+                    names.append(name)
+                    texts.append(content)
+                    chars += len(content)
+                    if len(texts) >= at_once or chars >= chars_at_once:
+                        yield from zip(names, aligned.of_texts(texts), strict=True)
+                        names, texts, chars = [], [], 0
+            yield from zip(names, aligned.of_texts(texts), strict=True)
+
+        none = (0, 0, 0, "", np.zeros(0, np.int64))
+        for name, found in encoded():
+            n_a, n_b, n_groups, digest, codes = found or none
+            rows.append((chunk, held.rows, name, n_a, n_b, n_groups, len(codes), digest))
+            held.add(codes)
+            if held.rows >= chunk_rows or held.links >= chunk_links:
+                yield from ended()
+                chunk, held, rows = chunk + 1, Postings(), []
         if rows:
             yield from ended()
 
@@ -237,7 +339,7 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id: str, text: str, chunk_
 def pair_counts(made: DataFrame) -> DataFrame:
     """``(code, count, best)``: documents that hold the id pair linked, and whether no pair of its A id has more."""
     counts = stored(made.where("code is not null").groupBy("code").agg(F.sum("n_docs").alias("count")), "alignment-counts")
-    of_a = F.shiftright("code", 20)
+    of_a = F.shiftright("code", _SHIFT)
     highest = counts.groupBy(of_a.alias("a")).agg(F.max("count").alias("highest"))  # a row per id of A's vocabulary
     return counts.join(highest, of_a == F.col("a")).select("code", "count", (F.col("count") == F.col("highest")).alias("best"))
 
@@ -246,18 +348,15 @@ def _returned(docs: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
     """Documents of a chunk with the scores that its postings return."""
     best, total = np.zeros(CHUNK_ROWS, np.int64), np.zeros(CHUNK_ROWS, np.int64)
     if len(lists):
-        sizes = np.fromiter(map(popcount, lists["docs"]), np.int64, len(lists))
-        place = np.concatenate([places_of(b) for b in lists["docs"]])
-        count, is_best = lists["count"].to_numpy(np.int64), lists["best"].to_numpy(bool)
-
-        def give(at: np.ndarray, scores: np.ndarray, bests: np.ndarray) -> None:
-            # sums of whole numbers below 2**53 are exact in double precision
-            nonlocal best, total
-            total += np.bincount(at, scores, CHUNK_ROWS).astype(np.int64)
-            best += np.bincount(at, bests, CHUNK_ROWS).astype(np.int64)
-
-        give(place, np.repeat(count, sizes), np.repeat(is_best, sizes))
-        for planes, score, is_b in zip(lists["planes"], count.tolist(), is_best.tolist(), strict=True):
+        of_scores = lists["docs"].isna()
+        given, scored = (x.sort_values("code") for x in (lists[~of_scores], lists[of_scores]))  # each code once in both
+        sizes = np.fromiter(map(popcount, given["docs"]), np.int64, len(given))
+        place = np.concatenate([places_of(b) for b in given["docs"]])
+        count, is_best = scored["count"].to_numpy(np.int64), scored["best"].to_numpy(bool)
+        # sums of whole numbers below 2**53 are exact in double precision
+        total += np.bincount(place, np.repeat(count, sizes), CHUNK_ROWS).astype(np.int64)
+        best += np.bincount(place, np.repeat(is_best, sizes), CHUNK_ROWS).astype(np.int64)
+        for planes, score, is_b in zip(given["planes"], count.tolist(), is_best.tolist(), strict=True):
             for bit, bitmap in enumerate(() if planes is None else planes):
                 at = places_of(bitmap)
                 total[at] += score << bit
@@ -269,8 +368,10 @@ def _returned(docs: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
 def aligned(docs: DataFrame, path_a: str, path_b: str, id: str = "doc_id", text: str = "text", chunk_rows: int = CHUNK_ROWS, chunk_links: int = CHUNK_LINKS) -> DataFrame:
     """``(<id>, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)``, a row per row of ``docs``."""
     made = stored(chunks(docs, path_a, path_b, id, text, chunk_rows, chunk_links), "alignment-chunks")
-    postings = made.where("code is not null").select("chunk", "code", "docs", "planes")
-    scored = postings.join(pair_counts(made), "code").select(F.col("chunk").alias("of_chunk"), "docs", "planes", "count", "best")
+    postings = made.where("code is not null").select(F.col("chunk").alias("of_chunk"), "code", "docs", "planes")
+    # only the codes of a chunk travel to their scores; bitmaps are shuffled once, to their chunk
+    scores = postings.select("of_chunk", "code").join(pair_counts(made), "code").select("of_chunk", "code", "count", "best")
+    scored = postings.unionByName(scores, allowMissingColumns=True)
     rows = made.where("place is not null").select("chunk", "place", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
     returned = _returned
     schema = "id string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
