@@ -1,10 +1,11 @@
 """Spelling variants: words one edit apart, found by a frontier of states that walks a trie held as a table.
 
-The trie's edge table has a row per node: its outgoing edges (label, child) and the word that ends there. Chains without a branch
-are one edge, so a level of the walk is a branch of the trie and not a letter. A state is (word, position, node, edits). The
-frontier joins the edge table level by level: a state without an edit follows its own letters, and at each node also takes
-every other edge, by replacing a letter or by inserting one; a state with one edit follows its letters only. States that
-end with one edit where a word ends are neighbours. Deletions are insertions seen from the other word.
+The trie's edge table has a row per edge: node, label, child. Chains without a branch are one edge, so a level of the walk is a
+branch of the trie and not a letter. A state is (word, position, node, edits). The frontier joins the edge table level by level: a
+state without an edit follows its own letters, and at each node also takes every other edge, by replacing a letter or by
+inserting one; a state with one edit follows its letters only. States that end with one edit where a word ends are neighbours.
+Deletions are insertions seen from the other word. An edge also has a signature, bits of hashes of all that follows it in
+any word; a state whose remaining letters are not among them cannot end and is not made.
 
 Of two neighbours, half of the letters at least agree before the edit or behind it. So the walk is done for the words and for
 the reversed words, each time from the node in the middle of the word: the top of a trie, where every word meets every edge, is
@@ -38,6 +39,8 @@ from pagemill.llm.common import stored
 LEAST_LENGTH = 7
 LEAST_COUNT = 2
 RATIO = 10
+#: Longs of a signature.
+_SIGNATURE = 4
 #: A run of a document loses a letter if this divides its hash.
 THIN = 31
 
@@ -121,66 +124,84 @@ def _places(words: DataFrame) -> DataFrame:
     )
 
 
-def edge_table(places: DataFrame) -> DataFrame:
-    """``(node, children, word)``: for each branch, end of a word or start of a walk, its edges ``(label, child)`` and the words that end there."""
+def _rest_bit(spelling: str, place: str) -> str:
+    """The bit of a signature for the letters from a place on."""
+    return f"pmod(xxhash64(substring({spelling}, {place} + 1)), {64 * _SIGNATURE})"
+
+
+def edge_table(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, letter, label, child, s0, s1, ...)``: the edges between branches, ends of words and starts of walks, with the signature
+    of what follows the child in any word; and ``(node, near)``: the words that end at a node."""
     ends = F.col("next") == ""
     shape = places.groupBy("node").agg(F.min("next").alias("low"), F.max("next").alias("high"), F.max("start").alias("start"))
     kept = shape.where((F.col("low") != F.col("high")) | (F.col("low") == "") | F.col("start")).select("node")
     on_way = places.join(kept, "node").select("spelling", "back", "d", "node")
     ways = on_way.groupBy("spelling", "back").agg(F.sort_array(F.collect_list(F.struct("d", "node"))).alias("way"))
     steps = F.expr(
-        "transform(sequence(0, size(way) - 1), i -> struct(way[i].node as node, "
-        "case when i + 1 < size(way) then substring(spelling, way[i].d + 1, way[i + 1].d - way[i].d) end as label, "
-        "way[least(i + 1, size(way) - 1)].node as child))"
+        "transform(sequence(1, size(way) - 1), i -> struct(way[i - 1].node as node, way[i].node as child, way[i].d as place, "
+        "substring(spelling, way[i - 1].d + 1, way[i].d - way[i - 1].d) as label))"
     )
-    edges = ways.select("spelling", "back", F.explode(steps).alias("e")).select("spelling", "back", "e.*")
+    each = ways.where(F.size("way") > 1).select("spelling", F.explode(steps).alias("e")).select("spelling", "e.*")
+    bits = each.withColumn("bit", F.expr(_rest_bit("spelling", "place")))
+    signature = [
+        F.bit_or(F.expr(f"case when bit div 64 = {k} then shiftleft(1L, cast(bit % 64 as int)) else 0L end")).alias(f"s{k}")
+        for k in range(_SIGNATURE)
+    ]
+    edges = bits.groupBy("node", F.substring("label", 1, 1).alias("letter"), "label", "child").agg(*signature)
     own = F.when(F.col("back"), F.reverse("spelling")).otherwise(F.col("spelling"))
-    has_label = F.col("label").isNotNull()
-    # equal edges of many words become one before the shuffle of the sets
-    single = edges.select(
-        "node", "label", F.when(has_label, F.col("child")).alias("child"), F.when(~has_label, own).alias("word")
-    ).distinct()
-    return single.groupBy("node").agg(
-        F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "child"))).alias("children"),
-        F.collect_list("word").alias("words"),
-    )
+    return edges, places.where(ends).select("node", own.alias("near"))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """``(word, near)``: all ordered pairs of the distinct ``words`` that differ by one inserted, deleted or replaced letter."""
     places = stored(_places(words), "spelling-places")
-    table = stored(edge_table(places), "spelling-edges")
-    states = places.where("start").select(
-        "spelling", "back", F.col("d").alias("pos"), "node", F.lit(0).alias("edits")
+    edges, ends = (stored(t, "spelling-edges") for t in edge_table(places))
+    state = ("spelling", "back", "pos", "node")
+    fresh = places.where("start").select("spelling", "back", F.col("d").alias("pos"), "node")
+    edited = fresh.limit(0)
+    size = "char_length(label)"
+
+    def follows(place: str) -> str:
+        """Whether some word below the child goes on as the spelling does from a place on, as far as the signature tells."""
+        bit = _rest_bit("spelling", place)
+        part = " ".join(f"when {k} then s{k}" for k in range(_SIGNATURE))
+        return f"(shiftrightunsigned(case {bit} div 64 {part} end, cast({bit} % 64 as int)) & 1) = 1"
+
+    own = f"label = substring(spelling, pos + 1, {size})"
+    replaced = (
+        f"letter > substring(spelling, pos + 1, 1) and pos < char_length(spelling) "
+        f"and substring(label, 2) = substring(spelling, pos + 2, {size} - 1) and {follows(f'pos + {size}')}"
+    )
+    inserted = (
+        f"letter <> substring(spelling, pos + 1, 1) "
+        f"and substring(label, 2) = substring(spelling, pos + 1, {size} - 1) and {follows(f'pos + {size} - 1')}"
     )
     found, level = None, 0
     while True:
-        joined = states.join(table, "node")
-        at_end = (F.col("edits") == 1) & (F.col("pos") == F.char_length("spelling"))
-        moves = F.expr(
-            """filter(flatten(transform(children, c -> array(
-                 struct(c.child as node, pos + char_length(c.label) as pos, edits as edits,
-                        c.label = substring(spelling, pos + 1, char_length(c.label)) as fits),
-                 struct(c.child as node, pos + char_length(c.label) as pos, 1 as edits,
-                        edits = 0 and substring(c.label, 1, 1) > substring(spelling, pos + 1, 1) and pos < char_length(spelling)
-                        and substring(c.label, 2) = substring(spelling, pos + 2, char_length(c.label) - 1) as fits),
-                 struct(c.child as node, pos + char_length(c.label) - 1 as pos, 1 as edits,
-                        edits = 0 and substring(c.label, 1, 1) <> substring(spelling, pos + 1, 1)
-                        and substring(c.label, 2) = substring(spelling, pos + 1, char_length(c.label) - 1) as fits)))),
-               m -> m.fits)"""
+        level += 1
+        # without an edit: along the own letters, or by an edit along any other edge
+        ways = F.expr(
+            f"filter(array(struct(pos + {size} as pos, 0 as edits, {own} as fits), struct(pos + {size} as pos, 1 as edits, {replaced} as fits), "
+            f"struct(pos + {size} - 1 as pos, 1 as edits, {inserted} as fits)), m -> m.fits)"
         )
-        met = F.when(at_end, F.col("words")).otherwise(F.array().cast("array<string>"))
-        step = joined.select("spelling", "back", moves.alias("moves"), met.alias("met")).where(
-            (F.size("moves") > 0) | (F.size("met") > 0)
+        branched = (
+            fresh.join(edges, "node")
+            .where(f"({own}) or ({replaced}) or ({inserted})")
+            .select("spelling", "back", F.explode(ways).alias("m"), F.col("child").alias("node"))
+            .select("spelling", "back", "m.pos", "node", "m.edits")
         )
-        level += 1
-        step = stored(step, f"spelling-level{level}")
-        met_now = step.select("spelling", "back", F.explode("met").alias("near"))
-        found = met_now if found is None else found.unionByName(met_now)
-        states = step.select("spelling", "back", F.explode("moves").alias("m")).select(
-            "spelling", "back", F.col("m.pos").alias("pos"), F.col("m.node").alias("node"), F.col("m.edits").alias("edits")
+        # with one edit: along the own letters only
+        onward = (
+            edited.withColumn("letter", F.expr("substring(spelling, pos + 1, 1)"))
+            .join(edges, ["node", "letter"])
+            .where(f"{own} and {follows(f'pos + {size}')}")
+            .select("spelling", "back", F.expr(f"pos + {size}").alias("pos"), F.col("child").alias("node"), F.lit(1).alias("edits"))
         )
-        if states.isEmpty():
+        step = stored(branched.unionByName(onward), f"spelling-level{level}")
+        edited, fresh = step.where("edits = 1").select(*state), step.where("edits = 0").select(*state)
+        met = edited.where(F.col("pos") == F.char_length("spelling")).join(ends, "node").select("spelling", "back", "near")
+        found = met if found is None else found.unionByName(met)
+        if step.isEmpty():
             break
     word = F.when(F.col("back"), F.reverse("spelling")).otherwise(F.col("spelling"))
     pairs = found.select(word.alias("word"), "near").where(F.levenshtein("word", "near", 1) == 1)
