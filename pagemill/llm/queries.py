@@ -77,7 +77,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    model = url_filter.train(url_filter.labelled_urls(spark))
+    model = url_filter.train(url_filter.labelled_urls(spark).where("not held_out"))
     return url_filter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict")
 
 
