@@ -330,6 +330,35 @@ def ingest(spark, sf):
     return relative(result.index, f"{folder}/in", "filename")
 
 
+PAGES_PER_PART = 4
+
+
+def ingest_parts(spark, sf):
+    """Documents in parts of a few pages, to their index records."""
+    out = new_folder(spark, "parts")
+    pages = fx.pages(spark, sf).where(F.col("path").endswith(".pdf"))
+    pm.ingest_pages(
+        pages,
+        out,
+        "1",
+        fx.FIRST_RUN,
+        lambda parts: pm.classify_parts(parts, fx.RULES, col=T.flatten("content")),
+        text_dir=f"{out}/files",
+        pages_per_part=PAGES_PER_PART,
+    )
+    return pm.read_index(spark, f"{out}/index")
+
+
+def write_part_files(spark, sf):
+    """Documents in parts, to one file each, read back."""
+    folder = new_folder(spark, "part-files")
+    parts = pm.assemble_parts(fx.pages(spark, sf), PAGES_PER_PART)
+    pm.write_part_files(parts, f"{folder}/out", f"{folder}/report", root="/in")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/out")
+    files = pm.decode_documents(found).where(~F.contains("path", F.lit("/.parts-")))
+    return files.select(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "length")
+
+
 def _states(spark, folder, out, failed, index):
     """Of each source: what became of it, and whether it is still there."""
     sources = pm.scan_documents(spark, f"{folder}/all", extension="pdf").select("path")
@@ -446,6 +475,8 @@ QUERIES = {
     "remove_sources": remove_sources,
     "ingest": ingest,
     "ingest_failures": ingest_failures,
+    "ingest_parts": ingest_parts,
+    "write_part_files": write_part_files,
     "ingest_stream": ingest_stream,
     "ingest_stream_failures": ingest_stream_failures,
 }
@@ -573,6 +604,22 @@ SELECT path, text AS content, {fx.category_sql("text")} AS classification FROM s
 SELECT path, {fx.category_sql("replace(text, chr(10), '')")} = '' AS there FROM src""",
     "ingest": tq.ORACLE["index_texts"],
     "ingest_failures": _FAILURES,
+    "ingest_parts": f"""WITH {fx.PAGES},
+parts AS (
+  SELECT path, (page_no - 1) // {PAGES_PER_PART} AS part_no,
+         string_agg(page_text || {fx.FOOTER_SQL.format(n="page_no")}, '' ORDER BY page_no) AS content
+  FROM pages_in WHERE path LIKE '%.pdf' GROUP BY ALL),
+judged AS (
+  SELECT path, part_no, content,
+         CASE {" ".join(f"WHEN regexp_matches(replace(content, chr(10), ''), '{p}') THEN {k}" for k, (_, p) in enumerate(fx.RULES))}
+         ELSE {len(fx.RULES)} END AS rule FROM parts)
+SELECT path AS filename, [{", ".join(f"'{c}'" for c, _ in fx.RULES)}][min(rule) + 1] AS classification,
+       '2024-01-31T08:30:00Z' AS date, substring(arg_min(content, part_no), 1, 300) AS content
+FROM judged GROUP BY path HAVING min(rule) < {len(fx.RULES)}""",
+    "write_part_files": f"""WITH {fx.PAGES},
+whole AS (
+  SELECT path, string_agg(page_text || {fx.FOOTER_SQL.format(n="page_no")}, '' ORDER BY page_no) AS content FROM pages_in GROUP BY path)
+SELECT sha256(content) AS digest, octet_length(encode(content))::BIGINT AS length FROM whole""",
     "ingest_stream": tq.ORACLE["index_texts"],
     "ingest_stream_failures": _FAILURES,
 }

@@ -2,6 +2,7 @@
 
 from pagemill.operators.classify import (
     attach_classification,
+    classify_parts,
     classify_rules,
     classify_udf,
     pipe_classify,
@@ -68,6 +69,7 @@ from pagemill.sinks import (
     remove_sources,
     replaced_folders,
     upsert_index,
+    write_part_files,
     write_text_files,
     write_texts,
 )

@@ -35,6 +35,19 @@ def classify_rules(
     return T.once(df, "classification", rule_category(col, rules, default))
 
 
+def classify_parts(parts: DataFrame, rules: Sequence[tuple[str, str]], col: Column | str = "content", default: str = "") -> DataFrame:
+    """``(path, classification)`` of documents that are held in parts: the first rule whose pattern is found in any part.
+
+    Each part is matched where it is; only the numbers of rules are shuffled, the least of each path. What a pattern would find
+    only across the border of two parts is not found.
+    """
+    numbered = [(str(k), pattern) for k, (_, pattern) in enumerate(rules)]
+    matched = classify_rules(parts, numbered, col, str(len(rules)))
+    least = matched.groupBy("path").agg(F.min(F.col("classification").cast("int")).alias("rule"))
+    names = F.array(*[F.lit(name) for name, _ in rules], F.lit(default))
+    return least.select("path", F.get(names, F.col("rule")).alias("classification"))
+
+
 def classify_udf(df: DataFrame, fn: Callable[[pd.Series], pd.Series], col: str = "content") -> DataFrame:
     """Adds ``classification`` from a function of a pandas series of texts.
 

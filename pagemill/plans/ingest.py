@@ -15,12 +15,12 @@ from pagemill.functions.fixed import LANGUAGE, MAX_PAGES, SOURCE_EXTENSION
 from pagemill.operators.classify import attach_classification, classify_rules
 from pagemill.operators.extract import complete_documents, document_page_counts, extract_pages, failed_pages
 from pagemill.operators.filters import drop_blank, filter_extension
-from pagemill.operators.pages import assemble_document, assemble_paged, plan_page_batches
+from pagemill.operators.pages import assemble_document, assemble_paged, assemble_parts, plan_page_batches
 from pagemill.operators.records import index_record, preview
 from pagemill.sinks.archive import archive
 from pagemill.sinks.index import upsert_index
 from pagemill.sinks.removal import remove_sources
-from pagemill.sinks.texts import write_text_files, write_texts
+from pagemill.sinks.texts import write_part_files, write_text_files, write_texts
 from pagemill.sources.documents import scan_documents
 from pagemill.sources.index import batch_records, read_index
 
@@ -65,14 +65,21 @@ def ingest_pages(
     text_dir: str | None = None,
     root: str = "/",
     sequence: int | None = None,
+    pages_per_part: int | None = None,
 ) -> tuple[DataFrame, str]:
     """Page table to texts, index and archive. Returns the texts as stored and the archive's folder.
 
+    With ``pages_per_part`` documents are held in parts, rows ``(path, part_no, content, n_pages)`` of so many pages, from the pages to the
+    files, so a document may be longer than a value of Spark. The classifier then gets the parts and answers by path
+    (:func:`classify_parts`); the index has one record per document, and the archive one line per part.
+
     Pages and texts are stored before they are used twice, so extraction and classification run once, and a lost
     executor costs a read and not another recognition. A classifier that adds its column to the documents needs no
     join. One that answers by path is joined to the previews for the index and to the texts for the archive. With
     ``text_dir`` each text is also written to a file.
     """
+    if pages_per_part is not None:
+        return _ingest_parts(pages, out, run_id, run_ts, classifier, text_dir, root, sequence, pages_per_part)
     assembled = assemble_document(pages)
     answers = classifier(assembled)
     if "content" in answers.columns:
@@ -90,6 +97,28 @@ def ingest_pages(
     return documents, archive(archived, f"{out}/archive", run_id)
 
 
+def _ingest_parts(
+    pages: DataFrame,
+    out: str,
+    run_id: str,
+    run_ts: datetime,
+    classifier: Classifier,
+    text_dir: str | None,
+    root: str,
+    sequence: int | None,
+    pages_per_part: int,
+) -> tuple[DataFrame, str]:
+    spans = f"{out}/spans/run={run_id}"
+    parts = write_texts(assemble_parts(pages, pages_per_part, spans), f"{out}/texts", run_id)
+    known = drop_blank(write_texts(classifier(parts), f"{out}/categories", run_id), "classification")
+    # of a document's first part the beginning, which is all that the index holds
+    first = preview(parts).groupBy("path").agg(F.min_by("content", "part_no").alias("content"))
+    if text_dir is not None:
+        write_part_files(parts, text_dir, f"{out}/text_files/run={run_id}", root)
+    upsert_index(index_record(attach_classification(first, known), run_ts), f"{out}/index", run_id, sequence)
+    return parts, archive(attach_classification(parts, known), f"{out}/archive", run_id)
+
+
 def indexed_by(spark: SparkSession, out: str, run_id: str) -> DataFrame:
     """Names one run has put into the index."""
     return batch_records(spark, f"{out}/index", run_id)

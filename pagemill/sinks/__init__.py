@@ -1,7 +1,7 @@
 from pagemill.sinks.archive import archive, read_archive
 from pagemill.sinks.index import compact_index, replaced_folders, upsert_index
 from pagemill.sinks.removal import remove_sources
-from pagemill.sinks.texts import write_text_files, write_texts
+from pagemill.sinks.texts import write_part_files, write_text_files, write_texts
 
 __all__ = [
     "archive",
@@ -10,6 +10,7 @@ __all__ = [
     "remove_sources",
     "replaced_folders",
     "upsert_index",
+    "write_part_files",
     "write_text_files",
     "write_texts",
 ]

@@ -555,6 +555,31 @@ def test_archive_files_are_of_equal_bytes(spark, folder):
     assert pm.read_archive(spark, pm.archive(nothing, folder, "none")).count() == 0
 
 
+def test_document_of_many_parts_ends_in_one_file(spark, folder):
+    """Parts travel as rows; a document has one file, one record, and the category that any of its parts shows first."""
+    rows = [("/in/big.pdf", k, f"page {k} " + ("hammer " if k == 91 else "") + ("apple" if k == 60 else "")) for k in range(1, 101)]
+    rows += [("/in/sub/small.pdf", 1, "a hammer"), ("/in/none.pdf", 1, "nothing")]
+    pages = spark.createDataFrame(rows, "path string, page_no int, page_text string").repartition(4)
+    seen = []
+
+    def by_parts(parts):
+        seen.append(parts.columns)
+        return pm.classify_parts(parts, [("fruit", "apple|pear"), ("tool", "hammer")])
+
+    parts, archived = pm.ingest_pages(
+        pages, f"{folder}/out", "r", RUN, by_parts, text_dir=f"{folder}/text", root="/in", pages_per_part=7
+    )
+    assert seen == [["path", "part_no", "content", "n_pages"]]
+    assert parts.where("path = '/in/big.pdf'").count() == 15
+    got = {r.filename: (r.classification, r.content[:8]) for r in pm.read_index(spark, f"{folder}/out/index").collect()}
+    assert got == {"/in/big.pdf": ("fruit", "page 1 \n"), "/in/sub/small.pdf": ("tool", "a hammer")}
+    whole = {r.path: r.content for r in pm.assemble_document(pages).collect()}
+    for path, name in (("/in/big.pdf", "big.txt"), ("/in/sub/small.pdf", "sub/small.txt"), ("/in/none.pdf", "none.txt")):
+        with open(f"{folder}/text/{name}", encoding="utf-8", newline="") as file:
+            assert file.read() == whole[path]
+    assert pm.read_archive(spark, archived).count() == 16
+
+
 def test_null_text_has_no_file(spark, folder):
     df = spark.createDataFrame([("/a.pdf", "x"), ("/b.pdf", None)], "path string, content string")
     report = pm.write_text_files(df, f"{folder}/out", f"{folder}/report").collect()
