@@ -191,6 +191,16 @@ def test_url_scores_equal_brute_force(spark):
     assert url_filter.judge(df.limit(0), [], model).count() == 0
 
 
+def test_held_out_urls(spark):
+    """Blocking on the part of the table that was not learned from, and no words of it that the given tables' hosts are made of."""
+    labelled = url_filter.labelled_urls(spark)
+    model = url_filter.train(labelled.where("not held_out"))
+    precision, recall = url_filter.measured(labelled.where("held_out"), model)
+    assert precision >= 0.95 and recall >= 0.8
+    assert labelled.where("held_out").count() > 150
+    assert min(map(len, url_filter.ORDINARY)) >= 3 and {"ther", "tion", "ing"}.isdisjoint(url_filter.ORDINARY)
+
+
 def inner(a, b):
     total = 0.0
     for x, y in zip(a, b, strict=True):
