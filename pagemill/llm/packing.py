@@ -6,8 +6,9 @@ corpus) and places whole counts at a time. Its result is a list of ranges, "piec
 sequences b to b + n at offset o", which Spark joins back to the pieces.
 
 Reduction (Martello and Toth): for the longest open length, the longest partner that fits beside it dominates every other
-set that could stand beside it if no other such set holds more tokens: always where the two fill the sequence, and where
-no two pieces of a larger sum fit. Such sequences are closed for good. Best fit places what remains, longest first,
+set that could stand beside it if no other such set holds more tokens. That is proved where the two fill the sequence, and where
+no two pieces fit beside the longest at all; sets of two that fit and hold less are not told from those that hold more, so what they
+leave open goes to best fit. Proved sequences are closed for good. Best fit places what remains, longest first,
 each piece into the fullest sequence that can take it.
 
 Defined results: a null text counts as empty and yields the end token alone. Rows with equal ids are packed each for
@@ -136,8 +137,8 @@ class _Plan:
         return self.lengths[k] if k >= 0 else None
 
 
-def _two_beat(plan: _Plan, room: int, partner: int, without: int) -> bool:
-    """Whether two open pieces (or more) beside one of ``without`` hold more than ``partner`` within ``room``."""
+def _two_fit(plan: _Plan, room: int, without: int) -> bool:
+    """Whether any two open pieces fit into ``room`` beside one of ``without``; only then can a larger set hold more than one partner."""
     smallest = [w for w in plan.lengths[:3] for _ in range(min(2, plan.open[w] - (w == without)))][:2]
     return len(smallest) == 2 and sum(smallest) <= room
 
@@ -154,7 +155,7 @@ def reduce_dominated(plan: _Plan, capacity: int) -> None:
                 if partner is None:
                     count = plan.open[length] if length > room else 1
                     plan.place(length, count, plan.sequences, 0)
-                elif partner == room or not _two_beat(plan, room, partner, length):
+                elif partner == room or not _two_fit(plan, room, length):
                     same = partner == length
                     count = plan.open[length] // 2 if same else min(plan.open[length], plan.open[partner])
                     first = plan.sequences
