@@ -47,7 +47,7 @@ SCORED_TOKENS = 1_000_000
 #: Tokens of the corpus for each segment of bigrams, words for each segment of words.
 SEGMENT_TOKENS = 2_000_000
 SEGMENT_WORDS = 200_000
-FILTER_BYTES = 256 << 20
+FILTER_BYTES = 192 << 20
 HOT_WORDS = 200_000
 HOT_BYTES = 64
 END = b""
