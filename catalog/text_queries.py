@@ -151,7 +151,7 @@ def words_in_page_rect(spark, sf):
 
 
 def words_in_large_rect(spark, sf):
-    """Rectangles from a cell to far beyond any page, narrow and flat ones too, that hold for every page."""
+    """Words in rectangles from a cell to far beyond any page, narrow and flat ones too, that hold for every page: counted by page."""
     key = F.col("n_nationkey")
     rects = fx.table(spark, sf, "nation").select(
         key.alias("rect_id"),
@@ -160,7 +160,10 @@ def words_in_large_rect(spark, sf):
         F.pow(F.lit(2), key % 18).cast("int").alias("rw"),
         F.pow(F.lit(3), key % 11).cast("int").alias("rh"),
     )
-    return fx.flat_boxes(pm.words_in_rect(fx.words(spark, sf), rects))
+    inside = pm.words_in_rect(fx.words(spark, sf), rects)
+    return inside.groupBy("path", "page_no", "rect_id").agg(
+        F.count(F.lit(1)).alias("n_words"), F.sum("box.w").alias("width"), F.max("box.y").alias("last_y")
+    )
 
 
 def render_hocr(spark, sf):
@@ -384,8 +387,8 @@ SELECT path, page_no, 0 AS region_no, {_BOX} FROM words_in GROUP BY path, page_n
 rects AS (
   SELECT n_nationkey AS rect_id, n_nationkey - 12 AS rx, -n_nationkey AS ry, pow(2, n_nationkey % 18)::INTEGER AS rw,
          pow(3, n_nationkey % 11)::INTEGER AS rh FROM nation)
-SELECT words_in.*, rect_id FROM words_in JOIN rects
-  ON x >= rx AND y >= ry AND x + w <= rx + rw AND y + h <= ry + rh""",
+SELECT path, page_no, rect_id, count(*) AS n_words, sum(w)::BIGINT AS width, max(y) AS last_y FROM words_in JOIN rects
+  ON x >= rx AND y >= ry AND x + w <= rx + rw AND y + h <= ry + rh GROUP BY path, page_no, rect_id""",
     "words_in_rect": f"""WITH {fx.WORDS}, {fx.RECTS}
 SELECT words_in.*, rect_id FROM words_in JOIN rects
 ON x >= rx AND y >= ry AND x + w <= rx + rw AND y + h <= ry + rh""",
