@@ -1,9 +1,9 @@
 """Spelling variants: words one edit apart, found by a frontier of states that walks a trie held as a table.
 
 The trie's edge table has a row per edge: node, label, child. Chains without a branch are one edge, so a level of the walk is a
-branch of the trie and not a letter. A state is (word, position, node, edits). The frontier joins the edge table level by level: a
-state without an edit follows its own letters, and at each node also takes every other edge, by replacing a letter or by
-inserting one; a state with one edit follows its letters only. States that end with one edit where a word ends are neighbours.
+branch of the trie and not a letter. A state is (word, position, node, edits). States without an edit are those of the word's own path,
+of all levels; at each node they take every edge but their own, by replacing a letter or by inserting one. The frontier of states with
+one edit then joins the edge table level by level, along its own letters only. States that end with one edit where a word ends are neighbours.
 Deletions are insertions seen from the other word. An edge also has a signature, bits of hashes of all that follows it in
 any word; a state whose remaining letters are not among them cannot end and is not made.
 
@@ -98,9 +98,9 @@ def prefix_nodes(spellings: list[str], seed: int) -> tuple[np.ndarray, np.ndarra
     return _mixed(nodes + np.uint64(2 * seed + 1)).view(np.int64), starts
 
 
-def _places(words: DataFrame) -> DataFrame:
-    """``(spelling, back, d, node, next, start)``: of each word and its reverse the nodes that a walk can meet, from one letter before
-    its middle on; ``next`` is the letter that follows ('' at the end), ``start`` holds where the word's own walk begins."""
+def _paths(words: DataFrame) -> DataFrame:
+    """``(spelling, back, first, nodes)``: of each word and its reverse the nodes that a walk can meet, from the depth ``first``, a letter
+    before its middle, on."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -115,12 +115,16 @@ def _places(words: DataFrame) -> DataFrame:
                 ]
                 yield pd.DataFrame(rows, columns=["spelling", "back", "first", "nodes"])
 
-    made = words.select("word").mapInPandas(place, "spelling string, back boolean, first int, nodes array<long>")
-    size = F.char_length("spelling")
-    each = made.select("spelling", "back", "first", F.posexplode("nodes").alias("k", "node"))
-    d = (F.col("first") + F.col("k")).cast("int")
-    return each.select("spelling", "back", d.alias("d"), "node").withColumns(
-        {"next": F.expr("substring(spelling, d + 1, 1)"), "start": F.col("d") == F.floor(size / 2)}
+    return words.select("word").mapInPandas(place, "spelling string, back boolean, first int, nodes array<long>")
+
+
+def _places(paths: DataFrame) -> DataFrame:
+    """``(spelling, back, d, node, next, start)``: a row per node of a path; ``next`` is the letter that follows ('' at the end), ``start``
+    holds where the word's own walk begins."""
+    each = paths.select("spelling", "back", "first", F.posexplode("nodes").alias("k", "node"))
+    placed = each.select("spelling", "back", (F.col("first") + F.col("k")).cast("int").alias("d"), "node")
+    return placed.withColumns(
+        {"next": F.expr("substring(spelling, d + 1, 1)"), "start": F.col("d") == F.floor(F.char_length("spelling") / 2)}
     )
 
 
@@ -129,14 +133,17 @@ def _rest_bit(spelling: str, place: str) -> str:
     return f"pmod(xxhash64(substring({spelling}, {place} + 1)), {64 * _SIGNATURE})"
 
 
-def edge_table(places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(node, letter, label, child, s0, s1, ...)``: the edges between branches, ends of words and starts of walks, with the signature
-    of what follows the child in any word; and ``(node, near)``: the words that end at a node."""
-    ends = F.col("next") == ""
+def states_without_edit(places: DataFrame) -> DataFrame:
+    """``(spelling, back, d, node)``: of each path the branches, the ends of words and the starts of walks that it passes."""
     shape = places.groupBy("node").agg(F.min("next").alias("low"), F.max("next").alias("high"), F.max("start").alias("start"))
     kept = shape.where((F.col("low") != F.col("high")) | (F.col("low") == "") | F.col("start")).select("node")
-    on_way = places.join(kept, "node").select("spelling", "back", "d", "node")
-    ways = on_way.groupBy("spelling", "back").agg(F.sort_array(F.collect_list(F.struct("d", "node"))).alias("way"))
+    return places.select("spelling", "back", "d", "node").join(kept, "node").select("spelling", "back", "d", "node")
+
+
+def edge_table(states: DataFrame) -> DataFrame:
+    """``(node, letter, label, child, s0, s1, ...)``: the edges between the nodes of ``states``, with the signature of what follows the
+    child in any word."""
+    ways = states.groupBy("spelling", "back").agg(F.sort_array(F.collect_list(F.struct("d", "node"))).alias("way"))
     steps = F.expr(
         "transform(sequence(1, size(way) - 1), i -> struct(way[i - 1].node as node, way[i].node as child, way[i].d as place, "
         "substring(spelling, way[i - 1].d + 1, way[i].d - way[i - 1].d) as label))"
@@ -147,18 +154,17 @@ def edge_table(places: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.bit_or(F.expr(f"case when bit div 64 = {k} then shiftleft(1L, cast(bit % 64 as int)) else 0L end")).alias(f"s{k}")
         for k in range(_SIGNATURE)
     ]
-    edges = bits.groupBy("node", F.substring("label", 1, 1).alias("letter"), "label", "child").agg(*signature)
-    own = F.when(F.col("back"), F.reverse("spelling")).otherwise(F.col("spelling"))
-    return edges, places.where(ends).select("node", own.alias("near"))
+    edges = bits.groupBy("node", "child", "label").agg(*signature)
+    return edges.withColumn("letter", F.substring("label", 1, 1))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """``(word, near)``: all ordered pairs of the distinct ``words`` that differ by one inserted, deleted or replaced letter."""
-    places = stored(_places(words), "spelling-places")
-    edges, ends = (stored(t, "spelling-edges") for t in edge_table(places))
-    state = ("spelling", "back", "pos", "node")
-    fresh = places.where("start").select("spelling", "back", F.col("d").alias("pos"), "node")
-    edited = fresh.limit(0)
+    paths = stored(_paths(words), "spelling-paths")
+    unedited = stored(states_without_edit(_places(paths)), "spelling-level0")
+    edges = stored(edge_table(unedited), "spelling-edges")
+    own = F.when(F.col("back"), F.reverse("spelling")).otherwise(F.col("spelling"))
+    ends = paths.select(F.element_at("nodes", -1).alias("node"), own.alias("near"))
     size = "char_length(label)"
 
     def follows(place: str) -> str:
@@ -167,7 +173,6 @@ def neighbours(words: DataFrame) -> DataFrame:
         part = " ".join(f"when {k} then s{k}" for k in range(_SIGNATURE))
         return f"(shiftrightunsigned(case {bit} div 64 {part} end, cast({bit} % 64 as int)) & 1) = 1"
 
-    own = f"label = substring(spelling, pos + 1, {size})"
     replaced = (
         f"letter > substring(spelling, pos + 1, 1) and pos < char_length(spelling) "
         f"and substring(label, 2) = substring(spelling, pos + 2, {size} - 1) and {follows(f'pos + {size}')}"
@@ -176,33 +181,34 @@ def neighbours(words: DataFrame) -> DataFrame:
         f"letter <> substring(spelling, pos + 1, 1) "
         f"and substring(label, 2) = substring(spelling, pos + 1, {size} - 1) and {follows(f'pos + {size} - 1')}"
     )
-    found, level = None, 0
-    while True:
+    # the states without an edit of all levels take each edge but their own, by an edit
+    ways = F.expr(
+        f"filter(array(struct(pos + {size} as pos, {replaced} as fits), struct(pos + {size} - 1 as pos, {inserted} as fits)), m -> m.fits)"
+    )
+    branched = (
+        unedited.where(F.col("d") >= F.floor(F.char_length("spelling") / 2))
+        .withColumnRenamed("d", "pos")
+        .join(edges, "node")
+        .where(f"({replaced}) or ({inserted})")
+        .select("spelling", "back", F.explode(ways).alias("m"), F.col("child").alias("node"))
+        .select("spelling", "back", "m.pos", "node")
+    )
+    states, found, level = stored(branched, "spelling-level1"), None, 1
+    while not states.isEmpty():
+        at_end = F.col("pos") == F.char_length("spelling")
+        met = states.where(at_end).join(ends, "node").select("spelling", "back", "near")
+        found = met if found is None else found.unionByName(met)
         level += 1
-        # without an edit: along the own letters, or by an edit along any other edge
-        ways = F.expr(
-            f"filter(array(struct(pos + {size} as pos, 0 as edits, {own} as fits), struct(pos + {size} as pos, 1 as edits, {replaced} as fits), "
-            f"struct(pos + {size} - 1 as pos, 1 as edits, {inserted} as fits)), m -> m.fits)"
-        )
-        branched = (
-            fresh.join(edges, "node")
-            .where(f"({own}) or ({replaced}) or ({inserted})")
-            .select("spelling", "back", F.explode(ways).alias("m"), F.col("child").alias("node"))
-            .select("spelling", "back", "m.pos", "node", "m.edits")
-        )
-        # with one edit: along the own letters only
         onward = (
-            edited.withColumn("letter", F.expr("substring(spelling, pos + 1, 1)"))
+            states.where(~at_end)
+            .withColumn("letter", F.expr("substring(spelling, pos + 1, 1)"))
             .join(edges, ["node", "letter"])
-            .where(f"{own} and {follows(f'pos + {size}')}")
-            .select("spelling", "back", F.expr(f"pos + {size}").alias("pos"), F.col("child").alias("node"), F.lit(1).alias("edits"))
+            .where(f"label = substring(spelling, pos + 1, {size}) and {follows(f'pos + {size}')}")
+            .select("spelling", "back", F.expr(f"pos + {size}").alias("pos"), F.col("child").alias("node"))
         )
-        step = stored(branched.unionByName(onward), f"spelling-level{level}")
-        edited, fresh = step.where("edits = 1").select(*state), step.where("edits = 0").select(*state)
-        met = edited.where(F.col("pos") == F.char_length("spelling")).join(ends, "node").select("spelling", "back", "near")
-        found = met if found is None else found.unionByName(met)
-        if step.isEmpty():
-            break
+        states = stored(onward, f"spelling-level{level}")
+    if found is None:
+        found = states.select("spelling", "back", F.col("spelling").alias("near"))
     word = F.when(F.col("back"), F.reverse("spelling")).otherwise(F.col("spelling"))
     pairs = found.select(word.alias("word"), "near").where(F.levenshtein("word", "near", 1) == 1)
     both = pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near")))
