@@ -44,7 +44,8 @@ ORDINARY = (
     "gallery theatre church monastery radio press review magazine forum wiki blog photo video games chess puzzles engineering bridge railway "
     "airport medical legal finance bank insurance hotel restaurant bakery coffee winter summer green north south east west old new first "
     "centre institute foundation society union group partners brothers works tools maps guide atlas almanac letters notes papers thesis "
-    "project community workshop farm orchard harvest village bridgeport lakeside hillview"
+    "project community workshop farm orchard harvest village bridgeport lakeside hillview printing housing building knitting cooking fishing running "
+    "reading writing planning clothing shipping teaching painting walking something everything"
 ).split()
 _TOP = ("com", "org", "net", "info", "example.com", "example.org")
 _SUB = ("", "www.", "m.", "blog.")
