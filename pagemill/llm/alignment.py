@@ -3,7 +3,7 @@
 A document's text, with a space before it, is encoded by a byte-level BPE file (A) and a sentencepiece model (B) that adds that space.
 Both cut the same bytes into tokens: where tokens of both end, a group ends; an A and a B token whose byte ranges overlap are a
 link. Between a character that is not white space and a space neither of them joins bytes, so a text is aligned in segments that
-start with such a space, and tasks keep the alignments of segments they have seen (a bounded memory).
+start with such a space (but for one at its end), and tasks keep the alignments of segments they have seen (a bounded memory).
 
 Each task deals its documents into chunks of up to ``CHUNK_ROWS`` rows and ``CHUNK_LINKS`` id pairs. For each id pair linked in a
 chunk there is one posting: a compressed bitmap of the chunk's documents (sorted 16-bit places, or plain bits where they are
@@ -43,7 +43,8 @@ CHUNK_ROWS = 1 << 15
 CHUNK_LINKS = 2_000_000
 #: Bytes of a bitmap of plain bits; fewer places than half of it are held as sorted places of two bytes.
 PLAIN = CHUNK_ROWS // 8
-CUT = re.compile(r" (?<=\S )")
+#: A space at the end of a text stays in the segment before it: B gives an empty segment no tokens.
+CUT = re.compile(r" (?<=\S )(?!\Z)")
 _SIGNS, _LETTERS = ".,;:!?)", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZßàáâäæçèéêëíîïñóôöœúûü"
 _SHIFT = 20
 #: Texts, and characters of them, that are encoded at once.

@@ -159,6 +159,13 @@ def test_op12(spark, folder):
     assert queries.op12_alignment(spark, write_tables(f"{folder}-e", no_documents(spark))).count() == 0
 
 
+def test_alignment_of_texts_that_end_with_a_space(spark):
+    rows = list(enumerate(["a ", "two words ", "sign, ", "two spaces  ", "tab\t ", "e\u0301 ", " a ", "a b", "a \n", "a \u00a0"]))
+    got = aligned_rows(alignment.aligned(spark.createDataFrame(rows, "doc_id long, text string"), A, B))
+    assert got == sorted(brute_alignment(rows), key=str)
+    assert all(r[1] for r in got)
+
+
 def test_chunks_do_not_change_alignment(spark, folder):
     """Few rows or links to a chunk, and many documents of one text."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
