@@ -1,6 +1,7 @@
 """Scanning, extraction, assembling, classifying, writing and removing on small hand-made files."""
 
 import hashlib
+import importlib
 import os
 import re
 import time
@@ -537,6 +538,14 @@ def test_archive_keeps_lines_together(spark, folder):
     assert sorted(map(tuple, pm.read_archive(spark, target).collect())) == rows
 
 
+def test_no_task_writes_two_files_of_an_archive(spark):
+    """Not even of one document in many parts."""
+    rows = spark.range(4000).select(F.lit("p").alias("path"), F.sha2(F.col("id").cast("string"), 256).alias("content"), F.lit("c").alias("classification"))
+    dealt = importlib.import_module("pagemill.sinks.archive")._dealt(rows, F.octet_length("content").cast("long"), 64 * 4000, 20)
+    of_task = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("part").alias("parts"), F.count("part").alias("n")).collect()
+    assert len(of_task) == 20 and {r.parts for r in of_task} == {1} and max(r.n for r in of_task) < 2 * 4000 / 20
+
+
 def test_archive_files_are_of_equal_bytes(spark, folder):
     """Texts of a kilobyte and of a hundred: no file is twice as large as another, and nothing is lost."""
     long = (F.col("id") % 40 == 0).cast("int")
