@@ -368,6 +368,34 @@ def test_words_in_rect_match_brute_force(spark, monkeypatch, bits, salts):
     assert want and sorted(map(tuple, got.collect())) == want
 
 
+@pytest.mark.parametrize("few", [0, 1, 2])
+def test_rectangles_by_grid_or_one_by_one_are_the_same(spark, monkeypatch, few):
+    text = "\n".join(" ".join("ab" * (1 + (i + j) % 5) for j in range(20)) for i in range(9))
+    df = spark.createDataFrame([("p", 1, text), ("q", 2, text), ("r", 3, text)], "path string, page_no int, page_text string")
+    words = pm.extract_words(df)
+    keyed = spark.createDataFrame(
+        [(1, 0, 0, 50, 6, "p", 1), (2, 9, 1, 90, 3, "p", 1), (3, 3, 3, 30, 4, "q", 2), (4, 0, 0, 0, 4, "r", 3)],
+        "rect_id int, rx int, ry int, rw int, rh int, path string, page_no int",
+    )
+    for rects in (keyed, keyed.drop("path", "page_no")):
+        want = sorted(pm.words_in_rect(words, rects).collect(), key=str)
+        with monkeypatch.context() as patched:
+            patched.setattr(layout, "_FEW", few)
+            assert want and sorted(pm.words_in_rect(words, rects).collect(), key=str) == want
+
+
+def test_words_of_pages_with_few_rectangles_are_not_multiplied(spark, folder):
+    """Neither before the join by page nor for rectangles of many sizes that hold for every page."""
+    df = spark.createDataFrame([("p", 1, "a b c d")], "path string, page_no int, page_text string")
+    words = pm.write_texts(pm.extract_words(df), folder, "1")
+    sizes = F.pow(F.lit(4), F.col("id")).cast("int")
+    rects = spark.range(8).select(F.col("id").alias("rect_id"), F.lit(0).alias("rx"), F.lit(0).alias("ry"), sizes.alias("rw"), F.lit(1).alias("rh"))
+    for given in (rects, rects.withColumns({"path": F.lit("p"), "page_no": F.lit(1)})):
+        found = pm.words_in_rect(words, given)
+        assert "grid" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.count() == 1 + 2 + 6 * 4  # in a width of 1, of 4 and of more
+
+
 def test_hocr_wraps_the_fragments(spark):
     df = spark.createDataFrame(
         [("p", 2, "<p>b</p>\n"), ("p", 1, "<p>a</p>\n")], "path string, page_no int, fragment string"
