@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.fixed import WHITE
-from pagemill.functions.frames import whole_groups
+from pagemill.functions.frames import group_blocks
 from pagemill.functions.graph import component_roots
 from pagemill.functions.spans import numbered, stored
 from pagemill.operators.raster import nonzero_ends
@@ -26,6 +26,8 @@ from pagemill.operators.raster import nonzero_ends
 # depend on them.
 _TILE = 1024
 _SPAN = 4096
+#: Pixels of tiles that are turned together; a tile of more is turned alone.
+_PIXELS = 1 << 20
 
 
 def _merged(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -46,25 +48,37 @@ def _merged(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def label_runs(rows: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first and last place of the runs of set pixels, and the run that stands for each run's region.
+def _runs(lines: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs of set pixels of ``parts``: line, first and last place, and the run that stands for each run's region.
 
-    ``rows`` are the numbers of the lines of ``mask``, ascending. Pixels that touch at a corner are tied.
+    ``lines`` are numbers of the parts, ascending; parts of numbers one apart lie below each other. Pixels that touch at a corner are tied.
     """
-    edged = np.zeros((mask.shape[0], mask.shape[1] + 2), np.int8)
-    edged[:, 1:-1] = mask
-    steps = np.diff(edged, axis=1)
-    at, first = np.nonzero(steps == 1)
-    last = np.nonzero(steps == -1)[1] - 1
-    row = rows[at].astype(np.int64)
-    width = mask.shape[1] + 4
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    begin = np.cumsum(sizes + 2) - sizes - 1  # a clear pixel before and behind each part
+    edged = np.zeros(sizes.sum() + 2 * len(parts), np.int8)
+    inside = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+    edged[inside] = np.concatenate([*parts, np.zeros(0, np.int32)]) != 0
+    steps = np.diff(edged)
+    up, down = np.flatnonzero(steps == 1) + 1, np.flatnonzero(steps == -1)
+    at = np.searchsorted(begin, up, side="right") - 1
+    first, last, row = up - begin[at], down - begin[at], lines[at]
+    width = int(sizes.max(initial=0)) + 4
     # in the line below, runs that end behind the place before this run and begin before the place behind it
     low = np.searchsorted(row * width + last + 2, (row + 1) * width + first + 1, side="left")
     high = np.searchsorted(row * width + first + 2, (row + 1) * width + last + 3, side="right")
     n = np.maximum(0, high - low)
     a = np.repeat(np.arange(len(row)), n)
     b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-    return row, first, last, _merged(len(row), a, b)
+    return at, first, last, _merged(len(row), a, b)
+
+
+def label_runs(rows: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last place of the runs of set pixels, and the run that stands for each run's region.
+
+    ``rows`` are the numbers of the lines of ``mask``, ascending. Pixels that touch at a corner are tied.
+    """
+    at, first, last, of = _runs(rows.astype(np.int64), list(mask))
+    return rows.astype(np.int64)[at], first, last, of
 
 
 _LABELS = "node long, pixel long, x0 int, y0 int, x1 int, y1 int, n_pixels long"
@@ -87,41 +101,54 @@ def _labelled(mask: DataFrame, tile: int) -> DataFrame:
         "image_id", "y", "c.tx", "c.part", F.explode(rows).alias("ty")
     )
     kind = mask.schema["image_id"].dataType.simpleString()
-    keys, groups, labelled = ["image_id", "tx", "ty"], whole_groups, label_runs
+    keys, blocks, runs = ["image_id", "tx", "ty"], group_blocks, _runs
+
+    def sections(frame, starts):
+        """Tiles that are labelled together: all, but for those that have a line twice, which are alone."""
+        y = frame["y"].to_numpy(np.int64)
+        step = np.diff(y, prepend=y[0])
+        step[step > 1] = 2  # lines below each other have numbers one apart, those of different tiles do not
+        step[starts] = 2
+        ends = np.append(starts[1:], len(frame))
+        twice = np.unique(np.searchsorted(starts, np.flatnonzero(step == 0), side="right") - 1)
+        cuts = np.unique(np.concatenate([[0, len(frame)], starts[twice], ends[twice]])).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield frame.iloc[a:b], np.cumsum(step[a:b])
 
     def label(batches):
-        for group in groups(batches, keys):
-            tx, ty = int(group["tx"].iat[0]), int(group["ty"].iat[0])
-            begin = max(0, tx * side - 1)
-            row, first, last, of = labelled(group["y"].to_numpy(), np.stack(group["part"].to_list()) != 0)
+        for frame, lines in (part for block in blocks(batches, keys) for part in sections(*block)):
+            y, image = frame["y"].to_numpy(np.int64), frame["image_id"].to_numpy()
+            at, first, last, of = runs(lines, frame["part"].to_list())
+            row, tx, ty = y[at], frame["tx"].to_numpy(np.int64)[at], frame["ty"].to_numpy(np.int64)[at]
+            begin = np.maximum(0, tx * side - 1)
             first, last = first + begin, last + begin
             nodes = (row << 32 | first)[of]  # a region's first pixel here: its first run's
             # boxes of what is the tile's own
             own_first, own = np.maximum(first, tx * side), (row >= ty * side) & (last >= tx * side)
-            names, which = np.unique(nodes[own], return_inverse=True)
+            names, which = np.unique(of[own], return_inverse=True)
             if len(names):
                 low, high = np.full((len(names), 2), np.iinfo(np.int64).max), np.full((len(names), 2), -1)
                 np.minimum.at(low, which, np.stack([own_first[own], row[own]], 1))
                 np.maximum.at(high, which, np.stack([last[own], row[own]], 1))
                 sizes = np.bincount(which, (last - own_first + 1)[own], len(names)).astype(np.int64)
                 yield pd.DataFrame(
-                    {"image_id": group["image_id"].iat[0], "node": names, "pixel": None, "x0": low[:, 0], "y0": low[:, 1]}
+                    {"image_id": image[at[names]], "node": nodes[names], "pixel": None, "x0": low[:, 0], "y0": low[:, 1]}
                     | {"x1": high[:, 0], "y1": high[:, 1], "n_pixels": sizes}
                 )
             # pixels in the first or last line or column of the tile or beside it; of a run there, all its pixels in these lines
-            pixels, labels = [], []
-            for y in (ty * side - 1, (ty + 1) * side - 1):
-                on = np.flatnonzero(row == y)
+            pixels, of_run = [], []
+            for line in (ty * side - 1, (ty + 1) * side - 1):
+                on = np.flatnonzero(row == line)
                 size = last[on] - first[on] + 1
-                pixels.append((y << 32) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[on], size))
-                labels.append(np.repeat(nodes[on], size))
+                pixels.append(np.repeat((row[on] << 32) + first[on] - (np.cumsum(size) - size), size) + np.arange(size.sum()))
+                of_run.append(np.repeat(on, size))
             for x in (tx * side - 1, (tx + 1) * side - 1):
                 on = np.flatnonzero((first <= x) & (x <= last))
-                pixels.append((row[on] << 32) + x)
-                labels.append(nodes[on])
-            pixel, node = np.concatenate(pixels), np.concatenate(labels)
+                pixels.append((row[on] << 32) + x[on])
+                of_run.append(on)
+            pixel, run = np.concatenate(pixels), np.concatenate(of_run)
             if len(pixel):
-                yield pd.DataFrame({"image_id": group["image_id"].iat[0], "node": node, "pixel": pixel}).assign(
+                yield pd.DataFrame({"image_id": image[at[run]], "node": nodes[run], "pixel": pixel}).assign(
                     x0=None, y0=None, x1=None, y1=None, n_pixels=None
                 )
 
@@ -263,30 +290,47 @@ def turn(lines: DataFrame, directions: DataFrame, tile: int | None = None) -> Da
         F.lit(None).cast("array<int>").alias("part"), "w", "h", "dx", "dy",
     )
     kind = lines.schema["image_id"].dataType.simpleString()
-    keys, groups, white = ["image_id", "tx", "ty"], whole_groups, WHITE
+    keys, blocks, white, most = ["image_id", "tx", "ty"], group_blocks, WHITE, _PIXELS
 
     def made(batches):
-        for group in groups(batches, keys):
-            one = group.iloc[0]
-            w, h, dx, dy, tx, ty = (int(one[k]) for k in ("w", "h", "dx", "dy", "tx", "ty"))
-            given = group[group["part"].notna()]
-            x, y = np.arange(tx * side, min(w, (tx + 1) * side)), np.arange(ty * side, min(h, (ty + 1) * side))
-            size = np.sqrt(float(dx * dx + dy * dy))
-            c, s, mx, my = dx / size, dy / size, (w - 1) / 2, (h - 1) / 2
-            from_x = np.floor(mx + (x - mx) * c - ((y - my) * s)[:, None] + 0.5).astype(np.int64)
-            from_y = np.floor(my + (x - mx) * s + ((y - my) * c)[:, None] + 0.5).astype(np.int64)
-            out = np.full(from_x.shape, white, np.int32)
-            inside = (from_x >= 0) & (from_x < w) & (from_y >= 0) & (from_y < h)
-            if len(given):
-                # the gathered tiles as one window of the image
-                low_y, low_x = int(given["y"].min()), int(given["sx"].min()) * side
-                window = np.full((int(given["y"].max()) - low_y + 1, (int(given["sx"].max()) + 1) * side - low_x), white, np.int32)
-                for line, at, part in zip(given["y"].astype(int), given["sx"].astype(int), given["part"], strict=True):
-                    window[line - low_y, at * side - low_x : at * side - low_x + len(part)] = part
-                from_x, from_y = from_x - low_x, from_y - low_y
-                inside &= (from_x >= 0) & (from_x < window.shape[1]) & (from_y >= 0) & (from_y < window.shape[0])
-                out[inside] = window[from_y[inside], from_x[inside]]
-            yield pd.DataFrame({"image_id": one["image_id"], "y": y, "tx": tx, "part": list(out)})
+        for frame, starts in blocks(batches, keys):
+            w, h, dx, dy, tx, ty = (frame[k].to_numpy(np.int64)[starts] for k in ("w", "h", "dx", "dy", "tx", "ty"))
+            nx, ny = np.minimum(w, (tx + 1) * side) - tx * side, np.minimum(h, (ty + 1) * side) - ty * side
+            upto = np.cumsum(nx * ny)
+            image, ends, low = frame["image_id"].to_numpy()[starts], np.append(starts[1:], len(frame)), 0
+            while low < len(starts):  # tiles of a bounded number of pixels together
+                high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + most, side="right")))
+                # a row per line of a tile, then a place per pixel
+                t = np.repeat(np.arange(low, high), ny[low:high])
+                y = np.arange(len(t)) - np.repeat(np.cumsum(ny[low:high]) - ny[low:high], ny[low:high]) + ty[t] * side
+                line = np.repeat(np.arange(len(t)), nx[t])
+                of, first = t[line], np.cumsum(nx[t]) - nx[t]
+                x, down = np.arange(len(line)) - first[line] + (tx * side)[of], y[line]
+                size = np.sqrt((dx * dx + dy * dy).astype(np.float64))
+                c, s, mx, my = (dx / size)[of], (dy / size)[of], ((w - 1) / 2)[of], ((h - 1) / 2)[of]
+                from_x = np.floor(mx + (x - mx) * c - ((down - my) * s) + 0.5).astype(np.int64)
+                from_y = np.floor(my + (x - mx) * s + ((down - my) * c) + 0.5).astype(np.int64)
+                out = np.full(len(line), white, np.int32)
+                part = frame.iloc[starts[low] : ends[high - 1]]
+                of_part = np.repeat(np.arange(low, high), ends[low:high] - starts[low:high])
+                known = part["part"].notna().to_numpy()
+                part, of_part = part[known], of_part[known]
+                if len(part):
+                    # lines by tile, number and place across; of equal ones the last counts
+                    place = (of_part - low) * (int(h.max()) + 1) + part["y"].to_numpy(np.int64)
+                    key = place * (int(w.max()) // side + 1) + part["sx"].to_numpy(np.int64)
+                    order = np.argsort(key, kind="stable")
+                    parts = part["part"].to_numpy()[order].tolist()
+                    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+                    begin, flat = np.cumsum(sizes) - sizes, np.concatenate(parts)
+                    inside = np.flatnonzero((from_x >= 0) & (from_x < w[of]) & (from_y >= 0) & (from_y < h[of]))
+                    from_x, from_y, of = from_x[inside], from_y[inside], of[inside]
+                    wanted = ((of - low) * (int(h.max()) + 1) + from_y) * (int(w.max()) // side + 1) + from_x // side
+                    found = np.searchsorted(key[order], wanted, side="right") - 1
+                    hit = (found >= 0) & (key[order][found] == wanted) & (from_x % side < sizes[found])
+                    out[inside[hit]] = flat[begin[found[hit]] + from_x[hit] % side]
+                yield pd.DataFrame({"image_id": image[t], "y": y, "tx": tx[t], "part": np.split(out, first[1:])})
+                low = high
 
     columns = ["image_id", "y", "tx", "ty", "sx", "part", "w", "h", "dx", "dy"]
     gathered = dealt.select(*columns).unionByName(empty)

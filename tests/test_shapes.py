@@ -3,10 +3,12 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import pagemill as pm
+from pagemill.functions.frames import group_blocks, whole_groups
 from pagemill.operators import shapes
 
 
@@ -136,3 +138,15 @@ def test_deskewed_lines_are_level(spark):
     full, none = (ink > 280).sum(), (ink == 0).sum()
     before = (page < 100).sum(axis=1)
     assert full >= 50 and (before > 280).sum() == 0 and none >= 380
+
+
+def test_small_tiles_are_worked_on_together():
+    """Groups that end in a batch are one frame; what of a group is still to come is held back."""
+    frame = pd.DataFrame({"a": [1, 1, 2, 3, 3, 3, 3, 4], "b": [0, 0, 0, 0, 0, 0, 1, 1]})
+    for size in (1, 2, 3, 5, 8):
+        blocks = list(group_blocks((frame.iloc[k : k + size] for k in range(0, 8, size)), ["a", "b"]))
+        assert pd.concat([f for f, _ in blocks], ignore_index=True).equals(frame)
+        groups = [n for f, starts in blocks for n in np.diff([*starts, len(f)]).tolist()]
+        assert groups == [2, 1, 3, 1, 1]
+    assert [len(starts) for _, starts in group_blocks(iter([frame]), ["a", "b"])] == [4, 1]
+    assert [len(g) for g in whole_groups(iter([frame.iloc[:0], frame]), ["a", "b"])] == [2, 1, 3, 1, 1]
