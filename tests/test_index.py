@@ -227,3 +227,20 @@ def test_search_reads_the_buckets_of_its_terms(spark, folder):
     pm.upsert_index(records(spark, *((f"f{k}", f"w{k} common") for k in range(200))), index, "0", searchable=True, buckets=8)
     found = pm.search_index(spark, index, "w7")
     assert [r.filename for r in found.collect()] == ["f7"]
+
+
+def test_answers_to_a_search_are_not_shuffled(spark, folder, monkeypatch):
+    """They are as many as queries times records; the number of tasks grows with them and changes nothing."""
+    docs = spark.range(60).select(
+        F.concat(F.lit("p"), "id").alias("filename"), F.lit("c").alias("classification"), F.lit("2024-01-01").alias("date"),
+        F.expr("concat('all of them ', repeat('some ', cast(id % 3 as int)), id % 7)").alias("content"),
+    )
+    pm.upsert_index(docs, folder, "a", searchable=True, buckets=2)
+    queries = spark.createDataFrame([(1, "all some"), (2, "3 of"), (3, "none"), (4, "them them")], "query_id int, query string")
+    found = pm.search_index(spark, folder, queries)
+    want = sorted(map(tuple, found.collect()))
+    assert len(want) == 180
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(query_id#\d+, filename", plan)
+    monkeypatch.setattr("pagemill.sources.index._ANSWERS", 7)
+    assert sorted(map(tuple, pm.search_index(spark, folder, queries).collect())) == want
