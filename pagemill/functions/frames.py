@@ -30,10 +30,3 @@ def group_blocks(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[t
         held.append(batch.iloc[starts[-1] :] if len(starts) else batch)
     if held:
         yield pd.concat(held, ignore_index=True), np.zeros(1, np.int64)
-
-
-def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Frames of whole groups from batches that are sorted by ``keys``; keys are not null."""
-    for frame, starts in group_blocks(batches, keys):
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(frame)], strict=True):
-            yield frame.iloc[a:b]

@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from pagemill.functions.fixed import LANGUAGE
-from pagemill.functions.frames import whole_groups
+from pagemill.functions.frames import group_blocks
 from pagemill.functions.storage import default_storage, resolver
 from pagemill.sources.documents import deal_out
 
@@ -269,22 +269,24 @@ def recognize_rasters(lines: DataFrame, engine: Callable[[], Any], lang: str = L
     The engine makes an image of them with ``image(lines)``. The lines of one page meet in one task, which makes one engine for all
     its pages.
     """
-    groups, columns = whole_groups, ["path", "page_no", "page_text", "ok", "error"]
+    blocks, columns = group_blocks, ["path", "page_no", "page_text", "ok", "error"]
 
     def recognize(batches):
         import pandas as pd
 
-        def row(reader, group):
-            key = (group["path"].iat[0], group["page_no"].iat[0])
+        def row(reader, path, page_no, lines):
             try:
-                return *key, reader.recognize(reader.image(group["v"].tolist()), lang, None), True, None
+                return path, page_no, reader.recognize(reader.image(lines), lang, None), True, None
             except Exception as e:
-                return *key, "", False, f"{type(e).__name__}: {e}"
+                return path, page_no, "", False, f"{type(e).__name__}: {e}"
 
         reader = engine()
         try:
-            for group in groups(batches, ["path", "page_no"]):
-                yield pd.DataFrame([row(reader, group)], columns=columns)
+            for frame, starts in blocks(batches, ["path", "page_no"]):
+                paths, numbers, lines = (frame[c].to_list() for c in ("path", "page_no", "v"))
+                starts = starts.tolist()
+                pages = zip(starts, [*starts[1:], len(lines)], strict=True)
+                yield pd.DataFrame([row(reader, paths[a], numbers[a], lines[a:b]) for a, b in pages], columns=columns)
         finally:
             getattr(reader, "close", lambda: None)()
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import pagemill as pm
-from pagemill.functions.frames import group_blocks, whole_groups
+from pagemill.functions.frames import group_blocks
 from pagemill.operators import shapes
 
 
@@ -149,4 +149,4 @@ def test_small_tiles_are_worked_on_together():
         groups = [n for f, starts in blocks for n in np.diff([*starts, len(f)]).tolist()]
         assert groups == [2, 1, 3, 1, 1]
     assert [len(starts) for _, starts in group_blocks(iter([frame]), ["a", "b"])] == [4, 1]
-    assert [len(g) for g in whole_groups(iter([frame.iloc[:0], frame]), ["a", "b"])] == [2, 1, 3, 1, 1]
+    assert [len(f) for f, _ in group_blocks(iter([frame.iloc[:0], frame]), ["a", "b"])] == [7, 1]
