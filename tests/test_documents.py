@@ -1,5 +1,6 @@
 """Scanning, extraction, assembling, classifying, writing and removing on small hand-made files."""
 
+import glob
 import hashlib
 import importlib
 import os
@@ -9,6 +10,7 @@ from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import pagemill as pm
@@ -85,6 +87,28 @@ def test_scan_reads_content_only_when_asked(spark, folder):
     assert "content" not in plan
 
 
+def test_scan_is_listed_by_tasks(spark, folder):
+    put(folder, {"a/One.PDF": "1", "b/c/two.pdf": "22", "a/empty.pdf": "", "_h/x.pdf": "3", "a/.y.pdf": "4", "k=v/z.pdf": "ü"})
+    found = pm.scan_documents(spark, folder, extension="pdf")
+    assert not [f for f in found.inputFiles() if f.lower().endswith("pdf")]
+    old = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
+    assert found.schema == old.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, old.collect()))
+    # the list is that of the call
+    put(folder, {"later.pdf": "5"})
+    assert found.count() == 3
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        pm.scan_documents(spark, f"{folder}/none")
+
+
+def test_files_are_handed_on_in_bounded_batches(spark, folder, monkeypatch):
+    monkeypatch.setattr("pagemill.sources.documents._READ_BYTES", 4)
+    texts = {f"{i}.pdf": str(i) * (i + 1) for i in range(9)}
+    put(folder, texts)
+    found = pm.decode_documents(pm.scan_documents(spark, folder)).coalesce(1)
+    assert {r.path.split("/")[-1]: r.text for r in found.collect()} == texts
+
+
 def test_union_of_scans_keeps_both(spark, folder):
     put(folder, {"x/a.pdf": "1", "y/b.pdf": "2", "y/c.txt": "3"})
     both = pm.union_sources(
@@ -743,6 +767,31 @@ def test_stream_handles_each_file_once(spark, folder):
     assert os.listdir(f"{folder}/in") == ["x.pdf"]
 
 
+def test_stream_holds_lists_and_no_files(spark, folder):
+    put(f"{folder}/in", {f"sub/{i}.pdf": "an apple" for i in range(5)})
+    for i in range(5):
+        os.utime(f"{folder}/in/sub/{i}.pdf", (1_700_000_000 + i, 1_700_000_000 + i))
+    seen = []
+
+    def extractor(files):
+        seen.append(sorted(names(files, f"{folder}/in")))
+        return pm.extract_text_pages(pm.decode_documents(files))
+
+    def run():
+        query = pm.ingest_stream(
+            spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", lambda batch: RUN, extractor, rules, max_files=2
+        )
+        query.awaitTermination()
+
+    run()
+    put(f"{folder}/in", {"late.pdf": "a pear"})
+    run()
+    run()
+    assert seen == [["sub/0.pdf", "sub/1.pdf"], ["sub/2.pdf", "sub/3.pdf"], ["sub/4.pdf"], ["late.pdf"]]
+    log = glob.glob(f"{folder}/checkpoint/sources/**/*", recursive=True)
+    assert log and not any(".pdf" in open(f, errors="replace").read() for f in log if os.path.isfile(f))
+
+
 def test_overlapping_folders_hold_each_document_once(spark, folder):
     put(folder, {"in/sub/a.pdf": "an apple\fmore"})
     roots = [f"{folder}/in", f"{folder}/in/sub"]
