@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from pagemill.functions.fixed import SOURCE_EXTENSION
-from pagemill.functions.storage import list_folders
+from pagemill.functions.storage import exists, list_folders
 from pagemill.operators.extract import complete_documents, failed_pages
 from pagemill.plans.ingest import Classifier, indexed_by, ingest_pages
 from pagemill.sinks.removal import remove_sources
 from pagemill.sinks.texts import write_texts
-from pagemill.sources.documents import scan_document_stream
+from pagemill.sources.documents import document_list_stream, list_new_documents, scan_document_stream, with_content
 
 # (path, modificationTime, length, content) to a page table
 Extractor = Callable[[DataFrame], DataFrame]
@@ -49,9 +49,18 @@ def ingest_stream(
     by the batch that follows, once theirs is committed, and those of the last batch by :func:`remove_ingested`. Only
     sources all of whose pages were read are deleted; :func:`failed_documents` lists the others. With ``text_dir`` each
     text is also written to a file, below it as the source is below ``root``.
+
+    With ``available_now`` the files are listed by tasks, into lists of ``max_files`` below ``checkpoint``, and the stream is over the lists,
+    so the driver holds no file's name. A stream that goes on watches ``root`` with Spark's source, which lists on
+    the driver; so does one whose checkpoint was begun with it.
     """
+    lists = f"{checkpoint}/lists"
+    by_lists = exists(spark, lists) or (available_now and not exists(spark, f"{checkpoint}/offsets"))
+    if by_lists and not available_now:
+        raise ValueError("the checkpoint was begun with available_now; a stream that goes on needs a new one")
 
-    def handle(files: DataFrame, batch: int) -> None:
+    def handle(found: DataFrame, batch: int) -> None:
+        files = with_content(found) if by_lists else found
         if remove and batch > 0:
             _remove_batch(files.sparkSession, out, _run_id(batch - 1))
         run_id = _run_id(batch)
@@ -59,9 +68,11 @@ def ingest_stream(
         pages = write_texts(extractor(files), f"{out}/pages", run_id)
         ingest_pages(pages, out, run_id, run_ts(batch), classifier, text_dir, root)
 
+    if by_lists:
+        list_new_documents(spark, root, lists, extension, max_files)
+    source = document_list_stream(spark, lists) if by_lists else scan_document_stream(spark, root, extension, max_files)
     writer = (
-        scan_document_stream(spark, root, extension, max_files)
-        .writeStream.foreachBatch(handle)
+        source.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
     )
     if available_now:
