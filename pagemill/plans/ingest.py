@@ -142,8 +142,8 @@ def ingest(
     """The batch job: scan a folder, read its pages, store texts, categories, index and archive, then drop sources.
 
     Sources are deleted only with ``remove``, only when all their pages were read, and only when the index holds their
-    record. What could not be read is in ``failed``. Page counts are stored; the number of page ranges, at
-    ``ranges_per_task``, gives the number of extraction tasks. Until sources are deleted a run may be
+    record. What could not be read is in ``failed``. Page counts are stored; the number of pages, at
+    ``ranges_per_task`` ranges of ``MAX_PAGES`` pages, gives the number of extraction tasks, however small ``max_pages`` is. Until sources are deleted a run may be
     repeated under its ``run_id`` and replaces what it wrote; afterwards its sources are no longer all there, so the
     same ``run_id`` is refused.
     """
@@ -155,8 +155,9 @@ def ingest(
     counts = write_texts(document_page_counts(files, engine, num_partitions), f"{out}/counts", run_id)
     batches = plan_page_batches(counts.select("path", "n_pages"), max_pages)
     if num_partitions is None:
-        n_ranges = counts.agg(F.sum(F.ceil(F.col("n_pages") / F.lit(max_pages)))).first()[0] or 0
-        num_partitions = max(spark.sparkContext.defaultParallelism, -(-int(n_ranges) // ranges_per_task))
+        n_pages = counts.agg(F.sum("n_pages")).first()[0] or 0
+        per_task = ranges_per_task * max(max_pages, MAX_PAGES)
+        num_partitions = max(spark.sparkContext.defaultParallelism, -(-n_pages // per_task))
     read = extract_pages(batches, engine, lang, num_partitions)
     pages = write_texts(read, f"{out}/pages", run_id)
     base = root if isinstance(root, str) else "/"

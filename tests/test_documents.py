@@ -810,6 +810,15 @@ def test_ranges_of_one_document_go_to_many_tasks(spark):
     assert tasks > 8
 
 
+def test_small_ranges_make_no_more_tasks(spark, folder, monkeypatch):
+    put(folder, {"in/a.pdf": "\f".join(["an apple"] * 400)})
+    module, asked = importlib.import_module("pagemill.plans.ingest"), []
+    extract = module.extract_pages
+    monkeypatch.setattr(module, "extract_pages", lambda *a: asked.append(a[-1]) or extract(*a))
+    result = pm.ingest(spark, f"{folder}/in", f"{folder}/out", "r", RUN, form_feed_engine(), rules, max_pages=1, ranges_per_task=1)
+    assert result.pages.count() == 400 and asked == [spark.sparkContext.defaultParallelism]
+
+
 def test_empty_folder(spark, folder):
     os.makedirs(f"{folder}/in")
     put(folder, {"in/readme.txt": "not a document"})
