@@ -56,26 +56,35 @@ def _opener(spark: SparkSession) -> Callable[[str, Any], Any]:
 
 
 def _batched() -> Callable[..., Any]:
-    """Rows to record batches of bounded size."""
+    """Rows to record batches of bounded size; a row holds a tuple for a struct."""
 
     def batched(rows, schema):
         import pyarrow as pa
 
-        def batch(columns):
-            arrays = [pa.array(values, field.type) for values, field in zip(columns, schema)]
-            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+        def column(values, kind):
+            if not pa.types.is_struct(kind):
+                return pa.array(values, kind)
+            missing = (None,) * kind.num_fields
+            parts = zip(*[missing if v is None else v for v in values])
+            fields = [kind.field(i) for i in range(kind.num_fields)]
+            arrays = [pa.array(p, f.type) for p, f in zip(parts, fields)]
+            return pa.StructArray.from_arrays(arrays, fields=fields, mask=pa.array([v is None for v in values]))
 
-        columns, n_chars = [[] for _ in schema], 0
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([column(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+
+        held, n_chars = [], 0
+        sized = [i for i, f in enumerate(schema) if pa.types.is_string(f.type) or pa.types.is_list(f.type)]
         for row in rows:
-            for values, value in zip(columns, row):
-                values.append(value)
-                if isinstance(value, (str, list)):
-                    n_chars += len(value)
-            if len(columns[0]) >= 2000 or n_chars >= 16_000_000:
-                yield batch(columns)
-                columns, n_chars = [[] for _ in schema], 0
-        if columns[0]:
-            yield batch(columns)
+            held.append(row)
+            for i in sized:
+                if row[i] is not None:
+                    n_chars += len(row[i])
+            if len(held) >= 2000 or n_chars >= 16_000_000:
+                yield batch(held)
+                held, n_chars = [], 0
+        if held:
+            yield batch(held)
 
     return batched
 
@@ -215,7 +224,7 @@ def recognize_words(
     def recognized(reader, path, page_no, image, rect):
         try:
             for n, (text, confidence, x, y, w, h) in enumerate(reader.words(image, lang, rect, level)):
-                yield path, page_no, n, text, confidence, {"x": x, "y": y, "w": w, "h": h}, True, None
+                yield path, page_no, n, text, confidence, (x, y, w, h), True, None
         except Exception as e:
             yield lost(path, page_no, f"{type(e).__name__}: {e}")
 
@@ -233,7 +242,7 @@ def segment_regions(
     def recognized(reader, path, page_no, image, rect):
         try:
             for n, (x, y, w, h) in enumerate(reader.regions(image, level)):
-                yield path, page_no, n, {"x": x, "y": y, "w": w, "h": h}, True, None
+                yield path, page_no, n, (x, y, w, h), True, None
         except Exception as e:
             yield lost(path, page_no, f"{type(e).__name__}: {e}")
 

@@ -202,6 +202,21 @@ def test_part_of_an_image(spark):
     assert [r.page_text for r in pages] == ["spa:bcd", "spa:hij"]
 
 
+def test_rows_with_boxes_become_batches_of_bounded_size():
+    import pyarrow as pa
+
+    from pagemill.operators.extract import _batched
+
+    box = pa.struct([("x", pa.int32()), ("y", pa.int32())])
+    schema = pa.schema([("text", pa.string()), ("box", box), ("n", pa.int32())])
+    rows = [("a", (1, 2), 1), (None, None, None), ("b" * 16_000_000, (3, None), 2), ("c", (5, 6), 3)]
+    found = list(_batched()(iter(rows), schema))
+    assert [b.num_rows for b in found] == [3, 1] and found[0].schema == schema
+    assert [r["box"] for b in found for r in b.to_pylist()] == [{"x": 1, "y": 2}, None, {"x": 3, "y": None}, {"x": 5, "y": 6}]
+    nothing = list(_batched()(iter([("a", None, 1)] * 2001), schema))
+    assert [b.num_rows for b in nothing] == [2000, 1] and nothing[0].column("box").null_count == 2000
+
+
 def test_engine_words_stop_at_an_error(spark):
     words = pm.recognize_words(one_range(spark, "one two unreadable three\ffour", 1, 2), form_feed_engine())
     rows = words.collect()
