@@ -42,8 +42,8 @@ BASE = 1.5
 BITS_PER_MARK = 10
 PROBES = 6
 #: Tokens that a task counts, and scores, at once.
-BLOCK_TOKENS = 3_000_000
-SCORED_TOKENS = 1_000_000
+BLOCK_TOKENS = 600_000
+SCORED_TOKENS = 250_000
 #: Tokens of the corpus for each segment of bigrams, words for each segment of words.
 SEGMENT_TOKENS = 2_000_000
 SEGMENT_WORDS = 200_000
