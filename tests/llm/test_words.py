@@ -305,3 +305,11 @@ def test_blocks_of_long_texts(monkeypatch):
         for u, w, k in zip(block.before, block.token, block.owner, strict=True):
             got.setdefault(int(k), []).append((block.words[u].decode(), block.words[w].decode()))
     assert got == {k: list(zip(["", *lm_tokens(t)], lm_tokens(t), strict=False)) for k, t in texts}
+
+
+def test_a_task_counts_bounded_blocks_of_tokens():
+    from pagemill.llm import language_model
+
+    found = list(language_model.blocks((k, "a b " * 50_000) for k in range(10)))
+    sizes = [len(block.token) for block in found]
+    assert sum(sizes) == 10 * 100_001 and max(sizes) <= 700_000
