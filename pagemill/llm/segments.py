@@ -8,7 +8,11 @@ Added special tokens hold no white space, so no cut falls inside one.
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakSet
 
 #: Python counts these as white space and Unicode's White_Space does not; texts that hold one are not cut.
 ODD = re.compile("[\x1c-\x1f]")
@@ -32,6 +36,18 @@ def words(text: str) -> list[str]:
     return text.split()
 
 
+def library_tokenizer(path: str):
+    """The tokenizers library's tokenizer of whole texts. It encodes in the task's own thread: a task has one core, and each
+    thread of the library's own takes memory and waits for work."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class Memo:
     """Results by piece; missing ones are computed by ``batch``, a function of a list of pieces.
 
@@ -42,6 +58,10 @@ class Memo:
         self.batch, self.entries, self.longest = batch, entries, longest
         self.young: dict = {}
         self.old: dict = {}
+        _MEMOS.add(self)
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
 
     def of(self, pieces: list[str]) -> list:
         """Results in order; ``batch`` never gives None. Those of pieces over ``longest`` characters are not kept."""
@@ -66,3 +86,17 @@ class Memo:
         if len(young) > self.entries:
             self.young, self.old = {}, young
         return results
+
+
+_MEMOS: WeakSet[Memo] = WeakSet()
+
+
+@contextmanager
+def task_memory() -> Iterator[None]:
+    """Around the work of a task: forgets all results at its end. Spark keeps a task's Python process for later tasks, and may hold
+    more of them than run at once; each would keep the results it has seen, those of other operators included."""
+    try:
+        yield
+    finally:
+        for memo in list(_MEMOS):
+            memo.clear()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import Aside, stored
-from pagemill.llm.segments import ODD, Memo, segments
+from pagemill.llm.segments import ODD, Memo, library_tokenizer, segments, task_memory
 
 CHUNK_CHARS = 8_000
 OVERLAP = 256
@@ -35,14 +35,7 @@ WIDEN = 8
 LIMIT = 512
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+_tokenizer = lru_cache(maxsize=2)(library_tokenizer)
 
 
 @lru_cache(maxsize=2)
@@ -139,13 +132,14 @@ def _long_counts(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataF
     )
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for key, n, k, low, text in batch.itertuples(index=False):
-                last = (k + 1) * chunk >= n
-                cuts, before = encode_chunk(text, 0 if k == 0 else -1, n - low if last else -1, _zone(k, chunk, overlap, low), path)
-                out.append((key, k, low, [low + c for c in cuts], before))
-            yield pd.DataFrame(out, columns=["key", "k", "low", "cuts", "before"])
+        with task_memory():
+            for batch in batches:
+                out = []
+                for key, n, k, low, text in batch.itertuples(index=False):
+                    last = (k + 1) * chunk >= n
+                    cuts, before = encode_chunk(text, 0 if k == 0 else -1, n - low if last else -1, _zone(k, chunk, overlap, low), path)
+                    out.append((key, k, low, [low + c for c in cuts], before))
+                yield pd.DataFrame(out, columns=["key", "k", "low", "cuts", "before"])
 
     encoded = pieces.mapInPandas(encode, "key string, k int, low long, cuts array<long>, before array<long>")
 
@@ -174,8 +168,9 @@ def count_tokens(
 
     @F.pandas_udf("n long, splices int")
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([count_text(t, path, chunk_chars, overlap) for t in batch], columns=["n", "splices"])
+        with task_memory():
+            for batch in batches:
+                yield pd.DataFrame([count_text(t, path, chunk_chars, overlap) for t in batch], columns=["n", "splices"])
 
     aside = Aside(docs, whole=F.coalesce(F.col(text), F.lit("")))
     is_long = F.char_length("whole") > spread_chars
