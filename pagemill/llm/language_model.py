@@ -48,6 +48,8 @@ SCORED_TOKENS = 250_000
 SEGMENT_TOKENS = 2_000_000
 SEGMENT_WORDS = 200_000
 FILTER_BYTES = 192 << 20
+#: Counts of each filter that a task remembers, a power of two; 16 bytes each.
+REMEMBERED = 1 << 20
 HOT_WORDS = 200_000
 HOT_BYTES = 64
 END = b""
@@ -61,9 +63,12 @@ _COUNT, _FOLLOWERS = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bits of 64-bit numbers mixed (the finalizer of SplitMix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 #: Least count of each level, and the count that a level stands for: the middle of its range.
@@ -76,6 +81,25 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(_LEAST, counts, side="right")
 
 
+def _mark(level: int, probe: int) -> np.uint64:
+    return np.uint64((level * PROBES + probe) * int(_GOLD) % (1 << 64))
+
+
+def _levels_found(bits: np.ndarray, keys: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Levels of keys, each in its filter of ``sizes`` bits from bit ``starts`` on."""
+    found = np.zeros(len(keys), np.int64)
+    there = np.arange(len(keys))
+    level = 1
+    while len(there) and level < len(_MIDDLE):
+        for probe in range(PROBES):
+            at = starts + mixed(keys + _mark(level, probe)) % sizes
+            kept = bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+            there, keys, sizes, starts = there[kept], keys[kept], sizes[kept], starts[kept]
+        found[there] = level
+        level += 1
+    return found
+
+
 class LogBloom:
     """Counts by key. ``bits``: the filter as bytes; its number of bits is a multiple of eight."""
 
@@ -99,39 +123,45 @@ class LogBloom:
         return made
 
     def _at(self, keys: np.ndarray, level: int, probe: int) -> np.ndarray:
-        mark = np.uint64((level * PROBES + probe) * int(_GOLD) % (1 << 64))
-        return mixed(keys + mark) % self.size
+        return mixed(keys + _mark(level, probe)) % self.size
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """The count that each key's level stands for; 0 for keys that are not there."""
-        found = np.zeros(len(keys), np.int64)
-        there = np.arange(len(keys))
-        level = 1
-        while len(there) and level < len(_MIDDLE):
-            for probe in range(PROBES):
-                at = self._at(keys[there], level, probe)
-                there = there[self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1]
-            found[there] = level
-            level += 1
-        return _MIDDLE[found]
+        sizes = np.full(len(keys), self.size)
+        return _MIDDLE[_levels_found(self.bits, keys, sizes, np.zeros(len(keys), np.uint64))]
 
 
 class Segmented:
-    """A filter in segments by the key's remainder."""
+    """A filter in segments by the key's remainder. ``bits``: the segments' bytes one after another; ``sizes``: the bytes of each.
 
-    def __init__(self, segments: list[bytes]):
-        self.parts = [LogBloom(np.frombuffer(s, np.uint8)) for s in segments]
+    All segments are probed at once, so that a lookup costs the same for any number of them."""
+
+    def __init__(self, bits: bytes, sizes: np.ndarray):
+        self.bits = np.frombuffer(bits, np.uint8)
+        self.sizes = 8 * np.asarray(sizes, np.uint64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def counts(self, keys: np.ndarray, within: np.ndarray | None = None) -> np.ndarray:
         """Counts by key; ``within``: the keys that the segments hold in place of ``keys``."""
-        of = (keys % np.uint64(len(self.parts))).astype(np.int64)
-        order = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[order], np.arange(len(self.parts) + 1))
-        inside = (keys if within is None else within)[order]
-        out = np.empty(len(keys))
-        for part, a, b in zip(self.parts, ends[:-1], ends[1:], strict=True):
-            if a < b:
-                out[order[a:b]] = part.counts(inside[a:b])
+        of = (keys % np.uint64(len(self.sizes))).astype(np.int64)
+        return _MIDDLE[_levels_found(self.bits, keys if within is None else within, self.sizes[of], self.starts[of])]
+
+
+class Recalled:
+    """Counts of a filter, and a memory of those it gave last: ``slots`` places, each for the last key asked for of those that share
+    it. Words and pairs that return in block after block have the highest counts, so the most marks, and are looked up once."""
+
+    def __init__(self, filter: Segmented, slots: int = REMEMBERED):
+        self.filter, self.mask = filter, np.uint64(slots - 1)
+        self.keys = np.arange(slots, dtype=np.uint64) ^ np.uint64(1)  # keys of other places, so none is found
+        self.held = np.zeros(slots)
+
+    def counts(self, keys: np.ndarray, within: np.ndarray | None = None) -> np.ndarray:
+        at = (keys & self.mask).astype(np.int64)
+        out = self.held[at]
+        new = np.flatnonzero(self.keys[at] != keys)
+        out[new] = self.filter.counts(keys[new], None if within is None else within[new])
+        self.keys[at[new]], self.held[at[new]] = keys[new], out[new]  # of equal places the last key stays, in both
         return out
 
 
@@ -365,10 +395,17 @@ class Probabilities:
         return np.log10(np.minimum(1.0, np.where(known & (followers > 0), after, alone)))
 
 
-def _segments(filters: DataFrame, n: int) -> list[bytes]:
-    """The filter's segments on the driver; only for filters within the bound."""
-    found = {r["segment"]: bytes(r["bits"]) for r in filters.toLocalIterator()}
-    return [found.get(k, bytes(8)) for k in range(n)]
+def _segments(filters: DataFrame, n: int) -> tuple[bytearray, np.ndarray]:
+    """The filter on the driver, its segments one after another, and the bytes of each; only for filters within the bound."""
+    sizes = np.full(n, 8)
+    for r in filters.select("segment", F.octet_length("bits").alias("size")).collect():
+        sizes[r["segment"]] = r["size"]
+    ends = np.cumsum(sizes)
+    data = bytearray(int(ends[-1]))
+    for r in filters.toLocalIterator():
+        end = int(ends[r["segment"]])
+        data[end - len(r["bits"]) : end] = r["bits"]
+    return data, sizes
 
 
 _SCORED = (
@@ -433,7 +470,7 @@ def score(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         exact = hot.value
-        of_bigrams, of_words = map(Segmented, filters.value) if fits else (None, None)
+        of_bigrams, of_words = (Recalled(Segmented(*f)) for f in filters.value) if fits else (None, None)
 
         def logs(block: Block, pairs: np.ndarray, first: np.ndarray) -> np.ndarray:
             """log10 probabilities of the block's different bigrams."""

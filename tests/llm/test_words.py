@@ -313,3 +313,43 @@ def test_a_task_counts_bounded_blocks_of_tokens():
     found = list(language_model.blocks((k, "a b " * 50_000) for k in range(10)))
     sizes = [len(block.token) for block in found]
     assert sum(sizes) == 10 * 100_001 and max(sizes) <= 700_000
+
+
+def _filter_of(keys, counts, n):
+    parts = [language_model.LogBloom.of(keys[keys % np.uint64(n) == k], counts[keys % np.uint64(n) == k]).bits for k in range(n)]
+    return parts, language_model.Segmented(b"".join(p.tobytes() for p in parts), [len(p) for p in parts])
+
+
+def test_segments_are_probed_together(monkeypatch):
+    random_ = np.random.default_rng(5)
+    keys = random_.integers(0, 1 << 63, 5_000).astype(np.uint64)
+    counts = random_.integers(1, 200, 5_000)
+    asked = np.concatenate([keys, random_.integers(0, 1 << 63, 5_000).astype(np.uint64)])
+    steps, mixed = [], language_model.mixed
+    monkeypatch.setattr(language_model, "mixed", lambda x: steps.append(len(x)) or mixed(x))
+    passes = []
+    for n in (1, 64):
+        parts, whole = _filter_of(keys, counts, n)
+        of = asked % np.uint64(n)
+        want = np.empty(len(asked))
+        for k, bits in enumerate(parts):
+            want[of == k] = language_model.LogBloom(bits).counts(asked[of == k])
+        steps.clear()
+        assert (whole.counts(asked) == want).all()
+        passes.append(len(steps))
+    assert passes[1] <= 2 * passes[0]  # not once for each segment
+
+
+def test_remembered_counts_are_those_of_the_filter():
+    random_ = np.random.default_rng(6)
+    keys = np.concatenate([random_.integers(0, 1 << 63, 3_000), [0, 1, 2]]).astype(np.uint64)
+    _, whole = _filter_of(keys, random_.integers(1, 200, len(keys)), 7)
+    asked = []
+    counts = whole.counts
+    whole.counts = lambda k, within=None: asked.append(len(k)) or counts(k, within)
+    recalled = language_model.Recalled(whole, 1 << 8)  # many keys share a place
+    for _ in range(4):
+        some = np.append(np.unique(random_.choice(keys, 100)), np.uint64(3))
+        assert (recalled.counts(some) == counts(some)).all()
+        assert (recalled.counts(some, some) == counts(some, some)).all()
+    assert asked[1] < asked[0] / 2  # what was asked for last is not looked up again
