@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.bpe import PRE_TOKEN, byte_alphabet
 from pagemill.llm.common import stored
-from pagemill.llm.segments import Memo
+from pagemill.llm.segments import Memo, library_tokenizer, task_memory
 
 CHUNK_ROWS = 1 << 15
 CHUNK_LINKS = 2_000_000
@@ -87,12 +87,9 @@ def align(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) ->
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
+        self.a = library_tokenizer(path_a)
         self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         alphabet = byte_alphabet()
         with open(path_a, encoding="utf-8") as file:
             spec = json.load(file)
@@ -323,15 +320,16 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id: str, text: str, chunk_
             yield from zip(names, aligned.of_texts(texts), strict=True)
 
         none = (0, 0, 0, "", np.zeros(0, np.int64))
-        for name, found in encoded():
-            n_a, n_b, n_groups, digest, codes = found or none
-            rows.append((chunk, held.rows, name, n_a, n_b, n_groups, len(codes), digest))
-            held.add(codes)
-            if held.rows >= chunk_rows or held.links >= chunk_links:
+        with task_memory():
+            for name, found in encoded():
+                n_a, n_b, n_groups, digest, codes = found or none
+                rows.append((chunk, held.rows, name, n_a, n_b, n_groups, len(codes), digest))
+                held.add(codes)
+                if held.rows >= chunk_rows or held.links >= chunk_links:
+                    yield from ended()
+                    chunk, held, rows = chunk + 1, Postings(), []
+            if rows:
                 yield from ended()
-                chunk, held, rows = chunk + 1, Postings(), []
-        if rows:
-            yield from ended()
 
     given = docs.select(F.col(id).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return given.mapInPandas(run, f"{_ROWS}, {_LISTS}")
