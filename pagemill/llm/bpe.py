@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import Aside
-from pagemill.llm.segments import Memo, segments
+from pagemill.llm.segments import Memo, segments, task_memory
 
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PAIR_ENTRIES = 1_000_000
@@ -210,8 +210,9 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([codec(path).encode(t or "").astype(np.int32) for t in batch], dtype=object)
+        with task_memory():
+            for batch in batches:
+                yield pd.Series([codec(path).encode(t or "").astype(np.int32) for t in batch], dtype=object)
 
     return docs.withColumn(ids, run(F.coalesce(F.col(text), F.lit(""))))
 
@@ -235,17 +236,18 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bpe, rows = codec(path), []
-            for t in batch:
-                ids = bpe.encode(t)
-                decimal = ",".join(map(bpe.decimal.__getitem__, ids.tolist()))
-                rows.append((
-                    len(ids),
-                    hashlib.sha256(decimal.encode()).hexdigest(),
-                    hashlib.sha256(bpe.decode(ids).encode()).hexdigest(),
-                ))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        with task_memory():
+            for batch in batches:
+                bpe, rows = codec(path), []
+                for t in batch:
+                    ids = bpe.encode(t)
+                    decimal = ",".join(map(bpe.decimal.__getitem__, ids.tolist()))
+                    rows.append((
+                        len(ids),
+                        hashlib.sha256(decimal.encode()).hexdigest(),
+                        hashlib.sha256(bpe.decode(ids).encode()).hexdigest(),
+                    ))
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     aside = Aside(docs, made=run(F.coalesce(F.col(text), F.lit(""))))
     return aside.back(aside.rows, **{c: F.col(f"made.{c}") for c in ("n_tokens", "ids_sha256", "decoded_sha256")})

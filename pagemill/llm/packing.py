@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.bpe import byte_alphabet
 from pagemill.llm.common import stored
-from pagemill.llm.segments import Memo, words
+from pagemill.llm.segments import Memo, library_tokenizer, task_memory, words
 
 CAPACITY = 4096
 END_TOKEN = 1
@@ -57,11 +57,7 @@ def tokenizer_parts(word: str) -> list[str] | None:
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> Memo:
     """Ids of words, from the ids of their parts, which many words share."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    tokenizer = library_tokenizer(path)
     merge = tokenizer.model.tokenize
     shown = {byte: character for character, byte in byte_alphabet().items()}
 
@@ -96,17 +92,18 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end:
 
     @F.pandas_udf(kind)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            rows = []
-            for t in batch:
-                data = document_ids(t, path) + tail
-                parts = []
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    one = {"piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part)}
-                    parts.append(one | {"ids": part} if with_ids else one)
-                rows.append(parts)
-            yield pd.Series(rows)
+        with task_memory():
+            for batch in batches:
+                rows = []
+                for t in batch:
+                    data = document_ids(t, path) + tail
+                    parts = []
+                    for k, at in enumerate(range(0, len(data), 4 * capacity)):
+                        part = data[at : at + 4 * capacity]
+                        one = {"piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part)}
+                        parts.append(one | {"ids": part} if with_ids else one)
+                    rows.append(parts)
+                yield pd.Series(rows)
 
     return docs.select(F.col(id), F.explode(cut(F.coalesce(F.col(text), F.lit("")))).alias("p")).select(id, "p.*")
 

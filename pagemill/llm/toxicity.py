@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import Aside, stored
-from pagemill.llm.segments import Memo
+from pagemill.llm.segments import Memo, task_memory
 
 FOLDS = 5
 HELD_OUT = 0
@@ -192,8 +192,9 @@ def featured(docs: DataFrame, lexicons: dict[int, dict[str, float]], fold: str |
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         known = {k: Lexicon(w) for k, w in shared.value.items()}
-        for texts, folds in batches:
-            yield pd.Series([known[k].features(t) for t, k in zip(texts, folds, strict=True)], dtype=object)
+        with task_memory():
+            for texts, folds in batches:
+                yield pd.Series([known[k].features(t) for t, k in zip(texts, folds, strict=True)], dtype=object)
 
     return docs.withColumn("_features", run(F.coalesce(F.col(text), F.lit("")), F.col(fold) if fold else F.lit(0)))
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from helpers import PROSE, no_documents, odd_documents, with_clash, write_tables
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from pagemill.llm import bpe, packing, queries, token_counts
+from pagemill.llm import alignment, bpe, packing, queries, token_counts, toxicity
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -208,3 +209,43 @@ def test_segments_join_to_the_text(text):
     from pagemill.llm.segments import segments
 
     assert "".join(segments(text)) == text
+
+
+def _kept_by_workers(spark):
+    """Results that the Python processes of a session hold between tasks, and whether the library may use threads in them."""
+
+    def look(batches):
+        import gc
+        import os
+
+        from pagemill.llm.segments import Memo
+
+        for _ in batches:
+            pass
+        kept = sum(len(m.young) + len(m.old) for m in gc.get_objects() if type(m) is Memo)
+        yield pd.DataFrame({"kept": [kept], "threads": [os.environ.get("TOKENIZERS_PARALLELISM", "")]})
+
+    return spark.range(0, 64, 1, 64).mapInPandas(look, "kept long, threads string").collect()
+
+
+@pytest.mark.parametrize(
+    "work",
+    [
+        lambda docs: token_counts.count_tokens(docs, BYTE),
+        lambda docs: token_counts.count_tokens(docs, BYTE, spread_chars=100),
+        lambda docs: packing.pack(docs, WORD),
+        lambda docs: bpe.round_trip(docs, BYTE),
+        lambda docs: bpe.encode_documents(docs, BYTE),
+        lambda docs: alignment.aligned(docs, BYTE, public_tokenizers.path("piece_bpe_32k.model")),
+        lambda docs: toxicity.featured(docs, {0: {"boats": 1.0}}),
+    ],
+    ids=["counts", "long counts", "packing", "round trip", "encoding", "alignment", "toxicity"],
+)
+def test_workers_keep_no_results_between_tasks(spark, work):
+    work(odd_documents(spark).repartition(8)).collect()
+    assert {r["kept"] for r in _kept_by_workers(spark)} == {0}
+
+
+def test_tasks_encode_in_their_own_thread(spark):
+    token_counts.count_tokens(odd_documents(spark).repartition(8), BYTE).collect()
+    assert "false" in {r["threads"] for r in _kept_by_workers(spark)}
