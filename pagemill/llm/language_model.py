@@ -10,8 +10,9 @@ The probability of a word ``w`` after ``u`` is ``max(c(uw) - D, 0) / c(u) + D f(
 ``D = n1 / (n1 + 2 n2)`` from the numbers of bigrams that occur once and twice, and ``p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))``; all counts
 here are those that the filter gives. A text begins and ends with the end token.
 
-The filters grow with the corpus. Up to ``FILTER_BYTES`` they are broadcast, and a text is scored in one pass. Larger ones
-stay in their segments: the different keys of the texts are sent to them, and the counts joined back, with the same results.
+The filters grow with the corpus. Up to ``FILTER_BYTES`` a task reads them from where they are stored, holds them until it ends, and scores
+a text in one pass. Larger ones, and those on storage that pyarrow does not know, stay in their segments: the different keys of the texts are sent
+to them, and the counts joined back, with the same results.
 
 The base score uses exact counts: those of the ``HOT_WORDS`` most frequent words (of up to ``HOT_BYTES`` bytes) are broadcast, the others,
 of which each is rare, are joined by word.
@@ -28,12 +29,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.storage import default_storage, resolver
 from pagemill.llm.common import stored
 
 FOLDS = 10
@@ -136,7 +139,7 @@ class Segmented:
 
     All segments are probed at once, so that a lookup costs the same for any number of them."""
 
-    def __init__(self, bits: bytes, sizes: np.ndarray):
+    def __init__(self, bits: bytes | np.ndarray, sizes: np.ndarray):
         self.bits = np.frombuffer(bits, np.uint8)
         self.sizes = 8 * np.asarray(sizes, np.uint64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -395,17 +398,42 @@ class Probabilities:
         return np.log10(np.minimum(1.0, np.where(known & (followers > 0), after, alone)))
 
 
-def _segments(filters: DataFrame, n: int) -> tuple[bytearray, np.ndarray]:
-    """The filter on the driver, its segments one after another, and the bytes of each; only for filters within the bound."""
+def _sizes(filters: DataFrame, n: int) -> np.ndarray:
+    """The bytes of each segment of a filter."""
     sizes = np.full(n, 8)
     for r in filters.select("segment", F.octet_length("bits").alias("size")).collect():
         sizes[r["segment"]] = r["size"]
+    return sizes
+
+
+def _files(filters: DataFrame) -> list[str]:
+    return [unquote(f) for f in filters.inputFiles()]
+
+
+def _reachable(files: list[str], storage: str) -> bool:
+    """Whether tasks can open the files themselves."""
+    try:
+        resolve = resolver(storage)
+        return all(system.get_file_info(place).is_file for system, place in map(resolve, files[:1]))
+    except Exception:  # a scheme that pyarrow does not know, or whose library is missing
+        return False
+
+
+def _read(files: list[str], sizes: np.ndarray, storage: str) -> Segmented:
+    """A stored filter in a task. Broadcast, it would stay in all Python processes of an executor, of which there are more than tasks."""
+    import pyarrow.parquet as pq
+
     ends = np.cumsum(sizes)
-    data = bytearray(int(ends[-1]))
-    for r in filters.toLocalIterator():
-        end = int(ends[r["segment"]])
-        data[end - len(r["bits"]) : end] = r["bits"]
-    return data, sizes
+    data, resolve = np.zeros(int(ends[-1]), np.uint8), resolver(storage)
+    for name in files:
+        system, place = resolve(name)
+        with system.open_input_file(place) as file:
+            for batch in pq.ParquetFile(file).iter_batches(1, columns=["segment", "bits"], use_threads=False):
+                for segment, bits in zip(batch["segment"].to_pylist(), batch["bits"], strict=True):
+                    if bits.is_valid:
+                        end = int(ends[segment])
+                        data[end - len(bits.as_buffer()) : end] = np.frombuffer(bits.as_buffer(), np.uint8)
+    return Segmented(data, sizes)
 
 
 _SCORED = (
@@ -460,17 +488,18 @@ def score(
 ) -> DataFrame:
     """``(<id>, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row per row of ``docs``."""
     context = docs.sparkSession.sparkContext
-    fits = model.filter_bytes <= filter_bytes
+    storage, stored_filters = default_storage(docs.sparkSession), []
+    if fits := model.filter_bytes <= filter_bytes:
+        parts = ((model.of_bigrams, model.bigram_segments), (model.of_words, model.word_segments))
+        stored_filters = [(_files(filters), _sizes(filters, n)) for filters, n in parts]
+        fits = all(_reachable(files, storage) for files, _ in stored_filters)
     frequent = model.words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.col("n").desc(), "word").limit(hot_words)
     hot = context.broadcast({r["word"].encode(): r["n"] for r in frequent.collect()})  # hot_words words of HOT_BYTES bytes at most
-    filters = context.broadcast(
-        (_segments(model.of_bigrams, model.bigram_segments), _segments(model.of_words, model.word_segments)) if fits else None
-    )
     probabilities, n_bigrams = Probabilities(model), model.bigram_segments
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         exact = hot.value
-        of_bigrams, of_words = (Recalled(Segmented(*f)) for f in filters.value) if fits else (None, None)
+        of_bigrams, of_words = None, None
 
         def logs(block: Block, pairs: np.ndarray, first: np.ndarray) -> np.ndarray:
             """log10 probabilities of the block's different bigrams."""
@@ -479,6 +508,8 @@ def score(
             return probabilities.logs(of_bigrams.counts(pairs, bigram_key(pairs, n_bigrams)), words[u], tags[u], words[w])
 
         for batch in batches:
+            if fits and of_bigrams is None:
+                of_bigrams, of_words = (Recalled(_read(*f, storage)) for f in stored_filters)
             n = len(batch)
             n_tokens, hot_known, hot_sum, total = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             lists: dict[str, list[list]] = {c: [[] for _ in range(n)] for c in ("rare", "times", *_TERMS, "counts")}

@@ -353,3 +353,19 @@ def test_remembered_counts_are_those_of_the_filter():
         assert (recalled.counts(some) == counts(some)).all()
         assert (recalled.counts(some, some) == counts(some, some)).all()
     assert asked[1] < asked[0] / 2  # what was asked for last is not looked up again
+
+
+def test_filters_are_read_by_tasks_and_not_broadcast(spark, monkeypatch):
+    """Neither the driver nor idle Python processes hold a filter; on storage that tasks cannot open the filters stay where they are."""
+    from pyspark import SparkContext
+
+    docs = spark.createDataFrame([(k, f"{PROSE if k % 3 else OTHER} tail{k % 7}") for k in range(60)], "doc_id long, text string")
+    model = language_model.train(docs, segment_tokens=500, segment_words=20)
+    assert model.bigram_segments > 3 and model.word_segments > 1
+    sent, broadcast = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value) or broadcast(self, value))
+    near = lm_rows(language_model.score(docs, model))
+    assert len(sent) == 1 and isinstance(sent[0], dict)  # the frequent words
+    monkeypatch.setattr(language_model, "_files", lambda filters: ["unknown://store/part-0"])
+    far = lm_rows(language_model.score(docs, model))
+    assert [r[:5] for r in near] == [r[:5] for r in far] and np.allclose([r[5:] for r in near], [r[5:] for r in far], rtol=1e-9)
