@@ -33,6 +33,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +59,8 @@ HOT_BYTES = 64
 END = b""
 _TEXT_BYTES = 1 << 22
 _BLANK = re.compile(rb"[\t-\r ]")
+#: Whether a byte belongs to a word.
+_INK = np.array([not _BLANK.fullmatch(bytes([b])) for b in range(256)])
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Words' hashes are told apart from their followers' and from one another's by these.
@@ -91,14 +94,16 @@ def _mark(level: int, probe: int) -> np.uint64:
 def _levels_found(bits: np.ndarray, keys: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Levels of keys, each in its filter of ``sizes`` bits from bit ``starts`` on."""
     found = np.zeros(len(keys), np.int64)
-    there = np.arange(len(keys))
+    there = None  # all of them
     level = 1
-    while len(there) and level < len(_MIDDLE):
+    while len(keys) and level < len(_MIDDLE):
         for probe in range(PROBES):
             at = starts + mixed(keys + _mark(level, probe)) % sizes
-            kept = bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
-            there, keys, sizes, starts = there[kept], keys[kept], sizes[kept], starts[kept]
-        found[there] = level
+            kept = np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+            if len(kept) < len(keys):
+                there = kept if there is None else there[kept]
+                keys, sizes, starts = keys[kept], sizes[kept], starts[kept]
+        found[slice(None) if there is None else there] = level
         level += 1
     return found
 
@@ -168,16 +173,22 @@ class Recalled:
         return out
 
 
-def word_lists(text: str) -> Iterator[list[bytes]]:
-    """The tokens of a text in lists of bounded size; the last one ends with the end token."""
+def _pieces(text: str) -> Iterator[tuple[bytes, bool]]:
+    """A lower-cased text in pieces of bounded size, cut at blanks where there are any, and whether it is the last one."""
     data, start = text.encode(), 0
     while len(data) - start > _TEXT_BYTES:
         blank = _BLANK.search(data, start + _TEXT_BYTES)
         if not blank:
             break
-        yield data[start : blank.start()].lower().split()
+        yield data[start : blank.start()].lower(), False
         start = blank.start()
-    yield [*data[start:].lower().split(), END]
+    yield data[start:].lower(), True
+
+
+def word_lists(text: str) -> Iterator[list[bytes]]:
+    """The tokens of a text in lists of bounded size; the last one ends with the end token."""
+    for piece, last in _pieces(text):
+        yield piece.split() + [END] * last
 
 
 class Block(NamedTuple):
@@ -193,41 +204,49 @@ class Block(NamedTuple):
         return mixed(self.hashes[self.before] * _GOLD + self.hashes[self.token])
 
 
-class _Index(dict):
-    """Numbers of words in order of their first use."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+def _objects(words: pa.LargeBinaryArray) -> list[bytes]:
+    """What ``to_pylist`` gives, without an Arrow value for each; ``words`` are whole, so their first offset is 0."""
+    _, places, values = words.buffers()
+    edges, data = np.frombuffer(places, np.int64, len(words) + 1).tolist(), values.to_pybytes() if values else b""
+    return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def blocks(texts: Iterator[tuple[int, str]], tokens: int = BLOCK_TOKENS) -> Iterator[Block]:
-    """Blocks of about so many tokens of ``(number, text)``; a text may go on in the next block."""
+    """Blocks of about so many tokens of ``(number, text)``; a text may go on in the next block.
+
+    Words are found by their edges and numbered by Arrow in order of their first use, so that a token is never an object of its own."""
     from xxhash import xxh64_intdigest
 
-    index, parts, owners, before, size = _Index(), [], [], [], 0
+    inks, lengths, owners, size = [], [], [], 0  # each part begins with the word before it
 
     def block() -> Block:
-        words = list(index)
-        token = np.concatenate(parts)
-        sizes = [len(x) for x in parts]
-        starts = np.cumsum([0, *sizes[:-1]])
-        last = np.concatenate([token[:1], token[:-1]])
-        last[starts] = before
-        return Block(words, np.array([xxh64_intdigest(w) for w in words], np.uint64), token, last, np.repeat(owners, sizes))
+        ends = np.cumsum(np.concatenate([[0], *lengths]), dtype=np.int64)
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(inks))]
+        encoded = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, buffers).dictionary_encode()
+        numbers, words = encoded.indices.to_numpy(), _objects(encoded.dictionary)
+        sizes = np.array([len(x) for x in lengths])
+        at = np.delete(np.arange(len(numbers)), np.cumsum(sizes) - sizes)
+        hashes = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+        return Block(words, hashes, numbers[at], numbers[at - 1], np.repeat(owners, sizes - 1))
 
     for number, text in texts:
-        last = END
-        for words in word_lists(text):
-            if words:
-                before.append(index[last])
-                parts.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words)))
+        before = END
+        for piece, last in _pieces(text):
+            raw = np.frombuffer(piece, np.uint8)
+            ink = _INK[raw]
+            around = np.concatenate([[False], ink, [False]])
+            edges = np.flatnonzero(around[1:] != around[:-1])
+            starts, ends = edges[::2], edges[1::2]
+            if n := len(starts) + last:
+                inks += [np.frombuffer(before, np.uint8), raw[ink]]
+                lengths.append(np.concatenate([[len(before)], ends - starts, [len(END)] * last]).astype(np.int64))
                 owners.append(number)
-                size += len(words)
-                last = words[-1]
+                size += n
+            if not last and len(starts):
+                before = piece[starts[-1] : ends[-1]]
             if size >= tokens:
                 yield block()
-                index, parts, owners, before, size = _Index(), [], [], [], 0
+                inks, lengths, owners, size = [], [], [], 0
     if size:
         yield block()
 

@@ -369,3 +369,15 @@ def test_filters_are_read_by_tasks_and_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(language_model, "_files", lambda filters: ["unknown://store/part-0"])
     far = lm_rows(language_model.score(docs, model))
     assert [r[:5] for r in near] == [r[:5] for r in far] and np.allclose([r[5:] for r in near], [r[5:] for r in far], rtol=1e-9)
+
+
+def test_blocks_number_words_in_order_of_use():
+    """Any blanks, texts without words, words of other scripts: tokens as ``bytes.split`` finds them, numbered from the end token on."""
+    texts = ["", " \t\n\x0b\x0c\r ", "A b\x1ca  b", "  Straße STRASSE 世界 A", "one\n\none", "\x00 \x00"]
+    tokens = [[*t.encode().lower().split(), b""] for t in texts]
+    (block,) = language_model.blocks(enumerate(texts))
+    assert block.words == list(dict.fromkeys(w for of in tokens for w in [b"", *of]))
+    assert [block.words[k] for k in block.token] == [w for of in tokens for w in of]
+    assert [block.words[k] for k in block.before] == [w for of in tokens for w in [b"", *of[:-1]]]
+    assert block.owner.tolist() == [k for k, of in enumerate(tokens) for _ in of]
+    assert list(language_model.blocks(iter([]))) == []
