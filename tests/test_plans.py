@@ -134,3 +134,22 @@ def test_pandas_classifier_runs_once(stored):
     classified = pm.classify_udf(docs, lambda texts: texts.str.slice(0, 1))
     plan = plan_of(pm.drop_blank(classified, "classification"))
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_symbols_are_made_without_lambdas(spark):
+    pages = spark.createDataFrame([("a", 1, "x")], "path string, page_no int, page_text string")
+    symbols = pm.extract_words(pages, "symbol").select("path", "page_no", "line_no", "text", "box")
+    assert "lambda" not in symbols._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_symbols_have_their_places_and_numbers(spark):
+    texts = ["ab  c\td\n\n  \n e\U0001f600é \r\f z ", " \t", "", None, "x" * 3000 + " y"]
+    pages = spark.createDataFrame([("a", k, t) for k, t in enumerate(texts)], "path string, page_no int, page_text string")
+    want = []
+    for k, t in enumerate(texts):
+        for y, line in enumerate((t or "").split("\n")):
+            inked = [(x, c) for x, c in enumerate(line) if c not in " \t\r\f"]
+            want += [("a", k, y, n, c, 100.0, (x, y, 1, 1)) for n, (x, c) in enumerate(inked)]
+    got = pm.extract_words(pages, "symbol")
+    assert got.columns == ["path", "page_no", "line_no", "word_no", "text", "confidence", "box"]
+    assert sorted((*r[:6], tuple(r["box"])) for r in got.collect()) == sorted(want)
