@@ -153,3 +153,25 @@ def test_symbols_have_their_places_and_numbers(spark):
     got = pm.extract_words(pages, "symbol")
     assert got.columns == ["path", "page_no", "line_no", "word_no", "text", "confidence", "box"]
     assert sorted((*r[:6], tuple(r["box"])) for r in got.collect()) == sorted(want)
+
+
+def test_numbered_rows_are_not_shuffled_again_for_few_later_spans(spark):
+    """Only the rows of spans are many; page 0 has lines in a second span."""
+    line = F.when(F.col("id") % 1000 == 0, F.col("id") * 5).otherwise(F.col("id") % 7)
+    words = spark.range(20_000).select(
+        F.lit("a").alias("path"), (F.col("id") % 1000).cast("int").alias("page_no"), line.cast("int").alias("line_no"), F.col("id").cast("int").alias("word_no"),
+        F.struct(*[F.col("id").cast("int").alias(c) for c in "xywh"]).alias("box"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    try:
+        regions = pm.extract_regions(words, "word")
+        plan = regions._jdf.queryExecution().executedPlan().toString()
+        got = regions.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    numbers = {}
+    for r in got:
+        numbers.setdefault(r["page_no"], []).append((r["region_no"], r["box"]["x"]))
+    want = {p: sorted((i * 5 if i % 1000 == 0 else i % 7, i) for i in range(p, 20_000, 1000)) for p in range(1000)}
+    assert {p: sorted(n) for p, n in numbers.items()} == {p: [(k, i) for k, (_, i) in enumerate(o)] for p, o in want.items()}
