@@ -11,8 +11,9 @@ The probability of a word ``w`` after ``u`` is ``max(c(uw) - D, 0) / c(u) + D f(
 here are those that the filter gives. A text begins and ends with the end token.
 
 The filters grow with the corpus. Up to ``FILTER_BYTES`` a task reads them from where they are stored, holds them until it ends, and scores
-a text in one pass. Larger ones, and those on storage that pyarrow does not know, stay in their segments: the different keys of the texts are sent
-to them, and the counts joined back, with the same results.
+a text in one pass. Of larger ones, up to ``STREAMED_BYTES``, a task holds one segment at a time: it gathers the keys of ``STREAMED_TOKENS`` tokens
+and reads the filters once for all of these. Still larger ones, and those on storage that pyarrow does not know, stay in their segments: the
+different keys of the texts are sent to them, and the counts joined back. The results are the same. Texts are scored in slices of bounded size.
 
 The base score uses exact counts: those of the ``HOT_WORDS`` most frequent words (of up to ``HOT_BYTES`` bytes) are broadcast, the others,
 of which each is rare, are joined by word.
@@ -34,6 +35,7 @@ from urllib.parse import unquote
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +54,9 @@ SCORED_TOKENS = 250_000
 SEGMENT_TOKENS = 2_000_000
 SEGMENT_WORDS = 200_000
 FILTER_BYTES = 192 << 20
+STREAMED_BYTES = 4 << 30
+#: Tokens for which larger filters are read once.
+STREAMED_TOKENS = 2_500_000
 #: Counts of each filter that a task remembers, a power of two; 16 bytes each.
 REMEMBERED = 1 << 20
 HOT_WORDS = 200_000
@@ -155,6 +160,23 @@ class Segmented:
         return _MIDDLE[_levels_found(self.bits, keys if within is None else within, self.sizes[of], self.starts[of])]
 
 
+class Streamed:
+    """A stored filter that is read anew for each lookup, a segment at a time, so that a task never holds more than one."""
+
+    def __init__(self, files: list[str], n: int, storage: str):
+        self.files, self.n, self.storage = files, n, storage
+
+    def counts(self, keys: np.ndarray, within: np.ndarray | None = None) -> np.ndarray:
+        of = (keys % np.uint64(self.n)).astype(np.int32)
+        order = np.argsort(of, kind="stable")
+        ends = np.cumsum(np.bincount(of, minlength=self.n))
+        keys, out = keys if within is None else within, np.zeros(len(keys))
+        for segment, bits in _segments(self.files, self.storage):
+            at = order[ends[segment - 1] if segment else 0 : ends[segment]]
+            out[at] = LogBloom(bits).counts(keys[at])
+        return out
+
+
 class Recalled:
     """Counts of a filter, and a memory of those it gave last: ``slots`` places, each for the last key asked for of those that share
     it. Words and pairs that return in block after block have the highest counts, so the most marks, and are looked up once."""
@@ -438,20 +460,27 @@ def _reachable(files: list[str], storage: str) -> bool:
         return False
 
 
-def _read(files: list[str], sizes: np.ndarray, storage: str) -> Segmented:
-    """A stored filter in a task. Broadcast, it would stay in all Python processes of an executor, of which there are more than tasks."""
+def _segments(files: list[str], storage: str) -> Iterator[tuple[int, np.ndarray]]:
+    """The segments of a stored filter, one after another."""
     import pyarrow.parquet as pq
 
-    ends = np.cumsum(sizes)
-    data, resolve = np.zeros(int(ends[-1]), np.uint8), resolver(storage)
+    resolve = resolver(storage)
     for name in files:
         system, place = resolve(name)
         with system.open_input_file(place) as file:
-            for batch in pq.ParquetFile(file).iter_batches(1, columns=["segment", "bits"], use_threads=False):
+            for batch in pq.ParquetFile(file, buffer_size=1 << 20).iter_batches(1, columns=["segment", "bits"], use_threads=False):
                 for segment, bits in zip(batch["segment"].to_pylist(), batch["bits"], strict=True):
                     if bits.is_valid:
-                        end = int(ends[segment])
-                        data[end - len(bits.as_buffer()) : end] = np.frombuffer(bits.as_buffer(), np.uint8)
+                        yield segment, np.frombuffer(bits.as_buffer(), np.uint8)
+
+
+def _read(files: list[str], sizes: np.ndarray, storage: str) -> Segmented:
+    """A stored filter in a task. Broadcast, it would stay in all Python processes of an executor, of which there are more than tasks."""
+    ends = np.cumsum(sizes)
+    data = np.zeros(int(ends[-1]), np.uint8)
+    for segment, bits in _segments(files, storage):
+        end = int(ends[segment])
+        data[end - len(bits) : end] = bits
     return Segmented(data, sizes)
 
 
@@ -459,9 +488,48 @@ _SCORED = (
     "row long, id string, held_out boolean, n_tokens long, hot_known long, hot_sum double, score double, "
     "rare array<string>, times array<int>, pairs array<long>, contexts array<long>, followers array<long>, words array<long>, counts array<int>"
 )
+_SCORED_NAMES = re.findall(r"(\w+) \w+(?:<\w+>)?(?:, |$)", _SCORED)
 _TERMS = ("pairs", "contexts", "followers", "words")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole rows whose texts have about ``_TEXT_BYTES`` bytes."""
+    for batch in batches:
+        filled = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = np.flatnonzero(np.diff(filled // _TEXT_BYTES)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(filled)], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def _per_row(owners: list[np.ndarray], values: list[pa.Array], kind: pa.DataType, rows: int) -> pa.ListArray:
+    """Lists of the ``values`` that belong to each row; ``owners``, the rows of each array of them, never fall."""
+    ends = np.searchsorted(np.concatenate([np.zeros(0, np.int64), *owners]), np.arange(rows + 1))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], kind), *values]))
+
+
+class _Waiting(NamedTuple):
+    """A block whose bigrams are not yet looked up: the different ones, the words of each, each token's bigram and text, and where to add."""
+
+    hashes: np.ndarray
+    pairs: np.ndarray
+    u: np.ndarray
+    w: np.ndarray
+    which: np.ndarray
+    owner: np.ndarray
+    total: np.ndarray
+
+
+def frequent_words(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
+    """At most so many of the most frequent words: all down to some count. So few words go to the driver, whatever the number of tasks."""
+    short = words.where(F.octet_length("word") <= HOT_BYTES)
+    # different counts are fewer than the root of twice the tokens
+    by_count = short.groupBy("n").agg(F.count(F.lit(1)).alias("of")).orderBy(F.col("n").desc()).collect()
+    reached = np.cumsum([r["of"] for r in by_count])
+    fit = int(np.searchsorted(reached, most, side="right"))
+    return short.where(F.col("n") >= by_count[fit - 1]["n"]) if fit else short.where("false")
+
+
 def _remainder(key: Column, n: int) -> Column:
     """The remainder of a key, a long that stands for 64 bits without a sign."""
     return ((F.shiftrightunsigned(key, 1) % n) * 2 + key.bitwiseAND(F.lit(1).cast("long"))) % n
@@ -503,36 +571,68 @@ def _scores_of_terms(scored: DataFrame, model: Model) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text", filter_bytes: int = FILTER_BYTES, hot_words: int = HOT_WORDS
+    docs: DataFrame,
+    model: Model,
+    id: str = "doc_id",
+    text: str = "text",
+    filter_bytes: int = FILTER_BYTES,
+    hot_words: int = HOT_WORDS,
+    streamed_bytes: int = STREAMED_BYTES,
 ) -> DataFrame:
     """``(<id>, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row per row of ``docs``."""
     context = docs.sparkSession.sparkContext
     storage, stored_filters = default_storage(docs.sparkSession), []
-    if fits := model.filter_bytes <= filter_bytes:
+    held = model.filter_bytes <= filter_bytes
+    if fits := model.filter_bytes <= max(filter_bytes, streamed_bytes):
         parts = ((model.of_bigrams, model.bigram_segments), (model.of_words, model.word_segments))
-        stored_filters = [(_files(filters), _sizes(filters, n)) for filters, n in parts]
+        stored_filters = [(_files(filters), _sizes(filters, n) if held else n) for filters, n in parts]
         fits = all(_reachable(files, storage) for files, _ in stored_filters)
-    frequent = model.words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.col("n").desc(), "word").limit(hot_words)
+    frequent = frequent_words(model.words, hot_words)
     hot = context.broadcast({r["word"].encode(): r["n"] for r in frequent.collect()})  # hot_words words of HOT_BYTES bytes at most
     probabilities, n_bigrams = Probabilities(model), model.bigram_segments
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = hot.value
         of_bigrams, of_words = None, None
-
-        def logs(block: Block, pairs: np.ndarray, first: np.ndarray) -> np.ndarray:
-            """log10 probabilities of the block's different bigrams."""
-            words, tags = of_words.counts(count_key(block.hashes)), of_words.counts(followers_key(block.hashes >> _TAG_SHIFT))
-            u, w = block.before[first], block.token[first]
-            return probabilities.logs(of_bigrams.counts(pairs, bigram_key(pairs, n_bigrams)), words[u], tags[u], words[w])
-
-        for batch in batches:
+        waiting: list[_Waiting] = []  # and their slices, which are given out once all blocks before them are looked up
+        slices: list[tuple[list, np.ndarray, list]] = []
+        n_waiting = 0
+
+        def logs(pairs: np.ndarray, u: np.ndarray, w: np.ndarray, words: np.ndarray, tags: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+            """log10 probabilities of different bigrams."""
+            counts = of_bigrams.counts(pairs, bigram_key(pairs, n_bigrams)) if counts is None else counts
+            return probabilities.logs(counts, words[u], tags[u], words[w])
+
+        def look_up() -> None:
+            nonlocal n_waiting
+            hashes, back = np.unique(np.concatenate([x.hashes for x in waiting]), return_inverse=True)
+            found = of_words.counts(np.concatenate([count_key(hashes), followers_key(hashes >> _TAG_SHIFT)]))
+            words, tags = found[: len(hashes)], found[len(hashes) :]
+            pairs, place = np.unique(np.concatenate([x.pairs for x in waiting]), return_inverse=True)
+            counts = of_bigrams.counts(pairs, bigram_key(pairs, n_bigrams))[place]  # those that return have the most marks
+            at = first = 0
+            for x in waiting:
+                of = back[first : first + len(x.hashes)]
+                log = logs(x.pairs, of[x.u], of[x.w], words, tags, counts[at : at + len(x.pairs)])
+                x.total[:] += np.bincount(x.owner, log[x.which], len(x.total))
+                at, first = at + len(x.pairs), first + len(x.hashes)
+            waiting.clear()
+            n_waiting = 0
+
+        def given_out() -> Iterator[pa.RecordBatch]:
+            for before, total, after in slices:
+                yield pa.RecordBatch.from_arrays([*before, pa.array(total), *after], _SCORED_NAMES)
+            slices.clear()
+
+        for batch in _slices(batches):
             if fits and of_bigrams is None:
-                of_bigrams, of_words = (Recalled(_read(*f, storage)) for f in stored_filters)
-            n = len(batch)
+                opened = [Recalled(_read(*f, storage)) if held else Streamed(*f, storage) for f in stored_filters]
+                of_bigrams, of_words = opened
+            n = batch.num_rows
             n_tokens, hot_known, hot_sum, total = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-            lists: dict[str, list[list]] = {c: [[] for _ in range(n)] for c in ("rare", "times", *_TERMS, "counts")}
-            for block in blocks(enumerate(batch["text"]), SCORED_TOKENS):
+            owners: dict[str, list[np.ndarray]] = {"rare": [], "terms": []}
+            values: dict[str, list[pa.Array]] = {c: [] for c in ("rare", "times", *_TERMS, "counts")}
+            for block in blocks(enumerate(batch["text"].to_pylist()), SCORED_TOKENS):
                 known = np.array([exact.get(w, -1) for w in block.words], np.float64)
                 log = np.log10(np.maximum(known, 0) + PRIOR)
                 is_hot = known[block.token] >= 0
@@ -541,26 +641,37 @@ def score(
                 hot_known += np.bincount(owner, minlength=n)
                 hot_sum += np.bincount(owner, log[token], n)
                 both, often = np.unique(block.owner[~is_hot] * len(block.words) + block.token[~is_hot], return_counts=True)
-                for at, word, k in zip((both // len(block.words)).tolist(), (both % len(block.words)).tolist(), often.tolist(), strict=True):
-                    lists["rare"][at].append(block.words[word].decode())
-                    lists["times"][at].append(k)
+                owners["rare"].append(both // len(block.words))
+                values["rare"].append(pa.array(block.words, pa.binary()).take(pa.array(both % len(block.words))).cast(pa.string()))
+                values["times"].append(pa.array(often, pa.int32()))
                 pairs, first, which = np.unique(block.bigrams(), return_index=True, return_inverse=True)
+                u, w = block.before[first], block.token[first]
+                if fits and held:
+                    words, tags = of_words.counts(count_key(block.hashes)), of_words.counts(followers_key(block.hashes >> _TAG_SHIFT))
+                    total += np.bincount(block.owner, logs(pairs, u, w, words, tags)[which], n)
+                    continue
                 if fits:
-                    total += np.bincount(block.owner, logs(block, pairs, first)[which], n)
+                    small = (x.astype(np.int32) for x in (u, w, which, block.owner))
+                    waiting.append(_Waiting(block.hashes, pairs, *small, total))
+                    n_waiting += len(block.token)
+                    if n_waiting >= STREAMED_TOKENS:
+                        look_up()
                     continue
                 both, often = np.unique(block.owner * len(pairs) + which, return_counts=True)
-                at, pair = both // len(pairs), both % len(pairs)
-                u, w = block.hashes[block.before[first[pair]]], block.hashes[block.token[first[pair]]]
-                columns = (pairs[pair], count_key(u), followers_key(u >> _TAG_SHIFT), count_key(w), often.astype(np.int32))
-                ends = np.searchsorted(at, np.arange(n + 1))
-                for c, values in zip((*_TERMS, "counts"), columns, strict=True):
-                    values = values.view(np.int64) if values.dtype == np.uint64 else values
-                    for k in np.flatnonzero(np.diff(ends)).tolist():
-                        lists[c][k] += values[ends[k] : ends[k + 1]].tolist()
-            yield pd.DataFrame(
-                {"row": batch["row"], "id": batch["id"], "held_out": batch["held_out"], "n_tokens": n_tokens, "hot_known": hot_known}
-                | {"hot_sum": hot_sum, "score": total} | {c: pd.Series(x, dtype=object) for c, x in lists.items()}
-            )
+                pair = both % len(pairs)
+                u, w = block.hashes[u[pair]], block.hashes[w[pair]]
+                owners["terms"].append(both // len(pairs))
+                for c, of in zip(_TERMS, (pairs[pair], count_key(u), followers_key(u >> _TAG_SHIFT), count_key(w)), strict=True):
+                    values[c].append(pa.array(of.view(np.int64)))
+                values["counts"].append(pa.array(often, pa.int32()))
+            kinds = {c: pa.int64() for c in _TERMS} | {"rare": pa.string(), "times": pa.int32(), "counts": pa.int32()}
+            lists = [_per_row(owners["rare" if c in ("rare", "times") else "terms"], x, kinds[c], n) for c, x in values.items()]
+            slices.append(([batch["row"], batch["id"], batch["held_out"], *map(pa.array, (n_tokens, hot_known, hot_sum))], total, lists))
+            if not waiting:
+                yield from given_out()
+        if waiting:
+            look_up()
+        yield from given_out()
 
     given = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -568,7 +679,7 @@ def score(
         F.coalesce(~_learns(id), F.lit(False)).alias("held_out"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    scored = stored(given.mapInPandas(run, _SCORED), "lm-scored")
+    scored = stored(given.mapInArrow(run, _SCORED), "lm-scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", "r.*")
     of_rare = rare.join(model.words, rare["rare"] == model.words["word"], "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
     summed = of_rare.groupBy("row").agg(

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from helpers import OTHER, PROSE, no_documents, odd_documents, with_clash, write_tables
@@ -371,6 +372,43 @@ def test_filters_are_read_by_tasks_and_not_broadcast(spark, monkeypatch):
     assert [r[:5] for r in near] == [r[:5] for r in far] and np.allclose([r[5:] for r in near], [r[5:] for r in far], rtol=1e-9)
 
 
+def test_large_filters_are_read_a_segment_at_a_time(spark, monkeypatch):
+    """Above the limit tasks gather keys of several slices and texts and go through the segments; no row of keys is made for each token."""
+    docs = spark.createDataFrame(
+        [(k, f"{PROSE if k % 3 else OTHER} tail{k % 7}" * (1 + 40 * (k == 9))) for k in range(60)] + [(99, None), (100, "")], "doc_id long, text string"
+    )
+    model = language_model.train(docs, segment_tokens=500, segment_words=20)
+    assert model.bigram_segments > 3 and model.word_segments > 1
+    near = lm_rows(language_model.score(docs, model))
+    joined = lm_rows(language_model.score(docs, model, filter_bytes=0, streamed_bytes=0))
+    monkeypatch.setattr(language_model, "_scores_of_terms", None)
+    for tokens in (1, 700, 1 << 20):
+        monkeypatch.setattr(language_model, "STREAMED_TOKENS", tokens)
+        monkeypatch.setattr(language_model, "SCORED_TOKENS", 300)
+        streamed = lm_rows(language_model.score(docs, model, filter_bytes=0))
+        for other in (near, joined):
+            assert [r[:5] for r in streamed] == [r[:5] for r in other]
+            assert np.allclose([r[5:] for r in streamed], [r[5:] for r in other], rtol=1e-9)
+
+
+def test_slices_of_texts_are_bounded(monkeypatch):
+    monkeypatch.setattr(language_model, "_TEXT_BYTES", 50)
+    texts = ["x" * k for k in (0, 10, 45, 200, 0, 3, 49, 7, 0)]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(t, pa.string())}) for t in (texts, [], texts[:1])]
+    found = [b["text"].to_pylist() for b in language_model._slices(iter(batches))]
+    assert sum(found, []) == [*texts, ""] and all(found)
+    assert all(len("".join(b[1:])) < 50 for b in found)  # besides the first text, which may be of any size
+
+
+def test_frequent_words_are_all_down_to_a_count(spark):
+    """Not so many of each task: the driver is sent no more than asked for."""
+    words = spark.createDataFrame([("", 9), ("a", 5), ("b", 5), ("c", 5), ("d", 1), ("x" * 100, 50)], "word string, n long")
+    for most, want in ((0, ""), (1, " "), (3, " "), (4, " abc"), (5, " abcd"), (9, " abcd")):
+        found = language_model.frequent_words(words, most)
+        assert sorted(r["word"] or " " for r in found.collect()) == sorted(want)
+        assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_blocks_number_words_in_order_of_use():
     """Any blanks, texts without words, words of other scripts: tokens as ``bytes.split`` finds them, numbered from the end token on."""
     texts = ["", " \t\n\x0b\x0c\r ", "A b\x1ca  b", "  Straße STRASSE 世界 A", "one\n\none", "\x00 \x00"]
