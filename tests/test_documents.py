@@ -912,3 +912,27 @@ def test_sources_with_lost_pages_survive(spark, folder):
     failed = {(r.path.split("/")[-1], r.page_no) for r in result.failed.collect()}
     assert failed == {("bad.pdf", None), ("lost.pdf", 2)}
     assert names(result.pages.select("path").distinct(), f"{folder}/in") == ["good.pdf", "lost.pdf"]
+
+
+def test_part_files_share_a_file_for_each_task(spark, folder, monkeypatch):
+    """Parts of many documents lie in one file, and are found there again: in order, over several files, with any buffer."""
+    import os
+
+    from pagemill.sinks import texts
+
+    monkeypatch.setattr(texts, "_OPEN_FILES", 2)
+    rows = [(f"hdfs:/in/d{k % 3}/f{k}.pdf", p, f"{k}ä{p}" * (k * p % 5)) for k in range(40) for p in range(1 + k % 4)]
+    rows += [("hdfs:/in/none.pdf", 0, None), ("hdfs:/in/d0/f1.pdf", 1, None), ("hdfs:/in/empty.pdf", 0, "")]
+    parts = spark.createDataFrame(rows, "path string, part_no int, content string").repartition(5)
+    for buffer in (1, 7, 1 << 20):
+        out = f"{folder}/out-{buffer}"
+        report = {r["path"]: r for r in pm.write_part_files(parts, out, f"{out}-report", root="/in", buffer=buffer).collect()}
+        want = {}
+        for path, _, content in sorted((r for r in rows if r[2] is not None), key=lambda r: r[:2]):
+            want[path] = want.get(path, "") + content
+        assert {p: r["n_bytes"] for p, r in report.items()} == {p: len(t.encode()) for p, t in want.items()}
+        for path, text in want.items():
+            with open(f"{out}/{report[path]['output']}", encoding="utf-8") as file:
+                assert file.read() == text
+        (held,) = [f for f in os.listdir(out) if f.startswith(".parts-")]
+        assert 1 <= len([f for f in os.listdir(f"{out}/{held}") if not f.startswith(".")]) <= 5
