@@ -244,3 +244,29 @@ def test_answers_to_a_search_are_not_shuffled(spark, folder, monkeypatch):
     assert not re.search(r"hashpartitioning\(query_id#\d+, filename", plan)
     monkeypatch.setattr("pagemill.sources.index._ANSWERS", 7)
     assert sorted(map(tuple, pm.search_index(spark, folder, queries).collect())) == want
+
+
+@pytest.mark.parametrize("how", ["all", "phrase"])
+def test_queries_of_all_terms_are_tried_on_their_rarest(spark, folder, how):
+    """Frequent terms make no row for each query and record; terms that are nowhere, that come twice or alone change nothing."""
+    texts = {f"f{k}": f"all of them {'some ' * (k % 3)}{k % 7} the end of all" for k in range(40)}
+    pm.upsert_index(records(spark, *texts.items()), folder, "a", searchable=True, buckets=2)
+    asked = ["all of them 3", "of them", "of", "none of them", "the end of all", "all all", "them some some", "some 5", "end the", ""]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, query string")
+    found = pm.search_index(spark, folder, queries.union(queries.where("query_id = 1")), how)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, {})[r.filename] = (r.n_terms_found, round(r.score, 9))
+    assert got == {k: w for k, q in enumerate(asked) if (w := brute_search(texts, q, how))}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[query_id#\d+, filename", plan)
+
+
+def test_records_of_a_repeated_batch_do_not_fail_a_search(spark, folder):
+    for _ in range(2):  # once folded, once beside it
+        pm.upsert_index(records(spark, ("a", "red hen"), ("b", "red fox")), folder, "0", sequence=1, searchable=True, buckets=2)
+        if _ == 0:
+            pm.compact_index(spark, folder)
+            pm.upsert_index(records(spark, ("c", "red hen")), folder, "1", sequence=2)
+    for how in ("all", "phrase"):
+        assert "c" in {r.filename for r in pm.search_index(spark, folder, "red hen", how).collect()}
